@@ -20,7 +20,8 @@ def holds_strings(dtype: T.DataType) -> bool:
 def truncated(value: Column, dtype: T.DataType, limit: int) -> Column:
     """``value`` with every string in it, at any depth, cut to ``limit`` characters.
 
-    NULL arrays and structs stay NULL; maps are left alone.
+    NULL arrays and structs stay NULL; maps are left alone. A string of at most
+    ``limit`` bytes cannot have more characters, so its characters are not counted.
     """
     if not holds_strings(dtype):
         return value
@@ -32,7 +33,7 @@ def truncated(value: Column, dtype: T.DataType, limit: int) -> Column:
             for f in dtype.fields
         ]
         return F.when(value.isNotNull(), F.struct(*fields))
-    return F.substring(value, 1, limit)
+    return F.when(F.octet_length(value) > limit, F.substring(value, 1, limit)).otherwise(value)
 
 
 def empty_of(dtype: T.ArrayType | T.StructType) -> Column:

@@ -131,6 +131,7 @@ def merge_upsert(
     kept = paired.select(
         *map(merged, target.columns), *[column(incoming[c]).alias(c) for c in added]
     )
-    known = target.select(*keys).join(changes.select(*keys), keys, "left_semi").distinct()
+    changed_keys = source.select(*keys).distinct()
+    known = target.select(*keys).join(changed_keys, keys, "left_semi").distinct()
     inserts = changes.filter(~deleted).join(known, keys, "left_anti").select(*map(column, business))
     return kept.unionByName(inserts, allowMissingColumns=True)

@@ -171,10 +171,11 @@ def performance_of_categories(
         F.sum(F.col("price") * F.col("quantity")).alias("total_revenue"),
         F.sum("quantity").alias("total_quantity"),
     )
-    # The total is a scalar subquery, one value by construction, and reuses the
-    # shuffle of the groups.
-    grand_total = base.agg(F.sum("total_revenue")).scalar()
-    share = F.try_divide(F.col("total_revenue"), grand_total)
+    # The total is a scalar subquery, one row by construction. It asks for both sums
+    # although it needs one: with the same columns it reuses the groups' shuffle
+    # instead of reading the lines again.
+    totals = base.agg(F.struct(F.sum("total_revenue").alias("revenue"), F.sum("total_quantity")))
+    share = F.try_divide(F.col("total_revenue"), totals.scalar().getField("revenue"))
     return base.select(
         "category",
         "total_revenue",

@@ -154,7 +154,7 @@ def process_tables(
         name = f"{subdomain}_{table}" if subdomain else table
         if target_format != "parquet":
             location = table_location(target_root, name, domain, subdomain)
-            write_table(rows, location, write_mode, target_format)
+            write_table(rows, location, write_mode, target_format, skip_empty=False)
             return location
         write_silver_parquet(rows, target_root, name, execution_date, skip_empty=False)
         return f"{table_root(target_root, name)}/{date_folder(execution_date)}"

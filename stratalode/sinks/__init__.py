@@ -8,6 +8,7 @@ from stratalode.sinks.files import (
 )
 from stratalode.sinks.stage import new_folder, stage
 from stratalode.sinks.tables import (
+    merge_jdbc,
     relational_projection,
     table_location,
     write_jdbc,
@@ -16,6 +17,7 @@ from stratalode.sinks.tables import (
 
 __all__ = [
     "land_bronze_json",
+    "merge_jdbc",
     "merge_snapshot",
     "new_folder",
     "relational_projection",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame
 
@@ -11,7 +11,9 @@ from stratalode.functions.values import relational
 from stratalode.operators.clean import filter_soft_deleted
 from stratalode.operators.columns import drop_cdc_columns, drop_ingestion_columns
 from stratalode.operators.sizing import TARGET_FILE_BYTES
-from stratalode.sources.tables import is_location, table_exists
+from stratalode.operators.upsert import merge_dedup
+from stratalode.sinks.stage import stage
+from stratalode.sources.tables import is_location, scan_jdbc, table_exists
 
 
 def table_location(root: str, table: str, domain: str = "", subdomain: str = "") -> str:
@@ -33,17 +35,19 @@ def write_table(
     mode: str = "append",
     fmt: str = "parquet",
     options: Mapping[str, str] | None = None,
+    skip_empty: bool = True,
 ) -> bool:
     """Create, append to or overwrite a table, by name or location.
 
     Technical columns and soft-deleted rows are left out. An empty frame writes
-    nothing. Returns whether the table existed before.
+    nothing, unless ``skip_empty=False`` spares the test. Returns whether the
+    table existed before.
     """
     if mode not in ("append", "overwrite"):
         raise ValueError(f"mode must be 'append' or 'overwrite', not {mode!r}")
     existed = table_exists(df.sparkSession, target, fmt)
     rows = without_technical_columns(df)
-    if rows.isEmpty():
+    if skip_empty and rows.isEmpty():
         return existed
     writer = rows.write.format(fmt).mode(mode if existed else "overwrite")
     if fmt == "iceberg":
@@ -101,3 +105,27 @@ def write_jdbc(
     options = jdbc_write_options(url, table, batch_size, connections, truncate)
     rows = relational_projection(without_technical_columns(df))
     rows.write.format("jdbc").mode(mode).options(**options, **(properties or {})).save()
+
+
+def merge_jdbc(
+    df: DataFrame,
+    url: str,
+    table: str,
+    keys: str | Iterable[str],
+    order_by: str | Iterable[str] | None = None,
+    read_options: Mapping | None = None,
+    properties: Mapping[str, str] | None = None,
+) -> None:
+    """Merge rows into a relational table by key; see :func:`merge_dedup`.
+
+    The merged rows are written to the shared folder before the table is
+    replaced, so the table is not emptied while it is still being read.
+    ``read_options`` are those of :func:`scan_jdbc` that make the read parallel.
+    """
+    existing = scan_jdbc(
+        df.sparkSession, url, table, properties=properties, **(read_options or {})
+    )
+    incoming = relational_projection(df)
+    merged = merge_dedup(existing, incoming, keys, order_by, existing_is_unique=True)
+    merged = without_technical_columns(merged)
+    write_jdbc(stage(merged, table), url, table, properties=properties)

@@ -50,13 +50,14 @@ def scan_partitioned_root(
     snapshot: str = "all",
     before: ExecutionDate = None,
     schema: Schema | None = None,
+    merge_schema: bool = False,
 ) -> DataFrame:
     """Read the date partitions of a Parquet table; ``year, month, day`` become columns.
 
     ``snapshot="all"`` reads every day. ``snapshot="latest"`` reads the newest
     one only, which is what a table written as daily full snapshots needs.
     """
-    df = scan_parquet(spark, root, schema=schema)
+    df = scan_parquet(spark, root, schema=schema, merge_schema=merge_schema)
     if snapshot == "all":
         return df if before is None else df.filter(F.make_date(*DATE_PARTITIONS) < as_date(before))
     if snapshot != "latest":
