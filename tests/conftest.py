@@ -17,6 +17,8 @@ def spark(tmp_path_factory):
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
+        .config("spark.sql.maxMetadataStringLength", "100000")
+        .config("spark.sql.debug.maxToStringFields", "1000")
         .config("spark.driver.memory", "4g")
         .getOrCreate()
     )

@@ -1,0 +1,56 @@
+import pytest
+from pyspark.sql import functions as F
+
+from stratalode import plans
+from stratalode.operators import estimate_size, partitions_for, size_partitions
+
+
+def test_conform_orders_casts_and_drops(spark):
+    df = spark.createDataFrame([("1", 2, "x")], "b string, A int, extra string")
+    assert plans.conform_to_schema(df, "a double, b bigint").dtypes == [("a", "double"), ("b", "bigint")]
+    with pytest.raises(ValueError, match="missing"):
+        plans.conform_to_schema(df, "a int, c int")
+
+
+def test_gold_contracts_name_their_own_columns():
+    for contract in plans.GOLD_TABLES.values():
+        assert {*contract.keys, *contract.required} <= set(contract.schema.names)
+
+
+def test_violations(spark, rows):
+    df = spark.createDataFrame(
+        [(1, "a", 1), (1, "a", None), (1, "b", 2), (None, "c", 3), (None, "c", 3), (2, "d", None)],
+        "k int, l string, v int",
+    )
+    found = plans.constraint_violations(df, ["k", "l"], "v")
+    assert found.columns == ["rule", "column_name", "key", "row_count"]
+    assert rows(found) == [
+        ("not_null", "k", "NULL,c", 2),
+        ("not_null", "v", "1,a", 1),
+        ("not_null", "v", "2,d", 1),
+        ("primary_key", "k,l", "1,a", 2),
+    ]
+    assert plans.constraint_violations(df.filter("l = 'b'"), "k").isEmpty()
+
+
+def test_unknown_products_break_the_gold_contract(spark):
+    contract = plans.GOLD_TABLES["category_performance"]
+    df = spark.createDataFrame([(None, None, 3)], "category string, total_revenue double, total_quantity bigint")
+    found = plans.constraint_violations(df, contract.keys, contract.required)
+    assert {r.column_name for r in found.collect()} == {"category", "total_revenue"}
+
+
+def test_size_estimate(spark):
+    df = spark.createDataFrame([("abc", 12, [1, 2]), (None, None, None)], "s string, i int, a array<int>")
+    assert tuple(estimate_size(df).first()) == (3 + 2 + len("[1,2]"), 1)
+    assert tuple(estimate_size(df.limit(0)).first()) == (0, 1)
+    big = spark.range(4_200).select(F.repeat(F.lit("x"), 128 * 1024).alias("s"))
+    assert partitions_for(big) == 2
+
+
+def test_output_sizing(spark, plan):
+    df = spark.range(100).repartition(6)
+    assert size_partitions(df, 2).rdd.getNumPartitions() == 2
+    assert size_partitions(df, 50).rdd.getNumPartitions() == 6
+    assert size_partitions(df, estimate=True).rdd.getNumPartitions() == 1
+    assert "REBALANCE" in plan(size_partitions(df))

@@ -1,0 +1,204 @@
+import random
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from stratalode import plans
+from stratalode.functions.values import rounded_ratio
+
+STAMP = "2024-06-01 00:00:00"
+CARTS = (
+    "id int, userId int, date timestamp_ntz, year int, month int, "
+    "products_productId int, products_quantity int"
+)
+PRODUCTS = "id int, title string, category string, price double, rating_rate double, rating_count int"
+
+
+def shop(seed):
+    """Cart lines in which one product, one user and one day hold a third of the rows each.
+
+    Some lines have no product, an unknown one, or no quantity; some products no price.
+    """
+    rng = random.Random(seed)
+
+    def hot(value, others):
+        return value if rng.random() < 0.34 else rng.choice(others)
+
+    carts = []
+    for _ in range(300):
+        cart = rng.randint(1, 60)
+        product = hot(1, [None, 2, 3, 4, 5, 99])
+        quantity = rng.choice([None, 1, 2, 3]) if product else None
+        day = hot(1, range(2, 9))
+        carts.append((cart, hot(1, [2, 3, 4, 5, 6, None]), f"2024-01-0{day}", 2024, 1, product, quantity))
+    products = [
+        (1, "one", "a", 10.5, 1.5, 3), (2, "two", "a", 0.1, 2.5, 4), (3, "three", "b", None, None, None),
+        (4, "four", None, 7.0, 1.0, 1), (5, "five", "b", 3.25, 4.0, 9), (6, "unsold", "c", 1.0, 1.0, 1),
+    ]
+    return carts, products
+
+
+def frames(spark, seed):
+    carts, products = shop(seed)
+    lines = spark.createDataFrame(carts, CARTS.replace("timestamp_ntz", "string")).withColumn(
+        "date", F.col("date").cast("timestamp_ntz")
+    )
+    return lines.repartition(5), spark.createDataFrame(products, PRODUCTS)
+
+
+def brute_sales(seed):
+    carts, products = shop(seed)
+    by_id = {p[0]: p for p in products}
+    for cart, user, date, _, _, product, quantity in carts:
+        p = by_id.get(product, (None,) * 6)
+        revenue = None if p[3] is None or quantity is None else p[3] * quantity
+        yield {"cart": cart, "user": user, "date": date, "id": p[0], "title": p[1], "category": p[2],
+               "price": p[3], "quantity": quantity, "revenue": revenue, "rate": p[4], "count": p[5]}
+
+
+def total(values):
+    values = [v for v in values if v is not None]
+    return round(sum(values), 6) if values else None
+
+
+def grouped(seed, *names):
+    groups = defaultdict(list)
+    for sale in brute_sales(seed):
+        groups[tuple(sale[n] for n in names)].append(sale)
+    return groups
+
+
+def rounded(value, digits=6):
+    return None if value is None else round(value, digits)
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_sales_view(spark, seed):
+    carts, products = frames(spark, seed)
+    view = plans.sales_view(carts, products)
+    assert view.columns == [
+        "cart_id", "user_id", "date", "year", "month", "product_id", "product_title", "category",
+        "price", "rating_rate", "rating_count", "quantity", "revenue",
+    ]
+    assert view.count() == 300
+    got = sorted((repr((r.cart_id, r.product_id, r.quantity, r.revenue)) for r in view.collect()))
+    assert got == sorted(repr((s["cart"], s["id"], s["quantity"], s["revenue"])) for s in brute_sales(seed))
+    assert "year" not in plans.sales_view(carts.drop("year", "month"), products).columns
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_product_indicators(spark, seed):
+    carts, products = frames(spark, seed)
+    expected = {
+        key: (
+            total(s["quantity"] for s in sales),
+            total(s["revenue"] for s in sales),
+            rounded(sales[0]["price"], 2),
+            sales[0]["rate"],
+            sales[0]["count"],
+        )
+        for key, sales in grouped(seed, "id", "title", "category").items()
+    }
+    performance = plans.product_performance(carts, products, STAMP).collect()
+    got = {
+        (r.product_id, r.product_title, r.category): (
+            r.total_quantity, rounded(r.total_revenue), r.avg_price, r.rating_rate, r.rating_count,
+        )
+        for r in performance
+    }
+    assert got == expected
+    revenues = [r.total_revenue for r in performance if r.total_revenue is not None]
+    assert revenues == sorted(revenues, reverse=True)
+
+    top = plans.top10_products_revenue(carts, products, n=2).collect()
+    best = sorted(
+        ((v[1], k[0], v[0]) for k, v in expected.items() if k[0] and v[1] is not None), reverse=True
+    )
+    assert [(rounded(r.total_revenue), r.product_id, r.total_units_sold) for r in top] == best[:2]
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_category_shares(spark, seed):
+    carts, products = frames(spark, seed)
+    groups = grouped(seed, "category")
+    everything = total(s["revenue"] for s in brute_sales(seed))
+    expected = {}
+    for (category,), sales in groups.items():
+        revenue = total(s["revenue"] for s in sales)
+        share = None if revenue is None else round(revenue / everything, 4)
+        expected[category] = (total(s["quantity"] for s in sales), revenue, share)
+    got = {
+        r.category: (r.total_quantity, rounded(r.total_revenue), r.revenue_share_pct)
+        for r in plans.category_performance(carts, products, STAMP).collect()
+    }
+    assert got == expected
+    assert sum(v[2] or 0 for v in got.values()) == pytest.approx(1, abs=1e-3)
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_daily_and_user_indicators(spark, seed):
+    carts, products = frames(spark, seed)
+
+    def expected(name):
+        out = {}
+        for (key,), sales in grouped(seed, name).items():
+            orders = len({s["cart"] for s in sales})
+            revenue = total(s["revenue"] for s in sales)
+            out[key] = (orders, total(s["quantity"] for s in sales), revenue)
+        return out
+
+    daily = {
+        str(r.date)[:10]: (r.total_orders, r.total_items, rounded(r.total_revenue))
+        for r in plans.sales_daily(carts, products, STAMP).collect()
+    }
+    assert daily == expected("date")
+    ltv = plans.user_ltv(carts, products, STAMP).collect()
+    assert {
+        r.user_id: (r.total_orders, r.total_items, rounded(r.total_revenue)) for r in ltv
+    } == expected("user")
+    for r in ltv:
+        assert r.customer_type == ("new" if r.total_orders == 1 else "recurrent" if r.total_orders <= 3 else "heavy")
+        if r.total_revenue is not None:
+            assert r.avg_ticket == pytest.approx(r.total_revenue / r.total_orders, abs=0.00501)
+
+
+def test_by_day_merges_times_of_one_day(spark, rows):
+    carts = spark.createDataFrame(
+        [(1, 1, "2024-01-01 10:00:00", 1, 1), (2, 1, "2024-01-01 11:00:00", 1, 2)],
+        "id int, userId int, date string, products_productId int, products_quantity int",
+    ).withColumn("date", F.col("date").cast("timestamp"))
+    products = spark.createDataFrame([(1, "t", "c", 2.0, 1.0, 1)], PRODUCTS)
+    assert plans.sales_daily(carts, products).count() == 2
+    by_day = plans.sales_daily(carts, products, STAMP, by_day=True).first()
+    assert (str(by_day.date), by_day.total_revenue, by_day.avg_ticket) == ("2024-01-01 00:00:00", 6.0, 3.0)
+    assert str(by_day.created_at) == STAMP
+
+
+def test_an_unknown_cart_count_of_zero_is_a_heavy_user(spark):
+    carts = spark.createDataFrame(
+        [(None, 1, None, 1, 1)],
+        "id int, userId int, date timestamp, products_productId int, products_quantity int",
+    )
+    products = spark.createDataFrame([(1, "t", "c", 2.0, 1.0, 1)], PRODUCTS)
+    only = plans.user_ltv(carts, products).first()
+    assert (only.total_orders, only.customer_type, only.avg_ticket) == (0, "heavy", None)
+
+
+def test_ratios_round_half_up_whatever_the_noise(spark):
+    df = spark.createDataFrame(
+        [(2469.1, 4), (2469.0999999999995, 4), (1.005, 1), (1.0, 0), (None, 3), (1e300, 1)], "n double, d bigint"
+    )
+    got = [r[0] for r in df.select(rounded_ratio(F.col("n"), F.col("d"), 2)).collect()]
+    assert got == [617.28, 617.28, 1.01, None, None, None]
+
+
+def test_products_listed_twice_count_twice_as_in_a_plain_join(spark):
+    carts, products = frames(spark, 0)
+    doubled = products.unionByName(products)
+    once = {r.product_id: r for r in plans.product_performance(carts, products).collect()}
+    twice = {r.product_id: r for r in plans.product_performance(carts, doubled).collect()}
+    for key, row in once.items():
+        if key is not None and row.total_quantity is not None:
+            assert twice[key].total_quantity == 2 * row.total_quantity
+            assert twice[key].avg_price == row.avg_price
