@@ -17,6 +17,12 @@ def holds_strings(dtype: T.DataType) -> bool:
     return isinstance(dtype, T.StringType)
 
 
+def holds_arrays(dtype: T.DataType) -> bool:
+    if isinstance(dtype, T.StructType):
+        return any(holds_arrays(f.dataType) for f in dtype.fields)
+    return isinstance(dtype, T.ArrayType)
+
+
 def truncated(value: Column, dtype: T.DataType, limit: int) -> Column:
     """``value`` with every string in it, at any depth, cut to ``limit`` characters.
 

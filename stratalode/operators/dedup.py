@@ -103,7 +103,11 @@ def dedup_latest(
     tie_break: str | Iterable[str] | None = None,
     catalog: Mapping | None = None,
 ) -> DataFrame:
-    """Keep the newest row of every key, NULL recency counting as oldest."""
+    """Keep the newest row of every key, NULL recency counting as oldest.
+
+    Ties are broken by all other columns, which therefore are all read.
+    ``tie_break=[]`` lets any of the newest rows win.
+    """
     keys = resolve_keys(df, keys, catalog)
     order_by = recency_columns(df, keys, order_by)
     tie_break = None if tie_break is None else as_list(tie_break)

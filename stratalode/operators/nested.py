@@ -79,17 +79,21 @@ def _array_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.ArrayType)]
 
 
-def arrays_to_columns(df: DataFrame, max_columns: int = 5_000) -> DataFrame:
+def arrays_to_columns(
+    df: DataFrame, max_columns: int = 5_000, keyed: bool = False
+) -> DataFrame:
     """Turn every array into columns ``name_0 … name_{n-1}``, n being its longest row.
 
     The lengths of all arrays come from one aggregation that returns a single
-    row. Shorter arrays are padded with NULL. A frame without arrays comes back
-    with duplicate rows removed. More than ``max_columns`` result columns is an
-    error, as no element may be dropped to stay below it.
+    row. Shorter arrays are padded with NULL. More than ``max_columns`` result
+    columns is an error, as no element may be dropped to stay below it.
+
+    A frame without arrays comes back with duplicate rows removed; ``keyed``
+    says that it has none, which saves the shuffle.
     """
     arrays = _array_columns(df)
     if not arrays:
-        return distinct_rows(df)
+        return df if keyed else distinct_rows(df)
     longest = df.agg(
         *[F.max(F.array_size(column(a))).alias(str(i)) for i, a in enumerate(arrays)]
     ).first()
@@ -104,11 +108,15 @@ def arrays_to_columns(df: DataFrame, max_columns: int = 5_000) -> DataFrame:
     return df.select(*map(column, kept), *[value.alias(name) for name, value in wide])
 
 
-def arrays_cartesian(df: DataFrame, match: str = "row", null_safe: bool = False) -> DataFrame:
+def arrays_cartesian(
+    df: DataFrame, match: str = "row", null_safe: bool = False, keyed: bool = False
+) -> DataFrame:
     """Every combination of the elements of a row's arrays, without duplicate rows.
 
     ``match="row"`` combines the arrays of one and the same row: a chain of
-    narrow explodes, so the work per row depends on that row alone.
+    narrow explodes, so the work per row depends on that row alone. ``keyed``
+    says that the columns that are no arrays hold a key: then only the elements
+    of each array need to be made distinct, and nothing is shuffled.
 
     ``match="values"`` combines the arrays of all rows whose other columns are
     equal. It equals ``"row"`` whenever the other columns hold a key. Each side
@@ -121,8 +129,10 @@ def arrays_cartesian(df: DataFrame, match: str = "row", null_safe: bool = False)
         return df
     scalars = [c for c in df.columns if c not in arrays]
     if match == "row":
-        result = reduce(explode_array, arrays, df)
-        return distinct_rows(result.select(*map(column, [*scalars, *arrays])))
+        if keyed:
+            df = df.withColumns({a: F.array_distinct(column(a)) for a in arrays})
+        result = reduce(explode_array, arrays, df).select(*map(column, [*scalars, *arrays]))
+        return result if keyed else distinct_rows(result)
     if match != "values":
         raise ValueError(f"match must be 'row' or 'values', not {match!r}")
     if not scalars:
@@ -153,19 +163,22 @@ def flatten_all(
     match: str = "row",
     null_safe: bool = False,
     max_columns: int = 5_000,
+    keyed: bool = False,
 ) -> DataFrame:
     """Repeat struct expansion and array removal until only plain columns are left.
 
     Arrays become columns, or combinations of rows with ``cartesian=True``.
-    The number of rounds is the nesting depth of the schema.
+    The number of rounds is the nesting depth of the schema. ``keyed`` says that
+    the columns without arrays hold a key, which saves shuffles.
     """
     nested = (T.ArrayType, T.StructType)
     while any(isinstance(f.dataType, nested) for f in df.schema.fields):
         df = flatten_structs(df)
         if cartesian:
-            df = arrays_cartesian(df, match=match, null_safe=null_safe)
+            df = arrays_cartesian(df, match=match, null_safe=null_safe, keyed=keyed)
+            keyed = False  # the key's rows have multiplied
         else:
-            df = arrays_to_columns(df, max_columns=max_columns)
+            df = arrays_to_columns(df, max_columns=max_columns, keyed=keyed)
     return df
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stratalode.plans.gold import build_gold, write_gold_tables
 from stratalode.plans.indicators import CreatedAt
+from stratalode.plans.parallel import side_by_side
 from stratalode.plans.silver import RAW_SCHEMAS, process_tables
 from stratalode.sinks.files import land_bronze_json
 from stratalode.sources.dated import ExecutionDate, scan_partitioned_root
@@ -30,8 +31,9 @@ def run_pipeline(
     day. Running a day again replaces its files. Returns the gold paths.
     """
     bronze, silver, gold = (f"{root.rstrip('/')}/{zone}" for zone in ("bronze", "silver", "gold"))
-    for table, df in raw.items():
-        land_bronze_json(df, bronze, table, execution_date)
+    side_by_side(
+        spark, lambda table: land_bronze_json(raw[table], bronze, table, execution_date), raw
+    )
     process_tables(
         spark,
         bronze,

@@ -17,6 +17,7 @@ from stratalode.plans.indicators import (
     sales_by_cart,
     units_by_product,
 )
+from stratalode.plans.parallel import side_by_side
 from stratalode.sinks.files import write_gold_parquet
 from stratalode.sinks.stage import stage
 from stratalode.sinks.tables import write_jdbc
@@ -39,7 +40,11 @@ def build_gold(
     units = units_by_product(carts)
     sales = sales_by_cart(carts, products)
     if staged:
-        units, sales = stage(units, "units_by_product"), stage(sales, "sales_by_cart")
+        units, sales = side_by_side(
+            carts.sparkSession,
+            lambda part: stage(*part),
+            [(units, "units_by_product"), (sales, "sales_by_cart")],
+        )
     frames = {
         "top10_products_revenue": rank_products(units, products, top),
         "sales_daily": daily_totals(sales, created_at),
@@ -62,9 +67,13 @@ def write_gold_tables(
     computed twice and both copies carry the same load time.
     """
     paths = {name: f"{root.rstrip('/')}/{name}" for name in frames}
-    for name, df in frames.items():
-        write_gold_parquet(df, paths[name])
+
+    def write(name: str) -> None:
+        df, path = frames[name], paths[name]
+        write_gold_parquet(df, path)
         if jdbc_url is not None:
-            written = df.sparkSession.read.schema(df.schema).parquet(paths[name])
+            written = df.sparkSession.read.schema(df.schema).parquet(path)
             write_jdbc(written, jdbc_url, name, properties=jdbc_properties)
+
+    side_by_side(next(iter(frames.values())).sparkSession, write, frames)
     return paths

@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
-from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from stratalode.functions.names import DATE_PARTITIONS
+from stratalode.functions.values import holds_arrays
 from stratalode.operators.clean import (
     STRING_LIMIT,
     cast_timestamp_columns,
@@ -20,7 +19,9 @@ from stratalode.operators.columns import drop_ingestion_columns, with_expression
 from stratalode.operators.dedup import dedup_latest
 from stratalode.operators.nested import explode_unnest, flatten_all, unnest_structs
 from stratalode.operators.sizing import size_partitions
+from stratalode.plans.parallel import side_by_side
 from stratalode.sinks.files import write_silver_parquet
+from stratalode.sinks.stage import stage
 from stratalode.sinks.tables import table_location, write_table
 from stratalode.sources.dated import ExecutionDate, date_folder, scan_execution_date, table_root
 
@@ -75,15 +76,23 @@ def process_and_flatten(
     expressions: Mapping[str, str] | None = None,
     cartesian: bool = False,
     partitions: int = 0,
+    staged: bool = True,
 ) -> DataFrame:
-    """Deduplicate, clean and flatten a table down to plain columns, then size its output."""
+    """Deduplicate, clean and flatten a table down to plain columns, then size its output.
+
+    Turning arrays into columns measures them first. The cleaned rows are written
+    to the session's shared folder before that, so that measuring reads single
+    columns back instead of deduplicating again; ``staged=False`` prevents it.
+    """
     if incremental:
         df = dedup_latest(df, keys, order_by, catalog=catalog)
     df = drop_ingestion_columns(df)
     df = cast_timestamp_columns(df)
     for name, expression in (expressions or {}).items():
         df = with_expression(df, name, expression)
-    return size_partitions(flatten_all(df, cartesian=cartesian), partitions)
+    if staged and not cartesian and any(holds_arrays(f.dataType) for f in df.schema.fields):
+        df = stage(df, "cleaned")
+    return size_partitions(flatten_all(df, cartesian=cartesian, keyed=incremental), partitions)
 
 
 def silver_products(
@@ -160,8 +169,4 @@ def process_tables(
         return f"{table_root(target_root, name)}/{date_folder(execution_date)}"
 
     tables = list(tables)
-    if concurrency <= 1 or len(tables) <= 1:
-        return {table: process(table) for table in tables}
-    with ThreadPoolExecutor(min(concurrency, len(tables))) as pool:
-        results = pool.map(inheritable_thread_target(spark)(process), tables)
-        return dict(zip(tables, results, strict=True))
+    return dict(zip(tables, side_by_side(spark, process, tables, concurrency), strict=True))

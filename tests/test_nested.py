@@ -129,6 +129,23 @@ def test_cartesian_modes_agree_where_a_key_tells_rows_apart(spark, rows):
     assert rows(arrays_cartesian(df)) == rows(arrays_cartesian(df, match="values"))
 
 
+def test_a_known_key_saves_the_shuffles_and_changes_nothing(spark, rows, plan):
+    keyed = [(i, *row[1:]) for i, row in enumerate(CARTESIAN)]
+    df = spark.createDataFrame(keyed, CARTESIAN_SCHEMA)
+    assert rows(arrays_cartesian(df, keyed=True)) == rows(arrays_cartesian(df))
+    assert "Exchange" not in plan(arrays_cartesian(df, keyed=True))
+    assert rows(flatten_all(df, keyed=True)) == rows(flatten_all(df))
+    assert "Exchange" not in plan(flatten_all(df, keyed=True))
+
+
+def test_a_key_is_not_trusted_after_its_rows_multiplied(spark, rows):
+    """Two elements that differ only in their inner arrays give overlapping combinations."""
+    df = spark.createDataFrame(
+        [(1, [("a", [1, 2]), ("a", [2, 3])])], "id int, l array<struct<k: string, n: array<int>>>"
+    )
+    assert rows(flatten_all(df, cartesian=True, keyed=True)) == [(1, "a", 1), (1, "a", 2), (1, "a", 3)]
+
+
 def test_cartesian_edge_cases(spark):
     plain = spark.range(2)
     assert arrays_cartesian(plain) is plain

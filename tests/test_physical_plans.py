@@ -35,17 +35,11 @@ def settings(spark):
 
 @needs_tables
 @pytest.mark.parametrize("name", sorted(contract.queries()))
-def test_no_python_and_no_pair_joins(spark, plan, name):
+def test_no_python_no_pair_joins_and_nothing_whole_in_one_task(spark, plan, name):
+    """Only aggregates without groups, one row per task, may meet in a single partition."""
     text = plan(contract.queries()[name](spark, SF_DIR))
-    for operator in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin", "MapInPandas"):
+    for operator in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin", "InPandas"):
         assert operator not in text
-
-
-@needs_tables
-@pytest.mark.parametrize("name", sorted(contract.queries()))
-def test_no_window_or_sort_in_a_single_task(spark, plan, name):
-    """Only aggregates without groups, which are one row per task, may meet in one partition."""
-    text = plan(contract.queries()[name](spark, SF_DIR))
     lines = text.splitlines()
     for i, line in enumerate(lines):
         if "Exchange SinglePartition" in line:
@@ -166,3 +160,19 @@ def test_dated_writes_gather_days_by_rebalancing(spark, tmp_path, monkeypatch):
     rows = spark.range(10).withColumn("at", F.timestamp_seconds(F.col("id") * 86_400))
     files.write_silver_parquet(rows, str(tmp_path), "t", date_column="at")
     assert re.search(r"hashpartitioning\(year\S*, month\S*, day\S*, \d+\), REBALANCE_PARTITIONS_BY_COL", seen[0])
+
+
+def test_a_hot_day_is_written_by_several_tasks(spark, tmp_path, settings):
+    from stratalode.sinks import write_silver_parquet
+
+    settings(
+        adaptive__advisoryPartitionSizeInBytes="100k",
+        adaptive__rebalancePartitionsSmallPartitionFactor="0.2",
+    )
+    rows = spark.range(40_000).select(
+        F.sha2(F.col("id").cast("string"), 256).alias("text"),
+        F.timestamp_seconds(F.when(F.col("id") % 3 == 0, F.col("id") % 20).otherwise(7) * 86_400).alias("at"),
+    )
+    write_silver_parquet(rows.repartition(8), str(tmp_path), "t", date_column="at")
+    assert len(list(tmp_path.glob("t/year=1970/month=01/day=08/*.parquet"))) > 4
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 40_000
