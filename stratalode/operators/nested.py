@@ -119,10 +119,11 @@ def arrays_cartesian(
     of each array need to be made distinct, and nothing is shuffled.
 
     ``match="values"`` combines the arrays of all rows whose other columns are
-    equal. It equals ``"row"`` whenever the other columns hold a key. Each side
-    is made distinct before the join, so copies of a row, however many, meet
-    as one. NULL never equals NULL here, which leaves such rows unmatched on
-    both sides; ``null_safe=True`` treats them as equal.
+    equal. It equals ``"row"`` whenever the other columns hold a key. Each array
+    is exploded by itself and made distinct before it is joined to the others,
+    so copies of a row, however many, meet as one. NULL never equals NULL here:
+    a row with a NULL among its other columns stays unmatched and appears once
+    per array, the other arrays NULL. ``null_safe=True`` treats NULLs as equal.
     """
     arrays = _array_columns(df)
     if not arrays:
@@ -145,8 +146,18 @@ def arrays_cartesian(
     ]
     if null_safe:
         return reduce(lambda left, right: _join_null_safe(left, right, scalars), sides)
-    joined = reduce(lambda left, right: left.join(right, on=scalars, how="full_outer"), sides)
-    return distinct_rows(joined.select(*map(column, [*scalars, *arrays])))
+    # Every row is on every side, so a full outer join is an inner one plus the rows
+    # with NULLs. Unlike the outer join, the inner one can be split at a hot value.
+    whole = reduce(and_, [column(c).isNotNull() for c in scalars])
+    matched = reduce(
+        lambda left, right: left.join(right, on=scalars), [side.filter(whole) for side in sides]
+    )
+    unmatched = reduce(
+        lambda left, right: left.unionByName(right, allowMissingColumns=True),
+        [side.filter(~whole) for side in sides],
+    )
+    order = [column(c) for c in [*scalars, *arrays]]
+    return matched.select(*order).union(distinct_rows(unmatched.select(*order)))
 
 
 def _join_null_safe(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
@@ -203,6 +214,8 @@ def _inferred_json_type(df: DataFrame, name: str) -> str:
     always null or of mixed type become strings. Text that is no JSON is ignored.
     """
     found = df.select(F.schema_of_variant_agg(F.try_parse_json(column(name)))).first()[0]
+    if not found.startswith(("OBJECT<", "ARRAY<")):
+        raise ValueError(f"column {name} holds no JSON objects or arrays alone; pass their schema")
     pieces = re.split(r"(`(?:[^`]|``)*`)", found)
     for i in range(0, len(pieces), 2):  # odd pieces are quoted field names
         piece = pieces[i].replace("OBJECT<", "STRUCT<")

@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratalode.functions.names import as_list, column, lookup
+from stratalode.functions.names import as_list, column, lookup, spare_name
 
 
 @dataclass(frozen=True)
@@ -88,27 +88,26 @@ def constraint_violations(
     """
     keys = as_list(keys)
     checked = list(dict.fromkeys([*keys, *as_list(required)]))
+    rows = spare_name(keys, "rows")
+    nulls = {c: spare_name(keys, f"nulls_{i}") for i, c in enumerate(checked)}
     counted = df.groupBy(*map(column, keys)).agg(
-        F.count("*").alias("rows"),
-        *[F.count_if(column(c).isNull()).alias(f"nulls_{i}") for i, c in enumerate(checked)],
+        F.count("*").alias(rows),
+        *[F.count_if(column(c).isNull()).alias(name) for c, name in nulls.items()],
     )
     key_is_whole = ~F.exists(
         F.array(*[column(k).isNull() for k in keys]), lambda is_null: is_null
     )
 
-    def finding(rule: str, name: str, rows):
+    def finding(rule: str, name: str, broken: Column, count: str):
         return F.struct(
-            F.lit(rule).alias("rule"), F.lit(name).alias("column_name"), rows.alias("row_count")
+            F.lit(rule).alias("rule"),
+            F.lit(name).alias("column_name"),
+            F.when(broken, column(count)).alias("row_count"),
         )
 
     findings = [
-        finding(
-            "primary_key", ",".join(keys), F.when(key_is_whole & (F.col("rows") > 1), F.col("rows"))
-        ),
-        *[
-            finding("not_null", c, F.when(F.col(f"nulls_{i}") > 0, F.col(f"nulls_{i}")))
-            for i, c in enumerate(checked)
-        ],
+        finding("primary_key", ",".join(keys), key_is_whole & (column(rows) > 1), rows),
+        *[finding("not_null", c, column(name) > 0, name) for c, name in nulls.items()],
     ]
     key_text = F.concat_ws(",", *[F.coalesce(column(k).cast("string"), F.lit("NULL")) for k in keys])
     return counted.select(

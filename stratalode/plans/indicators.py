@@ -70,15 +70,21 @@ def sales_by_cart(carts: DataFrame, products: DataFrame) -> DataFrame:
     )
 
 
+def _sold(units: DataFrame, products: DataFrame, columns: list[str], how: str) -> DataFrame:
+    """Units with the named columns of their product."""
+    catalogue = products.select("id", *columns)
+    return units.join(catalogue, units["products_productId"] == catalogue["id"], how)
+
+
 def top10_products_revenue(carts: DataFrame, products: DataFrame, n: int = 10) -> DataFrame:
     """The ``n`` products with the highest revenue."""
     return rank_products(units_by_product(carts), products, n)
 
 
 def rank_products(units: DataFrame, products: DataFrame, n: int = 10) -> DataFrame:
-    sold = units.join(products, units["products_productId"] == products["id"])
     return (
-        sold.groupBy(
+        _sold(units, products, ["title", "category", "price"], "inner")
+        .groupBy(
             F.col("id").alias("product_id"),
             F.col("title").alias("product_name"),
             "category",
@@ -134,7 +140,9 @@ def product_performance(
 def performance_of_products(
     units: DataFrame, products: DataFrame, created_at: CreatedAt = None
 ) -> DataFrame:
-    sold = units.join(products, units["products_productId"] == products["id"], "left")
+    sold = _sold(
+        units, products, ["title", "category", "price", "rating_rate", "rating_count"], "left"
+    )
     priced_lines = F.when(F.col("price").isNotNull(), F.col("lines"))
     mean_price = F.try_divide(F.sum(F.col("price") * F.col("lines")), F.sum(priced_lines))
     return (
@@ -166,7 +174,7 @@ def category_performance(
 def performance_of_categories(
     units: DataFrame, products: DataFrame, created_at: CreatedAt = None
 ) -> DataFrame:
-    sold = units.join(products, units["products_productId"] == products["id"], "left")
+    sold = _sold(units, products, ["category", "price"], "left")
     base = sold.groupBy("category").agg(
         F.sum(F.col("price") * F.col("quantity")).alias("total_revenue"),
         F.sum("quantity").alias("total_quantity"),

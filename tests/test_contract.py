@@ -33,6 +33,13 @@ def test_violations(spark, rows):
     assert plans.constraint_violations(df.filter("l = 'b'"), "k").isEmpty()
 
 
+def test_keys_named_like_the_helpers(spark, rows):
+    df = spark.createDataFrame([(1, 2), (1, 2)], "rows int, nulls_0 int")
+    assert rows(plans.constraint_violations(df, ["rows", "nulls_0"])) == [
+        ("primary_key", "rows,nulls_0", "1,2", 2)
+    ]
+
+
 def test_unknown_products_break_the_gold_contract(spark):
     contract = plans.GOLD_TABLES["category_performance"]
     df = spark.createDataFrame([(None, None, 3)], "category string, total_revenue double, total_quantity bigint")

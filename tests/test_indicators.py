@@ -202,3 +202,14 @@ def test_products_listed_twice_count_twice_as_in_a_plain_join(spark):
         if key is not None and row.total_quantity is not None:
             assert twice[key].total_quantity == 2 * row.total_quantity
             assert twice[key].avg_price == row.avg_price
+
+
+def test_other_product_columns_do_not_get_in_the_way(spark, rows):
+    carts, products = frames(spark, 1)
+    extended = products.withColumns({"quantity": F.lit(7), "lines": F.lit(7), "revenue": F.lit(7)})
+    for indicator in (plans.top10_products_revenue, plans.category_performance, plans.user_ltv):
+        plain, other = (
+            indicator(carts, p).drop("created_at").withColumn("total_revenue", F.round("total_revenue", 6))
+            for p in (products, extended)
+        )
+        assert rows(other) == rows(plain)

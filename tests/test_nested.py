@@ -219,3 +219,10 @@ def test_parse_json_with_schema_needs_no_job_and_survives_bad_text(spark):
     assert [r[0] for r in parsed.select("j.k").collect()] == [3, None]
     inferred = parse_json_column(df, "j")
     assert inferred.schema["j"].dataType.simpleString() == "struct<k:bigint>"
+
+
+@pytest.mark.parametrize("text", [None, "1", "no json"])
+def test_columns_without_json_objects_need_a_schema(spark, text):
+    df = spark.createDataFrame([(text,)], "j string")
+    with pytest.raises(ValueError, match="schema"):
+        parse_json_column(df, "j")
