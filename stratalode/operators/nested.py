@@ -139,18 +139,18 @@ def arrays_cartesian(
     if not scalars:
         raise ValueError("match='values' needs a column that is not an array")
     sides = [
-        distinct_rows(
-            df.select(*map(column, scalars), F.explode_outer(column(a)).alias(a))
-        )
-        for a in arrays
+        df.select(*map(column, scalars), F.explode_outer(column(a)).alias(a)) for a in arrays
     ]
     if null_safe:
-        return reduce(lambda left, right: _join_null_safe(left, right, scalars), sides)
+        return reduce(
+            lambda left, right: _join_null_safe(left, right, scalars), map(distinct_rows, sides)
+        )
     # Every row is on every side, so a full outer join is an inner one plus the rows
     # with NULLs. Unlike the outer join, the inner one can be split at a hot value.
     whole = reduce(and_, [column(c).isNotNull() for c in scalars])
     matched = reduce(
-        lambda left, right: left.join(right, on=scalars), [side.filter(whole) for side in sides]
+        lambda left, right: left.join(right, on=scalars),
+        [distinct_rows(side.filter(whole)) for side in sides],
     )
     unmatched = reduce(
         lambda left, right: left.unionByName(right, allowMissingColumns=True),

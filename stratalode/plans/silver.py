@@ -112,7 +112,7 @@ def silver_carts(
 
 
 # What each shop table goes through; other tables get `process_table`.
-SHOP_TRANSFORMS: dict[str, Transform] = {"products": silver_products, "carts": silver_carts}
+SHOP_CLEANERS = {"products": silver_products, "carts": silver_carts}
 
 
 def process_tables(
@@ -124,6 +124,7 @@ def process_tables(
     mode: str = "ETL",
     transforms: Mapping[str, Transform] | None = None,
     schemas: Mapping[str, str] | None = None,
+    catalogs: Mapping[str, Mapping] | None = None,
     domain: str = "",
     subdomain: str = "",
     source_format: str = "json",
@@ -133,19 +134,20 @@ def process_tables(
 ) -> dict[str, str | None]:
     """Read, clean and write one day of many tables; one Spark job each.
 
-    ``mode="EL"`` copies without cleaning. ``transforms`` overrides what a table
-    goes through. A target is called ``<subdomain>_<table>``. With
-    ``target_format="parquet"`` each table is a folder of dated snapshots, any
-    other format is a table location. Up to ``concurrency`` jobs are submitted
-    side by side so that one table's last tasks leave no executor idle.
+    ``mode="EL"`` copies without cleaning. ``transforms`` replaces what a table
+    goes through, ``catalogs`` declares its key, ``schemas`` the columns to read.
+    A target is called ``<subdomain>_<table>``. With ``target_format="parquet"``
+    each table is a folder of dated snapshots, any other format is a table
+    location. Tables whose write mode is not ``append`` are not deduplicated.
+    Up to ``concurrency`` tables are worked on at a time.
 
     Returns the written location per table, None where the day held no rows.
     The first failure is raised.
     """
     if mode not in ("ETL", "EL"):
         raise ValueError(f"mode must be 'ETL' or 'EL', not {mode!r}")
-    transforms = {**SHOP_TRANSFORMS, **(transforms or {})}
-    schemas, write_modes = schemas or {}, write_modes or {}
+    transforms, schemas = transforms or {}, schemas or {}
+    catalogs, write_modes = catalogs or {}, write_modes or {}
 
     def process(table: str) -> str | None:
         raw = scan_execution_date(
@@ -159,7 +161,8 @@ def process_tables(
         elif table in transforms:
             rows = transforms[table](raw)
         else:
-            rows = process_table(raw, incremental=write_mode == "append")
+            clean = SHOP_CLEANERS.get(table, process_table)
+            rows = clean(raw, catalog=catalogs.get(table), incremental=write_mode == "append")
         name = f"{subdomain}_{table}" if subdomain else table
         if target_format != "parquet":
             location = table_location(target_root, name, domain, subdomain)

@@ -94,6 +94,20 @@ def test_many_tables(spark, bronze, tmp_path, concurrency):
     assert spark.read.parquet(written["carts"]).count() == 5
 
 
+def test_declared_keys_and_overwritten_tables(spark, bronze, tmp_path):
+    def rows_written(**options):
+        written = plans.process_tables(
+            spark, bronze, str(tmp_path / "s"), ["carts"], "2024-01-05",
+            schemas=RAW_SCHEMAS, **options,
+        )
+        return spark.read.parquet(written["carts"]).count()
+
+    by_user = {"columns_description": [{"column": "userid", "primary_key": True}]}
+    assert rows_written() == 5
+    assert rows_written(catalogs={"carts": by_user}) == 2
+    assert rows_written(write_modes={"carts": "overwrite"}) == 6
+
+
 def test_plain_copy_and_table_formats(spark, bronze, tmp_path):
     copied = plans.process_tables(
         spark, bronze, str(tmp_path / "el"), ["products"], "2024-01-05", mode="EL"
