@@ -131,9 +131,10 @@ def arrays_cartesian(
     scalars = [c for c in df.columns if c not in arrays]
     if match == "row":
         if keyed:
-            df = df.withColumns({a: F.array_distinct(column(a)) for a in arrays})
-        result = reduce(explode_array, arrays, df).select(*map(column, [*scalars, *arrays]))
-        return result if keyed else distinct_rows(result)
+            return reduce(
+                explode_array, arrays, df.withColumns({a: F.array_distinct(column(a)) for a in arrays})
+            )
+        return distinct_rows(reduce(explode_array, arrays, df))
     if match != "values":
         raise ValueError(f"match must be 'row' or 'values', not {match!r}")
     if not scalars:

@@ -61,9 +61,14 @@ def merge_dedup(
     existing = align_columns(existing, incoming)
     untouched = None
     if existing_is_unique:
-        incoming_keys = incoming.select(*keys).distinct()
-        untouched = existing.join(incoming_keys, keys, "left_anti").select(existing.columns)
-        existing = existing.join(incoming_keys, keys, "left_semi").select(existing.columns)
+        renamed = {k: spare_name(existing.columns, f"_incoming_{k}") for k in keys}
+        incoming_keys = incoming.select(
+            *[column(k).alias(name) for k, name in renamed.items()]
+        ).distinct()
+        # Below, rows are grouped by key, and groups hold NULL keys together.
+        comes_in = reduce(and_, [column(k).eqNullSafe(column(r)) for k, r in renamed.items()])
+        untouched = existing.join(incoming_keys, comes_in, "left_anti")
+        existing = existing.join(incoming_keys, comes_in, "left_semi")
 
     is_new = spare_name(existing.columns, "_is_new")
     stacked = existing.withColumn(is_new, F.lit(False)).unionByName(

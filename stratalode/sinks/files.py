@@ -113,18 +113,22 @@ def merge_snapshot(
     execution_date: ExecutionDate,
     keys: str | Iterable[str] | None = None,
     order_by: str | Iterable[str] | None = None,
+    existing_is_unique: bool = True,
 ) -> DataFrame:
     """Merge new rows into a table kept as dated snapshots; returns the merged rows.
 
     The newest snapshot before ``execution_date`` is read and that day's folder
     written. No job overwrites what it reads, a failed run leaves the previous
-    snapshot untouched, and a rerun starts from the same state.
+    snapshot untouched, and a rerun starts from the same state. Snapshots written
+    by merging hold each key once; pass ``existing_is_unique=False`` for others.
     """
     path = table_root(root, table)
     try:
         earlier = scan_partitioned_root(spark, path, snapshot="latest", before=execution_date)
         earlier = drop_ingestion_columns(earlier)
-        merged = merge_dedup(earlier, incoming, keys, order_by, existing_is_unique=True)
+        merged = merge_dedup(
+            earlier, incoming, keys, order_by, existing_is_unique=existing_is_unique
+        )
     except AnalysisException as error:
         if not path_is_missing(error):
             raise

@@ -103,6 +103,14 @@ def test_merge_without_recency_prefers_incoming_and_ignores_deleted(spark, rows)
     assert rows(merge_dedup(existing, incoming).select("id", "v")) == [(1, "a"), (2, "z")]
 
 
+def test_null_keys_merge_alike_either_way(spark, rows):
+    existing = spark.createDataFrame([(None, 1, "a"), (1, None, "a"), (2, 2, "a")], "k int, l int, v string")
+    incoming = spark.createDataFrame([(None, 1, "b"), (3, None, "b")], "k int, l int, v string")
+    expected = [(1, None, "a"), (2, 2, "a"), (3, None, "b"), (None, 1, "b")]
+    for unique in (False, True):
+        assert rows(merge_dedup(existing, incoming, ["k", "l"], existing_is_unique=unique)) == expected
+
+
 def test_merge_keeps_untouched_duplicates_only_when_told_they_are_unique(spark):
     existing = spark.createDataFrame([(1, "a"), (1, "b")], "id int, v string")
     incoming = spark.createDataFrame([(2, "c")], "id int, v string")
