@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from stratalode import plans
-from workload.fixtures import cart_lines, flat_products
+from stratalode.operators import dedup_latest, merge_upsert
 
 SF_DIR = "/root/testdata/sf0.001"
 needs_tables = pytest.mark.skipif(not Path(SF_DIR).is_dir(), reason="driver tables are not here")
@@ -33,6 +33,19 @@ def settings(spark):
             spark.conf.set(key, value)
 
 
+def records_shuffled(df):
+    """Records written by each exchange of a frame that has run without adaptive execution."""
+
+    def exchanges(node):
+        if node.nodeName() == "Exchange":
+            yield node.metrics().apply("shuffleRecordsWritten").value()
+        children = node.children()
+        for i in range(children.size()):
+            yield from exchanges(children.apply(i))
+
+    return list(exchanges(df._jdf.queryExecution().executedPlan()))
+
+
 @needs_tables
 @pytest.mark.parametrize("name", sorted(contract.queries()))
 def test_no_python_no_pair_joins_and_nothing_whole_in_one_task(spark, plan, name):
@@ -133,15 +146,35 @@ def test_product_indicators_shuffle_totals_not_lines(spark, tmp_path, settings):
     result = plans.product_performance(carts, products)
     result.collect()
 
-    def exchanges(node):
-        if node.nodeName() == "Exchange":
-            yield node.metrics().apply("shuffleRecordsWritten").value()
-        children = node.children()
-        for i in range(children.size()):
-            yield from exchanges(children.apply(i))
+    assert max(records_shuffled(result)) < n / 4
+
+
+def test_latest_rows_shuffle_one_row_per_key_and_task(spark, tmp_path, settings):
+    carts, _, n = hot_shop(spark, tmp_path)
+    settings(adaptive__enabled="false")
+    keyed = carts.withColumn("key", F.coalesce("products_productId", F.lit(-1)))
+    latest = dedup_latest(keyed, "key", "id")
+    latest.collect()
+    keys, tasks = 502, keyed.rdd.getNumPartitions()
+    (written,) = records_shuffled(latest)
+    assert latest.count() == keys and written <= keys * tasks < n / 4
 
-    written = list(exchanges(result._jdf.queryExecution().executedPlan()))
-    assert written and max(written) < n / 4
+
+def test_a_hot_key_of_the_target_is_split_in_an_upsert(spark, tmp_path, plan, settings):
+    carts, _, n = hot_shop(spark, tmp_path)
+    settings(
+        autoBroadcastJoinThreshold="-1",
+        adaptive__autoBroadcastJoinThreshold="-1",
+        shuffle__partitions="16",
+        adaptive__skewJoin__skewedPartitionThresholdInBytes="20k",
+        adaptive__skewJoin__skewedPartitionFactor="2.0",
+        adaptive__advisoryPartitionSizeInBytes="20k",
+    )
+    feed = spark.range(1, 400).select(F.col("id").alias("products_productId"), F.lit("new").alias("note"))
+    merged = merge_upsert(carts.repartition(16), feed, "products_productId")
+    assert "SortMergeJoin(skew=true)" in plan(merged, final=True)
+    assert merged.count() == n + feed.join(carts, "products_productId", "left_anti").count()
+    assert merged.filter("note = 'new' AND products_productId = 1").count() == n // 3
 
 
 def test_dated_writes_gather_days_by_rebalancing(spark, tmp_path, monkeypatch):
