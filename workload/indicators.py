@@ -7,9 +7,7 @@ from pyspark.sql import functions as F
 
 from stratalode import plans
 from workload.fixtures import (
-    CART_LINES,
     CREATED_AT,
-    PRODUCTS,
     cart_lines,
     flat_products,
     second_text,
@@ -19,22 +17,32 @@ from workload.registry import query
 
 STAMP = f"'{CREATED_AT}' AS created_at"
 
-SALES = f"""
-WITH {PRODUCTS}, {CART_LINES},
-sales AS (
-    SELECT c.id AS cart_id, c."userId" AS user_id, c.date, c.year, c.month, p.id AS product_id,
-           p.title AS product_title, p.category, p.price, p.rating_rate, p.rating_count,
-           c.products_quantity AS quantity, p.price * c.products_quantity AS revenue
-    FROM cart_lines c LEFT JOIN products p ON c."products_productId" = p.id
+# Every line item with its order and part, orders without line items included.
+SOLD = """
+WITH sold AS (
+    SELECT orders.*, lineitem.*, part.*, p_retailprice * l_quantity AS revenue
+    FROM orders
+    LEFT JOIN lineitem ON l_orderkey = o_orderkey
+    LEFT JOIN part ON p_partkey = l_partkey
 )"""
 
-# Prices have one decimal and quantities are whole, so cents are exact integers and
-# a mean of cents can be rounded half up without floating point.
-AVG_TICKET = """
-    CASE WHEN SUM(revenue) IS NOT NULL THEN
-        (2 * CAST(round(SUM(revenue) * 100) AS BIGINT) + COUNT(DISTINCT cart_id))
-        // (2 * COUNT(DISTINCT cart_id)) / 100.0::DOUBLE
-    END AS avg_ticket"""
+# One row per order. Prices have one decimal and quantities are whole, so an order's
+# revenue is an exact number of cents.
+BASKETS = (
+    SOLD
+    + """,
+baskets AS (
+    SELECT o_orderkey, o_custkey, o_orderdate, SUM(l_quantity) AS items, SUM(revenue) AS revenue
+    FROM sold GROUP BY ALL
+)"""
+)
+
+# Totals over baskets. The mean of the cents is rounded half up in whole numbers.
+BASKET_TOTALS = """
+    round(SUM(revenue), 2) AS total_revenue, COUNT(*) AS total_orders,
+    CAST(SUM(items) AS BIGINT) AS total_items,
+    (2 * CAST(round(SUM(revenue) * 100) AS BIGINT) + COUNT(*)) // (2 * COUNT(*)) / 100.0::DOUBLE
+    AS avg_ticket"""
 
 
 def cents(df: DataFrame) -> DataFrame:
@@ -51,19 +59,26 @@ def _sales_columns(df: DataFrame) -> DataFrame:
 
 
 SALES_COLUMNS = """
-SELECT cart_id, user_id, strftime(date, '%Y-%m-%d %H:%M:%S') AS date, year, month, product_id,
-       product_title, category, price, rating_rate, rating_count, quantity,
+SELECT o_orderkey AS cart_id, o_custkey AS user_id,
+       strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS date,
+       CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month,
+       p_partkey AS product_id, p_name AS product_title, p_type AS category,
+       p_retailprice AS price, p_size / 10.0::DOUBLE AS rating_rate,
+       CAST(p_size AS BIGINT) AS rating_count, CAST(l_quantity AS BIGINT) AS quantity,
        round(revenue, 2) AS revenue
-FROM sales"""
+FROM sold"""
 
 
-@query(SALES + SALES_COLUMNS)
+@query(SOLD + SALES_COLUMNS)
 def sales_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     view = plans.sales_view(cart_lines(spark, sf_dir), flat_products(spark, sf_dir))
     return _sales_columns(view)
 
 
-@query(SALES.replace("FROM part\n", "FROM part WHERE p_type <> 'PROMO'\n") + SALES_COLUMNS)
+@query(
+    SOLD.replace("ON p_partkey = l_partkey", "ON p_partkey = l_partkey AND p_type <> 'PROMO'")
+    + SALES_COLUMNS
+)
 def sales_view_dangling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sales after the promotional products left the catalogue: their lines stay, without product."""
     offered = flat_products(spark, sf_dir).filter(F.col("category") != "PROMO")
@@ -71,13 +86,13 @@ def sales_view_dangling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""
-WITH {PRODUCTS}, {CART_LINES}
-SELECT p.id AS product_id, p.title AS product_name, p.category, p.price AS unit_price,
-       CAST(SUM(c.products_quantity) AS BIGINT) AS total_units_sold,
-       round(SUM(p.price * c.products_quantity), 2) AS total_revenue
-FROM cart_lines c JOIN products p ON c."products_productId" = p.id
-GROUP BY p.id, p.title, p.category, p.price
+    SOLD
+    + """
+SELECT p_partkey AS product_id, p_name AS product_name, p_type AS category,
+       p_retailprice AS unit_price, CAST(SUM(l_quantity) AS BIGINT) AS total_units_sold,
+       round(p_retailprice * SUM(l_quantity), 2) AS total_revenue
+FROM sold WHERE p_partkey IS NOT NULL
+GROUP BY p_partkey, p_name, p_type, p_retailprice
 ORDER BY total_revenue DESC, product_id
 LIMIT 10"""
 )
@@ -88,12 +103,10 @@ def top10_products_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    SALES
+    BASKETS
     + f"""
-SELECT strftime(date, '%Y-%m-%d %H:%M:%S') AS date, round(SUM(revenue), 2) AS total_revenue,
-       COUNT(DISTINCT cart_id) AS total_orders, CAST(SUM(quantity) AS BIGINT) AS total_items,
-       {AVG_TICKET}, {STAMP}
-FROM sales GROUP BY ALL"""
+SELECT strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS date, {BASKET_TOTALS}, {STAMP}
+FROM baskets GROUP BY o_orderdate"""
 )
 def sales_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     daily = plans.sales_daily(
@@ -115,15 +128,12 @@ def event_carts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     f"""
-WITH {PRODUCTS},
-sales AS (
-    SELECT event_id AS cart_id, date_trunc('day', ts) AS date, 1 AS quantity, price * 1 AS revenue
-    FROM events LEFT JOIN products p ON CAST(json_extract(props, '$.k') AS BIGINT) = p.id
+WITH baskets AS (
+    SELECT CAST(ts AS DATE) AS day, 1 AS items, p_retailprice AS revenue
+    FROM events LEFT JOIN part ON p_partkey = CAST(json_extract(props, '$.k') AS BIGINT)
 )
-SELECT strftime(date, '%Y-%m-%d %H:%M:%S') AS date, round(SUM(revenue), 2) AS total_revenue,
-       COUNT(DISTINCT cart_id) AS total_orders, CAST(SUM(quantity) AS BIGINT) AS total_items,
-       {AVG_TICKET}, {STAMP}
-FROM sales GROUP BY ALL"""
+SELECT strftime(day, '%Y-%m-%d %H:%M:%S') AS date, {BASKET_TOTALS}, {STAMP}
+FROM baskets GROUP BY day"""
 )
 def sales_daily_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     daily = plans.sales_daily(
@@ -132,14 +142,18 @@ def sales_daily_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stamped(cents(daily)).withColumn("date", second_text("date"))
 
 
-PERFORMANCE_COLUMNS = f"""
-SELECT product_id, product_title, category, CAST(SUM(quantity) AS BIGINT) AS total_quantity,
-       round(SUM(revenue), 2) AS total_revenue, round(AVG(price), 2) AS avg_price,
-       MAX(rating_rate) AS rating_rate, MAX(rating_count) AS rating_count, {STAMP}
-FROM sales GROUP BY product_id, product_title, category"""
+PERFORMANCE = (
+    SOLD
+    + f"""
+SELECT p_partkey AS product_id, p_name AS product_title, p_type AS category,
+       CAST(SUM(l_quantity) AS BIGINT) AS total_quantity, round(SUM(revenue), 2) AS total_revenue,
+       round(AVG(p_retailprice), 2) AS avg_price, MAX(p_size) / 10.0::DOUBLE AS rating_rate,
+       CAST(MAX(p_size) AS BIGINT) AS rating_count, {STAMP}
+FROM sold GROUP BY p_partkey, p_name, p_type"""
+)
 
 
-@query(SALES + PERFORMANCE_COLUMNS)
+@query(PERFORMANCE)
 def product_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stamped(
         cents(
@@ -151,16 +165,12 @@ def product_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    SALES
-    + f""",
-base AS (
-    SELECT category, SUM(revenue) AS total_revenue, SUM(quantity) AS total_quantity
-    FROM sales GROUP BY category
-)
-SELECT category, round(total_revenue, 2) AS total_revenue,
-       CAST(total_quantity AS BIGINT) AS total_quantity,
-       round(total_revenue / (SELECT SUM(total_revenue) FROM base), 4) AS revenue_share_pct, {STAMP}
-FROM base"""
+    SOLD
+    + f"""
+SELECT p_type AS category, round(SUM(revenue), 2) AS total_revenue,
+       CAST(SUM(l_quantity) AS BIGINT) AS total_quantity,
+       round(SUM(revenue) / SUM(SUM(revenue)) OVER (), 4) AS revenue_share_pct, {STAMP}
+FROM sold GROUP BY p_type"""
 )
 def category_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stamped(
@@ -173,14 +183,12 @@ def category_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    SALES
+    BASKETS
     + f"""
-SELECT user_id, COUNT(DISTINCT cart_id) AS total_orders, CAST(SUM(quantity) AS BIGINT) AS total_items,
-       round(SUM(revenue), 2) AS total_revenue, {AVG_TICKET},
-       CASE WHEN COUNT(DISTINCT cart_id) = 1 THEN 'new'
-            WHEN COUNT(DISTINCT cart_id) BETWEEN 2 AND 3 THEN 'recurrent'
-            ELSE 'heavy' END AS customer_type, {STAMP}
-FROM sales GROUP BY user_id"""
+SELECT o_custkey AS user_id, {BASKET_TOTALS},
+       CASE total_orders WHEN 1 THEN 'new' WHEN 2 THEN 'recurrent' WHEN 3 THEN 'recurrent'
+                         ELSE 'heavy' END AS customer_type, {STAMP}
+FROM baskets GROUP BY o_custkey"""
 )
 def user_ltv(spark: SparkSession, sf_dir: str) -> DataFrame:
     ltv = plans.user_ltv(cart_lines(spark, sf_dir), flat_products(spark, sf_dir), CREATED_AT)

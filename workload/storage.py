@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from stratalode import plans, sinks, sources
 from workload.fixtures import CREATED_AT, cart_lines, events, flat_products, second_text, table
-from workload.indicators import PERFORMANCE_COLUMNS, SALES, cents, stamped
+from workload.indicators import PERFORMANCE, cents, stamped
 from workload.registry import query
 
 EVENT_SCHEMA = "event_id bigint, user_id bigint, event_type string, value double, ts_micros bigint"
@@ -192,7 +192,7 @@ def relational_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.relational_projection(typed)
 
 
-@query(SALES + PERFORMANCE_COLUMNS)
+@query(PERFORMANCE)
 def conform_to_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Product performance with all columns as text and one too many, brought to the contract."""
     performance = plans.product_performance(
