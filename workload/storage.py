@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalode import plans, sinks, sources
-from workload.fixtures import CREATED_AT, cart_lines, events, flat_products, second_text, table
+from workload.fixtures import CREATED_AT, cart_lines, events, flat_products, table
 from workload.indicators import PERFORMANCE, cents, stamped
 from workload.registry import query
 
