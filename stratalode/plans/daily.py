@@ -11,6 +11,7 @@ from stratalode.plans.indicators import CreatedAt
 from stratalode.plans.parallel import side_by_side
 from stratalode.plans.silver import RAW_SCHEMAS, process_tables
 from stratalode.sinks.files import land_bronze_json
+from stratalode.sinks.stage import staging
 from stratalode.sources.dated import ExecutionDate, scan_partitioned_root
 
 
@@ -48,4 +49,5 @@ def run_pipeline(
         scan_partitioned_root(spark, f"{silver}/{prefix}{table}", snapshot)
         for table in ("products", "carts")
     )
-    return write_gold_tables(build_gold(carts, products, created_at), gold)
+    with staging(spark) as stage:
+        return write_gold_tables(build_gold(carts, products, created_at, stage=stage), gold)

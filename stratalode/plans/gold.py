@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
 
@@ -29,13 +29,16 @@ def build_gold(
     created_at: CreatedAt = None,
     top: int = 10,
     staged: bool = True,
+    stage: Callable[[DataFrame, str], DataFrame] = stage,
 ) -> dict[str, DataFrame]:
     """All gold tables in their declared schema.
 
     The five indicators need two aggregates of the cart lines only, one per
     product and one per cart. These are written once to the session's shared
     folder and the indicators computed from them; the lines are read twice
-    instead of five times. ``staged=False`` leaves everything lazy.
+    instead of five times. ``staged=False`` leaves everything lazy. The copies go
+    when the process ends; a job that writes the result can pass the ``stage`` of
+    a ``sinks.staging`` block to remove them at its end.
     """
     units = units_by_product(carts)
     sales = sales_by_cart(carts, products)

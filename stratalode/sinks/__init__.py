@@ -6,7 +6,7 @@ from stratalode.sinks.files import (
     write_gold_parquet,
     write_silver_parquet,
 )
-from stratalode.sinks.stage import new_folder, stage
+from stratalode.sinks.stage import new_folder, remove_folder, stage, staging
 from stratalode.sinks.tables import (
     merge_jdbc,
     relational_projection,
@@ -21,7 +21,9 @@ __all__ = [
     "merge_snapshot",
     "new_folder",
     "relational_projection",
+    "remove_folder",
     "stage",
+    "staging",
     "table_location",
     "write_gold_parquet",
     "write_jdbc",

@@ -2,32 +2,54 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
+import contextlib
 import uuid
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
+_removed_at_exit: set[str] = set()
 
-def _shared_folder(spark: SparkSession) -> str:
-    """The folder all executors reach: ``spark.checkpoint.dir`` of the session.
 
-    A local session without that setting gets a temporary folder, remembered as
-    its checkpoint folder. On a cluster the setting is required.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors reach, the same choice on every master.
+
+    ``spark.checkpoint.dir`` of the session, else the checkpoint folder set on its
+    context, else a folder below ``spark.sql.warehouse.dir``. The session itself
+    is not changed.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        folder = spark.sparkContext.getCheckpointDir()
-    if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="stratalode-"))
-        folder = spark.sparkContext.getCheckpointDir()
+    folder = folder or spark.sparkContext.getCheckpointDir()
+    folder = folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staging"
     return folder.rstrip("/")
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of any file system Spark reaches; nothing happens if it is not there."""
+    jvm = spark._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def new_folder(spark: SparkSession, purpose: str) -> str:
-    """A path in the shared folder that no one else uses."""
-    return f"{_shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+    """A path in the shared folder that no one else uses.
+
+    All paths of an application lie in one folder, which is removed when its
+    Python process ends: a lazy result may still read it until then.
+    """
+    home = f"{shared_folder(spark)}/stratalode-{spark.sparkContext.applicationId}"
+    if home not in _removed_at_exit:
+        _removed_at_exit.add(home)
+        atexit.register(_quietly, spark, home)
+    return f"{home}/{purpose}-{uuid.uuid4().hex}"
+
+
+def _quietly(spark: SparkSession, home: str) -> None:
+    with contextlib.suppress(Exception):  # the JVM may be gone already
+        target = spark._jvm.org.apache.hadoop.fs.Path(home)
+        conf = spark._jvm.org.apache.hadoop.conf.Configuration()
+        target.getFileSystem(conf).delete(target, True)
 
 
 def stage(df: DataFrame, purpose: str) -> DataFrame:
@@ -37,6 +59,25 @@ def stage(df: DataFrame, purpose: str) -> DataFrame:
     copy takes no executor memory, and unlike an RDD checkpoint it is columnar
     and has a known size, so later joins can still choose to broadcast it.
     """
-    path = new_folder(df.sparkSession, purpose)
+    return _written(df, new_folder(df.sparkSession, purpose))
+
+
+def _written(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextlib.contextmanager
+def staging(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """A ``stage`` whose copies are removed at the end of the block, for jobs that write."""
+    paths: list[str] = []
+
+    def stage_here(df: DataFrame, purpose: str) -> DataFrame:
+        paths.append(new_folder(spark, purpose))
+        return _written(df, paths[-1])
+
+    try:
+        yield stage_here
+    finally:
+        for path in paths:
+            remove_folder(spark, path)

@@ -1,6 +1,7 @@
 import datetime as dt
 import glob
 import os
+from pathlib import Path
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -271,3 +272,14 @@ def test_staged_results_are_files_of_known_size(spark):
     staged = sinks.stage(spark.range(10), "numbers")
     assert staged.count() == 10
     assert len(staged.inputFiles()) > 0
+
+
+def test_staging_leaves_nothing_and_changes_no_setting(spark, rows):
+    before = spark.sparkContext.getCheckpointDir()
+    with sinks.staging(spark) as stage:
+        staged = stage(spark.range(3), "numbers")
+        folder = Path(staged.inputFiles()[0].removeprefix("file:")).parent
+        assert rows(staged) == [(0,), (1,), (2,)]
+        assert folder.is_dir()
+    assert not folder.exists()
+    assert spark.sparkContext.getCheckpointDir() == before
