@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalode.llm import mixing, url_filters
+from stratalode.llm import decontaminate, minhash, mixing, url_filters
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,84 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.find_contamination(docs, table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        decontaminate.items_digest().alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+OP2_SQL = r"""
+WITH item_words AS (
+  SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM benchmark WHERE text IS NOT NULL
+), sized AS (
+  SELECT *, least(10, len(words)) AS length FROM item_words WHERE len(words) > 0
+), grams AS (
+  SELECT DISTINCT item_id, length,
+         unnest(list_transform(range(1, len(words) - length + 2), lambda i: array_to_string(words[i:i + length - 1], ' '))) AS gram
+  FROM sized
+), doc_words AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS words
+  FROM documents
+), doc_windows AS (
+  SELECT doc_id, length, unnest(range(1, len(words) - length + 2)) AS pos, words
+  FROM doc_words, (SELECT DISTINCT length FROM grams)
+), hits AS (
+  SELECT w.doc_id, w.pos, w.length, g.item_id
+  FROM (SELECT doc_id, pos, length, array_to_string(words[pos:pos + length - 1], ' ') AS gram FROM doc_windows) w
+  JOIN grams g ON w.gram = g.gram AND w.length = g.length
+), covered AS (
+  SELECT doc_id, count(DISTINCT word) AS n_hit
+  FROM (SELECT doc_id, unnest(range(pos, pos + length)) AS word FROM hits) GROUP BY doc_id
+), listed AS (
+  SELECT doc_id, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS digest
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(d.words) AS BIGINT) AS n_words, coalesce(c.n_hit, 0) AS n_hit, coalesce(l.n_items, 0) AS n_items,
+       coalesce(l.digest, sha256('')) AS items_sha256, coalesce(c.n_hit, 0) > 0 AS contaminated
+FROM doc_words d LEFT JOIN covered c USING (doc_id) LEFT JOIN listed l USING (doc_id)
+"""
+
+
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=4)
+
+
+OP10_SQL = r"""
+WITH RECURSIVE doc_words AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x20\x09-\x0D]+'), []) AS words
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
+         ELSE list_transform(range(1, len(words) - 2), lambda i: array_to_string(words[i:i + 3], ' ')) END) AS shingle
+  FROM doc_words
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), met AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common
+  FROM shingles x JOIN shingles y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM met JOIN sizes sa ON a = sa.doc_id JOIN sizes sb ON b = sb.doc_id
+  WHERE 100 * common >= 80 * (sa.n + sb.n - common)
+), reach AS (
+  SELECT doc_id, doc_id AS other FROM documents
+  UNION
+  SELECT r.doc_id, l.b FROM reach r JOIN links l ON r.other = l.a
+), least_of AS (
+  SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
+FROM documents d LEFT JOIN sizes s USING (doc_id) JOIN least_of c USING (doc_id)
+"""
+
 # The rules that the query is told to apply.
 URL_RULES = (
     url_filters.Rule("org", "/", "allow"),
@@ -100,10 +178,12 @@ FROM placed
 """
 
 QUERIES: dict[str, Query] = {
+    "op2_decontamination": op2_decontamination,
     "op6_url_filters": op6_url_filters,
     "op8_mixing": op8_mixing,
+    "op10_minhash": op10_minhash,
 }
-ORACLES = {"op6_url_filters": OP6_SQL, "op8_mixing": OP8_SQL}
+ORACLES = {"op2_decontamination": OP2_SQL, "op10_minhash": OP10_SQL, "op6_url_filters": OP6_SQL, "op8_mixing": OP8_SQL}
 
 
 def queries() -> dict[str, Query]:
