@@ -91,7 +91,7 @@ def mix(
     passes: int = 2,
     shards: int = 16,
     seed: int = 8,
-    rows_per_bucket: int = 20_000,
+    rows_per_bucket: int = 4_000,
     max_sources: int = 100_000,
     text: str = "text",
     source: str = "source",
@@ -137,8 +137,8 @@ def mix(
     )
     sources = stage(docs.sparkSession.range(1).select(F.inline(rows)), "mix-plan")
 
-    buckets = max(1, min(1 << 16, -(-max((r["rows"] for r in found), default=1) // rows_per_bucket)))
-    bucket = F.floor(F.conv(F.substring("at", 1, 4), 16, 10).cast("long") * buckets / 65536)
+    buckets = max(1, min(1 << 20, -(-max((r["rows"] for r in found), default=1) // rows_per_bucket)))
+    bucket = F.floor(F.conv(F.substring("at", 1, 8), 16, 10).cast("long") * buckets / (1 << 32))
     sized = sized.withColumn("bucket", bucket)
     earlier = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
