@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import functools
+import os
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalode.llm import decontaminate, minhash, mixing, url_filters
+from stratalode.llm import decontaminate, language, minhash, mixing, toxicity, url_filters
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -62,6 +65,38 @@ FROM doc_words d LEFT JOIN covered c USING (doc_id) LEFT JOIN listed l USING (do
 """
 
 
+def fold(folds: int):
+    """The part of the rows a document belongs to, by its id."""
+    return F.crc32(F.col("doc_id").cast("string")) % folds
+
+
+def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.ToxicityModel:
+    return toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels").where(fold(5) != 0))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score_toxicity(docs, toxicity_model(spark, docs, sf_dir))
+    return scored.select(
+        "doc_id",
+        F.coalesce(fold(5) == 0, F.lit(False)).alias("held_out"),
+        F.col("toxicity").alias("score"),
+        (F.col("toxicity") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language.fit_languages(docs.where(fold(4) != 2))
+    found = language.identify_languages(docs.select("doc_id", "text"), model)
+    return found.select(
+        "doc_id",
+        F.coalesce(fold(4) == 2, F.lit(False)).alias("held_out"),
+        F.col("lang_best").alias("lang_pred"),
+        F.col("lang_score").alias("score"),
+    )
+
+
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=4)
 
@@ -180,14 +215,30 @@ FROM placed
 QUERIES: dict[str, Query] = {
     "op2_decontamination": op2_decontamination,
     "op6_url_filters": op6_url_filters,
+    "op4_toxicity": op4_toxicity,
+    "op7_language": op7_language,
     "op8_mixing": op8_mixing,
     "op10_minhash": op10_minhash,
 }
 ORACLES = {"op2_decontamination": OP2_SQL, "op10_minhash": OP10_SQL, "op6_url_filters": OP6_SQL, "op8_mixing": OP8_SQL}
 
 
+def importable(query: Query) -> Query:
+    """The query, run with Python workers that find this package wherever the driver was started."""
+
+    @functools.wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = str(Path(__file__).resolve().parents[2])
+        environment = spark.sparkContext.environment
+        if root not in environment.get("PYTHONPATH", "").split(os.pathsep):
+            environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, environment.get("PYTHONPATH")]))
+        return query(spark, sf_dir)
+
+    return run
+
+
 def queries() -> dict[str, Query]:
-    return dict(QUERIES)
+    return {name: importable(query) for name, query in QUERIES.items()}
 
 
 def oracles() -> dict[str, str]:
