@@ -10,7 +10,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalode.llm import decontaminate, language, minhash, mixing, toxicity, url_filters
+from stratalode.llm import decontaminate, language, minhash, mixing, permutation_index, toxicity, url_filters
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -129,6 +129,12 @@ SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, c.component_id, d.doc_id = c.co
 FROM documents d LEFT JOIN sizes s USING (doc_id) JOIN least_of c USING (doc_id)
 """
 
+def op5_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    index = permutation_index.build_index(vectors)
+    return permutation_index.search(index, vectors.where(F.col("vec_id") % 50 == 0))
+
+
 # The rules that the query is told to apply.
 URL_RULES = (
     url_filters.Rule("org", "/", "allow"),
@@ -216,6 +222,7 @@ QUERIES: dict[str, Query] = {
     "op2_decontamination": op2_decontamination,
     "op6_url_filters": op6_url_filters,
     "op4_toxicity": op4_toxicity,
+    "op5_permutation_index": op5_permutation_index,
     "op7_language": op7_language,
     "op8_mixing": op8_mixing,
     "op10_minhash": op10_minhash,
