@@ -10,7 +10,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalode.llm import decontaminate, language, minhash, mixing, permutation_index, toxicity, url_filters
+from stratalode.llm import decontaminate, language, minhash, mixing, permutation_index, toxicity, url_filters, warc
+from stratalode.sinks import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +20,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "warc")
+    index = warc.write_archives(table(spark, sf_dir, "pages"), folder)
+    found = warc.read_records(index, folder)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP1_SQL = """
+WITH payloads AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
+), newest AS (
+  SELECT payload_digest, max(page_id) AS newest FROM payloads WHERE payload_bytes >= 1000 GROUP BY payload_digest
+)
+SELECT p.page_id, p.payload_bytes, p.payload_digest,
+       CASE WHEN n.newest IS NULL OR p.page_id = n.newest THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN p.page_id <> n.newest THEN n.newest END AS refers_to
+FROM payloads p LEFT JOIN newest n USING (payload_digest)
+"""
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.find_contamination(docs, table(spark, sf_dir, "benchmark"))
@@ -219,6 +240,7 @@ FROM placed
 """
 
 QUERIES: dict[str, Query] = {
+    "op1_warc": op1_warc,
     "op2_decontamination": op2_decontamination,
     "op6_url_filters": op6_url_filters,
     "op4_toxicity": op4_toxicity,
@@ -227,7 +249,7 @@ QUERIES: dict[str, Query] = {
     "op8_mixing": op8_mixing,
     "op10_minhash": op10_minhash,
 }
-ORACLES = {"op2_decontamination": OP2_SQL, "op10_minhash": OP10_SQL, "op6_url_filters": OP6_SQL, "op8_mixing": OP8_SQL}
+ORACLES = {"op1_warc": OP1_SQL, "op2_decontamination": OP2_SQL, "op10_minhash": OP10_SQL, "op6_url_filters": OP6_SQL, "op8_mixing": OP8_SQL}
 
 
 def importable(query: Query) -> Query:
