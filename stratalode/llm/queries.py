@@ -10,7 +10,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalode.llm import decontaminate, language, minhash, mixing, permutation_index, toxicity, url_filters, warc
+from stratalode.llm import decontaminate, html_text, language, minhash, mixing, permutation_index, toxicity, url_filters, warc
 from stratalode.sinks import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -118,6 +118,11 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_text.extract_text(pages).select("page_id", "url", "text", "n_chars")
+
+
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=4)
 
@@ -247,6 +252,7 @@ QUERIES: dict[str, Query] = {
     "op5_permutation_index": op5_permutation_index,
     "op7_language": op7_language,
     "op8_mixing": op8_mixing,
+    "op9_html_text": op9_html_text,
     "op10_minhash": op10_minhash,
 }
 ORACLES = {"op1_warc": OP1_SQL, "op2_decontamination": OP2_SQL, "op10_minhash": OP10_SQL, "op6_url_filters": OP6_SQL, "op8_mixing": OP8_SQL}
