@@ -10,7 +10,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalode.llm import decontaminate, html_text, language, minhash, mixing, permutation_index, toxicity, url_filters, warc
+from stratalode.llm import decontaminate, html_text, language, minhash, mixing, permutation_index, pii, toxicity, url_filters, warc
 from stratalode.sinks import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,6 +86,17 @@ FROM doc_words d LEFT JOIN covered c USING (doc_id) LEFT JOIN listed l USING (do
 """
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find_pii(docs, pii.fit_pii(docs))
+    base = F.filter("pii", lambda s: s["base"])
+    kinds = F.transform(base, lambda s: s["kind"])
+    counts = [F.size(F.array_remove(F.transform(kinds, lambda s: F.when(s == k, k).otherwise("")), "")).cast("bigint").alias(f"n_{k}") for k in pii.KINDS]
+    return found.select(
+        "doc_id", *counts, F.sha2(pii.spans_text(base), 256).alias("base_sha256"), pii.spans_text("pii").alias("spans")
+    )
+
+
 def fold(folds: int):
     """The part of the rows a document belongs to, by its id."""
     return F.crc32(F.col("doc_id").cast("string")) % folds
@@ -248,6 +259,7 @@ QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
     "op2_decontamination": op2_decontamination,
     "op6_url_filters": op6_url_filters,
+    "op3_pii": op3_pii,
     "op4_toxicity": op4_toxicity,
     "op5_permutation_index": op5_permutation_index,
     "op7_language": op7_language,
