@@ -289,11 +289,11 @@ def examples_of(text: str) -> list[tuple[str, list[Span]]]:
     """Training stretches of a text, each with its spans."""
     spans = base_spans(text)
     out = [(text[a:b], []) for a, b in stretches(text, spans)]
-    for n, (a, b, kind) in enumerate(spans):
+    for a, b, kind in spans:
         left, right = text[max(0, a - _AROUND) : a], text[b : b + _AROUND]
         if base_spans(left) or base_spans(right):
             left, right = left[-1:], right[:1]
-        for body in (text[a:b], rewritten(text[a:b], kind, n + a)):
+        for body in (text[a:b], rewritten(text[a:b], kind, sum(map(ord, text[a:b])))):
             if body:
                 out.append((left + body + right, [(len(left), len(left) + len(body), kind)]))
     return out

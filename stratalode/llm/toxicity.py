@@ -1,9 +1,9 @@
 """Toxicity by maximum-scoring segments of token log-odds.
 
 Words get log-odds between toxic and clean training documents under Dirichlet
-priors: that of a word's first letters is the share of toxic documents, that of
-each longer beginning, and at last of the whole word, is the estimate for the
-shorter one. What counts is the lower confidence bound where it is above zero;
+priors: that of a word's first letters is the share of toxic documents; that of
+each longer beginning, and at last of the whole word, is half this share and half
+the estimate for the shorter one. What counts is the lower confidence bound where it is above zero;
 all else is a small loss per word. One linear scan finds all
 maximal scoring segments of a text. By extreme-value statistics a segment of
 score S in n words is worth lambda * S - ln(n), and is significant above zero.
@@ -68,8 +68,9 @@ def _word_scores(model: ToxicityModel, words: Words, labels: np.ndarray | None =
     for slots in _features(words):
         y, n = model.toxic[slots] - own, model.total[slots] - counted
         known = np.flatnonzero((slots >= 0) & (n >= model.least))
-        a = y[known] + model.prior * share[known]
-        b = n[known] - y[known] + model.prior * (1 - share[known])
+        expected = (share[known] + np.float32(model.base)) / 2
+        a = y[known] + model.prior * expected
+        b = n[known] - y[known] + model.prior * (1 - expected)
         toxic[known], clean[known], share[known] = a, b, a / (a + b)
     bound = np.log(toxic) - np.log(clean) - model.deviations * np.sqrt(1 / toxic + 1 / clean)
     bound -= np.log(model.base) - np.log(1 - model.base) + model.margin
