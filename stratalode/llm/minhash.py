@@ -9,7 +9,8 @@ group of copies is one node. Bands of the signature gather candidates in two
 rounds, neither of which emits all pairs of a bucket: first every member against
 the bucket's smallest one; then, in buckets whose members the links found so far
 leave in several components, every member outside the largest component against
-the members of other components. What is confirmed on the full shingle sets is
+the members of other components, each pair in the first band it shares and only if
+a longer signature leaves it a chance. What is confirmed on the full shingle sets is
 joined to connected components on Spark.
 """
 
@@ -31,6 +32,9 @@ from stratalode.sinks import stage
 #: a chance of 5e-7. Of 128 one-bit coordinates it has more than 36 different
 #: ones with a chance below 1e-8.
 BANDS, ROWS, SKETCH_BITS, MOST_DIFFERENT = 48, 6, 128, 36
+#: Before full sets are compared in the second round: of 2048 one-bit coordinates
+#: such a pair has more than 275 different ones with a chance of 3e-7.
+LONG_BITS, MOST_DIFFERENT_LONG = 2048, 275
 
 
 def shingles(words: Words, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -109,6 +113,22 @@ def _signed(n: int, bands: int, rows: int):
     return sign
 
 
+def _long(n: int):
+    schema = pa.schema([("node", pa.int64()), ("long", pa.list_(pa.int64()))])
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, j, data, at in pieces(batch.column(1), 1 << 19):
+                values, counts, _ = shingles(find_words(data, at, UNSPACED), n)
+                if not counts.all():
+                    raise ValueError("a text without words has no signature")
+                bits = np.packbits((signatures(values, counts, LONG_BITS) & 1).astype(np.uint8).T, axis=1)
+                longs = pa.array(list(np.ascontiguousarray(bits).view(np.int64)), pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), longs], schema=schema)
+
+    return sign
+
+
 def _confirmed(n: int, percent: int):
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
@@ -170,7 +190,7 @@ def near_duplicates(
     members = stage(posted.join(shared.drop("last"), "band").distinct(), "buckets")
     involved = stage(members.select("node").distinct(), "involved")
     facts = nodes.join(involved, "node", "left_semi").groupBy("node").agg(
-        *[F.max(c).alias(a) for c, a in (("n_shingles", "n"), ("s1", "s1"), ("s2", "s2"))]
+        *[F.max(c).alias(a) for c, a in (("n_shingles", "n"), ("s1", "s1"), ("s2", "s2"), ("bands", "bands"))]
     )
     facts = stage(facts, "facts")
     wanted = involved.withColumnRenamed("node", "id")
@@ -201,10 +221,23 @@ def near_duplicates(
         .agg(F.max_by("label", F.struct("count", "label")).alias("largest"), F.count(F.lit(1)).alias("labels"))
         .where("labels > 1")
     )
-    rest = stage(described(labelled.join(mixed_buckets, "band").where("node <> centre")), "mixed-buckets")
+    rest = stage(labelled.join(mixed_buckets, "band").where("node <> centre"), "mixed-buckets")
+    apart = bodies.join(rest.select(F.col("node").alias("id")).distinct(), "id", "left_semi").dropDuplicates(["id"])
+    longer = stage(apart.mapInArrow(_long(shingle_words), "node bigint, long array<bigint>"), "long-signatures")
+    rest = stage(rest.join(facts, "node").join(longer, "node"), "mixed-members")
+    first = F.array_position(F.zip_with("x.bands", "y.bands", lambda p, q: p == q), True) - 1
+    different = sum(F.bit_count(F.get("x.long", F.lit(i)).bitwiseXOR(F.get("y.long", F.lit(i)))) for i in range(LONG_BITS // 64))
     cross = (
         rest.where("label <> largest").alias("x")
-        .join(rest.alias("y"), (F.col("x.band") == F.col("y.band")) & (F.col("x.label") != F.col("y.label")) & _alike(percent))
+        .join(
+            rest.alias("y"),
+            (F.col("x.band") == F.col("y.band"))
+            & (F.col("x.label") != F.col("y.label"))
+            & ((F.col("y.label") == F.col("y.largest")) | (F.col("x.node") < F.col("y.node")))
+            & _alike(percent)
+            & (different <= MOST_DIFFERENT_LONG)
+            & (F.get("x.bands", first.cast("int")) == F.col("x.band")),
+        )
         .select(F.greatest("x.node", "y.node").alias("a"), F.least("x.node", "y.node").alias("b"))
         .distinct()
     )
@@ -218,3 +251,17 @@ def near_duplicates(
     return out.select(
         F.col("id").alias(key), "n_shingles", own.alias("component_id"), F.coalesce(own == F.col("id"), F.lit(True)).alias("kept")
     )
+
+
+def keep_one(docs: DataFrame, found: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` without the documents that ``found``, the result of `near_duplicates`, does not keep.
+
+    Of kept rows that repeat key and text one stays; rows with a NULL key all stay.
+    """
+    gone = stage(found.where(f"not kept and {key} is not null").select(key).distinct(), "near-duplicates")
+    left = docs.join(gone, key, "left_anti").select(*docs.columns)
+    twice = stage(found.where("kept").groupBy(key).count().where(f"count > 1 and {key} is not null").select(key), "repeated-keys")
+    if twice.isEmpty():
+        return left
+    once = left.join(twice, key, "left_semi").select(*docs.columns).dropDuplicates([key, text])
+    return left.join(twice, key, "left_anti").select(*docs.columns).unionByName(once)

@@ -10,6 +10,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from stratalode.llm import decontaminate, html_text, language, minhash, mixing, permutation_index, pii, toxicity, url_filters, warc
 from stratalode.sinks import new_folder
 
@@ -266,6 +267,7 @@ QUERIES: dict[str, Query] = {
     "op8_mixing": op8_mixing,
     "op9_html_text": op9_html_text,
     "op10_minhash": op10_minhash,
+    "pipeline": corpus_pipeline.run,
 }
 ORACLES = {"op1_warc": OP1_SQL, "op2_decontamination": OP2_SQL, "op10_minhash": OP10_SQL, "op6_url_filters": OP6_SQL, "op8_mixing": OP8_SQL}
 

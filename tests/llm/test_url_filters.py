@@ -1,0 +1,47 @@
+from pyspark.sql import functions as F
+
+from stratalode.llm.queries import URL_RULES
+from stratalode.llm.url_filters import build_cascade, judge_urls, with_membership
+
+URLS = {
+    1: ("https://WWW.Example.org/en/123?x=/es/", "www.example.org", "/en/123", "example.org/en/1", "allow"),
+    2: ("http://example.org/es/", "example.org", "/es/", "example.org/es/", "block"),
+    3: ("http://notexample.org/es/", "notexample.org", "/es/", "org/", "allow"),
+    4: ("http://casino-win.example.org", "casino-win.example.org", "", None, "block"),
+    5: ("ftp://a.com/de/x#y", "a.com", "/de/x", "com/de/", "block"),
+    6: ("a://b://c.com/fr/", "b:", "//c.com/fr/", None, "allow"),
+    7: ("no scheme", "", "", None, "allow"),
+    8: (None, "", "", None, "allow"),
+    9: ("http://pills.net?x=1", "pills.net", "", None, "block"),
+    10: ("http://com/fr/", "com", "/fr/", "com/fr/", "allow"),
+    11: ("://", "", "", None, "allow"),
+    12: ("http://É.Com/de/", "É.com", "/de/", "com/de/", "block"),
+}
+LISTED = "casino|pills"
+
+
+def test_rules_hosts_and_paths(spark):
+    rows = [(k, v[0], "mine", "mine", "mine", "mine") for k, v in URLS.items()]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, host string, path string, verdict string, extra string")
+    for bits in (1 << 20, 16):
+        got = {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in judge_urls(pages, URL_RULES, F.col("key").rlike(LISTED), max_bits=bits).collect()}
+        assert got == {k: v[1:] for k, v in URLS.items()}
+    assert judge_urls(pages.limit(0), URL_RULES, F.col("key").rlike(LISTED)).count() == 0
+
+
+def test_cascade_is_exact_over_its_universe(spark):
+    keys = spark.range(20_000).select(F.concat(F.lit("k"), "id").alias("key"), (F.col("id") % 7 == 0).alias("listed")).cache()
+    cascade = build_cascade(keys, bits_per_key=4, hashes=2)
+    assert len(cascade.levels) > 2
+    assert keys.where(cascade.contains(F.col("key")) != F.col("listed")).count() == 0
+    assert keys.select(cascade.contains(F.lit(None).cast("string")).alias("x")).distinct().collect()[0]["x"] is False
+    sharded = with_membership(keys.withColumnRenamed("key", "name"), F.col("name"), F.substring("key", 2, 9).cast("int") % 7 == 0, "found", max_bits=5_000)
+    assert sharded.where("found <> listed").count() == 0
+    assert sharded.count() == 20_000
+
+
+def test_nothing_listed_and_plan_without_joins(spark, plan):
+    pages = spark.createDataFrame([(1, "http://a.b/"), (1, "http://a.b/")], "page_id bigint, url string")
+    judged = judge_urls(pages, (), F.lit(False))
+    assert [r["verdict"] for r in judged.collect()] == ["allow", "allow"]
+    assert "Join" not in plan(judged) and "Python" not in plan(judged)
