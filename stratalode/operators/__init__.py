@@ -21,6 +21,7 @@ from stratalode.operators.columns import (
 )
 from stratalode.operators.dedup import dedup_latest, distinct_rows, resolve_keys
 from stratalode.operators.nested import (
+    array_elements,
     arrays_cartesian,
     arrays_to_columns,
     explode_array,
@@ -36,6 +37,7 @@ from stratalode.operators.upsert import align_columns, merge_dedup, merge_upsert
 
 __all__ = [
     "align_columns",
+    "array_elements",
     "arrays_cartesian",
     "arrays_to_columns",
     "cast_timestamp_columns",

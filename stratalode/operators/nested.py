@@ -80,13 +80,14 @@ def _array_columns(df: DataFrame) -> list[str]:
 
 
 def arrays_to_columns(
-    df: DataFrame, max_columns: int = 5_000, keyed: bool = False
+    df: DataFrame, max_columns: int | None = None, keyed: bool = False
 ) -> DataFrame:
     """Turn every array into columns ``name_0 … name_{n-1}``, n being its longest row.
 
     The lengths of all arrays come from one aggregation that returns a single
-    row. Shorter arrays are padded with NULL. More than ``max_columns`` result
-    columns is an error, as no element may be dropped to stay below it.
+    row. Shorter arrays are padded with NULL. With ``max_columns``, more result
+    columns are an error, as no element may be dropped to stay below it.
+    :func:`array_elements` is the long form for arrays of many elements.
 
     A frame without arrays comes back with duplicate rows removed; ``keyed``
     says that it has none, which saves the shuffle.
@@ -100,7 +101,7 @@ def arrays_to_columns(
     widths = {a: longest[i] or 0 for i, a in enumerate(arrays)}
     kept = [c for c in df.columns if c not in widths]
     wide = [(f"{a}_{i}", F.get(column(a), i)) for a in arrays for i in range(widths[a])]
-    if len(kept) + len(wide) > max_columns:
+    if max_columns is not None and len(kept) + len(wide) > max_columns:
         raise ValueError(
             f"{len(kept) + len(wide)} columns needed, {max_columns} allowed; array lengths: {widths}"
         )
@@ -108,6 +109,15 @@ def arrays_to_columns(
     return df.select(*map(column, kept), *[value.alias(name) for name, value in wide])
 
 
+def array_elements(df: DataFrame, name: str) -> DataFrame:
+    """One row per element of an array, with its ``position`` from 0 and its ``value``.
+
+    Rows whose array is empty or NULL have no element and no row.
+    """
+    kept = [column(c) for c in df.columns if c != name]
+    return df.select(*kept, F.posexplode(column(name)).alias("position", "value"))
+
+
 def arrays_cartesian(
     df: DataFrame, match: str = "row", null_safe: bool = False, keyed: bool = False
 ) -> DataFrame:
@@ -130,11 +140,10 @@ def arrays_cartesian(
         return df
     scalars = [c for c in df.columns if c not in arrays]
     if match == "row":
+        thinned = df.withColumns({a: F.array_distinct(column(a)) for a in arrays})
         if keyed:
-            return reduce(
-                explode_array, arrays, df.withColumns({a: F.array_distinct(column(a)) for a in arrays})
-            )
-        return distinct_rows(reduce(explode_array, arrays, df))
+            return reduce(explode_array, arrays, thinned)
+        return distinct_rows(reduce(explode_array, arrays, thinned))
     if match != "values":
         raise ValueError(f"match must be 'row' or 'values', not {match!r}")
     if not scalars:
@@ -174,7 +183,7 @@ def flatten_all(
     cartesian: bool = False,
     match: str = "row",
     null_safe: bool = False,
-    max_columns: int = 5_000,
+    max_columns: int | None = None,
     keyed: bool = False,
 ) -> DataFrame:
     """Repeat struct expansion and array removal until only plain columns are left.

@@ -37,10 +37,11 @@ def size_partitions(df: DataFrame, partitions: int = 0, estimate: bool = False)
     """Bring a frame to a sensible number of output files.
 
     A given number, or the estimated one with ``estimate=True``, is applied by
-    ``coalesce``, which only ever merges partitions. By default adaptive
+    ``repartition``: the shuffle leaves the work before it as parallel as it was,
+    where ``coalesce`` would run all of it in that many tasks. By default adaptive
     execution sizes the partitions from the bytes it actually shuffled, which
     costs no second pass over the input and splits overlarge partitions too.
     """
     if estimate and not partitions:
         partitions = partitions_for(df)
-    return df.coalesce(partitions) if partitions else df.hint("rebalance")
+    return df.repartition(partitions) if partitions else df.hint("rebalance")

@@ -6,7 +6,7 @@ from collections.abc import Iterable, Mapping
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratalode.functions.names import (
@@ -51,37 +51,68 @@ def merge_dedup(
     recency column, or on a tie, the incoming one does. Columns one side lacks
     are NULL there.
 
-    With ``existing_is_unique=True``, rows of ``existing`` whose key does not
-    come in are passed through and only the others are sorted. A small increment
-    then leaves a large table unshuffled, as Spark broadcasts the incoming keys
-    when they are below its size threshold.
+    With ``existing_is_unique=True``, the incoming rows are reduced to the newest
+    per key and joined to ``existing``, which is read once, and once more for its
+    keys alone. A small increment then leaves a large table unshuffled, as Spark
+    broadcasts it when it is below its size threshold.
     """
     incoming = filter_soft_deleted(incoming)
     keys = resolve_keys(existing, keys, catalog)
     existing = align_columns(existing, incoming)
-    untouched = None
     if existing_is_unique:
-        renamed = {k: spare_name(existing.columns, f"_incoming_{k}") for k in keys}
-        incoming_keys = incoming.select(
-            *[column(k).alias(name) for k, name in renamed.items()]
-        ).distinct()
-        # Below, rows are grouped by key, and groups hold NULL keys together.
-        comes_in = reduce(and_, [column(k).eqNullSafe(column(r)) for k, r in renamed.items()])
-        untouched = existing.join(incoming_keys, comes_in, "left_anti")
-        existing = existing.join(incoming_keys, comes_in, "left_semi")
-
+        return _merge_unique(existing, incoming, keys, order_by)
     is_new = spare_name(existing.columns, "_is_new")
     stacked = existing.withColumn(is_new, F.lit(False)).unionByName(
         incoming.withColumn(is_new, F.lit(True)), allowMissingColumns=True
     )
-    offered = as_list(order_by) or [
-        c for c in MERGE_RECENCY_COLUMNS if c in stacked.columns
-    ][:1]
-    recency = [c for c in offered if c in stacked.columns]
-    merged = keep_first(
-        stacked, keys, newest_first(stacked, keys, [*recency, is_new])
-    ).drop(is_new)
-    return merged if untouched is None else untouched.unionByName(merged)
+    recency = _merge_recency(stacked.columns, order_by)
+    return keep_first(stacked, keys, newest_first(stacked, keys, [*recency, is_new])).drop(is_new)
+
+
+def _merge_recency(columns: list[str], order_by: str | Iterable[str] | None) -> list[str]:
+    offered = as_list(order_by) or [c for c in MERGE_RECENCY_COLUMNS if c in columns][:1]
+    return [c for c in offered if c in columns]
+
+
+def _is_newer(left: list[Column], right: list[Column]) -> Column:
+    """Whether ``left`` comes strictly later in lexicographic order, NULL being the oldest."""
+    newer = F.lit(False)
+    for a, b in reversed(list(zip(left, right, strict=True))):
+        later = F.coalesce(a > b, a.isNotNull() & b.isNull())
+        newer = later | (a.eqNullSafe(b) & newer)
+    return newer
+
+
+def _merge_unique(
+    existing: DataFrame, incoming: DataFrame, keys: list[str], order_by: str | Iterable[str] | None
+) -> DataFrame:
+    """`merge_dedup` for a table that holds each key once: read once, plus its keys alone."""
+    recency = _merge_recency([*existing.columns, *incoming.columns], order_by)
+    known = [c for c in recency if c in incoming.columns]
+    newest = keep_first(incoming, keys, newest_first(incoming, keys, known))
+    taken = [*existing.columns, *incoming.columns]
+    renamed = {c: spare_name(taken, f"_new_{c}") for c in incoming.columns}
+    came = spare_name(taken, "_came")
+    right = newest.select(
+        *[column(c).alias(name) for c, name in renamed.items()], F.lit(True).alias(came)
+    )
+    # Rows are grouped by key, and groups hold NULL keys together.
+    same_key = reduce(and_, [column(k).eqNullSafe(column(renamed[lookup(incoming.columns, k)])) for k in keys])
+    paired = existing.join(right, same_key, "left")
+
+    def new(name: str) -> Column:
+        found = lookup(incoming.columns, name)
+        return column(renamed[found]) if found else F.lit(None)
+
+    stored = [column(c) for c in recency]
+    taken_over = F.coalesce(column(came), F.lit(False)) & ~_is_newer(stored, [new(c) for c in recency])
+    kept = paired.select(
+        *[F.when(taken_over, new(c)).otherwise(column(c)).alias(c) for c in existing.columns]
+    )
+    stored_keys = existing.select(*[column(k).alias(f"_stored_{k}") for k in keys])
+    met = reduce(and_, [column(k).eqNullSafe(column(f"_stored_{k}")) for k in keys])
+    inserts = newest.join(stored_keys, met, "left_anti")
+    return kept.unionByName(inserts, allowMissingColumns=True)
 
 
 def merge_upsert(
@@ -91,38 +122,60 @@ def merge_upsert(
     order_by: str | Iterable[str] | None = None,
     deleted_column: str = DELETED_AT,
     catalog: Mapping | None = None,
+    keep_recency: bool = False,
+    staged: bool = True,
 ) -> DataFrame:
     """Apply a change feed to a table by key.
 
     A matched row is removed when the change is a deletion, else its business
     columns take the change's values; other columns of the target keep theirs.
     An unmatched change is inserted unless it is a deletion. Several changes of
-    one key count as the newest of them.
+    one key count as the newest of them; changes without a whole key match nothing
+    and are inserted, each of them.
+
+    ``keep_recency=True`` keeps the columns that tell recency, technical ones too,
+    and leaves a row alone that is newer than its change. A deleted key leaves no
+    trace: a change of it that arrives later inserts it again.
+
+    The newest changes are needed by two joins. They are written to the session's
+    shared folder, so that the feed is read once; ``staged=False`` prevents it.
 
     Both joins keep the target on the left and hold one row per key on the
     right. Spark can therefore split a key the target repeats, and a small feed
     is broadcast, leaving the target where it is.
     """
+    from stratalode.sinks.stage import stage  # the sinks import this module
+
     keys = resolve_keys(target, keys, catalog)
-    changes = dedup_latest(source, keys, order_by)
+    whole_key = reduce(and_, [column(k).isNotNull() for k in keys])
+    changes = dedup_latest(source.filter(whole_key), keys, order_by).unionByName(
+        source.filter(~whole_key)
+    )
+    if staged:
+        changes = stage(changes, "changes")
+    recency = [c for c in _merge_recency(source.columns, order_by) if c in source.columns] if keep_recency else []
     deleted = (
         column(deleted_column).isNotNull() if deleted_column in source.columns else F.lit(False)
     )
-    business = [c for c in source.columns if not is_technical(c) and c != deleted_column]
+    business = [
+        c for c in source.columns if (not is_technical(c) or c in recency) and c != deleted_column
+    ]
     updated = [c for c in business if lookup(keys, c) is None]
 
     taken = [*target.columns, *source.columns]
     is_change = spare_name(taken, "_is_change")
     is_deletion = spare_name(taken, "_is_deletion")
     incoming = {c: spare_name(taken, f"_new_{c}") for c in [*keys, *updated]}
-    right = changes.select(
+    right = changes.filter(whole_key).select(
         *[column(c).alias(name) for c, name in incoming.items()],
         F.lit(True).alias(is_change),
         deleted.alias(is_deletion),
     )
+    compared = [c for c in recency if c in target.columns]
+    outdated = _is_newer([column(c) for c in compared], [column(incoming[c]) for c in compared])
     same_key = reduce(and_, [column(k) == column(incoming[k]) for k in keys])
     paired = target.join(right, same_key, "left").filter(
-        F.coalesce(~column(is_deletion), F.lit(True))
+        F.coalesce(~column(is_deletion) | outdated, F.lit(True))
     )
 
     def merged(name: str):
@@ -130,13 +183,13 @@ def merge_upsert(
         if change is None:
             return column(name)
         new = column(incoming[change]).cast(target.schema[name].dataType)
-        return F.when(column(is_change), new).otherwise(column(name)).alias(name)
+        return F.when(column(is_change) & ~outdated, new).otherwise(column(name)).alias(name)
 
     added = [c for c in updated if lookup(target.columns, c) is None]
     kept = paired.select(
         *map(merged, target.columns), *[column(incoming[c]).alias(c) for c in added]
     )
-    changed_keys = source.select(*keys).distinct()
+    changed_keys = changes.select(*keys).distinct()
     known = target.select(*keys).join(changed_keys, keys, "left_semi").distinct()
     inserts = changes.filter(~deleted).join(known, keys, "left_anti").select(*map(column, business))
     return kept.unionByName(inserts, allowMissingColumns=True)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +13,8 @@ from stratalode.plans.parallel import side_by_side
 from stratalode.plans.silver import RAW_SCHEMAS, process_tables
 from stratalode.sinks.files import land_bronze_json
 from stratalode.sinks.stage import staging
-from stratalode.sources.dated import ExecutionDate, scan_partitioned_root
+from stratalode.sources.dated import ExecutionDate, as_date, scan_partitioned_root
+from stratalode.sources.files import scan_parquet
 
 
 def run_pipeline(
@@ -27,15 +29,16 @@ def run_pipeline(
     """Land raw tables, clean ``products`` and ``carts``, and write the indicators.
 
     Layers run one after another and hand over through storage below ``root``;
-    an error stops the run before the next layer. Gold reads the newest silver
-    snapshot, as each day holds the full tables; ``snapshot="all"`` reads every
-    day. Running a day again replaces its files. Returns the gold paths.
+    an error stops the run before the next layer. Gold reads the silver rows just
+    written, as each day holds the full tables, or of a table without rows that
+    day the newest ones before; ``snapshot="all"`` reads every day up to this one.
+    Running a day again replaces its files. Returns the gold paths.
     """
     bronze, silver, gold = (f"{root.rstrip('/')}/{zone}" for zone in ("bronze", "silver", "gold"))
     side_by_side(
         spark, lambda table: land_bronze_json(raw[table], bronze, table, execution_date), raw
     )
-    process_tables(
+    written = process_tables(
         spark,
         bronze,
         silver,
@@ -45,9 +48,18 @@ def run_pipeline(
         subdomain=subdomain,
     )
     prefix = f"{subdomain}_" if subdomain else ""
-    products, carts = (
-        scan_partitioned_root(spark, f"{silver}/{prefix}{table}", snapshot)
-        for table in ("products", "carts")
-    )
+
+    def read(table: str) -> DataFrame:
+        root = f"{silver}/{prefix}{table}"
+        if snapshot == "all":
+            return scan_partitioned_root(spark, root, before=as_date(execution_date) + datetime.timedelta(days=1))
+        if written[table] is not None:
+            return scan_parquet(spark, written[table], base_path=root)
+        day_after = as_date(execution_date) + datetime.timedelta(days=1)
+        return scan_partitioned_root(spark, root, "latest", before=day_after)
+
+    if snapshot not in ("all", "latest"):
+        raise ValueError(f"snapshot must be 'all' or 'latest', not {snapshot!r}")
+    products, carts = read("products"), read("carts")
     with staging(spark) as stage:
         return write_gold_tables(build_gold(carts, products, created_at, stage=stage), gold)

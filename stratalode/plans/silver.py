@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from stratalode.functions.names import DATE_PARTITIONS
 from stratalode.functions.values import holds_arrays
 from stratalode.operators.clean import (
-    STRING_LIMIT,
     cast_timestamp_columns,
     fill_null_nested,
     limit_string_length,
@@ -23,7 +22,7 @@ from stratalode.plans.parallel import side_by_side
 from stratalode.sinks.files import write_silver_parquet
 from stratalode.sinks.stage import stage
 from stratalode.sinks.tables import table_location, write_table
-from stratalode.sources.dated import ExecutionDate, date_folder, scan_execution_date, table_root
+from stratalode.sources.dated import ExecutionDate, as_date, date_folder, scan_execution_date, table_root
 
 Transform = Callable[[DataFrame], DataFrame]
 
@@ -47,21 +46,26 @@ def process_table(
     catalog: Mapping | None = None,
     incremental: bool = True,
     expressions: Mapping[str, str] | None = None,
-    string_limit: int = STRING_LIMIT,
+    string_limit: int | None = None,
+    timestamps: str | Iterable[str] | None = None,
+    not_timestamps: str | Iterable[str] | None = None,
 ) -> DataFrame:
     """Clean one table.
 
-    In this order: placeholder dates, string length, newest row per key (only
-    for incremental tables), technical columns, timestamps, ``expressions``,
-    NULL arrays and structs. Strings become timestamps after the placeholder
+    In this order: placeholder dates, string length if ``string_limit`` is given,
+    newest row per key (only for incremental tables), technical columns,
+    timestamps, ``expressions``, NULL arrays and structs. ``timestamps`` restricts
+    the columns cast to timestamps and ``not_timestamps`` spares columns that
+    merely sound like one, see :func:`cast_timestamp_columns`. Strings become timestamps after the placeholder
     check and are therefore not subject to it.
     """
     df = nullify_sentinel_dates(df)
-    df = limit_string_length(df, limit=string_limit)
+    if string_limit is not None:
+        df = limit_string_length(df, limit=string_limit)
     if incremental:
         df = dedup_latest(df, keys, order_by, catalog=catalog)
     df = drop_ingestion_columns(df)
-    df = cast_timestamp_columns(df)
+    df = cast_timestamp_columns(df, timestamps, not_timestamps)
     for name, expression in (expressions or {}).items():
         df = with_expression(df, name, expression)
     return fill_null_nested(df)
@@ -77,6 +81,9 @@ def process_and_flatten(
     cartesian: bool = False,
     partitions: int = 0,
     staged: bool = True,
+    timestamps: str | Iterable[str] | None = None,
+    not_timestamps: str | Iterable[str] | None = None,
+    max_columns: int | None = None,
 ) -> DataFrame:
     """Deduplicate, clean and flatten a table down to plain columns, then size its output.
 
@@ -87,12 +94,12 @@ def process_and_flatten(
     if incremental:
         df = dedup_latest(df, keys, order_by, catalog=catalog)
     df = drop_ingestion_columns(df)
-    df = cast_timestamp_columns(df)
+    df = cast_timestamp_columns(df, timestamps, not_timestamps)
     for name, expression in (expressions or {}).items():
         df = with_expression(df, name, expression)
     if staged and not cartesian and any(holds_arrays(f.dataType) for f in df.schema.fields):
         df = stage(df, "cleaned")
-    return size_partitions(flatten_all(df, cartesian=cartesian, keyed=incremental), partitions)
+    return size_partitions(flatten_all(df, cartesian=cartesian, keyed=incremental, max_columns=max_columns), partitions)
 
 
 def silver_products(
@@ -131,6 +138,7 @@ def process_tables(
     target_format: str = "parquet",
     write_modes: Mapping[str, str] | None = None,
     concurrency: int = 4,
+    options: Mapping[str, Mapping] | None = None,
 ) -> dict[str, str | None]:
     """Read, clean and write one day of many tables; one Spark job each.
 
@@ -139,7 +147,9 @@ def process_tables(
     A target is called ``<subdomain>_<table>``. With ``target_format="parquet"``
     each table is a folder of dated snapshots, any other format is a table
     location. Tables whose write mode is not ``append`` are not deduplicated.
-    Up to ``concurrency`` tables are worked on at a time.
+    Up to ``concurrency`` tables are worked on at a time. ``options`` holds further
+    arguments of :func:`process_table` by table. Appending to a location of files
+    replaces the day's own folder, so a rerun adds no row twice.
 
     Returns the written location per table, None where the day held no rows.
     The first failure is raised.
@@ -162,11 +172,18 @@ def process_tables(
             rows = transforms[table](raw)
         else:
             clean = SHOP_CLEANERS.get(table, process_table)
-            rows = clean(raw, catalog=catalogs.get(table), incremental=write_mode == "append")
+            rows = clean(
+                raw,
+                catalog=catalogs.get(table),
+                incremental=write_mode == "append",
+                **(options or {}).get(table, {}),
+            )
         name = f"{subdomain}_{table}" if subdomain else table
         if target_format != "parquet":
             location = table_location(target_root, name, domain, subdomain)
-            write_table(rows, location, write_mode, target_format, skip_empty=False)
+            write_table(
+                rows, location, write_mode, target_format, skip_empty=False, execution_date=as_date(execution_date)
+            )
             return location
         write_silver_parquet(rows, target_root, name, execution_date, skip_empty=False)
         return f"{table_root(target_root, name)}/{date_folder(execution_date)}"

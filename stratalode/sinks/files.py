@@ -4,20 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalode.functions.names import DATE_PARTITIONS, as_list, column
-from stratalode.operators.columns import drop_ingestion_columns
-from stratalode.operators.upsert import merge_dedup
+from stratalode.functions.names import DATE_PARTITIONS, DELETED_AT, as_list, column
+from stratalode.operators.upsert import merge_dedup, merge_upsert
 from stratalode.sources.dated import (
     ExecutionDate,
     date_folder,
-    scan_partitioned_root,
+    latest_partition,
     table_root,
 )
-from stratalode.sources.files import path_is_missing
 
 
 def _write_dated(
@@ -40,6 +37,9 @@ def _write_dated(
             f"{root}/{date_folder(execution_date)}"
         )
         return
+    clashing = [c for c in df.columns if c.lower() in DATE_PARTITIONS and c != date_column]
+    if clashing:
+        raise ValueError(f"columns {clashing} would be replaced by the parts of {date_column}; rename them")
     day = column(date_column)
     parts = {"year": "yyyy", "month": "MM", "day": "dd"}
     dated = df.withColumns({name: F.date_format(day, parts[name]) for name in DATE_PARTITIONS})
@@ -113,25 +113,35 @@ def merge_snapshot(
     execution_date: ExecutionDate,
     keys: str | Iterable[str] | None = None,
     order_by: str | Iterable[str] | None = None,
-    existing_is_unique: bool = True,
+    existing_is_unique: bool = False,
+    how: str = "dedup",
 ) -> DataFrame:
     """Merge new rows into a table kept as dated snapshots; returns the merged rows.
 
     The newest snapshot before ``execution_date`` is read and that day's folder
     written. No job overwrites what it reads, a failed run leaves the previous
-    snapshot untouched, and a rerun starts from the same state. Snapshots written
-    by merging hold each key once; pass ``existing_is_unique=False`` for others.
+    snapshot untouched, and a rerun starts from the same state. Columns that tell
+    recency stay in the snapshots, so that a change that arrives late is older
+    than what it meets.
+
+    ``how="dedup"`` keeps one row per key, see :func:`merge_dedup`; with
+    ``existing_is_unique=True`` stored rows are read once and not sorted, which
+    holds for snapshots written by merging. ``how="upsert"`` applies a change
+    feed, deletions included, see :func:`merge_upsert`; stored keys stay as they are.
     """
+    if how not in ("dedup", "upsert"):
+        raise ValueError(f"how must be 'dedup' or 'upsert', not {how!r}")
     path = table_root(root, table)
-    try:
-        earlier = scan_partitioned_root(spark, path, snapshot="latest", before=execution_date)
-        earlier = drop_ingestion_columns(earlier)
-        merged = merge_dedup(
-            earlier, incoming, keys, order_by, existing_is_unique=existing_is_unique
-        )
-    except AnalysisException as error:
-        if not path_is_missing(error):
-            raise
-        merged = merge_dedup(incoming.filter(F.lit(False)), incoming, keys, order_by)
+    earlier = latest_partition(spark, path, execution_date)
+    if earlier is None:
+        stored = incoming.filter(F.lit(False))
+        if how == "upsert":
+            stored = stored.drop(*[c for c in incoming.columns if c == DELETED_AT])
+    else:
+        stored = spark.read.parquet(earlier[1])
+    if how == "upsert":
+        merged = merge_upsert(stored, incoming, keys, order_by, keep_recency=True)
+    else:
+        merged = merge_dedup(stored, incoming, keys, order_by, existing_is_unique=existing_is_unique)
     write_silver_parquet(merged, root, table, execution_date, skip_empty=False)
     return spark.read.schema(merged.schema).parquet(f"{path}/{date_folder(execution_date)}")

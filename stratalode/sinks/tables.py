@@ -13,9 +13,13 @@ from stratalode.operators.columns import drop_cdc_columns, drop_ingestion_column
 from stratalode.operators.sizing import TARGET_FILE_BYTES
 from stratalode.operators.upsert import merge_dedup
 from stratalode.sinks.stage import stage
+from stratalode.sources.dated import ExecutionDate, date_folder
 from stratalode.sources.tables import is_location, scan_jdbc, table_exists
 
 
+FILE_FORMATS = ("parquet", "orc", "json", "csv", "avro")
+
+
 def table_location(root: str, table: str, domain: str = "", subdomain: str = "") -> str:
     """``root/domain/subdomain/table``; a subdomain counts only below a domain."""
     parts = [root.rstrip("/"), domain, subdomain if domain else "", table]
@@ -36,12 +40,16 @@ def write_table(
     fmt: str = "parquet",
     options: Mapping[str, str] | None = None,
     skip_empty: bool = True,
+    execution_date: ExecutionDate = None,
 ) -> bool:
     """Create, append to or overwrite a table, by name or location.
 
     Technical columns and soft-deleted rows are left out. An empty frame writes
     nothing, unless ``skip_empty=False`` spares the test. Returns whether the
     table existed before.
+
+    With an ``execution_date``, appending to a location of files replaces that
+    day's folder below it and nothing else, so a rerun adds no row twice.
     """
     if mode not in ("append", "overwrite"):
         raise ValueError(f"mode must be 'append' or 'overwrite', not {mode!r}")
@@ -55,7 +63,9 @@ def write_table(
     elif fmt == "parquet":
         writer = writer.option("compression", "snappy")
     writer = writer.options(**(options or {}))
-    if is_location(target):
+    if is_location(target) and execution_date is not None and mode == "append" and fmt in FILE_FORMATS:
+        writer.mode("overwrite").save(f"{target.rstrip('/')}/{date_folder(execution_date)}")
+    elif is_location(target):
         writer.save(target)
     else:
         writer.saveAsTable(target)

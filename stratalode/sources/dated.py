@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import datetime
+import re
+from calendar import monthrange
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,19 +32,48 @@ def table_root(root: str, table: str = "") -> str:
     return "/".join(part.rstrip("/") for part in (root, table) if part)
 
 
-def latest_partition(df: DataFrame, before: ExecutionDate = None) -> datetime.date | None:
-    """The newest date partition, optionally strictly before a day.
-
-    Uses partition values only: no column is read and one row comes back.
+def _folders(spark: SparkSession, parent: str, name: str) -> list[tuple[int, str]]:
+    """The folders ``name=<number>`` directly below ``parent``, newest first."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(parent)
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not system.exists(path):
+        return []
+    found = []
+    for status in system.listStatus(path):
+        label = status.getPath().getName()
+        number = label.removeprefix(f"{name}=")
+        if status.isDirectory() and label != number and number.isdigit():
+            found.append((int(number), f"{parent}/{label}"))
+    return sorted(found, reverse=True)
+
+
+def day_folders(
+    spark: SparkSession, root: str, first: ExecutionDate = None, last: ExecutionDate = None
+) -> Iterator[tuple[datetime.date, str]]:
+    """Days that have a folder, newest first, with its path; ``first`` and ``last`` bound them.
+
+    Only folders are listed, and only those that can hold a day asked for: the
+    newest day takes three listings, however many days there are.
     """
-    day = F.make_date(*DATE_PARTITIONS)
-    if before is not None:
-        df = df.filter(day < F.lit(as_date(before)))
-    return df.agg(F.max(day)).first()[0]
-
-
-def _on(day: datetime.date):
-    return (F.col("year") == day.year) & (F.col("month") == day.month) & (F.col("day") == day.day)
+    low = as_date(first) if first is not None else datetime.date.min
+    high = as_date(last) if last is not None else datetime.date.max
+    for year, of_year in _folders(spark, root.rstrip("/"), "year"):
+        if not low.year <= year <= high.year:
+            continue
+        for month, of_month in _folders(spark, of_year, "month"):
+            if not (low.year, low.month) <= (year, month) <= (high.year, high.month):
+                continue
+            for day, path in _folders(spark, of_month, "day"):
+                if low <= datetime.date(year, month, day) <= high:
+                    yield datetime.date(year, month, day), path
+
+
+def latest_partition(
+    spark: SparkSession, root: str, before: ExecutionDate = None
+) -> tuple[datetime.date, str] | None:
+    """The newest day with a folder and its path, optionally strictly before a day."""
+    last = None if before is None else as_date(before) - datetime.timedelta(days=1)
+    return next(day_folders(spark, root, last=last), None)
 
 
 def scan_partitioned_root(
@@ -55,15 +87,21 @@ def scan_partitioned_root(
     """Read the date partitions of a Parquet table; ``year, month, day`` become columns.
 
     ``snapshot="all"`` reads every day. ``snapshot="latest"`` reads the newest
-    one only, which is what a table written as daily full snapshots needs.
+    one only, which is what a table written as daily full snapshots needs: it is
+    found by listing folders, and no file of another day is opened.
     """
-    df = scan_parquet(spark, root, schema=schema, merge_schema=merge_schema)
-    if snapshot == "all":
-        return df if before is None else df.filter(F.make_date(*DATE_PARTITIONS) < as_date(before))
-    if snapshot != "latest":
+    if snapshot not in ("all", "latest"):
         raise ValueError(f"snapshot must be 'all' or 'latest', not {snapshot!r}")
-    newest = latest_partition(df, before)
-    return df.filter(F.lit(False)) if newest is None else df.filter(_on(newest))
+    if snapshot == "latest":
+        newest = latest_partition(spark, root, before)
+        if newest is not None:
+            return scan_parquet(
+                spark, newest[1], schema=schema, base_path=root, merge_schema=merge_schema
+            )
+    df = scan_parquet(spark, root, schema=schema, merge_schema=merge_schema)
+    if snapshot == "latest":
+        return df.filter(F.lit(False))
+    return df if before is None else df.filter(F.make_date(*DATE_PARTITIONS) < as_date(before))
 
 
 def scan_execution_date(
@@ -74,9 +112,20 @@ def scan_execution_date(
     fmt: str = "json",
     schema: Schema | None = None,
 ) -> DataFrame:
-    """Read one day of a table. Only that day's folder is listed."""
+    """Read one day of a table. Only that day's folder is listed.
+
+    Without ``table``, ``root`` may also be a single ``.json`` or ``.parquet`` file
+    or a day's own folder. ``<root><table>.<fmt>`` is read if the table has no folder.
+    """
     base = table_root(root, table)
     path = f"{base}/{date_folder(execution_date)}"
+    day = re.search(r"/year=\d+/month=\d+/day=\d+/?$", root)
+    if not table and root.endswith((".json", ".parquet")):
+        return _scan(spark, root, root.rpartition(".")[2], schema)
+    if not table and day is not None:
+        base, path = root[: day.start()], root.rstrip("/")
+    elif table and not _exists(spark, base) and _exists(spark, f"{root}{table}.{fmt}"):
+        return _scan(spark, f"{root}{table}.{fmt}", fmt, schema)
     if fmt == "json":
         return scan_json(spark, path, schema=schema, base_path=base)
     if fmt == "parquet":
@@ -84,6 +133,15 @@ def scan_execution_date(
     raise ValueError(f"format must be 'json' or 'parquet', not {fmt!r}")
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
+def _scan(spark: SparkSession, path: str, fmt: str, schema: Schema | None) -> DataFrame:
+    return {"parquet": scan_parquet, "json": scan_json}[fmt](spark, path, schema=schema)
+
+
 def date_range_predicate(last: ExecutionDate, current: ExecutionDate, exact: bool = False) -> str:
     """A partition predicate covering the days from ``last`` to ``current``.
 
@@ -114,6 +172,20 @@ def scan_date_range(
     fmt: str = "parquet",
     schema: Schema | None = None,
 ) -> DataFrame:
-    """Read the partitions from ``last`` to ``current``; see :func:`date_range_predicate`."""
+    """Read the partitions from ``last`` to ``current``; see :func:`date_range_predicate`.
+
+    Only folders of these days are given to the reader, so files of other days
+    are neither listed nor opened.
+    """
     scan = {"parquet": scan_parquet, "json": scan_json}[fmt]
-    return scan(spark, root, predicate=date_range_predicate(last, current, exact), schema=schema)
+    first, final = as_date(last), as_date(current)
+    if not exact and first.year != final.year:
+        first, final = first.replace(month=1, day=1), final.replace(month=12, day=31)
+    elif not exact and first.month != final.month:
+        first, final = first.replace(day=1), final.replace(day=monthrange(final.year, final.month)[1])
+    paths = [path for _, path in day_folders(spark, root, first, final)]
+    predicate = date_range_predicate(last, current, exact)
+    if not paths:  # the columns come from any day there is
+        newest = latest_partition(spark, root)
+        paths, predicate = [newest[1] if newest else root], "false"
+    return scan(spark, paths, predicate=predicate, schema=schema, base_path=root)

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratalode.functions.names import column
+from stratalode.functions.names import as_list, column
 from stratalode.operators.clean import filter_predicate
 
 Schema = T.StructType | str
@@ -40,7 +40,7 @@ def scan_json(
 
 def scan_parquet(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     predicate: str = "",
     table: str | None = None,
     schema: Schema | None = None,
@@ -57,10 +57,9 @@ def scan_parquet(
     """
     if allow_missing and schema is None:
         raise ValueError("allow_missing needs the schema of the empty frame")
-    folder = path.rstrip("/")
     candidates = [path]
-    if table and not path.endswith(".parquet"):
-        candidates.insert(0, f"{folder}/{table}.parquet")
+    if table and isinstance(path, str) and not path.endswith(".parquet"):
+        candidates.insert(0, f"{path.rstrip('/')}/{table}.parquet")
     for candidate in candidates:
         reader = spark.read.option("mergeSchema", merge_schema and schema is None)
         if schema is not None:
@@ -68,7 +67,7 @@ def scan_parquet(
         if base_path is not None:
             reader = reader.option("basePath", base_path)
         try:
-            return filter_predicate(reader.parquet(candidate), predicate)
+            return filter_predicate(reader.parquet(*as_list(candidate)), predicate)
         except AnalysisException as error:
             if not path_is_missing(error) or (candidate == candidates[-1] and not allow_missing):
                 raise

@@ -58,6 +58,7 @@ def test_size_estimate(spark):
 def test_output_sizing(spark, plan):
     df = spark.range(100).repartition(6)
     assert size_partitions(df, 2).rdd.getNumPartitions() == 2
-    assert size_partitions(df, 50).rdd.getNumPartitions() == 6
+    assert size_partitions(df, 50).rdd.getNumPartitions() == 50
+    assert "Exchange" in plan(size_partitions(df, 1))
     assert size_partitions(df, estimate=True).rdd.getNumPartitions() == 1
     assert "REBALANCE" in plan(size_partitions(df))

@@ -1,4 +1,5 @@
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -187,3 +188,34 @@ def test_gold_copies_share_one_load_time(spark, tmp_path, monkeypatch):
     paths = plans.write_gold_tables({"t": stamped}, str(tmp_path), jdbc_url="jdbc:x")
     assert copies["t"] == spark.read.parquet(paths["t"]).first()[0]
     assert sinks.table_location(str(tmp_path), "t") == paths["t"]
+
+
+def test_backfilled_day_publishes_its_own_figures(spark, tmp_path):
+    """A later day runs first; the earlier one must not read its prices."""
+
+    def raw(price):
+        products = spark.createDataFrame([(1, "t", "c", price)], "id bigint, title string, category string, price double")
+        products = products.selectExpr("*", "'d' AS description", "'i' AS image", "struct(1L AS count, 1.0D AS rate) AS rating")
+        carts = spark.sql(
+            "SELECT 1L AS id, 1L AS userId, '2024-05-01' AS date, 0L AS __v, array(struct(1L AS productId, 1L AS quantity)) AS products"
+        )
+        return {"products": products, "carts": carts}
+
+    home = sinks.new_folder(spark, "x").rpartition("/")[0].removeprefix("file:")
+
+    def staged():
+        return sorted(os.listdir(home)) if os.path.isdir(home) else []
+
+    before = staged()
+    for price, day, revenue in ((100.0, "2024-06-02", 100.0), (5.0, "2024-06-01", 5.0)):
+        paths = plans.run_pipeline(spark, raw(price), str(tmp_path), day, f"{day} 00:00:00")
+        assert spark.read.parquet(paths["product_performance"]).first()["total_revenue"] == revenue
+    assert staged() == before
+
+
+def test_cleaning_keeps_long_text_and_columns_that_sound_like_dates(spark):
+    df = spark.createDataFrame([(1, "x" * 40_000, "maria", "2024-01-01")], "id int, text string, updated_by string, due_date string")
+    row = plans.process_table(df, not_timestamps=["updated_by"]).first()
+    assert len(row["text"]) == 40_000 and row["updated_by"] == "maria" and row["due_date"].year == 2024
+    flat = plans.process_and_flatten(df, not_timestamps=["updated_by"]).first()
+    assert flat["updated_by"] == "maria"

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stratalode.operators import (
+    array_elements,
     arrays_cartesian,
     arrays_to_columns,
     explode_array,
@@ -67,6 +68,16 @@ def test_arrays_to_columns_without_arrays_is_distinct(spark):
     assert arrays_to_columns(df).count() == 2
 
 
+def test_arrays_of_any_length_become_columns_or_rows(spark):
+    df = spark.createDataFrame([(1, list(range(6000))), (2, None)], "k int, a array<int>")
+    wide = arrays_to_columns(df)
+    assert len(wide.columns) == 6001
+    assert wide.filter("k = 1").first()["a_5999"] == 5999
+    long = array_elements(df, "a")
+    assert long.columns == ["k", "position", "value"]
+    assert long.filter("position = value").count() == 6000
+
+
 def test_arrays_to_columns_refuses_excess_width_and_ignores_maps(spark):
     df = spark.createDataFrame([([1, 2, 3], {"k": [1]})], "a array<int>, m map<string, array<int>>")
     with pytest.raises(ValueError, match="allowed"):

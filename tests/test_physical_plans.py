@@ -6,7 +6,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as contract
+import workload
 from stratalode import plans
 from stratalode.operators import dedup_latest, merge_upsert
 
@@ -47,10 +47,10 @@ def records_shuffled(df):
 
 
 @needs_tables
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(workload.queries()))
 def test_no_python_no_pair_joins_and_nothing_whole_in_one_task(spark, plan, name):
     """Only aggregates without groups, one row per task, may meet in a single partition."""
-    text = plan(contract.queries()[name](spark, SF_DIR))
+    text = plan(workload.queries()[name](spark, SF_DIR))
     for operator in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin", "InPandas"):
         assert operator not in text
     lines = text.splitlines()
@@ -61,7 +61,7 @@ def test_no_python_no_pair_joins_and_nothing_whole_in_one_task(spark, plan, name
 
 @needs_tables
 def test_scans_read_only_the_columns_used(spark, plan):
-    text = plan(contract.queries()["user_ltv"](spark, SF_DIR))
+    text = plan(workload.queries()["user_ltv"](spark, SF_DIR))
     schemas = re.findall(r"ReadSchema: struct<([^>]*)>", text)
     columns = {c.split(":")[0] for schema in schemas for c in schema.split(",")}
     assert columns == {
@@ -71,14 +71,14 @@ def test_scans_read_only_the_columns_used(spark, plan):
 
 @needs_tables
 def test_predicates_reach_the_file(spark, plan):
-    text = plan(contract.queries()["filter_predicate"](spark, SF_DIR))
+    text = plan(workload.queries()["filter_predicate"](spark, SF_DIR))
     assert "EqualTo(o_orderstatus,F)" in text and "GreaterThanOrEqual(o_totalprice,100000.0)" in text
 
 
 @needs_tables
 def test_top_products_is_a_top_k_over_totals_added_up_before_the_join(spark, plan, settings):
     settings(autoBroadcastJoinThreshold="-1")
-    text = plan(contract.queries()["top10_products_revenue"](spark, SF_DIR))
+    text = plan(workload.queries()["top10_products_revenue"](spark, SF_DIR))
     assert "TakeOrderedAndProject" in text
     joined_below = text[text.index("SortMergeJoin [products_productId") :]
     assert "partial_sum(products_quantity" in joined_below
@@ -86,7 +86,7 @@ def test_top_products_is_a_top_k_over_totals_added_up_before_the_join(spark, pla
 
 @needs_tables
 def test_category_share_reads_the_lines_once(spark, plan):
-    text = plan(contract.queries()["category_performance"](spark, SF_DIR), final=True)
+    text = plan(workload.queries()["category_performance"](spark, SF_DIR), final=True)
     final_part = text.split("== Initial Plan ==")[0]
     assert "ReusedExchange" in final_part
 

@@ -283,3 +283,61 @@ def test_staging_leaves_nothing_and_changes_no_setting(spark, rows):
         assert folder.is_dir()
     assert not folder.exists()
     assert spark.sparkContext.getCheckpointDir() == before
+
+
+def test_latest_day_and_ranges_open_no_other_day(spark, tmp_path, rows):
+    root = str(tmp_path)
+    for day in ("2023-12-31", "2024-01-30", "2024-02-01", "2024-03-01"):
+        sinks.write_silver_parquet(days(spark, day), root, "t", day)
+    for day in ("year=2023/month=12/day=31", "year=2024/month=01/day=30"):
+        for file in Path(root, "t", day).glob("*.parquet"):
+            file.write_bytes(b"no parquet")
+    read = sources.scan_partitioned_root
+    assert rows(read(spark, f"{root}/t", "latest").select("month")) == [(3,)]
+    assert rows(read(spark, f"{root}/t", "latest", before="2024-03-01").select("month")) == [(2,)]
+    assert sources.latest_partition(spark, f"{root}/t", "2024-01-30")[0] == dt.date(2023, 12, 31)
+    assert sources.latest_partition(spark, f"{root}/t", "2023-12-31") is None
+    scan = sources.scan_date_range
+    assert rows(scan(spark, f"{root}/t", "2024-02-01", "2024-03-05").select("month")) == [(2,), (3,)]
+    assert rows(scan(spark, f"{root}/t", "2024-01-31", "2024-02-28", exact=True).select("month")) == [(2,)]
+    assert scan(spark, f"{root}/t", "2020-01-01", "2020-02-01").count() == 0
+
+
+def test_business_columns_called_like_date_parts_are_not_replaced(spark, tmp_path):
+    df = days(spark, "2024-01-01").withColumn("day", F.lit(5))
+    with pytest.raises(ValueError, match="day"):
+        sinks.write_silver_parquet(df, str(tmp_path), "t", date_column="at")
+
+
+def test_merge_snapshot_keeps_recency_and_takes_deletions(spark, tmp_path, rows):
+    root, by = str(tmp_path), "_airbyte_extracted_at"
+    schema = f"id int, v string, {by} int"
+    stored = spark.createDataFrame([(1, "a", 5), (1, "older", 4), (2, "a", 5)], schema)
+    sinks.write_silver_parquet(stored, root, "t", "2024-01-01")
+    late = spark.createDataFrame([(1, "late", 3), (2, "new", 6)], schema)
+    merged = sinks.merge_snapshot(spark, late, root, "t", "2024-01-02", order_by=by)
+    assert rows(merged) == [(1, "a", 5), (2, "new", 6)]
+    feed = spark.createDataFrame([(1, "x", 7, 7), (3, "x", 7, None)], f"{schema}, _ab_cdc_deleted_at int")
+    merged = sinks.merge_snapshot(spark, feed, root, "t", "2024-01-03", order_by=by, how="upsert")
+    assert rows(merged) == [(2, "new", 6), (3, "x", 7)]
+    first = sinks.merge_snapshot(spark, feed, root, "u", "2024-01-03", order_by=by, how="upsert")
+    assert rows(first) == [(3, "x", 7)]
+
+
+def test_appending_a_day_again_replaces_it(spark, tmp_path, rows):
+    target = str(tmp_path / "table")
+    for n, day in ((2, "2024-01-01"), (3, "2024-01-02"), (2, "2024-01-02")):
+        sinks.write_table(spark.range(n), target, fmt="orc", execution_date=day)
+    assert rows(sources.scan_table(spark, target, "orc").select("id", "day")) == [(0, 1), (0, 2), (1, 1), (1, 2)]
+
+
+def test_single_files_and_day_folders_as_sources(spark, tmp_path, rows):
+    root = str(tmp_path)
+    spark.range(2).write.json(f"{root}/shop_carts.json")
+    spark.range(3).write.parquet(f"{root}/carts.parquet")
+    sinks.land_bronze_json(spark.range(1), root, "t", "2024-01-05")
+    read = sources.scan_execution_date
+    assert read(spark, f"{root}/shop_", "carts").count() == 2
+    assert read(spark, f"{root}/shop_carts.json").count() == 2
+    assert read(spark, f"{root}/carts.parquet").count() == 3
+    assert rows(read(spark, f"{root}/t/year=2024/month=01/day=05").select("id", "day")) == [(0, 5)]

@@ -15,10 +15,16 @@ def test_align_adds_missing_columns_ignoring_case(spark):
 
 
 def brute_upsert(target, source):
-    """target (k, a, kept); source (k, a, added, version, deleted). NULL keys never match."""
+    """target (k, a, kept); source (k, a, added, version, deleted).
+
+    NULL keys never match: each such change is inserted unless it is a deletion.
+    """
     changes = {}
     nulls = []
     for row in source:
+        if row[0] is None:
+            nulls += [(None, row[1], None, row[2])] if row[4] is None else []
+            continue
         rank = (row[3], row[1], row[2], row[4] or 0)
         if row[0] not in changes or rank > changes[row[0]][0]:
             changes[row[0]] = (rank, row)
@@ -31,7 +37,7 @@ def brute_upsert(target, source):
             out.append((k, change[1], kept, change[2]))
     known = {k for k, *_ in target if k is not None}
     for k, (_, change) in changes.items():
-        if (k is None or k not in known) and change[4] is None:
+        if k not in known and change[4] is None:
             out.append((k, change[1], None, change[2]))
     return sorted(out + nulls, key=repr)
 
@@ -116,3 +122,29 @@ def test_merge_keeps_untouched_duplicates_only_when_told_they_are_unique(spark):
     incoming = spark.createDataFrame([(2, "c")], "id int, v string")
     assert merge_dedup(existing, incoming).count() == 2
     assert merge_dedup(existing, incoming, existing_is_unique=True).count() == 3
+
+
+def test_unique_merge_and_upsert_read_each_side_once(spark, tmp_path, plan):
+    """One wide scan of the table and one of its keys; the feed once, as it is staged."""
+    spark.range(50).selectExpr("id", "id AS v", "1 AS updated_at").write.parquet(f"{tmp_path}/t")
+    spark.range(5).selectExpr("id", "id AS v", "2 AS updated_at").write.parquet(f"{tmp_path}/s")
+    t, s = spark.read.parquet(f"{tmp_path}/t"), spark.read.parquet(f"{tmp_path}/s")
+
+    def schemas(df, folder):
+        lines = [x for x in plan(df).splitlines() if "FileScan" in x and f"{tmp_path}/{folder}]" in x]
+        return sorted(x.split("ReadSchema: ")[1] for x in lines)
+
+    merged = merge_dedup(t, s, existing_is_unique=True)
+    assert schemas(merged, "t") == ["struct<id:bigint,v:bigint,updated_at:int>", "struct<id:bigint>"]
+    upserted = merge_upsert(t, s)
+    assert schemas(upserted, "s") == []
+    assert schemas(upserted, "t") == ["struct<id:bigint,v:bigint,updated_at:int>", "struct<id:bigint>"]
+
+
+def test_upsert_with_recency_leaves_newer_rows_alone(spark, rows):
+    t = spark.createDataFrame([(1, "t", 5), (2, "t", 5), (3, "t", 5), (4, "t", None)], "id int, v string, updated_at int")
+    s = spark.createDataFrame(
+        [(1, "s", 4, None), (2, "s", 6, None), (3, "s", 4, 4), (4, "s", 1, None)],
+        "id int, v string, updated_at int, _ab_cdc_deleted_at int",
+    )
+    assert rows(merge_upsert(t, s, keep_recency=True)) == [(1, "t", 5), (2, "s", 6), (3, "t", 5), (4, "s", 1)]

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 CREATED_AT = "2024-06-01 00:00:00"
 RUN_DATE = "2024-06-01"
+LATER_DATE = "2024-06-02"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

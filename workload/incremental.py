@@ -90,6 +90,34 @@ def merge_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    FEED
+    + """
+SELECT c_custkey, c_name, c_nationkey, coalesce(f.c_acctbal, c.c_acctbal) AS c_acctbal,
+       c.c_mktsegment, f.tier
+FROM customer c LEFT JOIN feed f USING (c_custkey, c_nationkey)
+WHERE f.closed IS NOT TRUE
+UNION ALL
+SELECT c_custkey, NULL, c_nationkey, c_acctbal, c_mktsegment, tier
+FROM feed WHERE c_custkey < 0 AND NOT closed
+UNION ALL
+SELECT NULL, NULL, n_nationkey, n_nationkey, 'UNKNOWN', 'keyless' FROM nation WHERE n_nationkey % 3 <> 0"""
+)
+def merge_upsert_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same feed with changes that have no key: each is inserted, but for the deletions."""
+    keyless = table(spark, sf_dir, "nation").select(
+        F.lit(None).cast("bigint").alias("c_custkey"),
+        F.col("n_nationkey").alias("c_nationkey"),
+        F.col("n_nationkey").cast("double").alias("c_acctbal"),
+        F.lit("UNKNOWN").alias("c_mktsegment"),
+        F.lit("keyless").alias("tier"),
+        F.lit(2).alias("_ab_cdc_updated_at"),
+        F.when(F.col("n_nationkey") % 3 == 0, F.lit(2)).alias("_ab_cdc_deleted_at"),
+    )
+    feed = incoming_customers(spark, sf_dir).unionByName(keyless)
+    return ops.merge_upsert(table(spark, sf_dir, "customer"), feed, "c_custkey")
+
+
 # Without technical columns in the stored table, the newest version of an open account wins.
 MERGED = (
     FEED
@@ -132,6 +160,50 @@ def merge_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.drop_cdc_columns(merged)
 
 
+@query(
+    FEED
+    + """
+SELECT c_custkey, c_name, c_nationkey, coalesce(f.c_acctbal, c.c_acctbal) AS c_acctbal,
+       c.c_mktsegment, f.tier
+FROM customer c LEFT JOIN feed f USING (c_custkey, c_nationkey)
+WHERE f.closed IS NOT TRUE
+UNION ALL
+SELECT c_custkey, NULL, c_nationkey, c_acctbal, c_mktsegment, tier
+FROM feed WHERE c_custkey < 0 AND NOT closed"""
+)
+def merge_snapshot_deletes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Closed accounts leave the stored table."""
+    root = new_folder(spark, "snapshots")
+    write_silver_parquet(table(spark, sf_dir, "customer"), root, "customer", "2024-05-31")
+    merged = merge_into_snapshot(
+        spark, incoming_customers(spark, sf_dir), root, "customer", "2024-06-01", "c_custkey", how="upsert"
+    )
+    return ops.drop_cdc_columns(merged)
+
+
+@query(
+    """
+SELECT c_custkey, c_name, c_nationkey,
+       CASE c_mktsegment WHEN 'HOUSEHOLD' THEN round(c_acctbal + 7, 2) ELSE c_acctbal END AS c_acctbal,
+       c_mktsegment, CASE c_mktsegment WHEN 'HOUSEHOLD' THEN 7 ELSE 5 END AS _airbyte_extracted_at
+FROM customer"""
+)
+def merge_snapshot_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A change of version 3 arrives after version 5 was stored, and one of version 7."""
+    root = new_folder(spark, "snapshots")
+    customers = table(spark, sf_dir, "customer")
+    days = (("2024-05-30", "c_mktsegment is not null", 5), ("2024-05-31", "c_mktsegment = 'BUILDING'", 3), ("2024-06-01", "c_mktsegment = 'HOUSEHOLD'", 7))
+    for day, which, version in days:
+        changed = customers.filter(which).withColumns({
+            "c_acctbal": F.round(F.col("c_acctbal") + (0 if version == 5 else version), 2),
+            "_airbyte_extracted_at": F.lit(version),
+        })
+        merged = merge_into_snapshot(
+            spark, changed, root, "customer", day, "c_custkey", "_airbyte_extracted_at", existing_is_unique=True
+        )
+    return merged
+
+
 @query(
     """
 SELECT *, CAST(NULL AS BIGINT) AS s_suppkey, CAST(NULL AS VARCHAR) AS s_name,

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from stratalode import plans, sinks, sources
 from stratalode.plans.silver import RAW_SCHEMAS
 from workload.fixtures import (
-    CART_LINES,
+    CARTS,
     CREATED_AT,
+    LATER_DATE,
     NEWEST_CARTS,
     PRODUCTS,
     RUN_DATE,
@@ -21,8 +22,10 @@ from workload.fixtures import (
     flat_products,
     products,
     second_text,
+    table,
 )
-from workload.registry import query
+from workload.indicators import SOLD, cents
+from workload.registry import oracles, query
 
 DATE_TEXT = "strftime(date, '%Y-%m-%d %H:%M:%S') AS date"
 CART_ROWS = f'SELECT id, "userId", {DATE_TEXT}, __v, "products_productId", products_quantity'
@@ -90,94 +93,143 @@ def landed_shop(spark: SparkSession, sf_dir: str) -> str:
     return root
 
 
-@query(f"WITH {NEWEST_CARTS} {CART_ROWS} FROM ({exploded('newest_carts')})")
+@query("SELECT doc_id, text, lang, source, n_chars, source AS updated_by FROM documents")
+def process_table_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole long texts, and a text column that merely sounds like a date."""
+    documents = table(spark, sf_dir, "documents").withColumn("updated_by", F.col("source"))
+    return plans.process_table(documents, keys="doc_id", not_timestamps="updated_by")
+
+
+SILVER_PRODUCTS = "SELECT * FROM products"
+
+
+def both_tables(carts_sql: str, products_sql: str) -> str:
+    return f"""
+WITH {NEWEST_CARTS}, {PRODUCTS}
+SELECT 'carts' AS silver_table, * FROM ({carts_sql})
+UNION ALL BY NAME SELECT 'products' AS silver_table, * FROM ({products_sql})"""
+
+
+def in_one_silver_table(carts: DataFrame, products: DataFrame) -> DataFrame:
+    labelled = [
+        df.withColumn("silver_table", F.lit(name)) for name, df in (("carts", carts), ("products", products))
+    ]
+    return labelled[0].unionByName(labelled[1], allowMissingColumns=True)
+
+
+@query(both_tables(f"{CART_ROWS} FROM ({exploded('newest_carts')})", SILVER_PRODUCTS))
 def process_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both shop tables from bronze to silver; returns the carts."""
+    """Both shop tables from bronze to silver."""
     bronze, silver = landed_shop(spark, sf_dir), sinks.new_folder(spark, "silver")
     written = plans.process_tables(
         spark, bronze, silver, ["products", "carts"], RUN_DATE, schemas=RAW_SCHEMAS, subdomain="shop"
     )
-    return with_date_text(sources.scan_parquet(spark, written["carts"]))
+    return in_one_silver_table(
+        with_date_text(sources.scan_parquet(spark, written["carts"])),
+        sources.scan_parquet(spark, written["products"]),
+    )
 
 
-@query(f"WITH {PRODUCTS} SELECT id, title, category, price, rating_count FROM products")
+@query(both_tables(f"{CART_ROWS} FROM ({exploded('newest_carts')})", SILVER_PRODUCTS))
+def process_tables_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same into ORC files, run twice for one day: no row is there twice."""
+    bronze, silver = landed_shop(spark, sf_dir), sinks.new_folder(spark, "silver")
+    for _ in range(2):
+        written = plans.process_tables(
+            spark, bronze, silver, ["products", "carts"], RUN_DATE,
+            schemas=RAW_SCHEMAS, subdomain="shop", target_format="orc",
+        )
+    carts, products = (
+        sources.scan_table(spark, written[name], "orc").drop("year", "month", "day") for name in ("carts", "products")
+    )
+    return in_one_silver_table(with_date_text(carts), products)
+
+
+@query(
+    f"""
+WITH {CARTS}, {PRODUCTS}
+SELECT 'carts' AS silver_table, id, "userId", __v, strftime(date, '%Y-%m-%dT%H:%M:%SZ') AS date, coalesce(n, -1) AS n_products
+FROM carts
+UNION ALL BY NAME SELECT 'products' AS silver_table, * FROM ({SILVER_PRODUCTS})"""
+)
 def process_tables_el(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both shop tables copied as they are; returns the products, rating still nested."""
+    """Both shop tables copied as they are, rating and products still nested."""
     bronze, silver = landed_shop(spark, sf_dir), sinks.new_folder(spark, "silver")
     written = plans.process_tables(
         spark, bronze, silver, ["products", "carts"], RUN_DATE, mode="EL", schemas=RAW_SCHEMAS
     )
-    return sources.scan_parquet(spark, written["products"]).select(
-        "id", "title", "category", "price", F.col("rating.count").alias("rating_count")
-    )
+    carts = sources.scan_parquet(spark, written["carts"])
+    carts = carts.withColumn("n_products", F.coalesce(F.array_size("products"), F.lit(-1))).drop("products")
+    products = sources.scan_parquet(spark, written["products"])
+    products = products.withColumns(
+        {"rating_count": F.col("rating.count"), "rating_rate": F.col("rating.rate")}
+    ).drop("rating")
+    return in_one_silver_table(carts, products)
+
+
+GOLD = ("top10_products_revenue", "sales_daily", "product_performance", "category_performance", "user_ltv")
 
 
 def in_one_table(frames: dict[str, DataFrame]) -> DataFrame:
-    """All gold tables below each other: table, key, revenue in cents, units."""
-    keys = {
-        "top10_products_revenue": ("product_id", "total_units_sold"),
-        "sales_daily": ("date", "total_items"),
-        "product_performance": ("product_id", "total_quantity"),
-        "category_performance": ("category", "total_quantity"),
-        "user_ltv": ("user_id", "total_items"),
-    }
-    parts = [
-        frames[name].select(
-            F.lit(name).alias("gold_table"),
-            (second_text(key) if key == "date" else F.col(key).cast("string")).alias("key"),
-            F.round("total_revenue", 2).alias("total_revenue"),
-            F.col(units).alias("units"),
-        )
-        for name, (key, units) in keys.items()
-    ]
-    return reduce(DataFrame.unionByName, parts)
-
-
-def gold_in_one_table(lines: str) -> str:
-    """The same in SQL, over the cart lines of a CTE."""
-
-    def indicator(name: str, key: str) -> str:
-        return f"""
-    SELECT '{name}' AS gold_table, {key} AS key, round(SUM(revenue), 2) AS total_revenue,
-           CAST(SUM(quantity) AS BIGINT) AS units
-    FROM sales GROUP BY {key}"""
-
-    return f""",
-sales AS (
-    SELECT c."userId" AS user_id, c.date, p.id AS product_id, p.category,
-           c.products_quantity AS quantity, p.price * c.products_quantity AS revenue
-    FROM {lines} c LEFT JOIN products p ON c."products_productId" = p.id
-), by_product AS ({indicator("product_performance", "product_id")}
-), top10 AS (
-    SELECT * REPLACE ('top10_products_revenue' AS gold_table) FROM by_product
-    WHERE key IS NOT NULL ORDER BY total_revenue DESC, key LIMIT 10
-)
-SELECT * REPLACE (CAST(key AS VARCHAR) AS key) FROM by_product
-UNION ALL SELECT * REPLACE (CAST(key AS VARCHAR) AS key) FROM top10
-UNION ALL {indicator("category_performance", "category")}
-UNION ALL SELECT * REPLACE (CAST(key AS VARCHAR) AS key) FROM ({indicator("user_ltv", "user_id")})
-UNION ALL SELECT * REPLACE (strftime(key, '%Y-%m-%d %H:%M:%S') AS key)
-FROM ({indicator("sales_daily", "date")})"""
+    """All gold tables below each other with all their columns."""
 
+    def comparable(name: str) -> DataFrame:
+        df = cents(frames[name])
+        for column in ("date", "created_at"):
+            if column in df.columns:
+                df = df.withColumn(column, second_text(column))
+        return df.withColumn("gold_table", F.lit(name))
 
-@query(f"WITH {PRODUCTS}, {CART_LINES} {gold_in_one_table('cart_lines')}")
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), map(comparable, GOLD))
+
+
+def gold_in_one_table(sold: str = SOLD) -> str:
+    """The same in SQL: the indicators' own queries over the lines in ``sold``."""
+    return " UNION ALL BY NAME ".join(
+        f"SELECT '{name}' AS gold_table, * FROM ({oracles()[name].replace(SOLD, sold)})" for name in GOLD
+    )
+
+
+# The lines of the newest carts under the names that the indicators' SQL uses.
+NEWEST_SOLD = f"""
+WITH {PRODUCTS}, {NEWEST_CARTS}, newest_lines AS ({exploded("newest_carts")}), sold AS (
+    SELECT c.id AS o_orderkey, c."userId" AS o_custkey, c.date AS o_orderdate,
+           c.products_quantity AS l_quantity, p.id AS p_partkey, p.title AS p_name,
+           p.category AS p_type, p.price AS p_retailprice, p.rating_count AS p_size,
+           p.price * c.products_quantity AS revenue
+    FROM newest_lines c LEFT JOIN products p ON c."products_productId" = p.id
+)"""
+
+
+@query(gold_in_one_table())
 def build_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return in_one_table(
         plans.build_gold(cart_lines(spark, sf_dir), flat_products(spark, sf_dir), CREATED_AT)
     )
 
 
-@query(
-    f"""
-WITH {PRODUCTS}, {NEWEST_CARTS}, newest_lines AS ({exploded("newest_carts")})
-{gold_in_one_table("newest_lines")}"""
-)
+def gold_of(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
+    return in_one_table({name: sources.scan_parquet(spark, path) for name, path in paths.items()})
+
+
+@query(gold_in_one_table(NEWEST_SOLD))
 def bronze_to_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole daily run, read back from the gold zone."""
     raw = {"products": products(spark, sf_dir), "carts": carts(spark, sf_dir)}
     paths = plans.run_pipeline(
         spark, raw, sinks.new_folder(spark, "lake"), RUN_DATE, CREATED_AT, subdomain="shop"
     )
-    return in_one_table(
-        {name: sources.scan_parquet(spark, path) for name, path in paths.items()}
-    )
+    return gold_of(spark, paths)
+
+
+@query(gold_in_one_table(NEWEST_SOLD))
+def bronze_to_gold_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A later day with other prices and fewer carts runs first, then the day itself."""
+    lake = sinks.new_folder(spark, "lake")
+    later = {
+        "products": products(spark, sf_dir).withColumn("price", F.col("price") * 20),
+        "carts": carts(spark, sf_dir).filter("id % 2 = 0"),
+    }
+    plans.run_pipeline(spark, later, lake, LATER_DATE, CREATED_AT, subdomain="shop")
+    raw = {"products": products(spark, sf_dir), "carts": carts(spark, sf_dir)}
+    return gold_of(spark, plans.run_pipeline(spark, raw, lake, RUN_DATE, CREATED_AT, subdomain="shop"))

@@ -86,6 +86,23 @@ def scan_execution_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(EVENTS)
+def scan_execution_date_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clicks in one file of their own, views below a common beginning, the rest in a day's folder."""
+    root = sinks.new_folder(spark, "bronze")
+    rows = flat_events(spark, sf_dir).drop("ts")
+    is_click, is_view = F.col("event_type") == "click", F.col("event_type") == "view"
+    rows.filter(is_click).write.json(f"{root}/clicks.json")
+    rows.filter(is_view).write.json(f"{root}/shop_views.json")
+    sinks.land_bronze_json(rows.filter(~is_click & ~is_view), root, "rest", "2024-06-01")
+    parts = [
+        sources.scan_execution_date(spark, f"{root}/clicks.json", schema=EVENT_SCHEMA),
+        sources.scan_execution_date(spark, f"{root}/shop_", "views", schema=EVENT_SCHEMA),
+        sources.scan_execution_date(spark, f"{root}/rest/year=2024/month=06/day=01", schema=DATED_SCHEMA).drop("year", "month", "day"),
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @query(DATED_EVENTS + " WHERE day(ts) BETWEEN 8 AND 17")
 def scan_date_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = dated_parquet(spark, sf_dir)
