@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -110,7 +112,8 @@ def constraint_violations(
         *[finding("not_null", c, column(name) > 0, name) for c, name in nulls.items()],
     ]
     key_text = F.concat_ws(",", *[F.coalesce(column(k).cast("string"), F.lit("NULL")) for k in keys])
-    return counted.select(
+    broken = reduce(or_, [column(name) > 0 for name in nulls.values()], column(rows) > 1)
+    return counted.filter(broken).select(
         key_text.alias("key"),
         F.inline(F.filter(F.array(*findings), lambda f: f.row_count.isNotNull())),
     ).select("rule", "column_name", "key", "row_count")

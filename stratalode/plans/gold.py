@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from stratalode.plans.contract import GOLD_TABLES, conform_to_schema
+from stratalode.plans.contract import GOLD_TABLES, conform_to_schema, constraint_violations
 from stratalode.plans.indicators import (
     CreatedAt,
     daily_totals,
@@ -22,6 +24,8 @@ from stratalode.sinks.files import write_gold_parquet
 from stratalode.sinks.stage import stage
 from stratalode.sinks.tables import write_jdbc
 
+log = logging.getLogger(__name__)
+
 
 def build_gold(
     carts: DataFrame,
@@ -66,7 +70,9 @@ def write_gold_tables(
 ) -> dict[str, str]:
     """Write gold tables as Parquet and, given a URL, to a database as well.
 
-    The database rows are read back from the Parquet just written, so nothing is
+    What is written breaks no rule silently: findings of the tables' contracts are
+    counted from the written files and logged as warnings, see
+    :func:`constraint_violations`. The database rows are read back from the Parquet just written, so nothing is
     computed twice and both copies carry the same load time.
     """
     paths = {name: f"{root.rstrip('/')}/{name}" for name in frames}
@@ -74,9 +80,18 @@ def write_gold_tables(
     def write(name: str) -> None:
         df, path = frames[name], paths[name]
         write_gold_parquet(df, path)
+        _report_violations(name, df.sparkSession.read.schema(df.schema).parquet(path))
         if jdbc_url is not None:
             written = df.sparkSession.read.schema(df.schema).parquet(path)
             write_jdbc(written, jdbc_url, name, properties=jdbc_properties)
 
     side_by_side(next(iter(frames.values())).sparkSession, write, frames)
     return paths
+
+
+def _report_violations(name: str, written: DataFrame) -> None:
+    if name not in GOLD_TABLES:
+        return
+    found = constraint_violations(written, GOLD_TABLES[name].keys, GOLD_TABLES[name].required)
+    for row in found.groupBy("rule", "column_name").agg(F.sum("row_count").alias("n")).collect():
+        log.warning("%s: %s rows break %s of %s", name, row["n"], row["rule"], row["column_name"])

@@ -219,3 +219,12 @@ def test_cleaning_keeps_long_text_and_columns_that_sound_like_dates(spark):
     assert len(row["text"]) == 40_000 and row["updated_by"] == "maria" and row["due_date"].year == 2024
     flat = plans.process_and_flatten(df, not_timestamps=["updated_by"]).first()
     assert flat["updated_by"] == "maria"
+
+
+def test_findings_of_written_gold_tables_are_logged(spark, tmp_path, caplog):
+    products = spark.createDataFrame([(1, "t", "c", 2.0, 1, 1.0)], "id bigint, title string, category string, price double, rating_count bigint, rating_rate double")
+    carts = spark.createDataFrame([(1, 1, 99, 1)], "id bigint, userId bigint, products_productId bigint, products_quantity bigint")
+    carts = carts.withColumn("date", F.lit("2024-01-01").cast("timestamp"))
+    with caplog.at_level("WARNING"):
+        plans.write_gold_tables(plans.build_gold(carts, products, "2024-01-01 00:00:00"), str(tmp_path))
+    assert any("product_performance" in m and "not_null" in m and "product_id" in m for m in caplog.messages)
