@@ -5,9 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType, _parse_datatype_string
 
+def in_share(hashed: Column, share: Column | float) -> Column:
+    """Whether a 64-bit hash lies in the given share of all hashes, for thinning out before a sample is cut."""
+    limit = share if isinstance(share, Column) else F.lit(share)
+    return F.pmod(hashed, F.lit(1 << 30)) < limit * (1 << 30)
+
+
 Make = Callable[[pa.RecordBatch], list]
 
 

@@ -14,10 +14,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratalode.llm.columns import with_arrow_columns
+from stratalode.llm.columns import in_share, with_arrow_columns
 from stratalode.llm.words import pieces
 from stratalode.sinks import stage
 
@@ -176,22 +177,28 @@ def fit_languages(
     At most ``max_per_language`` documents of each are used, those with the
     smallest hashes of their keys, with their whole texts; every ``held_back``-th
     of them only serves to set the sharpness of scores and the limits of rejection.
-    Rows with a NULL text, language or key are left out. Without rows there are no
+    Rows with a NULL text, language or key are left out. Keys are thinned out by
+    their hashes before they are ranked, so no task ranks a whole language. Without rows there are no
     languages. The driver holds the n-gram counts of this bounded sample.
     """
-    known = docs.where(f"{key} is not null and {lang} is not null and {text} is not null")
-    order = Window.partitionBy("lang").orderBy(F.xxhash64(F.lit(7), F.col("key").cast("string")), "key")
-    ranked = known.select(F.col(key).alias("key"), F.col(lang).alias("lang")).withColumn("nth", F.row_number().over(order))
+    known = docs.where(f"{key} is not null and {lang} is not null")
+    keys = known.select(F.col(key).alias("key"), F.col(lang).alias("lang"))
+    counts = stage(keys.groupBy("lang").count(), "languages")
+    hashed = F.xxhash64(F.lit(7), F.col("key").cast("string"))
+    thin = keys.join(counts, "lang").where(in_share(hashed, 2 * max_per_language / F.col("count")))
+    order = Window.partitionBy("lang").orderBy(hashed, "key")
+    ranked = thin.select("key", "lang").withColumn("nth", F.row_number().over(order))
     chosen = stage(ranked.where(F.col("nth") <= max_per_language).dropDuplicates(["key"]), "language-rows")
-    texts = known.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    texts = known.where(f"{text} is not null").select(F.col(key).alias("key"), F.col(text).alias("text"))
     sample = stage(texts.join(chosen, "key").select("lang", "nth", "text"), "language-texts")
     learn, check = sample.where(F.col("nth") % held_back != 0), sample.where(F.col("nth") % held_back == 0)
     counted = learn.select("lang", "text").mapInArrow(_counted, "lang string, gram bigint, n bigint")
-    rows = counted.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
-    languages, models = [], []
-    for language, own in rows.groupby("lang", sort=True):
-        languages.append(language)
-        models.append(kneser_ney(own["gram"].to_numpy(np.int64).view(np.uint64), own["n"].to_numpy()))
+    rows = counted.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()
+    languages = sorted(rows["lang"].unique().to_pylist())
+    models = []
+    for language in languages:
+        own = rows.filter(pc.equal(rows["lang"], language))
+        models.append(kneser_ney(own["gram"].to_numpy().view(np.uint64), own["n"].to_numpy()))
     model = LanguageModel(tuple(languages), tuple(models))
     if not languages:
         return model

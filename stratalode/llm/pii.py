@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratalode.llm.columns import with_arrow_columns
+from stratalode.llm.columns import in_share, with_arrow_columns
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -300,13 +300,16 @@ def examples_of(text: str) -> list[tuple[str, list[Span]]]:
 
 
 def fit_pii(docs: DataFrame, max_docs: int = 2_000, max_examples: int = 6_000, text: str = "text") -> Field:
-    """Train the field on at most ``max_docs`` texts with a digit or ``@``, those of the smallest hashes.
+    """Train the field on at most ``max_docs`` different texts with a digit or ``@``.
 
-    Of their stretches at most ``max_examples`` are used, evenly spread. Without
-    such texts the field finds nothing and only base spans are reported.
+    They are those of the smallest hashes among ``16 * max_docs`` rows or so, which
+    the hash picks out of all; copies count once. Of their stretches at most
+    ``max_examples`` are used, evenly spread. Without such texts the field finds
+    nothing and only base spans are reported.
     """
-    texts = docs.select(F.col(text).alias("text")).where(F.col("text").rlike("[0-9@]"))
     order = F.xxhash64(F.lit(3), "text")
+    texts = docs.select(F.col(text).alias("text")).where(in_share(order, 16 * max_docs / max(docs.count(), 1)))
+    texts = texts.where(F.col("text").rlike("[0-9@]")).distinct()
     sample = texts.withColumn("order", order).orderBy("order", "text").limit(max_docs)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratalode.llm.columns import with_arrow_columns
+from stratalode.llm.columns import in_share, with_arrow_columns
 from stratalode.llm.words import ALPHANUMERIC, Words, find_words, pieces
 from stratalode.sinks import stage
 
@@ -176,23 +176,24 @@ def fit_toxicity(
     marks = labels.where(f"{key} is not null and {label} in (0, 1)").groupBy(F.col(key).alias("key"))
     marks = marks.agg(F.max(label).cast("int").alias("toxic"))
     order = F.xxhash64(F.lit(4), F.col("key").cast("string"))
-    classes = [marks.where(F.col("toxic") == c).orderBy(order, "key").limit(max_per_class) for c in (0, 1)]
-    chosen = stage(classes[0].unionByName(classes[1]), "labelled")
     totals = {r["toxic"]: r["count"] for r in marks.groupBy("toxic").count().collect()}
+    classes = []
+    for c in (0, 1):  # thinned out first, so that what meets in one task for the cut is bounded
+        thin = marks.where((F.col("toxic") == c) & in_share(order, 2 * max_per_class / max(totals.get(c, 0), 1)))
+        classes.append(thin.orderBy(order, "key").limit(max_per_class))
+    chosen = stage(classes[0].unionByName(classes[1]), "labelled")
     texts = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     sample = stage(texts.join(chosen, "key").select("text", "toxic"), "training")
 
-    counted = sample.mapInArrow(_count, "slot bigint, toxic bigint, n bigint").groupBy("slot", "toxic").agg(F.sum("n").alias("n"))
-    rows = counted.toPandas()
-    counts = np.zeros((2, SLOTS + 1), dtype=np.int64)
-    counts[rows["toxic"].to_numpy(np.int64), rows["slot"].to_numpy(np.int64)] = rows["n"].to_numpy(np.int64)
-    documents = counts[:, SLOTS].astype(np.float64)
-    first = ToxicityModel(
-        counts[1, :SLOTS].astype(np.float32),
-        counts[:, :SLOTS].sum(axis=0).astype(np.float32),
-        float((documents[1] + 1) / (documents.sum() + 2)),
-    )
-    if not documents.all():
+    counted = sample.mapInArrow(_count, "slot bigint, toxic bigint, n bigint").groupBy("slot")
+    counted = counted.agg(F.sum(F.col("n") * F.col("toxic")).alias("toxic"), F.sum("n").alias("n"))
+    rows = counted.where((F.col("n") >= ToxicityModel.least) | (F.col("slot") == SLOTS)).toArrow()  # others are never looked at
+    counts = np.zeros((2, SLOTS + 1), dtype=np.float32)
+    for name, kind in (("toxic", 0), ("n", 1)):
+        counts[kind, rows["slot"].to_numpy()] = rows[name].to_numpy()
+    toxic, documents = (float(counts[i, SLOTS]) for i in (0, 1))
+    first = ToxicityModel(counts[0, :SLOTS], counts[1, :SLOTS], (toxic + 1) / (documents + 2))
+    if toxic in (0, documents):
         return first
     bins = sample.where("toxic = 0").mapInArrow(_histogram(first), "bin bigint, n bigint").groupBy("bin").agg(F.sum("n").alias("n"))
     plain = replace(first, rate=_rate({r["bin"]: r["n"] for r in bins.collect()}, first.loss))
