@@ -37,7 +37,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data replaced by its kind in brackets; n_chars follows the text."""
-    redacted = pii.redact(pii.find_pii(docs, pii.fit_pii(docs)))
+    redacted = pii.redact(docs, pii.fit_pii(docs))
     if "n_chars" in docs.columns:
         n_chars = F.length("text").cast(docs.schema["n_chars"].dataType)
         redacted = redacted.withColumn("n_chars", F.when(F.size("pii") > 0, n_chars).otherwise(F.col("n_chars")))

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType, _parse_datatype_string
 
@@ -15,9 +17,30 @@ def in_share(hashed: Column, share: Column | float) -> Column:
     return F.pmod(hashed, F.lit(1 << 30)) < limit * (1 << 30)
 
 
+_libc = next((c for c in [ctypes.CDLL(None)] if hasattr(c, "malloc_trim")), None)  # glibc only
+
 Make = Callable[[pa.RecordBatch], list]
 
 
+def give_back() -> None:
+    """Return freed memory to the system: workers stay for later tasks of other operators."""
+    pa.default_memory_pool().release_unused()
+    if _libc is not None:
+        _libc.malloc_trim(0)
+
+
+@contextlib.contextmanager
+def rows_per_batch(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Arrow batches of at most ``rows`` rows for the jobs run inside, the session's setting afterwards."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def with_arrow_columns(df: DataFrame, make: Make, fields: str) -> DataFrame:
     """``df`` with the columns ``fields`` (DDL) that ``make`` gives for each batch.
 
@@ -32,5 +55,6 @@ def with_arrow_columns(df: DataFrame, make: Make, fields: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([*batch.columns, *make(batch)], titles)
+        give_back()
 
     return df.mapInArrow(run, schema)

@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stratalode.llm.columns import give_back, rows_per_batch
 from stratalode.llm.components import components
 from stratalode.llm.words import UNSPACED, Words, combined, find_words, mixed, pieces, window_starts
 from stratalode.sinks import stage
@@ -35,6 +36,8 @@ BANDS, ROWS, SKETCH_BITS, MOST_DIFFERENT = 48, 6, 128, 36
 #: Before full sets are compared in the second round: of 2048 one-bit coordinates
 #: such a pair has more than 275 different ones with a chance of 3e-7.
 LONG_BITS, MOST_DIFFERENT_LONG = 2048, 275
+#: Rows with one or two whole texts in an Arrow batch.
+BATCH_ROWS = 500
 
 
 def shingles(words: Words, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -109,6 +112,7 @@ def _signed(n: int, bands: int, rows: int):
                     batch.column(0).slice(i, j - i).cast(pa.int64()), pa.array(sizes), pa.array(same, pa.binary()),
                     pa.array(sketch[:, 0]), pa.array(sketch[:, 1]), pa.array(keys, pa.list_(pa.int64())),
                 ], schema=schema)
+        give_back()
 
     return sign
 
@@ -125,6 +129,7 @@ def _long(n: int):
                 bits = np.packbits((signatures(values, counts, LONG_BITS) & 1).astype(np.uint8).T, axis=1)
                 longs = pa.array(list(np.ascontiguousarray(bits).view(np.int64)), pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), longs], schema=schema)
+        give_back()
 
     return sign
 
@@ -145,6 +150,7 @@ def _confirmed(n: int, percent: int):
                 both = len(np.intersect1d(a, b, assume_unique=True))
                 keep.append(both > 0 and 100 * both >= percent * (len(a) + len(b) - both))
             yield pa.RecordBatch.from_arrays(list(batch.filter(pa.array(keep, pa.bool_())).columns[:2]), schema=schema)
+        give_back()
 
     return confirm
 
@@ -180,7 +186,8 @@ def near_duplicates(
     spark = docs.sparkSession
     texts = docs.select(F.col(key).cast("bigint").alias("id"), F.col(text).alias("text"))
     schema = "id bigint, n_shingles bigint, same binary, s1 bigint, s2 bigint, bands array<bigint>"
-    signed = stage(texts.mapInArrow(_signed(shingle_words, bands, rows), schema), "signatures")
+    with rows_per_batch(spark, BATCH_ROWS):
+        signed = stage(texts.mapInArrow(_signed(shingle_words, bands, rows), schema), "signatures")
     filled = signed.where("same is not null and id is not null")
     classes = stage(filled.groupBy("same").agg(F.min("id").alias("node")), "classes")
     nodes = filled.join(classes.withColumn("id", F.col("node")), ["same", "id"])
@@ -202,7 +209,8 @@ def near_duplicates(
             .join(bodies.select(F.col("id").alias("b"), F.col("text").alias("b_text")), "b")
             .select("a", "b", "a_text", "b_text")
         )
-        return stage(both.mapInArrow(_confirmed(shingle_words, percent), "a bigint, b bigint").distinct(), "links")
+        with rows_per_batch(spark, BATCH_ROWS):
+            return stage(both.mapInArrow(_confirmed(shingle_words, percent), "a bigint, b bigint").distinct(), "links")
 
     def described(members: DataFrame) -> DataFrame:
         return members.join(facts, "node")
@@ -223,7 +231,8 @@ def near_duplicates(
     )
     rest = stage(labelled.join(mixed_buckets, "band").where("node <> centre"), "mixed-buckets")
     apart = bodies.join(rest.select(F.col("node").alias("id")).distinct(), "id", "left_semi").dropDuplicates(["id"])
-    longer = stage(apart.mapInArrow(_long(shingle_words), "node bigint, long array<bigint>"), "long-signatures")
+    with rows_per_batch(spark, BATCH_ROWS):
+        longer = stage(apart.mapInArrow(_long(shingle_words), "node bigint, long array<bigint>"), "long-signatures")
     rest = stage(rest.join(facts, "node").join(longer, "node"), "mixed-members")
     first = F.array_position(F.zip_with("x.bands", "y.bands", lambda p, q: p == q), True) - 1
     different = sum(F.bit_count(F.get("x.long", F.lit(i)).bitwiseXOR(F.get("y.long", F.lit(i)))) for i in range(LONG_BITS // 64))

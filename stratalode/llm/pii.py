@@ -351,8 +351,7 @@ def find_pii(docs: DataFrame, model: Field, text: str = "text") -> DataFrame:
         own, out = Field(shared.value), []
         for value in batch.column(text).to_pylist():
             base, spans = find_spans(value or "", own)
-            known = set(base)
-            out.append([{"kind": k, "start": a, "end": b, "base": (a, b, k) in known} for a, b, k in spans])
+            out.append(_rows(base, spans))
         return [pa.array(out, kind)]
 
     return with_arrow_columns(docs, make, "pii array<struct<kind: string, start: int, end: int, base: boolean>>")
@@ -363,18 +362,32 @@ def spans_text(spans):
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
-def redact(found: DataFrame, text: str = "text") -> DataFrame:
-    """The result of `find_pii` with each span, or run of overlapping ones, replaced by ``[KIND]`` of its first."""
+def redact(docs: DataFrame, model: Field, text: str = "text") -> DataFrame:
+    """`find_pii`, with each span, or run of overlapping ones, replaced in the text by ``[KIND]`` of its first."""
+    shared = docs.sparkSession.sparkContext.broadcast(model.weights)
+    kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("base", pa.bool_())]))
 
     def make(batch: pa.RecordBatch) -> list:
-        out = []
-        for value, spans in zip(batch.column(text).to_pylist(), batch.column("pii").to_pylist(), strict=True):
-            parts, at = [], 0
-            for s in spans or ():
-                if s["start"] >= at:
-                    parts += [value[at : s["start"]], f"[{s['kind'].upper()}]"]
-                at = max(at, s["end"])
-            out.append(value if value is None or not parts else "".join([*parts, value[at:]]))
-        return [pa.array(out, pa.string())]
-
-    return with_arrow_columns(found, make, "_redacted string").withColumn(text, F.col("_redacted")).drop("_redacted")
+        own, texts, found = Field(shared.value), [], []
+        for value in batch.column(text).to_pylist():
+            base, spans = find_spans(value or "", own)
+            found.append(_rows(base, spans))
+            texts.append(value if not spans else _without(value, spans))
+        return [pa.array(found, kind), pa.array(texts, pa.string())]
+
+    fields = "pii array<struct<kind: string, start: int, end: int, base: boolean>>, _redacted string"
+    return with_arrow_columns(docs, make, fields).withColumn(text, F.col("_redacted")).drop("_redacted")
+
+
+def _rows(base: list[Span], spans: list[Span]) -> list[dict]:
+    known = set(base)
+    return [{"kind": k, "start": a, "end": b, "base": (a, b, k) in known} for a, b, k in spans]
+
+
+def _without(text: str, spans: list[Span]) -> str:
+    parts, at = [], 0
+    for a, b, kind in spans:
+        if a >= at:
+            parts += [text[at:a], f"[{kind.upper()}]"]
+        at = max(at, b)
+    return "".join([*parts, text[at:]])

@@ -95,7 +95,7 @@ def test_awkward_rows_empty_tables_and_redaction(spark, awkward):
     spans = {r["doc_id"]: [(s["kind"], s["start"], s["end"]) for s in r["pii"]] for r in found.where("doc_id is not null").collect()}
     assert spans[8] == [("email", 9, 20), ("ip", 21, 29)]
     assert spans[3] == spans[4] == spans[5] == []
-    texts = {r["doc_id"]: r["text"] for r in redact(found).where("doc_id is not null").collect()}
+    texts = {r["doc_id"]: r["text"] for r in redact(awkward, model).where("doc_id is not null").collect()}
     assert texts[8] == "ß é 漢字 \U0001f600 [EMAIL] [IP]"
     assert texts[3] is None
     assert fit_pii(awkward.limit(0)).weights is not None
