@@ -3,8 +3,9 @@
 A page is read into blocks, each with its path of tags from the root. Text length
 and punctuation are added up per path; the ratios are smoothed over the blocks in
 page order, fused with the path's own, and paths above a threshold are content.
-The smallest element that holds nearly all of it is the article, and what else
-stands in it belongs to it: short headings and list items have poor ratios of
+No block whose path passes is dropped. What else stands in the elements that hold
+such blocks (an <article> or <main>, their containers, what shares one with the
+h1) belongs to the article too: short headings and list items have poor ratios of
 their own. Menus, forms, notices and the like are left out by their elements and
 labels wherever they stand.
 """
@@ -50,6 +51,8 @@ LABELS = frozenset(
     " related reply replies respond responses search share sharing sidebar signup skyscraper social sponsor sponsored subscribe"
     " subscription teaser toolbar widget".split()
 )
+# Elements that hold several blocks of one text; a block of other elements is part of what is around it.
+CONTAINERS = frozenset(["", *"html body article main div td th".split()])
 #: As in browsers, elements nested deeper are not told apart; their text is kept.
 MAX_DEPTH = 512
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -190,6 +193,10 @@ def _is_out(element: Element) -> bool:
     return element.out or any(e.by_label and not e.holds_article for e in element.up())
 
 
+def _container(element: Element) -> Element:
+    return next(e for e in element.up() if e.tag in CONTAINERS and (e.tag not in ("td", "th") or e is not element))
+
+
 def _path(element: Element) -> str:
     return "/".join(f"{e.tag}.{e.label}" if e.label else e.tag for e in element.up() if e.tag in BLOCKS)
 
@@ -218,26 +225,42 @@ def content_paths(blocks: list[tuple[str, str, int]], share: float = 0.3) -> set
 
 
 def extract(page: str | None, coverage: float = 0.9) -> str:
-    """The blocks of the article, joined by two line ends."""
+    """The blocks of the article, joined by two line ends.
+
+    These are all blocks whose path is one of content, and what else stands in the
+    <article> or <main> around them, in the container of any of them, or in the
+    smallest element that holds ``coverage`` of their text, or that and the h1.
+    """
     rows = [(b, text) for b in read_blocks(page or "") if (text := b.joined()) and not _is_out(b.element)]
     if not rows:
         return ""
     paths = content_paths([(_path(b.element), text, b.linked) for b, text in rows])
-    kept = [(b, text) for b, text in rows if _path(b.element) in paths] or rows
-    total = sum(len(text) for _, text in kept)
+    kept = {id(b) for b, _ in rows if _path(b.element) in paths} or {id(b) for b, _ in rows}
+    total = sum(len(text) for b, text in rows if id(b) in kept)
     inside: Counter = Counter()
-    for b, text in kept:
-        for e in b.element.up():
-            inside[id(e)] += len(text)
-    longest = max(kept, key=lambda r: len(r[1]))[0].element
-    article = next(e for e in longest.up() if inside[id(e)] >= coverage * total)
-    while article.tag not in BLOCKS - {"p"} and article.parent is not None:
-        article = article.parent
-    if article.tag in ("", "html", "body"):
-        chosen = kept
-    else:
-        chosen = [(b, text) for b, text in rows if any(e is article for e in b.element.up())]
-    return "\n\n".join(text for _, text in chosen)
+    whole: dict[int, Element] = {}
+    for b, text in rows:
+        if id(b) in kept:
+            for e in b.element.up():
+                inside[id(e)] += len(text)
+                if e.tag in ("article", "main"):
+                    whole[id(e)] = e
+            c = _container(b.element)
+            whole[id(c)] = c
+    longest = max((r for r in rows if id(r[0]) in kept), key=lambda r: len(r[1]))[0].element
+    article = _container(next(e for e in longest.up() if inside[id(e)] >= coverage * total))
+    titles = {id(e) for b, _ in rows if b.element.tag == "h1" for e in b.element.up()}
+    titled = next((e for e in article.up() if id(e) in titles), article)
+    whole |= {id(article): article, id(titled): titled}
+    # All of a page is no article: of its own elements, only blocks that stand in no other container count.
+    pages = {e for e, element in whole.items() if element.tag in ("", "html", "body")}
+
+    def belongs(b: Block) -> bool:
+        if id(b) in kept or b.element.tag == "h1" or id(_container(b.element)) in pages:
+            return True
+        return any(id(e) in whole and id(e) not in pages for e in b.element.up())
+
+    return "\n\n".join(text for b, text in rows if belongs(b))
 
 
 def extract_text(pages: DataFrame, column: str = "html", name: str = "text") -> DataFrame:

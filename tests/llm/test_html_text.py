@@ -42,3 +42,25 @@ def test_columns_repeated_rows_and_empty_tables(spark):
     assert [(r["page_id"], len(r["text"]) == r["n_chars"]) for r in found] == [(1, True), (1, True), (2, True), (None, True)]
     assert found[2]["text"] == "" and found[3]["text"] == "x"
     assert extract_text(pages.limit(0)).count() == 0
+
+
+LONG = " ".join([PARAGRAPH] * 40)
+
+
+@pytest.mark.parametrize("around", ["<article>{}</article>", "<main>{}</main>", "<div class=content>{}</div>", "{}"])
+@pytest.mark.parametrize("tag", ["pre", "blockquote", "section", "li", "div"])
+def test_one_dominant_block_drops_nothing_around_it(tag, around):
+    page = around.format(f"<h1>Title</h1><p>An intro, short.</p><{tag}>{LONG}</{tag}><p>The end.</p>")
+    want = f"Title\n\nAn intro, short.\n\n{LONG}\n\nThe end."
+    assert extract(f"<body><nav>menu</nav>{page}<footer>foot</footer></body>") == want
+
+
+@pytest.mark.parametrize("around", ["<article>{}</article>", "<div class=content>{}</div>", "{}"])
+def test_title_beside_the_body(around):
+    page = around.format(f"<h1>Title</h1><div class=body><p>{LONG}</p><p>{LONG}</p><ul><li>one</ul></div>")
+    assert extract(f"<body><nav>menu</nav>{page}</body>") == f"Title\n\n{LONG}\n\n{LONG}\n\none"
+
+
+def test_body_split_over_two_containers():
+    page = f"<body><div class=a>{f'<p>{PARAGRAPH}</p>' * 12}</div><div class=b><h2>Rest</h2><p>{PARAGRAPH}</p></div></body>"
+    assert extract(page) == "\n\n".join([PARAGRAPH] * 12 + ["Rest", PARAGRAPH])
