@@ -7,7 +7,9 @@ No block whose path passes is dropped. What else stands in the elements that hol
 such blocks (an <article> or <main>, their containers, what shares one with the
 h1) belongs to the article too: short headings and list items have poor ratios of
 their own. Menus, forms, notices and the like are left out by their elements and
-labels wherever they stand.
+labels wherever they stand, but not a form, dialog or object around the article,
+nor parts of an <article> whose labels can name parts of a text and whose paths
+are those of content.
 """
 
 from __future__ import annotations
@@ -51,6 +53,13 @@ LABELS = frozenset(
     " related reply replies respond responses search share sharing sidebar signup skyscraper social sponsor sponsored subscribe"
     " subscription teaser toolbar widget".split()
 )
+# Those of the words that also name parts of an article, as in id=related-work; in one, paths decide.
+PARTS = frozenset(
+    "alert banner complementary copyright discussion header menu notice notices privacy promoted related replies reply respond"
+    " responses search share sharing social sponsor sponsored teaser".split()
+)
+# Elements of NOT_CONTENT that may also be wrapped around the article.
+WRAPPERS = frozenset("form dialog object".split())
 # Elements that hold several blocks of one text; a block of other elements is part of what is around it.
 CONTAINERS = frozenset(["", *"html body article main div td th".split()])
 #: As in browsers, elements nested deeper are not told apart; their text is kept.
@@ -72,6 +81,9 @@ class Element:
     by_label: bool = False
     holds_article: bool = False
     depth: int = 0
+    by_part: bool = False
+    holds_main: bool = False
+    wraps: bool = False
 
     def up(self):
         e = self
@@ -90,16 +102,17 @@ class Block:
         return " ".join("".join(self.text).split())
 
 
-def _marked(tag: str, attributes: str) -> tuple[str, bool]:
-    """The label that tells elements of a path apart, and whether it marks no content."""
-    label, bad = "", bool(_HIDDEN.search(attributes))
+def _marked(tag: str, attributes: str) -> tuple[str, bool, bool]:
+    """The label that tells elements of a path apart, and whether it marks no content: surely, or by words of `PARTS` only."""
+    label, bad, part_of = "", bool(_HIDDEN.search(attributes)), False
     for name, *values in _LABEL.findall(attributes):
         value = next((v for v in values if v), "")
         if name.lower() == "class":
             label = value.split()[0] if value.split() else ""
         if name.lower() != "aria-label" and not bad:
-            bad = any(part.lower() in LABELS for part in _PART.findall(value))
-    return label, bad
+            words = {part.lower() for part in _PART.findall(value)} & LABELS
+            bad, part_of = bool(words - PARTS), part_of or bool(words)
+    return label, bad, part_of and not bad
 
 
 def read_blocks(page: str) -> list[Block]:
@@ -172,14 +185,18 @@ def read_blocks(page: str) -> list[Block]:
                 if last is not None:
                     close(last.parent)
             links = 0
-        label, bad = _marked(tag, attributes) if attributes.strip() else ("", False)
-        by_label = bad and tag not in HEADINGS and tag not in ("html", "body", "main", "article")
-        out = here.out or tag in NOT_CONTENT or tag == "header" and not any(e.tag in ("article", "main") for e in here.up())
+        label, bad, part_of = _marked(tag, attributes) if attributes.strip() else ("", False, False)
+        plain = tag not in HEADINGS and tag not in ("html", "body", "main", "article")
+        in_article = (bad or part_of or tag == "header") and any(e.tag in ("article", "main") for e in here.up())
+        wraps = tag in WRAPPERS
+        out = here.out or tag in NOT_CONTENT and not wraps or tag == "header" and not in_article
         if here.depth < MAX_DEPTH:
-            here = Element(tag, label, here, out, by_label, depth=here.depth + 1)
+            by_label, by_part = plain and (bad or part_of and not in_article), plain and part_of and in_article
+            here = Element(tag, label, here, out, by_label, depth=here.depth + 1, by_part=by_part, wraps=wraps)
         if tag in ("article", "main", "h1"):
             for e in here.up():
                 e.holds_article = True
+                e.holds_main = e.holds_main or tag != "h1"
         links += tag == "a" and not attributes.rstrip().endswith("/")
         if attributes.rstrip().endswith("/") and tag == "svg":
             close(here.parent)
@@ -193,6 +210,46 @@ def _is_out(element: Element) -> bool:
     return element.out or any(e.by_label and not e.holds_article for e in element.up())
 
 
+def _without_wrapped(rows: list[tuple[Block, str]]) -> list[tuple[Block, str]]:
+    """``rows`` without those of forms, dialogs and objects, unless they are around an article or most of the page's prose.
+
+    Prose are blocks without links that have the marks of sentences. A page without any is told by its h1.
+    """
+    prose: Counter = Counter()
+    total = 0
+    for b, text in rows:
+        if not b.linked and any(c in text for c in ".!?\u3002\uff01\uff1f"):
+            total += len(text)
+            for e in b.element.up():
+                if e.wraps:
+                    prose[id(e)] += len(text)
+
+    def around(e: Element) -> bool:
+        return e.holds_main or (2 * prose[id(e)] > total if total else e.holds_article)
+
+    return [(b, text) for b, text in rows if not any(e.wraps and not around(e) for e in b.element.up())]
+
+
+def _without_parts(rows: list[tuple[Block, str]]) -> list[tuple[Block, str]]:
+    """``rows`` without those in elements of an article that labels mark by words of `PARTS` and paths do not keep.
+
+    Headings do not count: an element of nothing else stays if what it heads does not tell more.
+    """
+    if not any(e.by_part for b, _ in rows for e in b.element.up()):
+        return rows
+    paths = content_paths([(_path(b.element), text, b.linked) for b, text in rows])
+    good, chars = Counter(), Counter()
+    for b, text in rows:
+        if b.element.tag in HEADINGS and not b.linked:
+            continue
+        for e in b.element.up():
+            if e.by_part and not e.holds_article:
+                chars[id(e)] += len(text)
+                good[id(e)] += len(text) * (_path(b.element) in paths)
+    bad = {e for e in chars if 2 * good[e] < chars[e]}
+    return [(b, text) for b, text in rows if not any(id(e) in bad for e in b.element.up())]
+
+
 def _container(element: Element) -> Element:
     return next(e for e in element.up() if e.tag in CONTAINERS and (e.tag not in ("td", "th") or e is not element))
 
@@ -232,6 +289,7 @@ def extract(page: str | None, coverage: float = 0.9) -> str:
     smallest element that holds ``coverage`` of their text, or that and the h1.
     """
     rows = [(b, text) for b in read_blocks(page or "") if (text := b.joined()) and not _is_out(b.element)]
+    rows = _without_parts(_without_wrapped(rows))
     if not rows:
         return ""
     paths = content_paths([(_path(b.element), text, b.linked) for b, text in rows])

@@ -64,3 +64,31 @@ def test_title_beside_the_body(around):
 def test_body_split_over_two_containers():
     page = f"<body><div class=a>{f'<p>{PARAGRAPH}</p>' * 12}</div><div class=b><h2>Rest</h2><p>{PARAGRAPH}</p></div></body>"
     assert extract(page) == "\n\n".join([PARAGRAPH] * 12 + ["Rest", PARAGRAPH])
+
+
+@pytest.mark.parametrize("tag", ["form", "dialog open", "object"])
+@pytest.mark.parametrize("article", ["<article><h1>T</h1><p>{0}</p></article>", "<div><h1>T</h1><p>{0}</p></div>"])
+def test_wrappers_of_the_whole_page_are_read(tag, article):
+    inner = f"<nav>menu</nav>{article.format(LONG)}<footer>foot</footer>"
+    assert extract(f"<body><{tag}>{inner}</{tag.split()[0]}></body>") == f"T\n\n{LONG}"
+
+
+def test_forms_beside_the_article_are_left_out():
+    form = f"<form><h1>Sign in</h1><label>Name</label><p>{PARAGRAPH}</p></form>"
+    assert extract(f"<body><article><h1>T</h1><p>{LONG}</p>{form}</article>{form}</body>") == f"T\n\n{LONG}"
+
+
+@pytest.mark.parametrize("label", ["section id=discussion", "section id=related-work", "section class=section-header", "p class=notice"])
+def test_labels_that_name_parts_of_an_article(label):
+    tag = label.split()[0]
+    inner = PARAGRAPH if tag == "p" else f"<h2>Part</h2><p>{PARAGRAPH}</p>"
+    page = f"<article><h1>T</h1><p>{PARAGRAPH}</p><{label}>{inner}</{tag}><p>Last. {PARAGRAPH}</p></article>"
+    assert PARAGRAPH in extract(page).split("Last.")[0].split(PARAGRAPH, 1)[1]
+
+
+@pytest.mark.parametrize("label", ["related-posts", "share", "comments", "discussion-comments", "cookie-notice"])
+def test_labels_of_links_and_of_others_are_left_out(label):
+    links = "<ul>" + "".join(f"<li><a href=/{i}>Another page, {i}</a>" for i in range(5)) + "</ul>"
+    inner = links if label in ("related-posts", "share") else f"<p>{PARAGRAPH}</p>"
+    page = f"<article><h1>T</h1><p>{LONG}</p><div class={label}>{inner}</div></article>"
+    assert extract(page) == f"T\n\n{LONG}"
