@@ -24,6 +24,7 @@ from stratalode.sinks import stage
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _SLOTS = np.uint64((1 << 22) - 1)
 FIELDS = "n_words bigint, n_hit bigint, items array<string>, hit_spans array<struct<from_char: int, to_char: int>>"
+SPANS = pa.list_(pa.struct([("from_char", pa.int32()), ("to_char", pa.int32())]))
 
 
 @dataclass(frozen=True)
@@ -81,7 +82,7 @@ def _scan(grams: NgramSet, column: pa.Array) -> list:
         spans += [_spans(words, hit, r, int(at[r])) if r in found else [] for r in range(j - i)]
     return [
         pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array(items, pa.list_(pa.string())),
-        pa.array(spans, pa.list_(pa.struct([("from_char", pa.int32()), ("to_char", pa.int32())]))),
+        pa.array(spans, SPANS),
     ]
 
 
@@ -125,8 +126,7 @@ def find_contamination(
 
 
 def _by_join(docs: DataFrame, bench: DataFrame, n: int, text: str) -> DataFrame:
-    """The same by joins, without limits on the benchmark's size. Spans are of single words."""
-    docs = docs.drop("n_words", "n_hit", "items", "hit_spans")
+    """The same by joins, without limits on the benchmark's size."""
     rows = stage(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
 
     def words(column: str):
@@ -145,19 +145,31 @@ def _by_join(docs: DataFrame, bench: DataFrame, n: int, text: str) -> DataFrame:
         each = tokens.select("_row", F.posexplode(windows("words", F.lit(length))).alias("pos", "window"))
         met = each.join(grams.where(F.col("length") == length), "window").select("_row", "pos", "length", "item")
         hits = met if hits is None else hits.unionByName(met)
-    counts = tokens.select("_row", F.size("words").cast("bigint").alias("n_words"))
-    out = rows.join(counts, "_row")
     if hits is not None:
         covered = hits.select("_row", F.explode(F.sequence(F.col("pos"), F.expr("pos + length - 1"))).alias("word")).distinct()
-        covered = covered.groupBy("_row").agg(F.count(F.lit(1)).alias("n_hit"))
-        listed = hits.select("_row", "item").distinct().groupBy("_row").agg(F.array_sort(F.collect_list("item")).alias("items"))
-        out = out.join(covered, "_row", "left").join(listed, "_row", "left")
+        covered = covered.groupBy("_row").agg(F.collect_list("word").alias("_covered"))
+        listed = hits.select("_row", "item").distinct().groupBy("_row").agg(F.array_sort(F.collect_list("item")).alias("_items"))
+        out = rows.join(covered, "_row", "left").join(listed, "_row", "left")
     else:
-        out = out.withColumns({"n_hit": F.lit(0).cast("bigint"), "items": F.lit(None).cast("array<string>")})
-    return out.drop("_row").withColumns({
-        "n_hit": F.coalesce("n_hit", F.lit(0).cast("bigint")),
-        "items": F.coalesce("items", F.array().cast("array<string>")),
-    })
+        out = rows.withColumns({"_covered": F.array().cast("array<int>"), "_items": F.array().cast("array<string>")})
+    return with_arrow_columns(out, lambda batch: _found(batch, text), FIELDS).drop("_row", "_covered", "_items")
+
+
+def _found(batch: pa.RecordBatch, text: str) -> list:
+    """The results of rows whose hit words (``_covered``, from 0) and items (``_items``) are known."""
+    n_words, n_hit, spans = [], [], []
+    covered = batch.column("_covered")
+    for i, j, data, at in pieces(batch.column(text)):
+        words = find_words(data, at, ALPHANUMERIC)
+        hit = np.zeros(len(words.starts), dtype=np.bool_)
+        own = [covered[r].as_py() or [] for r in range(i, j)]
+        for r, places in enumerate(own):
+            hit[words.first[r] + np.array(places, dtype=np.int64)] = True
+        n_words += words.counts.tolist()
+        n_hit += [len(places) for places in own]
+        spans += [_spans(words, hit, r, int(at[r])) if places else [] for r, places in enumerate(own)]
+    items = [found or [] for found in batch.column("_items").to_pylist()]
+    return [pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array(items, pa.list_(pa.string())), pa.array(spans, SPANS)]
 
 
 def items_digest(items: str = "items"):

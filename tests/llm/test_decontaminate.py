@@ -65,3 +65,17 @@ def test_awkward_rows_and_empty_tables(spark, awkward):
     assert find_contamination(awkward.limit(0), items).count() == 0
     assert find_contamination(awkward, items.limit(0)).where("n_hit > 0").count() == 0
     assert find_contamination(awkward, items.limit(0), max_benchmark_bytes=-1).where("n_hit > 0").count() == 0
+
+
+def test_join_and_broadcast_agree_in_all_columns(spark, rows):
+    texts = [*TEXTS, "é\U0001f600 a short item, ok short item", "\U0001f600, nameless-one nameless"]
+    data = [(i, t, "mine") for i, t in enumerate(texts)] + [(0, TEXTS[0], "mine")]
+    docs = spark.createDataFrame(data, "doc_id bigint, text string, HIT_spans string").repartition(3)
+    items = spark.createDataFrame(ITEMS, "item_id bigint, text string")
+    for bench in (items, items.limit(0)):
+        sent, joined = (find_contamination(docs, bench, 10, max_benchmark_bytes=limit) for limit in (1 << 20, -1))
+        assert sent.schema == joined.schema
+        assert rows(sent) == rows(joined)
+        assert rows(cut_spans(sent)) == rows(cut_spans(joined))
+    cut = {r["doc_id"]: r["text"] for r in cut_spans(find_contamination(docs, items, max_benchmark_bytes=0)).collect()}
+    assert cut[len(TEXTS)] == "é\U0001f600 a , ok " and cut[len(TEXTS) + 1] == "\U0001f600,  nameless"
