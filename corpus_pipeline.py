@@ -45,8 +45,9 @@ def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """What the mix takes of each document: one row per document."""
-    return mixing.mix(docs).select("doc_id", "source", "size", "source_size", "target", "taken")
+    """What the mix takes of each document: one row per document, its draws with shard, pass, words and text."""
+    mixed = mixing.mix(docs, with_text=True)
+    return mixed.select("doc_id", "source", "size", "source_size", "target", "taken", "draws")
 
 
 STAGES = [

@@ -96,18 +96,23 @@ def mix(
     text: str = "text",
     source: str = "source",
     key: str = "doc_id",
+    with_text: bool = False,
 ) -> DataFrame:
     """One row per document: key, source, size, source_size, target, draws, taken.
 
     Sources in the order of their code points, NULL last, have ``weights`` in
     turn. ``draws`` lists what the mix takes of the document, as structs of shard,
     pass and the range of words (from_word, to_word); ``taken`` is their length.
+    With ``with_text`` each draw also has the ``text`` of its words and the white
+    space after them (before them too at the start), so draws side by side join to
+    the document's text.
     A document that a block's end falls into is cut there, so every source gives
     its rounded target exactly, and no document is taken more than ``passes`` times.
 
     NULL and empty texts have size 0 and are never drawn; a NULL key is a key of
-    its own; rows with equal keys are put in the order of their sizes. An empty
-    table gives an empty result. Other columns do not matter and are not returned.
+    its own; rows with equal keys are put in the order of their sizes, and
+    of their texts' hashes where texts are returned. An empty table gives an empty
+    result. Other columns do not matter and are not returned.
 
     A source's order is that of the key's MD5, whose leading bits also are its
     bucket: sums by bucket are added up first, then the documents within each
@@ -116,8 +121,9 @@ def mix(
     """
     size = F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
     at = F.md5(F.concat(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(f":{seed}")))
+    texts = [F.col(text).alias("text"), F.xxhash64(text).alias("tie")] if with_text else []
     sized = stage(
-        docs.select(F.col(key).alias("key"), F.col(source).alias("source"), size.alias("size"), at.alias("at")), "sizes"
+        docs.select(F.col(key).alias("key"), F.col(source).alias("source"), size.alias("size"), at.alias("at"), *texts), "sizes"
     )
     totals = sized.groupBy("source").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("rows"))
     found = totals.limit(max_sources + 1).collect()
@@ -146,15 +152,18 @@ def mix(
         .agg(F.sum("size").alias("words"))
         .select("source", "bucket", F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("bucket_start"))
     )
-    inside = Window.partitionBy("source", "bucket").orderBy("at", "size").rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy("source", "bucket").orderBy("at", "size", *(["tie"] if with_text else [])).rowsBetween(Window.unboundedPreceding, 0)
     placed = sized.withColumn("upto", F.sum("size").over(inside)).alias("d")
     placed = placed.join(starts.alias("b"), F.expr("d.source <=> b.source and d.bucket = b.bucket"))
-    placed = placed.select("d.key", "d.source", "d.size", "d.at", (F.col("upto") - F.col("size") + F.col("bucket_start")).alias("start"))
+    carried = ["d.text"] if with_text else []
+    placed = placed.select("d.key", "d.source", "d.size", "d.at", *carried, (F.col("upto") - F.col("size") + F.col("bucket_start")).alias("start"))
     placed = placed.alias("d").join(sources.alias("s"), F.expr("d.source <=> s.source"))
     drawn = placed.select(
         F.col("d.key").alias(key), F.col("d.source").alias(source), "d.size", "source_size", "target", "at",
-        _draws(passes, shards).alias("draws"),
+        _draws(passes, shards).alias("draws"), *carried,
     )
+    if with_text:
+        drawn = drawn.withColumn("draws", F.transform("draws", lambda d: d.withField("text", _piece("text", "size", d)))).drop("text")
     taken = F.aggregate("draws", F.lit(0).cast("long"), lambda sum, d: sum + d["to_word"] - d["from_word"])
     return drawn.withColumn("taken", taken)
 
@@ -184,6 +193,15 @@ def _draws_of_pass(n: int, shards: int) -> Column:
     )
 
 
+def _piece(text: str, size: str, draw: Column) -> Column:
+    """The words of a draw with the white space after each, and with what is before the first word of the text."""
+    first, count = draw["from_word"].cast("int"), (draw["to_word"] - draw["from_word"]).cast("int")
+    words, spaces = F.regexp_extract_all(F.col(text), F.lit(WORD), F.lit(0)), F.split(F.col(text), WORD, -1)
+    parts = F.zip_with(F.slice(words, first + 1, count), F.slice(spaces, first + 2, count), lambda w, s: F.concat(w, s))
+    begin = F.when(first == 0, F.get(spaces, F.lit(0))).otherwise("")
+    return F.when(count == F.col(size), F.col(text)).otherwise(F.concat(begin, F.array_join(parts, "")))
+
+
 def shard_rows(mixed: DataFrame, seed: int = 8) -> DataFrame:
     """The mix itself: one row per drawn piece, gathered by shard and shuffled within it."""
     pieces = mixed.select(*[c for c in mixed.columns if c not in ("draws", "taken")], F.inline("draws"))

@@ -81,3 +81,25 @@ def test_awkward_rows_and_empty_tables(spark, awkward):
     assert mix(awkward.limit(0)).count() == 0
     silent = spark.createDataFrame([(1, None, "a"), (2, "", "b")], "doc_id bigint, text string, source string")
     assert [tuple(r) for r in mix(silent).select("target", "taken").collect()] == [(0.0, 0), (0.0, 0)]
+
+
+def test_draws_with_text_are_pieces_of_the_documents(spark, rows):
+    texts = {i: "  " * (i % 3) + "".join(f"w{k}\u00e9{' ' if k % 4 else chr(10)}" for k in range(i % 50)) for i in range(300)}
+    texts[300] = "long " * 5000
+    data = [(i, t, "ab"[i % 3 == 0]) for i, t in texts.items()] + [(None, f"t{k} x y", "b") for k in range(20)]
+    docs = spark.createDataFrame(data, "doc_id bigint, text string, source string")
+    mixed = mix(docs, shards=5, rows_per_bucket=20, with_text=True)
+    assert rows(mixed) == rows(mix(docs.repartition(7, "text"), shards=5, rows_per_bucket=9, with_text=True))
+    cut = 0
+    for r in mixed.where("doc_id is not null").collect():
+        for n in range(2):
+            pieces = sorted((d for d in r["draws"] if d["pass"] == n), key=lambda d: d["from_word"])
+            for d in pieces:
+                assert d["text"].split() == texts[r["doc_id"]].split()[d["from_word"] : d["to_word"]]
+                cut += d["to_word"] - d["from_word"] < r["size"]
+            if sum(d["to_word"] - d["from_word"] for d in pieces) == r["size"] > 0:
+                assert "".join(d["text"] for d in pieces) == texts[r["doc_id"]]
+    assert cut > 2
+    plain = mix(docs, shards=5).selectExpr("doc_id", "size", "taken")
+    assert rows(plain) == rows(mixed.selectExpr("doc_id", "size", "taken"))
+    assert "text" in shard_rows(mixed).columns

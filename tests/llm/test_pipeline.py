@@ -59,6 +59,16 @@ def test_stages_take_effect_and_keep_clean_documents(spark, tables):
         assert abs(sum(r["taken"] for r in own) - own[0]["target"]) <= 0.5
 
 
+def test_the_result_holds_the_redacted_texts_of_the_mix(spark, tables):
+    sf_dir, _ = tables
+    found = {r["doc_id"]: r for r in corpus_pipeline.run(spark, sf_dir).collect()}
+    assert all(sum(len(d["text"].split()) for d in r["draws"]) == r["taken"] for r in found.values())
+    assert any(r["taken"] for r in found.values())
+    for d in found[2002]["draws"]:
+        assert d["text"].split() == "reach me at [EMAIL] or [IP] today".split()[d["from_word"] : d["to_word"]]
+    assert found[2003]["draws"] == []
+
+
 def test_run_and_registration(spark, tables):
     sf_dir, _ = tables
     assert contract.queries()["pipeline"](spark, sf_dir).count() == corpus_pipeline.run(spark, sf_dir).count()
