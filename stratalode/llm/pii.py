@@ -36,7 +36,7 @@ _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 _DIGIT = re.compile(r"[0-9]")
-_TRIGGER = re.compile(r"[0-9]{2,}|@|[\[(]\s?at\s?[\])]", re.I)
+_TRIGGER = re.compile(r"[0-9]{2,}|@|[0-9][\[(]\.[\])]|[\[(]\s?at\s?[\])]", re.I)
 _TOKEN = re.compile(r"[0-9]+|[A-Za-z]+|[^\S\n]+|.|\n")
 _AROUND, MOST_TOKENS = 48, 24
 _CUES = {
@@ -48,6 +48,7 @@ _CUES = {
 PLAIN = (
     "on 2024-06-01 12:30 we", "at 2023-11-05 08:15:00 the", "since 01.02.2024 10:15 it", "from 1999-2004 and", "the 12/31/2023 11:59",
     "ISBN 978-3-16-148410-0 is", "of 10.20.30.400 and", "about 1 234 567 890 people", "some 12,345,678 of", "id 20240601123000 was",
+    "rows 10 2 3 4 and", "scores 10-2-3-1 of", "parts 12/3/4/5 in", "lots [10] [2] [3] [4] are", "of (12) 1 (2) 3 to", "at 300[.]1[.]2[.]3 is",
 )
 
 Span = tuple[int, int, str]
@@ -158,11 +159,14 @@ class Field:
         return out[::-1]
 
     def train(self, examples: list[tuple[str, list[Span]]], rounds: int = 8, rate: float = 0.5, penalty: float = 1e-3) -> None:
-        """Stochastic gradient on the conditional likelihood, with adapted steps."""
+        """Stochastic gradient on the conditional likelihood, with adapted steps.
+
+        Examples with a span that is no candidate (of too many tokens, or inside a word) would count as plain text; they are left out.
+        """
         for kind in KINDS:
             self.weights.setdefault(f"{kind}|", -2.0)
         squares: dict[str, float] = defaultdict(lambda: 1e-8)
-        prepared = [_prepared(text, spans) for text, spans in examples]
+        prepared = [p for text, spans in examples if sum((p := _prepared(text, spans))[2]) == len(set(spans))]
         for _ in range(rounds):
             for count, segments, wanted in prepared:
                 for f, g in self._gradient(count, segments, wanted).items():
@@ -208,7 +212,7 @@ def candidates(text: str, tokens: list[tuple[int, int]]) -> Iterator[tuple[int,
         c = text[start]
         before = text[start - 1] if start else " "
         if (c.isdigit() or c in "+(") and not before.isalnum():
-            digits = 0
+            digits = groups = 0
             for j in range(i, min(i + MOST_TOKENS, len(tokens))):
                 a, b = tokens[j]
                 piece = text[a:b]
@@ -216,9 +220,12 @@ def candidates(text: str, tokens: list[tuple[int, int]]) -> Iterator[tuple[int,
                     if not piece.isascii():
                         break
                     digits += len(piece)
+                    groups += 1
                     after = text[b] if b < len(text) else " "
                     if digits > 19:
                         break
+                    if 4 <= digits < 7 and groups == 4 and not after.isalnum():
+                        yield i, j + 1, "ip", features(text, start, b, "ip")
                     if digits >= 7 and not after.isalnum():
                         for kind in ("ip", "card", "phone") if 13 <= digits <= 15 else ("card",) if digits > 15 else ("ip", "phone"):
                             yield i, j + 1, kind, features(text, start, b, kind)

@@ -100,3 +100,25 @@ def test_awkward_rows_empty_tables_and_redaction(spark, awkward):
     assert texts[3] is None
     assert fit_pii(awkward.limit(0)).weights is not None
     assert find_pii(awkward.limit(0), model).count() == 0
+
+
+def test_short_addresses_written_around_are_candidates_and_found():
+    for address in ("10.0.0.1", "8.8.8.8", "1.22.3.4", "192.168.10.254"):
+        for body, spans in examples_of(f"see host {address} today"):
+            _, segments, wanted = pii._prepared(body, spans)
+            assert sum(wanted) == len(spans)
+    model = Field()
+    texts = [f"the host {i % 200}.{i % 7}.{i % 9}.{i % 4} sent {i} of {i * 31} rows on 2024-0{1 + i % 9}-11" for i in range(80)]
+    model.train([e for t in texts for e in examples_of(t)] + [(t, []) for t in pii.PLAIN for _ in range(5)])
+    for address in ("10[.]0[.]0[.]1", "8[.]8[.]8[.]8"):
+        text = f"the host {address} sent it"
+        assert find_spans(text, model) == ([], [(9, 9 + len(address), "ip")])
+    for text in pii.PLAIN:
+        assert find_spans(text, model) == ([], [])
+
+
+def test_spans_that_are_no_candidates_do_not_count_as_plain_text():
+    model = Field()
+    long = "4 1 1 1 1 1 1 1 1 1 1 1 1 1 1 1"
+    model.train([(long, [(0, len(long), "card")])])
+    assert set(model.weights.values()) == {-2.0}
