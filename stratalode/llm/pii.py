@@ -14,6 +14,7 @@ are negative ones.
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 from collections import defaultdict
@@ -25,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratalode.llm.columns import in_share, with_arrow_columns
+from stratalode.sinks import stage
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -35,6 +37,12 @@ _IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
+# What every text with a base span matches, and few others; for both Java and Python.
+_MAYBE = (
+    r"[A-Za-z0-9._%+-]@[A-Za-z0-9-]+\.[A-Za-z0-9-]|[0-9]\.[0-9]+\.[0-9]+\.[0-9]"
+    r"|[0-9]([\x20-]?[0-9]){13}|\+[0-9][\x20().0-9-]{8,}[0-9]"
+)
+
 _DIGIT = re.compile(r"[0-9]")
 _TRIGGER = re.compile(r"[0-9]{2,}|@|[0-9][\[(]\.[\])]|[\[(]\s?at\s?[\])]", re.I)
 _TOKEN = re.compile(r"[0-9]+|[A-Za-z]+|[^\S\n]+|.|\n")
@@ -307,17 +315,24 @@ def examples_of(text: str) -> list[tuple[str, list[Span]]]:
 
 
 def fit_pii(docs: DataFrame, max_docs: int = 2_000, max_examples: int = 6_000, text: str = "text") -> Field:
-    """Train the field on at most ``max_docs`` different texts with a digit or ``@``.
+    """Train the field on at most ``max_docs`` different texts with a digit or ``@``, and as many with base spans.
 
-    They are those of the smallest hashes among ``16 * max_docs`` rows or so, which
-    the hash picks out of all; copies count once. Of their stretches at most
-    ``max_examples`` are used, evenly spread. Without such texts the field finds
-    nothing and only base spans are reported.
+    Both are those of the smallest hashes among about ``16 * max_docs`` such rows,
+    which the hash picks out of all such rows, however rare they are; copies count
+    once. Of their stretches at most ``max_examples`` are used, evenly spread, but an
+    eighth of them have base spans if there are so many. Without such texts the
+    field finds nothing and only base spans are reported.
     """
-    order = F.xxhash64(F.lit(3), "text")
-    texts = docs.select(F.col(text).alias("text")).where(in_share(order, 16 * max_docs / max(docs.count(), 1)))
-    texts = texts.where(F.col("text").rlike("[0-9@]")).distinct()
-    sample = texts.withColumn("order", order).orderBy("order", "text").limit(max_docs)
+    texts = docs.select(F.col(text).alias("text")).where(F.col("text").rlike("[0-9@]"))
+
+    def with_base(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array([bool(base_spans(t)) for t in batch.column(0).to_pylist()], pa.bool_()))
+
+    def drawn(rows: DataFrame) -> DataFrame:
+        order = F.xxhash64(F.lit(3), "text")
+        rows = rows.where(in_share(order, 16 * max_docs / max(rows.count(), 1))).distinct()
+        return rows.withColumn("order", order).orderBy("order", "text").limit(max_docs).select("text")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -327,11 +342,18 @@ def fit_pii(docs: DataFrame, max_docs: int = 2_000, max_examples: int = 6_000, t
                 ["stretch", "spans"],
             )
 
-    rows = sample.select("text").mapInArrow(cut, "stretch string, spans string").distinct()
-    rows = rows.orderBy(F.xxhash64("stretch", "spans"), "stretch", "spans").limit(max_examples).collect()
+    sample = drawn(texts).unionByName(drawn(texts.where(F.col("text").rlike(_MAYBE)).mapInArrow(with_base, "text string")))
+    rows = stage(sample.distinct().mapInArrow(cut, "stretch string, spans string").distinct(), "stretches")
+    ordered = rows.orderBy(F.xxhash64("stretch", "spans"), "stretch", "spans")
+    taken = ordered.limit(max_examples).collect()
+    held = [r for r in taken if r["spans"]]
+    if len(held) < max_examples // 8:
+        held = ordered.where("spans <> ''").limit(max_examples // 8).collect()
+        taken = held + [r for r in taken if not r["spans"]][: max_examples - len(held)]
+        taken.sort(key=lambda r: hashlib.blake2b(f"{r['stretch']}\0{r['spans']}".encode(), digest_size=8).digest())
     found = Field()
-    plain = [(text, []) for text in PLAIN if rows for _ in range(5)]
-    found.train(plain + [(r["stretch"], [(int(a), int(b), k) for k, a, b in (s.split(":") for s in r["spans"].split(",") if s)]) for r in rows])
+    plain = [(text, []) for text in PLAIN if taken for _ in range(5)]
+    found.train(plain + [(r["stretch"], [(int(a), int(b), k) for k, a, b in (s.split(":") for s in r["spans"].split(",") if s)]) for r in taken])
     return found
 
 
