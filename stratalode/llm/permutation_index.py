@@ -129,6 +129,7 @@ class PermutationIndex:
     pivots: np.ndarray
     length: int
     count: int
+    k: int
 
 
 def build_index(
@@ -140,16 +141,18 @@ def build_index(
     hashes of their keys. Rows with equal vectors share a posting by the ``k + 1``
     smallest keys of the group, as no other can be among the ``k`` nearest of any
     query. Rows with a NULL key, a vector that cannot be compared, or another
-    length than the first pivot's take no part.
+    length than most vectors have (the smaller on a tie) take no part.
     """
     rows = vectors.select(F.col(key).cast("bigint").alias("vec_id"), F.col(vector).cast("array<double>").alias("vector"))
     rows = rows.where(F.col("vec_id").isNotNull() & usable(F.col("vector")))
+    sizes = rows.groupBy(F.size("vector").alias("size")).count().orderBy(F.col("count").desc(), "size").first()
+    size = sizes["size"] if sizes else 0
+    rows = rows.where(F.size("vector") == size)
     chosen = rows.orderBy(F.xxhash64(F.lit(5), "vec_id"), "vec_id").limit(pivots).select("vector").collect()
-    size = len(chosen[0]["vector"]) if chosen else 0
-    points = _units(np.array([r["vector"] for r in chosen if len(r["vector"]) == size], dtype=np.float64).reshape(-1, max(size, 1)))
+    points = _units(np.array([r["vector"] for r in chosen], dtype=np.float64).reshape(-1, max(size, 1)))
     length = min(length, len(points))
     same = Window.partitionBy("vector").orderBy("vec_id")
-    rows = rows.where(F.size("vector") == size).dropDuplicates(["vec_id", "vector"])
+    rows = rows.dropDuplicates(["vec_id", "vector"])
     rows = rows.withColumn("nth", F.row_number().over(same)).where(F.col("nth") <= k + 1).drop("nth")
 
     def post(batch: pa.RecordBatch) -> list:
@@ -157,7 +160,7 @@ def build_index(
         return [pa.array(orders.tolist(), pa.list_(pa.int16()))]
 
     posted = stage(with_arrow_columns(rows, post, "pivots array<smallint>"), "postings")
-    return PermutationIndex(posted, points, length, posted.count())
+    return PermutationIndex(posted, points, length, posted.count(), k)
 
 
 def search(
@@ -177,8 +180,11 @@ def search(
     by footrule, ``least`` rows at least, are ranked by cosine in double precision,
     ties by the smaller key. Queries are taken in blocks of at most ``block``, which
     bounds what is broadcast. Queries that cannot be compared have no rows; of
-    queries with equal keys one counts; an empty index gives an empty result.
+    queries with equal keys one counts; an empty index gives an empty result. A ``k``
+    above the index's own is refused, as it may lack copies.
     """
+    if k > index.k:
+        raise ValueError(f"the index was built for the {index.k} nearest, not {k}")
     spark = queries.sparkSession
     asked = queries.select(F.col(key).cast("bigint").alias("vec_id"), F.col(vector).cast("array<double>").alias("vector"))
     asked = asked.where(F.col("vec_id").isNotNull() & usable(F.col("vector")) & (F.size("vector") == index.pivots.shape[1]))

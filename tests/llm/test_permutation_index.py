@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 
 from stratalode.llm.permutation_index import InvertedFiles, build_index, search
 
@@ -78,3 +79,14 @@ def test_footrule_agrees_with_its_definition():
     for query in orders[:5]:
         want = [sum(abs(a - b) for a, b in zip(places(query), places(o), strict=True)) for o in orders]
         assert files.footrule(query).tolist() == want
+
+
+def test_one_odd_length_and_a_larger_k(spark):
+    copies = [(i, [1.0, 2.0, 3.0]) for i in range(12)]
+    for odd in range(100, 108):
+        df = spark.createDataFrame([*copies, (odd, [1.0, 2.0])], "vec_id bigint, embedding array<double>")
+        index = build_index(df, k=10)
+        assert index.count == 11 and index.pivots.shape[1] == 3
+    assert search(index, df.where("vec_id = 0"), k=10).count() == 10
+    with pytest.raises(ValueError, match="built for the 10 nearest"):
+        search(index, df, k=11)
