@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from stratalode.llm import decontaminate, html_text, language, minhash, mixing, permutation_index, pii, toxicity, url_filters, warc
+from stratalode.llm import credentials, decontaminate, html_text, language, minhash, mixing, permutation_index, pii, toxicity, url_filters, warc
 from stratalode.sinks import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -256,6 +256,81 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
 FROM placed
 """
 
+
+def op11_credentials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = credentials.find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("secrets", lambda s: s["base"])
+    counts = [F.size(F.filter(base, lambda s: s["kind"] == F.lit(k))).cast("bigint").alias(f"n_{k}") for k in credentials.BASE_KINDS]  # noqa: B023
+    return found.select(
+        "doc_id", *counts, F.sha2(pii.spans_text(base), 256).alias("base_sha256"), pii.spans_text("secrets").alias("spans")
+    )
+
+
+def _found_sql(name: str, pattern: str, group: int, column: str = "text") -> str:
+    """SQL for where a pattern is found in documents: (doc_id, n, start, stop, found, value)."""
+    quoted = pattern.replace("'", "''")
+    return f"""
+{name} AS (
+  SELECT doc_id, n, found, value, upto - length(found) AS start, upto AS stop FROM (
+    SELECT *, CAST(sum(length(ahead) + length(found)) OVER (PARTITION BY doc_id ORDER BY n) AS BIGINT) AS upto FROM (
+      SELECT doc_id, unnest(regexp_extract_all({column}, '{quoted}')) AS found,
+             unnest(regexp_extract_all({column}, '{quoted}', {group})) AS value,
+             unnest(string_split_regex({column}, '{quoted}')[:-2]) AS ahead,
+             unnest(range(len(regexp_extract_all({column}, '{quoted}')))) AS n
+      FROM docs)))"""
+
+
+def _role_sql() -> str:
+    parts = {k: p.replace("'", "''") for k, p in (("assign", credentials.ASSIGN), ("all", credentials.PARTS))}
+    groups = [f"coalesce(regexp_extract(found, '^(?:{parts['all']})$', {g}), '')" for g in range(1, 7)]
+    return f"""
+CASE WHEN length({groups[0]}) >= {credentials.LEAST_VALUE} THEN 'assign' WHEN {groups[1]} <> '' THEN 'access'
+     WHEN {groups[2]} <> '' THEN 'endpoint' WHEN {groups[3]} <> '' THEN 'user' WHEN {groups[4]} <> '' THEN 'hex'
+     WHEN regexp_matches({groups[5]}, '{credentials.ACCESS}|{credentials.HEX}')
+     THEN CASE WHEN regexp_matches({groups[5]}, '{credentials.HEX}') THEN 'held_hex' ELSE 'held_access' END
+     WHEN regexp_matches({groups[5]}, '{credentials.DIGITS}') AND regexp_matches({groups[5]}, '{credentials.LETTERS}') THEN 'key'
+     ELSE '' END"""
+
+
+OP11_SQL = f"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+{_found_sql("assigns", credentials.ASSIGN, 1)}, {_found_sql("accesses", credentials.ACCESS, 0)}, {_found_sql("hexes", credentials.HEX, 0)},
+{_found_sql("parts", credentials.PARTS, 0)}, {_found_sql("breaks", credentials.SCOPE_END, 0)},
+base AS (
+  SELECT doc_id, 'assign' AS kind, 0 AS rank, start, stop FROM assigns WHERE length(value) >= {credentials.LEAST_VALUE}
+  UNION ALL SELECT doc_id, 'access', 1, start, stop FROM accesses
+  UNION ALL SELECT doc_id, 'hex', 2, start, stop FROM hexes
+), roles AS (
+  SELECT p.doc_id, p.start, p.stop, {_role_sql()} AS role,
+         (SELECT count(*) FROM breaks b WHERE b.doc_id = p.doc_id AND b.start < p.start) AS scope
+  FROM parts p
+), met AS (
+  SELECT w.doc_id, w.start, w.stop, w.role, list(q.role) AS near
+  FROM roles w JOIN roles q ON w.doc_id = q.doc_id AND w.scope = q.scope
+   AND q.start - w.stop <= {credentials.REACH} AND w.start - q.stop <= {credentials.REACH}
+  WHERE w.role IN ('user', 'key', 'endpoint') GROUP BY ALL
+), told AS (
+  SELECT *, list_has_any(near, ['access', 'held_access']) AS identifier, list_has_any(near, ['assign', 'hex', 'held_hex']) AS secret,
+         list_contains(near, 'user') AS user_near, list_contains(near, 'key') AS key_near, list_contains(near, 'endpoint') AS endpoint_near
+  FROM met
+), linked AS (
+  SELECT doc_id, role AS kind, CASE role WHEN 'user' THEN 3 WHEN 'key' THEN 4 ELSE 5 END AS rank, start, stop FROM told
+  WHERE (role = 'key' AND (identifier OR (user_near AND endpoint_near)))
+     OR (role = 'user' AND (secret OR (key_near AND endpoint_near)))
+     OR (role = 'endpoint' AND (identifier OR user_near) AND (secret OR key_near))
+), listed AS (
+  SELECT doc_id, string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank) AS spans
+  FROM (FROM base UNION ALL FROM linked) GROUP BY doc_id
+), digests AS (
+  SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+         count(*) FILTER (kind = 'hex') AS n_hex, sha256(string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank)) AS digest
+  FROM base GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       coalesce(digest, sha256('')) AS base_sha256, coalesce(spans, '') AS spans
+FROM docs d LEFT JOIN digests USING (doc_id) LEFT JOIN listed USING (doc_id)
+"""
+
 QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
     "op2_decontamination": op2_decontamination,
@@ -267,9 +342,10 @@ QUERIES: dict[str, Query] = {
     "op8_mixing": op8_mixing,
     "op9_html_text": op9_html_text,
     "op10_minhash": op10_minhash,
+    "op11_credentials": op11_credentials,
     "pipeline": corpus_pipeline.run,
 }
-ORACLES = {"op1_warc": OP1_SQL, "op2_decontamination": OP2_SQL, "op10_minhash": OP10_SQL, "op6_url_filters": OP6_SQL, "op8_mixing": OP8_SQL}
+ORACLES = {"op1_warc": OP1_SQL, "op2_decontamination": OP2_SQL, "op10_minhash": OP10_SQL, "op6_url_filters": OP6_SQL, "op8_mixing": OP8_SQL, "op11_credentials": OP11_SQL}
 
 
 def importable(query: Query) -> Query:
