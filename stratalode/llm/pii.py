@@ -25,15 +25,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stratalode.functions.names import spare_name
 from stratalode.llm.columns import in_share, with_arrow_columns
 from stratalode.sinks import stage
 
 KINDS = ("email", "ip", "card", "phone")
+FIELDS = "pii array<struct<kind: string, start: int, end: int, base: boolean>>"
 
 # The patterns of the base spans.
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-_IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+# An address can only begin where a run of digits does; saying so keeps long runs linear.
+_IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
@@ -90,7 +93,8 @@ def base_spans(text: str) -> list[Span]:
         out += [(a, b, "email") for a, b in _emails(text)]
     if _DIGIT.search(text):
         for m in _IP.finditer(text):
-            if all(len(part.lstrip("0")) <= 3 and int(part) <= 255 for part in m[0].split(".")):
+            parts = [part.lstrip("0") for part in m[0].split(".")]
+            if all(len(part) <= 3 and int(part or "0") <= 255 for part in parts):
                 out.append((m.start(), m.end(), "ip"))
         for m in _CARD.finditer(text):
             if m.end() - m.start() >= 14:
@@ -383,7 +387,7 @@ def find_pii(docs: DataFrame, model: Field, text: str = "text") -> DataFrame:
             out.append(_rows(base, spans))
         return [pa.array(out, kind)]
 
-    return with_arrow_columns(docs, make, "pii array<struct<kind: string, start: int, end: int, base: boolean>>")
+    return with_arrow_columns(docs, make, FIELDS)
 
 
 def spans_text(spans):
@@ -404,8 +408,8 @@ def redact(docs: DataFrame, model: Field, text: str = "text") -> DataFrame:
             texts.append(value if not spans else _without(value, spans))
         return [pa.array(found, kind), pa.array(texts, pa.string())]
 
-    fields = "pii array<struct<kind: string, start: int, end: int, base: boolean>>, _redacted string"
-    return with_arrow_columns(docs, make, fields).withColumn(text, F.col("_redacted")).drop("_redacted")
+    spare = spare_name(docs.columns, "_redacted")
+    return with_arrow_columns(docs, make, f"{FIELDS}, {spare} string").withColumn(text, F.col(spare)).drop(spare)
 
 
 def _rows(base: list[Span], spans: list[Span]) -> list[dict]:

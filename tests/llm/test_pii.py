@@ -1,5 +1,6 @@
 import itertools
 import re
+import time
 
 from stratalode.llm import pii
 from stratalode.llm.pii import Field, base_spans, candidates, examples_of, find_pii, find_spans, fit_pii, luhn, redact
@@ -135,6 +136,20 @@ def test_rare_personal_data_is_in_the_sample(spark):
     assert ("email", "bob.smith [at] example.com") in [(k, text[a:b]) for a, b, k in find_spans(text, model)[1]]
 
 
+def test_long_runs_of_digits_take_linear_time():
+    zeros = "0" * 5000 + "1.2.3.4"
+    assert base_spans(zeros) == [(0, len(zeros), "ip")]
+    assert base_spans("9" * 5000 + ".2.3.4") == []
+    for text in ("7" * 1_000_000, "1." * 500_000, "+1 " * 300_000, "a@" * 500_000, "1" * 400_000 + ".1.1." + "2" * 400_000):
+        begun = time.perf_counter()
+        base_spans(text)
+        assert time.perf_counter() - begun < 2
+    for text in ("7" * 1_000_000, "12 34-" * 20_000):
+        begun = time.perf_counter()
+        find_spans(text, Field({"card|": -2.0}))
+        assert time.perf_counter() - begun < 20
+
+
 def test_texts_with_base_spans_match_the_coarse_pattern():
     for text in TEXTS:
         for a, b, _ in base_spans(text):
