@@ -83,19 +83,21 @@ def maximal_segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     Only positive scores are walked through; the losses between them are summed up.
     """
     sums = np.concatenate([[0.0], np.cumsum(scores)])
-    kept: list[tuple[int, int, float, float]] = []  # from, to, sum before, sum after
+    # From, to, sum before, sum after, and which kept segment is the last one left of it with a smaller sum before.
+    kept: list[tuple[int, int, float, float, int]] = []
     for i in np.flatnonzero(scores > 0).tolist():
         start, end, before, after = i, i + 1, sums[i], sums[i + 1]
+        j = len(kept) - 1
         while True:
-            j = len(kept) - 1
             while j >= 0 and kept[j][2] >= before:
-                j -= 1
+                j = kept[j][4]
             if j < 0 or kept[j][3] >= after:
-                kept.append((start, end, before, after))
+                kept.append((start, end, before, after, j))
                 break
-            start, before = kept[j][0], kept[j][2]
+            start, _, before, _, left = kept[j]
             del kept[j:]
-    return [(a, b, float(y - x)) for a, b, x, y in kept]
+            j = left
+    return [(a, b, float(y - x)) for a, b, x, y, _ in kept]
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,5 +1,6 @@
 import itertools
 import random
+import time
 
 import numpy as np
 
@@ -70,3 +71,10 @@ def test_awkward_rows_and_empty_tables(spark, awkward):
         assert score_toxicity(awkward, plain).where("toxicity >= 0.5").count() == 0
     repeated = fit_toxicity(docs, labels.unionByName(labels))
     assert np.allclose(repeated.weights, model.weights)
+
+
+def test_segments_of_long_sequences_take_linear_time():
+    begun = time.perf_counter()
+    assert len(maximal_segments(np.tile([1.0, -2.0], 500_000))) == 500_000
+    maximal_segments(np.tile([3.0, -1.0, -1.0], 300_000))
+    assert time.perf_counter() - begun < 10
