@@ -11,6 +11,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType, _parse_datatype_string
 
+from stratalode.functions.names import column, spare_name
+
+
 def in_share(hashed: Column, share: Column | float) -> Column:
     """Whether a 64-bit hash lies in the given share of all hashes, for thinning out before a sample is cut."""
     limit = share if isinstance(share, Column) else F.lit(share)
@@ -41,6 +44,13 @@ def rows_per_batch(spark: SparkSession, rows: int) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
+def sparing(docs: DataFrame, results: str, apply: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The columns of ``docs`` after ``apply``, also those that have the name of one of its ``results`` (DDL)."""
+    names = {f.name.lower() for f in _parse_datatype_string(results)}
+    own = {c: spare_name(docs.columns, f"_own_{c}") for c in docs.columns if c.lower() in names}
+    return apply(docs.withColumnsRenamed(own)).select(*[column(own.get(c, c)).alias(c) for c in docs.columns])
+
+
 def with_arrow_columns(df: DataFrame, make: Make, fields: str) -> DataFrame:
     """``df`` with the columns ``fields`` (DDL) that ``make`` gives for each batch.
 

@@ -16,7 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratalode.llm.columns import with_arrow_columns
+from stratalode.functions.names import spare_name
+from stratalode.llm.columns import sparing, with_arrow_columns
 from stratalode.llm.url_filters import LOWER, UPPER
 from stratalode.llm.words import ALPHANUMERIC, combined, find_words, pieces, utf8, window_starts
 from stratalode.sinks import stage
@@ -127,7 +128,8 @@ def find_contamination(
 
 def _by_join(docs: DataFrame, bench: DataFrame, n: int, text: str) -> DataFrame:
     """The same by joins, without limits on the benchmark's size."""
-    rows = stage(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    row, hit, listed_items = (spare_name(docs.columns, c) for c in ("_row", "_covered", "_items"))
+    rows = stage(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
 
     def words(column: str):
         return F.coalesce(F.regexp_extract_all(F.translate(column, UPPER, LOWER), F.lit(WORD), F.lit(0)), F.array().cast("array<string>"))
@@ -139,26 +141,26 @@ def _by_join(docs: DataFrame, bench: DataFrame, n: int, text: str) -> DataFrame:
     items = bench.select("item", words("text").alias("words")).where(F.size("words") > 0)
     items = items.withColumn("length", F.least(F.size("words"), F.lit(n)))
     grams = stage(items.select("item", "length", F.explode(windows("words", F.col("length"))).alias("window")).distinct(), "grams")
-    tokens = rows.select("_row", words(text).alias("words"))
+    tokens = rows.select(row, words(text).alias("words"))
     hits = None
     for length in sorted(r[0] for r in grams.select("length").distinct().collect()):
-        each = tokens.select("_row", F.posexplode(windows("words", F.lit(length))).alias("pos", "window"))
-        met = each.join(grams.where(F.col("length") == length), "window").select("_row", "pos", "length", "item")
+        each = tokens.select(row, F.posexplode(windows("words", F.lit(length))).alias("pos", "window"))
+        met = each.join(grams.where(F.col("length") == length), "window").select(row, "pos", "length", "item")
         hits = met if hits is None else hits.unionByName(met)
     if hits is not None:
-        covered = hits.select("_row", F.explode(F.sequence(F.col("pos"), F.expr("pos + length - 1"))).alias("word")).distinct()
-        covered = covered.groupBy("_row").agg(F.collect_list("word").alias("_covered"))
-        listed = hits.select("_row", "item").distinct().groupBy("_row").agg(F.array_sort(F.collect_list("item")).alias("_items"))
-        out = rows.join(covered, "_row", "left").join(listed, "_row", "left")
+        covered = hits.select(row, F.explode(F.sequence(F.col("pos"), F.expr("pos + length - 1"))).alias("word")).distinct()
+        covered = covered.groupBy(row).agg(F.collect_list("word").alias(hit))
+        listed = hits.select(row, "item").distinct().groupBy(row).agg(F.array_sort(F.collect_list("item")).alias(listed_items))
+        out = rows.join(covered, row, "left").join(listed, row, "left")
     else:
-        out = rows.withColumns({"_covered": F.array().cast("array<int>"), "_items": F.array().cast("array<string>")})
-    return with_arrow_columns(out, lambda batch: _found(batch, text), FIELDS).drop("_row", "_covered", "_items")
+        out = rows.withColumns({hit: F.array().cast("array<int>"), listed_items: F.array().cast("array<string>")})
+    return with_arrow_columns(out, lambda batch: _found(batch, text, hit, listed_items), FIELDS).drop(row, hit, listed_items)
 
 
-def _found(batch: pa.RecordBatch, text: str) -> list:
-    """The results of rows whose hit words (``_covered``, from 0) and items (``_items``) are known."""
+def _found(batch: pa.RecordBatch, text: str, hit_words: str, listed: str) -> list:
+    """The results of rows whose hit words (from 0) and items are known."""
     n_words, n_hit, spans = [], [], []
-    covered = batch.column("_covered")
+    covered = batch.column(hit_words)
     for i, j, data, at in pieces(batch.column(text)):
         words = find_words(data, at, ALPHANUMERIC)
         hit = np.zeros(len(words.starts), dtype=np.bool_)
@@ -168,7 +170,7 @@ def _found(batch: pa.RecordBatch, text: str) -> list:
         n_words += words.counts.tolist()
         n_hit += [len(places) for places in own]
         spans += [_spans(words, hit, r, int(at[r])) if places else [] for r, places in enumerate(own)]
-    items = [found or [] for found in batch.column("_items").to_pylist()]
+    items = [found or [] for found in batch.column(listed).to_pylist()]
     return [pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array(items, pa.list_(pa.string())), pa.array(spans, SPANS)]
 
 
@@ -179,7 +181,7 @@ def items_digest(items: str = "items"):
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, n: int = 10, **options) -> DataFrame:
     """``docs`` without the documents that hold a benchmark window; columns as they are."""
-    return find_contamination(docs, benchmark, n, **options).where("n_hit = 0").select(*docs.columns)
+    return sparing(docs, FIELDS, lambda rows: find_contamination(rows, benchmark, n, **options).where("n_hit = 0"))
 
 
 def cut_spans(found: DataFrame, text: str = "text") -> DataFrame:

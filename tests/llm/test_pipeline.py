@@ -3,6 +3,7 @@ import pytest
 import __spark_entry__ as contract
 import corpus_pipeline
 from stratalode.llm import decontaminate, minhash, pii, toxicity
+from tests.llm.conftest import CLASHING
 from tests.llm.test_near_duplicates import brute_force
 
 BASE = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -85,6 +86,8 @@ def test_awkward_and_empty_documents(spark, tables, awkward):
             docs = apply(spark, docs, sf_dir)
             if name != "mixing":
                 assert docs.columns == columns
+                own = [c for c in CLASHING if c in columns]
+                assert own and docs.where(" or ".join(f"`{c}` is distinct from 'mine'" for c in own)).count() == 0
         assert docs.where("doc_id is not null and taken > 2 * size").count() == 0
 
 
