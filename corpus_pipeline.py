@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalode.llm import decontaminate, minhash, mixing, pii, toxicity
+from stratalode.llm.columns import sparing
 from stratalode.sinks import stage
 
 
@@ -21,8 +22,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a toxicity of less than a half; learnt from four fifths of the labels."""
     labels = _table(spark, sf_dir, "labels").where(F.crc32(F.col("doc_id").cast("string")) % 5 != 0)
-    scored = toxicity.score_toxicity(docs, toxicity.fit_toxicity(docs, labels))
-    return scored.where("toxicity < 0.5").select(*docs.columns)
+    model = toxicity.fit_toxicity(docs, labels)
+    return sparing(docs, toxicity.FIELDS, lambda rows: toxicity.score_toxicity(rows, model).where("toxicity < 0.5"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,11 +38,16 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data replaced by its kind in brackets; n_chars follows the text."""
-    redacted = pii.redact(docs, pii.fit_pii(docs))
-    if "n_chars" in docs.columns:
+    model = pii.fit_pii(docs)
+
+    def redacted(rows: DataFrame) -> DataFrame:
+        found = pii.redact(rows, model)
+        if "n_chars" not in docs.columns:
+            return found
         n_chars = F.length("text").cast(docs.schema["n_chars"].dataType)
-        redacted = redacted.withColumn("n_chars", F.when(F.size("pii") > 0, n_chars).otherwise(F.col("n_chars")))
-    return redacted.select(*docs.columns)
+        return found.withColumn("n_chars", F.when(F.size("pii") > 0, n_chars).otherwise(F.col("n_chars")))
+
+    return sparing(docs, pii.FIELDS, redacted)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
