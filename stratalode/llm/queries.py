@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from stratalode.llm import credentials, decontaminate, html_text, language, minhash, mixing, permutation_index, pii, toxicity, url_filters, warc
+from stratalode.llm import alignment, credentials, decontaminate, html_text, language, minhash, mixing, permutation_index, pii, toxicity, url_filters, warc
 from stratalode.sinks import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -331,6 +331,15 @@ SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_a
 FROM docs d LEFT JOIN digests USING (doc_id) LEFT JOIN listed USING (doc_id)
 """
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    aligned = alignment.align_tokens(docs).select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", alignment.groups_digest().alias("groups_sha256"), "link_a", "link_b", "link_n"
+    )
+    counted = alignment.with_counts(alignment.staged_alignment(aligned))
+    return counted.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
     "op2_decontamination": op2_decontamination,
@@ -343,6 +352,7 @@ QUERIES: dict[str, Query] = {
     "op9_html_text": op9_html_text,
     "op10_minhash": op10_minhash,
     "op11_credentials": op11_credentials,
+    "op12_alignment": op12_alignment,
     "pipeline": corpus_pipeline.run,
 }
 ORACLES = {"op1_warc": OP1_SQL, "op2_decontamination": OP2_SQL, "op10_minhash": OP10_SQL, "op6_url_filters": OP6_SQL, "op8_mixing": OP8_SQL, "op11_credentials": OP11_SQL}
