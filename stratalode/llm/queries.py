@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from stratalode.llm import alignment, credentials, decontaminate, html_text, language, minhash, mixing, permutation_index, pii, toxicity, url_filters, warc
+from stratalode.llm import alignment, credentials, decontaminate, hard_negatives, html_text, language, minhash, mixing, permutation_index, pii, toxicity, url_filters, warc
 from stratalode.sinks import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -340,6 +340,34 @@ def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", label.alias("label"))
+    return hard_negatives.mine_hard_negatives(vectors, vectors.where(F.col("vec_id") % 50 == 0))
+
+
+OP13_SQL = """
+WITH taking_part AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS whole
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id, CAST(list_inner_product(a.whole, b.whole) AS BIGINT) AS score
+  FROM taking_part a JOIN taking_part b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id, CAST(row_number() OVER best AS INTEGER) AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+WINDOW best AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER best <= 3
+"""
+
+
 QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
     "op2_decontamination": op2_decontamination,
@@ -353,9 +381,10 @@ QUERIES: dict[str, Query] = {
     "op10_minhash": op10_minhash,
     "op11_credentials": op11_credentials,
     "op12_alignment": op12_alignment,
+    "op13_hard_negatives": op13_hard_negatives,
     "pipeline": corpus_pipeline.run,
 }
-ORACLES = {"op1_warc": OP1_SQL, "op2_decontamination": OP2_SQL, "op10_minhash": OP10_SQL, "op6_url_filters": OP6_SQL, "op8_mixing": OP8_SQL, "op11_credentials": OP11_SQL}
+ORACLES = {"op1_warc": OP1_SQL, "op2_decontamination": OP2_SQL, "op10_minhash": OP10_SQL, "op6_url_filters": OP6_SQL, "op8_mixing": OP8_SQL, "op11_credentials": OP11_SQL, "op13_hard_negatives": OP13_SQL}
 
 
 def importable(query: Query) -> Query:
