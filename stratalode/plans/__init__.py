@@ -7,6 +7,12 @@ from stratalode.plans.contract import (
 )
 from stratalode.plans.daily import run_pipeline
 from stratalode.plans.gold import build_gold, write_gold_tables
+from stratalode.plans.gold_states import (
+    changed_carts,
+    compact_gold_states,
+    gold_from_states,
+    update_gold_states,
+)
 from stratalode.plans.indicators import (
     category_performance,
     product_performance,
@@ -27,8 +33,11 @@ __all__ = [
     "GOLD_TABLES",
     "build_gold",
     "category_performance",
+    "changed_carts",
+    "compact_gold_states",
     "conform_to_schema",
     "constraint_violations",
+    "gold_from_states",
     "process_and_flatten",
     "process_table",
     "process_tables",
@@ -39,6 +48,7 @@ __all__ = [
     "silver_carts",
     "silver_products",
     "top10_products_revenue",
+    "update_gold_states",
     "user_ltv",
     "write_gold_tables",
 ]

@@ -193,16 +193,17 @@ def performance_of_categories(
     )
 
 
+def customer_type(orders: Column) -> Column:
+    return F.when(orders == 1, "new").when(orders.between(2, 3), "recurrent").otherwise("heavy")
+
+
 def user_ltv(carts: DataFrame, products: DataFrame, created_at: CreatedAt = None) -> DataFrame:
     """Orders, items, revenue and average ticket per user, and the kind of customer."""
     return lifetime_value(sales_view(carts, products), created_at)
 
 
 def lifetime_value(sales: DataFrame, created_at: CreatedAt = None) -> DataFrame:
-    orders = F.col("total_orders")
-    kind = (
-        F.when(orders == 1, "new").when(orders.between(2, 3), "recurrent").otherwise("heavy")
-    )
+    kind = customer_type(F.col("total_orders"))
     return (
         sales.groupBy("user_id")
         .agg(

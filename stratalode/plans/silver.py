@@ -156,6 +156,7 @@ def process_tables(
     """
     if mode not in ("ETL", "EL"):
         raise ValueError(f"mode must be 'ETL' or 'EL', not {mode!r}")
+    execution_date = as_date(execution_date)
     transforms, schemas = transforms or {}, schemas or {}
     catalogs, write_modes = catalogs or {}, write_modes or {}
 
@@ -182,7 +183,7 @@ def process_tables(
         if target_format != "parquet":
             location = table_location(target_root, name, domain, subdomain)
             write_table(
-                rows, location, write_mode, target_format, skip_empty=False, execution_date=as_date(execution_date)
+                rows, location, write_mode, target_format, skip_empty=False, execution_date=execution_date
             )
             return location
         write_silver_parquet(rows, target_root, name, execution_date, skip_empty=False)

@@ -52,6 +52,9 @@ def _write_dated(
         .format(fmt)
         .save(root)
     )
+    # Spark leaves no mark where it moves finished days into place; see `day_is_complete`.
+    mark = df.sparkSession._jvm.org.apache.hadoop.fs.Path(f"{root}/_SUCCESS")
+    mark.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).create(mark, True).close()
 
 
 def land_bronze_json(

@@ -17,9 +17,11 @@ ExecutionDate = str | datetime.date | None
 
 
 def as_date(value: ExecutionDate) -> datetime.date:
-    """An execution date; the default is today in UTC."""
+    """An execution date; the default is today in UTC. A time of day is left out."""
     if value is None:
         return datetime.datetime.now(datetime.timezone.utc).date()
+    if isinstance(value, datetime.datetime):
+        return value.date()
     return datetime.date.fromisoformat(value) if isinstance(value, str) else value
 
 
@@ -63,17 +65,50 @@ def day_folders(
         for month, of_month in _folders(spark, of_year, "month"):
             if not (low.year, low.month) <= (year, month) <= (high.year, high.month):
                 continue
-            for day, path in _folders(spark, of_month, "day"):
-                if low <= datetime.date(year, month, day) <= high:
-                    yield datetime.date(year, month, day), path
+            for number, path in _folders(spark, of_month, "day"):
+                day = _day(year, month, number)
+                if day is not None and low <= day <= high:
+                    yield day, path
+
+
+def _day(year: int, month: int, day: int) -> datetime.date | None:
+    """The date of a folder; none for stray ones that are no date."""
+    try:
+        return datetime.date(year, month, day)
+    except ValueError:
+        return None
+
+
+def day_is_complete(spark: SparkSession, path: str, root: str | None = None) -> bool:
+    """Whether the job that wrote a day's folder has finished.
+
+    A job that writes one day leaves its mark in the folder. One that spreads rows
+    over days leaves it in the table's ``root``; files are moved into the days'
+    folders at its end, so a day then counts if it has files and no work in progress.
+    """
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not system.exists(folder):
+        return False
+    names = [status.getPath().getName() for status in system.listStatus(folder)]
+    if "_SUCCESS" in names:
+        return True
+    files = [name for name in names if not name.startswith(("_", "."))]
+    return root is not None and _exists(spark, f"{root.rstrip('/')}/_SUCCESS") and bool(files) and "_temporary" not in names
 
 
 def latest_partition(
-    spark: SparkSession, root: str, before: ExecutionDate = None
+    spark: SparkSession, root: str, before: ExecutionDate = None, complete: bool = True
 ) -> tuple[datetime.date, str] | None:
-    """The newest day with a folder and its path, optionally strictly before a day."""
+    """The newest finished day and its path, optionally strictly before a day.
+
+    A day that a failed run left half written is passed over, see
+    :func:`day_is_complete`; ``complete=False`` takes folders as they are, for days
+    written by tools that leave no mark.
+    """
     last = None if before is None else as_date(before) - datetime.timedelta(days=1)
-    return next(day_folders(spark, root, last=last), None)
+    found = day_folders(spark, root, last=last)
+    return next((d for d in found if not complete or day_is_complete(spark, d[1], root)), None)
 
 
 def scan_partitioned_root(
@@ -83,17 +118,19 @@ def scan_partitioned_root(
     before: ExecutionDate = None,
     schema: Schema | None = None,
     merge_schema: bool = False,
+    complete: bool = True,
 ) -> DataFrame:
     """Read the date partitions of a Parquet table; ``year, month, day`` become columns.
 
     ``snapshot="all"`` reads every day. ``snapshot="latest"`` reads the newest
     one only, which is what a table written as daily full snapshots needs: it is
-    found by listing folders, and no file of another day is opened.
+    found by listing folders, and no file of another day is opened. A day without
+    the mark of a finished job is passed over unless ``complete=False``.
     """
     if snapshot not in ("all", "latest"):
         raise ValueError(f"snapshot must be 'all' or 'latest', not {snapshot!r}")
     if snapshot == "latest":
-        newest = latest_partition(spark, root, before)
+        newest = latest_partition(spark, root, before, complete)
         if newest is not None:
             return scan_parquet(
                 spark, newest[1], schema=schema, base_path=root, merge_schema=merge_schema
@@ -186,6 +223,6 @@ def scan_date_range(
     paths = [path for _, path in day_folders(spark, root, first, final)]
     predicate = date_range_predicate(last, current, exact)
     if not paths:  # the columns come from any day there is
-        newest = latest_partition(spark, root)
+        newest = latest_partition(spark, root, complete=False)
         paths, predicate = [newest[1] if newest else root], "false"
     return scan(spark, paths, predicate=predicate, schema=schema, base_path=root)

@@ -1,0 +1,153 @@
+"""Gold from states against gold from all lines, over several days."""
+
+import random
+import shutil
+
+import pytest
+from pyspark.sql import functions as F
+
+from stratalode import plans, sinks, sources
+from stratalode.plans.gold_states import _folders_until
+
+LINES = "id bigint, userId bigint, date timestamp, products_productId bigint, products_quantity bigint"
+DAYS = [f"2024-05-{d:02d}" for d in range(28, 32)]
+
+
+@pytest.fixture(scope="module")
+def products(spark):
+    rows = [(i, f"p{i}", "abc"[i % 3], None if i == 4 else i * 1.25, 3.0, 7) for i in range(6)]
+    return spark.createDataFrame(rows, "id bigint, title string, category string, price double, rating_rate double, rating_count bigint")
+
+
+def cart(rng, key):
+    """Lines of one cart; some without products, some with lines of two dates or users."""
+    date, user = f"2024-01-0{rng.randrange(1, 6)} 10:00:00", rng.choice([None, *range(5)])
+    lines = [(key, user, date, rng.choice([None, *range(8)]), rng.choice([None, 1, 2, 5])) for _ in range(rng.randrange(1, 4))]
+    if rng.random() < 0.2:
+        lines.append((key, 9, None, 1, 2))
+    return lines + lines[: rng.randrange(0, 2)]
+
+
+def comparable(frames):
+    def plain(value):
+        return round(value, 6) if isinstance(value, float) else value
+
+    return {name: sorted((tuple(map(plain, r)) for r in df.collect()), key=repr) for name, df in frames.items()}
+
+
+def days_of(spark, seed):
+    """For each day its lines and deleted ids, and all lines after it."""
+    rng, carts, out = random.Random(seed), {}, []
+    for _ in DAYS[:3]:
+        changed = {key: cart(rng, key) for key in rng.sample(range(1, 40), 15)}
+        gone = [key for key in rng.sample(range(1, 45), 8) if key not in changed]
+        keyless = [(None, 1, "2024-01-01 10:00:00", 2, 1)]
+        carts = {k: v for k, v in carts.items() if k not in gone} | changed
+        carts[None] = carts.get(None, []) + keyless
+        out.append(([line for lines in changed.values() for line in lines] + keyless, gone, [x for v in carts.values() for x in v]))
+
+    def frame(lines):
+        text = LINES.replace("timestamp", "string")
+        return spark.createDataFrame(lines, text).withColumn("date", F.col("date").cast("timestamp"))
+
+    return [(frame(new), spark.createDataFrame([(g,) for g in gone], "id bigint"), frame(whole)) for new, gone, whole in out]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_states_give_the_gold_of_all_lines(spark, products, tmp_path, seed):
+    root = str(tmp_path / "states")
+    for n, (new, gone, whole) in enumerate(days_of(spark, seed)):
+        plans.update_gold_states(spark, new, root, DAYS[n], gone)
+        if n == 1:
+            plans.compact_gold_states(spark, root, DAYS[n])
+            assert len(_folders_until(spark, root, "by_date", sources.dated.as_date(DAYS[n]))) == 1
+        ours = plans.gold_from_states(spark, root, products, DAYS[n], "2024-06-01 00:00:00")
+        assert comparable(ours) == comparable(plans.build_gold(whole, products, "2024-06-01 00:00:00"))
+
+
+def test_the_newest_day_can_run_again_and_no_other(spark, products, tmp_path):
+    root = str(tmp_path / "states")
+    (first, *_), (second, gone, whole), _ = days_of(spark, 3)
+    plans.update_gold_states(spark, first, root, DAYS[0])
+    plans.update_gold_states(spark, first, root, DAYS[1])
+    plans.update_gold_states(spark, second, root, DAYS[1], gone)
+    ours = plans.gold_from_states(spark, root, products, DAYS[1], "2024-06-01 00:00:00")
+    assert comparable(ours) == comparable(plans.build_gold(whole, products, "2024-06-01 00:00:00"))
+    with pytest.raises(ValueError, match="cannot be run again"):
+        plans.update_gold_states(spark, first, root, DAYS[0])
+    plans.compact_gold_states(spark, root, DAYS[1])
+    with pytest.raises(ValueError, match="cannot be run again"):
+        plans.update_gold_states(spark, second, root, DAYS[1], gone)
+    plans.compact_gold_states(spark, root, DAYS[1])
+    assert comparable(plans.gold_from_states(spark, root, products, DAYS[1], "2024-06-01 00:00:00")) == comparable(ours)
+
+
+def test_a_failed_day_is_not_read(spark, products, tmp_path):
+    root = str(tmp_path / "states")
+    (first, *_), (second, gone, _), _ = days_of(spark, 4)
+    plans.update_gold_states(spark, first, root, DAYS[0])
+    plans.update_gold_states(spark, second, root, DAYS[1], gone)
+    shutil.rmtree(f"{root}/cart_log/year=2024/month=05/day=29")
+    for run in (lambda: plans.update_gold_states(spark, first, root, DAYS[2]), lambda: plans.gold_from_states(spark, root, products, DAYS[2])):
+        with pytest.raises(ValueError, match="not finished"):
+            run()
+    plans.update_gold_states(spark, second, root, DAYS[1], gone)
+    assert plans.gold_from_states(spark, root, products, DAYS[2])["sales_daily"].count() > 0
+    with pytest.raises(ValueError, match="no states"):
+        plans.gold_from_states(spark, root, products, "2024-01-01")
+
+
+def test_changes_between_two_snapshots(spark, rows):
+    *_, before = days_of(spark, 5)[0]
+    _, gone, after = days_of(spark, 5)[1]
+    changed, removed = plans.changed_carts(before, after)
+    ids = {r[0] for r in changed.select("id").distinct().collect()}
+    lines = {}
+    for side, df in (("before", before), ("after", after)):
+        for r in df.where("id is not null").collect():
+            lines.setdefault(r["id"], {}).setdefault(side, []).append(repr(tuple(r)))
+    want = {k for k, v in lines.items() if "after" in v and sorted(v.get("before", [])) != sorted(v["after"])}
+    assert ids == want
+    assert {r[0] for r in removed.collect()} == {k for k, v in lines.items() if "after" not in v}
+    assert rows(changed) == rows(after.join(changed.select("id").distinct(), "id", "left_semi"))
+
+
+def test_no_price_is_kept_and_the_log_is_not_shuffled_for_a_small_day(spark, products, tmp_path, plan):
+    root = str(tmp_path / "states")
+    (first, *_), _, _ = days_of(spark, 6)
+    plans.update_gold_states(spark, first, root, DAYS[0])
+    assert spark.read.parquet(f"{root}/by_date").columns[:6] == ["date", "product_id", "quantity", "filled", "lines", "carts"]
+    log = spark.read.parquet(f"{root}/cart_log")
+    text = plan(log.join(spark.range(3).withColumnRenamed("id", "cart_id"), "cart_id", "left_semi"))
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+
+
+class TestHalfWrittenDays:
+    """A day without the mark of a finished job is not the newest day."""
+
+    def test_latest_snapshot(self, spark, tmp_path, rows):
+        root = str(tmp_path)
+        for day, n in (("2024-05-30", 3), ("2024-05-31", 5)):
+            sinks.write_silver_parquet(spark.range(n), root, "t", day)
+        half = tmp_path / "t/year=2024/month=06/day=01"
+        (half / "_temporary/0").mkdir(parents=True)
+        (tmp_path / "t/year=2024/month=13/day=01").mkdir(parents=True)
+        assert sources.scan_partitioned_root(spark, f"{root}/t", "latest").count() == 5
+        (tmp_path / "t/year=2024/month=05/day=31/_SUCCESS").unlink()
+        assert sources.scan_partitioned_root(spark, f"{root}/t", "latest").count() == 3
+        assert sources.latest_partition(spark, f"{root}/t", complete=False)[1].endswith("day=01")
+
+    def test_merge_goes_on_from_the_newest_finished_snapshot(self, spark, tmp_path, rows):
+        root = str(tmp_path)
+        schema = "id bigint, v string, updated_at bigint"
+        sinks.merge_snapshot(spark, spark.createDataFrame([(1, "a", 1), (2, "a", 1)], schema), root, "t", "2024-05-30", "id")
+        sinks.write_silver_parquet(spark.createDataFrame([(9, "half", 9)], schema), root, "t", "2024-05-31")
+        (tmp_path / "t/year=2024/month=05/day=31/_SUCCESS").unlink()
+        merged = sinks.merge_snapshot(spark, spark.createDataFrame([(2, "b", 2)], schema), root, "t", "2024-06-01", "id")
+        assert rows(merged) == [(1, "a", 1), (2, "b", 2)]
+
+    def test_days_spread_by_a_date_column_count(self, spark, tmp_path):
+        df = spark.sql("SELECT explode(array(date'2024-05-30', date'2024-05-31')) AS at")
+        sinks.write_silver_parquet(df, str(tmp_path), "t", date_column="at")
+        day, path = sources.latest_partition(spark, str(tmp_path / "t"))
+        assert str(day) == "2024-05-31" and path.endswith("day=31")

@@ -233,3 +233,52 @@ def bronze_to_gold_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     plans.run_pipeline(spark, later, lake, LATER_DATE, CREATED_AT, subdomain="shop")
     raw = {"products": products(spark, sf_dir), "carts": carts(spark, sf_dir)}
     return gold_of(spark, plans.run_pipeline(spark, raw, lake, RUN_DATE, CREATED_AT, subdomain="shop"))
+
+
+def changed_in_two_days(spark: SparkSession, sf_dir: str):
+    """The carts of two days: on the first some are missing, some wrong and some made up; the second puts it right.
+
+    Yields the lines of new and changed carts and the ids of carts that are gone.
+    """
+    lines = cart_lines(spark, sf_dir)
+    wrong = lines.where("id % 3 <> 0").withColumns({
+        "products_quantity": F.when(F.col("id") % 5 == 0, F.col("products_quantity") + 3).otherwise(F.col("products_quantity")),
+        "date": F.when(F.col("id") % 10 == 0, F.lit("1999-12-31").cast("timestamp_ntz")).otherwise(F.col("date")),
+        "userId": F.when(F.col("id") % 20 == 0, F.lit(-7)).otherwise(F.col("userId")),
+    })
+    made_up = lines.where("id % 4 = 0").withColumn("id", -F.col("id"))
+    yield wrong.unionByName(made_up), None
+    yield lines.where("id % 3 = 0 or id % 5 = 0"), made_up.select("id").distinct()
+
+
+@query(gold_in_one_table())
+def build_gold_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold from the states of two days with changed and deleted carts; the second day runs twice."""
+    states = sinks.new_folder(spark, "gold-states")
+    first, second = changed_in_two_days(spark, sf_dir)
+    plans.update_gold_states(spark, first[0], states, RUN_DATE)
+    for _ in range(2):
+        plans.update_gold_states(spark, second[0], states, LATER_DATE, second[1])
+    return in_one_table(plans.gold_from_states(spark, states, flat_products(spark, sf_dir), LATER_DATE, CREATED_AT))
+
+
+@query(gold_in_one_table())
+def build_gold_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with the states merged after each day."""
+    states = sinks.new_folder(spark, "gold-states")
+    for day, (lines, gone) in zip((RUN_DATE, LATER_DATE), changed_in_two_days(spark, sf_dir), strict=True):
+        plans.update_gold_states(spark, lines, states, day, gone)
+        plans.compact_gold_states(spark, states, day)
+    return in_one_table(plans.gold_from_states(spark, states, flat_products(spark, sf_dir), LATER_DATE, CREATED_AT))
+
+
+@query(gold_in_one_table(NEWEST_SOLD))
+def bronze_to_gold_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole daily run on two days: half of the carts and some made-up ones, then the other half without the latter."""
+    lake = sinks.new_folder(spark, "lake")
+    documents = carts(spark, sf_dir)
+    made_up = documents.where("id % 9 = 0").withColumn("id", -F.col("id"))
+    raw = {"products": products(spark, sf_dir).withColumn("price", F.col("price") * 2), "carts": documents.where("id % 2 = 0").unionByName(made_up)}
+    plans.run_pipeline(spark, raw, lake, RUN_DATE, CREATED_AT, subdomain="shop", incremental=True)
+    raw = {"products": products(spark, sf_dir), "carts": documents.where("id % 2 = 1"), "deleted_carts": made_up.select("id").distinct()}
+    return gold_of(spark, plans.run_pipeline(spark, raw, lake, LATER_DATE, CREATED_AT, subdomain="shop", incremental=True))
