@@ -33,7 +33,14 @@ from stratalode.operators.nested import (
     unwrap_document,
 )
 from stratalode.operators.sizing import estimate_size, partitions_for, size_partitions
-from stratalode.operators.upsert import align_columns, merge_dedup, merge_upsert
+from stratalode.operators.upsert import (
+    align_columns,
+    live_changes,
+    merge_buckets,
+    merge_dedup,
+    merge_upsert,
+    next_tombstones,
+)
 
 __all__ = [
     "align_columns",
@@ -56,7 +63,10 @@ __all__ = [
     "flatten_structs",
     "limit_string_length",
     "merge_dedup",
+    "live_changes",
+    "merge_buckets",
     "merge_upsert",
+    "next_tombstones",
     "nullify_sentinel_dates",
     "parse_json_column",
     "partitions_for",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Iterable, Mapping
 from functools import reduce
 from operator import and_
@@ -135,7 +136,8 @@ def merge_upsert(
 
     ``keep_recency=True`` keeps the columns that tell recency, technical ones too,
     and leaves a row alone that is newer than its change. A deleted key leaves no
-    trace: a change of it that arrives later inserts it again.
+    trace here: a change of it that arrives later inserts it again, unless
+    `live_changes` has sorted it out.
 
     The newest changes are needed by two joins. They are written to the session's
     shared folder, so that the feed is read once; ``staged=False`` prevents it.
@@ -193,3 +195,132 @@ def merge_upsert(
     known = target.select(*keys).join(changed_keys, keys, "left_semi").distinct()
     inserts = changes.filter(~deleted).join(known, keys, "left_anti").select(*map(column, business))
     return kept.unionByName(inserts, allowMissingColumns=True)
+
+
+def merge_buckets(
+    existing: DataFrame,
+    incoming: DataFrame,
+    keys: str | Iterable[str],
+    buckets: int,
+    order_by: str | Iterable[str] | None = None,
+    how: str = "dedup",
+    deleted_column: str = DELETED_AT,
+) -> DataFrame:
+    """`merge_dedup` or `merge_upsert` for a table that holds each key once, in buckets of its keys.
+
+    The incoming rows are shuffled to the table's buckets, reduced to the newest per
+    key and joined by a full outer join: stored rows stay where they are, in the
+    order they have, and come out in the same buckets. Rows whose key has a NULL
+    cannot meet in such a join. They are merged on their own; a filter on the key
+    keeps all others out of that, down to the scan.
+
+    With ``how="upsert"`` the columns that tell recency are kept, as in snapshots.
+    """
+    if how not in ("dedup", "upsert"):
+        raise ValueError(f"how must be 'dedup' or 'upsert', not {how!r}")
+    keys = resolve_keys(existing, keys)
+    own_keys = [lookup(incoming.columns, k) for k in keys]
+    whole, own_whole = (reduce(and_, [column(k).isNotNull() for k in names]) for names in (keys, own_keys))
+    if how == "dedup":
+        incoming = filter_soft_deleted(incoming)
+        existing = align_columns(existing, incoming)
+        keyless = merge_dedup(existing.filter(~whole), incoming.filter(~own_whole), keys, order_by)
+    else:
+        keyless = merge_upsert(
+            existing.filter(~whole), incoming.filter(~own_whole), keys, order_by, deleted_column, keep_recency=True, staged=False
+        )
+    recency = _merge_recency([*existing.columns, *incoming.columns], order_by)
+    known = [c for c in recency if c in incoming.columns]
+    dealt = incoming.filter(own_whole).repartition(buckets, *map(column, own_keys))
+    newest = (
+        keep_first(dealt, own_keys, newest_first(dealt, own_keys, known)) if how == "dedup" else dedup_latest(dealt, own_keys, order_by)
+    )
+    taken = [*existing.columns, *incoming.columns]
+    renamed = {c: spare_name(taken, f"_new_{c}") for c in incoming.columns}
+    came, stays = spare_name(taken, "_came"), spare_name(taken, "_stays")
+    right = newest.select(*[column(c).alias(name) for c, name in renamed.items()], F.lit(True).alias(came))
+    left = existing.filter(whole).withColumn(stays, F.lit(True))
+    paired = left.join(right, reduce(and_, [column(k) == column(renamed[n]) for k, n in zip(keys, own_keys, strict=True)]), "full_outer")
+
+    def new(name: str) -> Column:
+        found = lookup(incoming.columns, name)
+        return column(renamed[found]) if found else F.lit(None)
+
+    compared = recency if how == "dedup" else [c for c in known if c in existing.columns]
+    outdated = column(stays).isNotNull() & _is_newer([column(c) for c in compared], [new(c) for c in compared])
+    taken_over = column(came).isNotNull() & ~outdated
+    if how == "dedup":
+        merged = [F.when(taken_over, new(c)).otherwise(column(c)).alias(c) for c in existing.columns]
+        return paired.select(*merged).unionByName(keyless, allowMissingColumns=True)
+    if deleted_column in incoming.columns:
+        paired = paired.filter(~(taken_over & new(deleted_column).isNotNull()))
+    business = [c for c in incoming.columns if (not is_technical(c) or c in recency) and c != deleted_column]
+
+    def upserted(name: str) -> Column:
+        change = lookup(business, name)
+        value = column(name) if change is None else F.when(taken_over, new(change).cast(existing.schema[name].dataType)).otherwise(column(name))
+        return value.alias(name)
+
+    added = [new(c).alias(c) for c in business if lookup(existing.columns, c) is None]
+    return paired.select(*map(upserted, existing.columns), *added).unionByName(keyless, allowMissingColumns=True)
+
+
+DELETED_ON = "_deleted_on"
+
+
+def live_changes(
+    changes: DataFrame, tombstones: DataFrame, keys: str | Iterable[str], order_by: str | Iterable[str] | None = None
+) -> DataFrame:
+    """The changes that are newer than their key's deletion, or whose key was not deleted.
+
+    ``tombstones`` hold deleted keys with the recency of their deletion, which also
+    wins a tie. Changes without a whole key have none.
+    """
+    recency = deletion_recency(changes, order_by)
+    keys = as_list(keys)
+    taken = [*changes.columns, *tombstones.columns]
+    gone = {c: spare_name(taken, f"_gone_{c}") for c in [*keys, *recency]}
+    found = spare_name(taken, "_gone")
+    right = tombstones.select(*[column(c).alias(name) for c, name in gone.items()], F.lit(True).alias(found))
+    paired = changes.join(right, reduce(and_, [column(k) == column(gone[k]) for k in keys]), "left")
+    newer = _is_newer([column(c) for c in recency], [column(gone[c]) for c in recency])
+    return paired.filter(column(found).isNull() | newer).select(*map(column, changes.columns))
+
+
+def next_tombstones(
+    stored: DataFrame,
+    changes: DataFrame,
+    tombstones: DataFrame | None,
+    keys: str | Iterable[str],
+    day: datetime.date,
+    order_by: str | Iterable[str] | None = None,
+    deleted_column: str = DELETED_AT,
+) -> DataFrame:
+    """The deleted keys after a day's changes: those of before, and the day's own.
+
+    ``changes`` hold the newest change per key, those older than a deletion left out.
+    A deletion leaves a tombstone, also of a key that is not stored, but not if the
+    stored row is newer; any other change of a key takes its tombstone away.
+    """
+    keys, recency = as_list(keys), deletion_recency(changes, order_by)
+    whole = changes.filter(reduce(and_, [column(k).isNotNull() for k in keys]))
+    compared = [c for c in recency if c in stored.columns]
+    gone = whole.filter(column(deleted_column).isNotNull()) if deleted_column in changes.columns else whole.limit(0)
+    gone = gone.select(*keys, *recency)
+    if compared:
+        kept = stored.select(*[column(k).alias(f"_stored_{k}") for k in keys], *[column(c).alias(f"_at_{c}") for c in compared])
+        same = reduce(and_, [column(k) == column(f"_stored_{k}") for k in keys])
+        newer = _is_newer([column(f"_at_{c}") for c in compared], [column(c) for c in compared])
+        gone = gone.join(kept, same & newer, "left_anti")
+    gone = gone.withColumn(DELETED_ON, F.lit(day))
+    if tombstones is None:
+        return gone
+    left = tombstones.join(whole.select(*keys), keys, "left_anti")
+    return gone.unionByName(left.select(*gone.columns))
+
+
+def deletion_recency(changes: DataFrame, order_by: str | Iterable[str] | None = None) -> list[str]:
+    found = [c for c in _merge_recency(changes.columns, order_by) if c in changes.columns]
+    if not found:
+        raise ValueError(f"deletions are kept with the recency of their change, and none of {changes.columns} tells it; pass order_by")
+    return found

@@ -1,5 +1,6 @@
 """Writers: dated JSON and Parquet, gold tables, table formats, JDBC."""
 
+from stratalode.sinks.bucketed import scan_bucketed, write_bucketed
 from stratalode.sinks.files import (
     land_bronze_json,
     merge_snapshot,
@@ -22,9 +23,11 @@ __all__ = [
     "new_folder",
     "relational_projection",
     "remove_folder",
+    "scan_bucketed",
     "stage",
     "staging",
     "table_location",
+    "write_bucketed",
     "write_gold_parquet",
     "write_jdbc",
     "write_silver_parquet",

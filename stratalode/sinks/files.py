@@ -2,16 +2,24 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Iterable, Mapping
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalode.functions.names import DATE_PARTITIONS, DELETED_AT, as_list, column
-from stratalode.operators.upsert import merge_dedup, merge_upsert
+from stratalode.operators.dedup import dedup_latest, resolve_keys
+from stratalode.operators.upsert import DELETED_ON, live_changes, merge_buckets, merge_dedup, merge_upsert, next_tombstones
+from stratalode.sinks.bucketed import scan_bucketed, write_bucketed
+from stratalode.sinks.stage import staging
 from stratalode.sources.dated import (
     ExecutionDate,
+    as_date,
     date_folder,
+    day_is_complete,
     latest_partition,
     table_root,
 )
@@ -118,6 +126,8 @@ def merge_snapshot(
     order_by: str | Iterable[str] | None = None,
     existing_is_unique: bool = False,
     how: str = "dedup",
+    buckets: int | None = None,
+    tombstone_days: int | None = None,
 ) -> DataFrame:
     """Merge new rows into a table kept as dated snapshots; returns the merged rows.
 
@@ -131,9 +141,21 @@ def merge_snapshot(
     ``existing_is_unique=True`` stored rows are read once and not sorted, which
     holds for snapshots written by merging. ``how="upsert"`` applies a change
     feed, deletions included, see :func:`merge_upsert`; stored keys stay as they are.
+
+    With ``buckets`` the snapshots are kept in that many buckets of the keys, and
+    hold each key once: a day then shuffles only what comes in, see
+    :func:`merge_buckets`. Keep them to the size of a task, about 1 GB each. The
+    first such day after a snapshot without buckets, or with another number, deals
+    the stored rows once.
+
+    With ``tombstone_days`` and ``how="upsert"`` the deleted keys of so many days are
+    kept beside the snapshots, in ``<table>_tombstones``, so that a change older than
+    its key's deletion does not bring it back. This needs a column that tells recency.
     """
     if how not in ("dedup", "upsert"):
         raise ValueError(f"how must be 'dedup' or 'upsert', not {how!r}")
+    if tombstone_days is not None and how != "upsert":
+        raise ValueError("tombstones are for how='upsert', as how='dedup' deletes nothing")
     path = table_root(root, table)
     earlier = latest_partition(spark, path, execution_date)
     if earlier is None:
@@ -141,10 +163,27 @@ def merge_snapshot(
         if how == "upsert":
             stored = stored.drop(*[c for c in incoming.columns if c == DELETED_AT])
     else:
-        stored = spark.read.parquet(earlier[1])
-    if how == "upsert":
-        merged = merge_upsert(stored, incoming, keys, order_by, keep_recency=True)
-    else:
-        merged = merge_dedup(stored, incoming, keys, order_by, existing_is_unique=existing_is_unique)
-    write_silver_parquet(merged, root, table, execution_date, skip_empty=False)
-    return spark.read.schema(merged.schema).parquet(f"{path}/{date_folder(execution_date)}")
+        stored = spark.read.parquet(earlier[1]) if buckets is None else scan_bucketed(spark, earlier[1])
+    keys = resolve_keys(stored, keys)
+    target = f"{path}/{date_folder(execution_date)}"
+    with staging(spark) as keep:
+        if tombstone_days is not None:
+            folder = f"{table_root(root, table + '_tombstones')}/{date_folder(earlier[0])}" if earlier else ""
+            gone = spark.read.parquet(folder) if earlier and day_is_complete(spark, folder) else None
+            if gone is not None:
+                gone = gone.filter(column(DELETED_ON) > F.lit(as_date(execution_date) - datetime.timedelta(days=tombstone_days)))
+            whole = reduce(and_, [column(k).isNotNull() for k in keys])
+            newest = dedup_latest(incoming.filter(whole), keys, order_by).unionByName(incoming.filter(~whole))
+            incoming = keep(newest if gone is None else live_changes(newest, gone, keys, order_by), "changes")
+            left = next_tombstones(stored, incoming, gone, keys, as_date(execution_date), order_by)
+            write_silver_parquet(left, root, f"{table}_tombstones", execution_date, skip_empty=False)
+        if buckets is not None:
+            merged = merge_buckets(stored, incoming, keys, buckets, order_by, how)
+            write_bucketed(merged, target, keys, buckets)
+            return scan_bucketed(spark, target)
+        if how == "upsert":
+            merged = merge_upsert(stored, incoming, keys, order_by, keep_recency=True)
+        else:
+            merged = merge_dedup(stored, incoming, keys, order_by, existing_is_unique=existing_is_unique)
+        write_silver_parquet(merged, root, table, execution_date, skip_empty=False)
+    return spark.read.schema(merged.schema).parquet(target)

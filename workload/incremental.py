@@ -204,6 +204,89 @@ def merge_snapshot_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merged
 
 
+@query(MERGED)
+def merge_snapshot_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The merge of two days in buckets; the second stays a rerun of itself."""
+    root = new_folder(spark, "snapshots")
+    customers = table(spark, sf_dir, "customer")
+    merge_into_snapshot(spark, customers, root, "customer", "2024-05-31", "c_custkey", buckets=8)
+    for _ in range(2):
+        merged = merge_into_snapshot(
+            spark, incoming_customers(spark, sf_dir), root, "customer", "2024-06-01", "c_custkey", buckets=8
+        )
+    return ops.drop_cdc_columns(merged)
+
+
+@query(
+    FEED
+    + """
+SELECT c_custkey, c_name, c_nationkey, coalesce(f.c_acctbal, c.c_acctbal) AS c_acctbal,
+       c.c_mktsegment, f.tier
+FROM customer c LEFT JOIN feed f USING (c_custkey, c_nationkey)
+WHERE f.closed IS NOT TRUE
+UNION ALL
+SELECT c_custkey, NULL, c_nationkey, c_acctbal, c_mktsegment, tier
+FROM feed WHERE c_custkey < 0 AND NOT closed"""
+)
+def merge_snapshot_bucketed_deletes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Closed accounts leave a table kept in buckets."""
+    root = new_folder(spark, "snapshots")
+    merge_into_snapshot(spark, table(spark, sf_dir, "customer"), root, "customer", "2024-05-31", "c_custkey", buckets=8)
+    merged = merge_into_snapshot(
+        spark, incoming_customers(spark, sf_dir), root, "customer", "2024-06-01", "c_custkey", how="upsert", buckets=8
+    )
+    return ops.drop_cdc_columns(merged)
+
+
+# Accounts of one segment were closed in version 9. Versions 7 and 9 that arrive later do not
+# bring them back, version 11 does; a change of version 7 to an open account is taken.
+LATE_AFTER_DELETE = """
+SELECT c_custkey, c_name, c_nationkey,
+       round(CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN c_acctbal + 11 WHEN c_mktsegment = 'BUILDING' THEN c_acctbal + 7 ELSE c_acctbal END, 2) AS c_acctbal,
+       c_mktsegment, CASE c_mktsegment WHEN 'HOUSEHOLD' THEN 11 WHEN 'BUILDING' THEN 7 ELSE 5 END AS _ab_cdc_updated_at
+FROM customer WHERE c_mktsegment <> 'HOUSEHOLD' OR c_custkey % 4 = 0"""
+
+
+def late_after_delete(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
+    root = new_folder(spark, "snapshots")
+    customers = table(spark, sf_dir, "customer")
+
+    def change(which: str, version: int, deleted: bool = False) -> DataFrame:
+        return customers.filter(which).withColumns({
+            "c_acctbal": F.round(F.col("c_acctbal") + (0 if version == 5 else version), 2),
+            "_ab_cdc_updated_at": F.lit(version),
+            "_ab_cdc_deleted_at": F.lit(version if deleted else None).cast("int"),
+        })
+
+    household = "c_mktsegment = 'HOUSEHOLD'"
+    days = {
+        "2024-05-30": change("c_custkey is not null", 5),
+        "2024-05-31": change(household, 9, deleted=True),
+        "2024-06-01": change("c_mktsegment in ('HOUSEHOLD', 'BUILDING') and c_custkey % 2 = 0", 7).unionByName(
+            change("c_mktsegment in ('BUILDING') and c_custkey % 2 = 1", 7)
+        ),
+        "2024-06-02": change(f"{household} and c_custkey % 4 = 1", 9).unionByName(change(f"{household} and c_custkey % 4 = 0", 11)),
+        "2024-06-03": change(f"{household} and c_custkey % 4 = 0", 10, deleted=True).unionByName(change(f"{household} and c_custkey % 4 = 2", 8)),
+    }
+    for day, feed in days.items():
+        merged = merge_into_snapshot(
+            spark, feed, root, "customer", day, "c_custkey", how="upsert", tombstone_days=30, **options
+        )
+    return merged
+
+
+@query(LATE_AFTER_DELETE)
+def merge_snapshot_late_after_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes that arrive after their account was closed by a newer one."""
+    return late_after_delete(spark, sf_dir)
+
+
+@query(LATE_AFTER_DELETE)
+def merge_snapshot_late_after_delete_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with the table in buckets."""
+    return late_after_delete(spark, sf_dir, buckets=8)
+
+
 @query(
     """
 SELECT *, CAST(NULL AS BIGINT) AS s_suppkey, CAST(NULL AS VARCHAR) AS s_name,
