@@ -22,6 +22,8 @@ from stratalode.sinks import stage
 
 WORD = r"[^\x20\x09-\x0D]+"
 _EXACT = 10**8
+_CELLS = 1 << 24  # sources times shards that the driver holds
+_CROWDED = 10_000
 
 
 def targets(sizes: Sequence[int], weights: Sequence[int], share: tuple[int, int] = (3, 2), passes: int = 2) -> list[float]:
@@ -89,9 +91,10 @@ def mix(
     weights: Sequence[int] = (5, 2, 1),
     share: tuple[int, int] = (3, 2),
     passes: int = 2,
-    shards: int = 16,
+    shards: int | None = None,
     seed: int = 8,
     rows_per_bucket: int = 4_000,
+    words_per_shard: int = 1 << 27,
     max_sources: int = 100_000,
     text: str = "text",
     source: str = "source",
@@ -108,59 +111,70 @@ def mix(
     the document's text.
     A document that a block's end falls into is cut there, so every source gives
     its rounded target exactly, and no document is taken more than ``passes`` times.
+    Without ``shards`` there are 16, or as many as keep one to ``words_per_shard``.
 
     NULL and empty texts have size 0 and are never drawn; a NULL key is a key of
-    its own; rows with equal keys are put in the order of their sizes, and
-    of their texts' hashes where texts are returned. An empty table gives an empty
-    result. Other columns do not matter and are not returned.
+    its own; rows with equal keys are put in the order of their sizes and their
+    texts' hashes. An empty table gives an empty result. Other columns do not
+    matter and are not returned. ``docs`` is read twice and has to give the same rows.
 
     A source's order is that of the key's MD5, whose leading bits also are its
     bucket: sums by bucket are added up first, then the documents within each
-    bucket, so that no task sees a whole source. ``max_sources`` only bounds what
-    the driver holds; beyond it the call is refused.
+    bucket, so that no task sees a whole source. A bucket that holds far more rows
+    than the others, as one key repeats, is dealt out by the texts' hashes. Sources
+    go by a number, and what a bucket needs of its source's plan comes with the
+    bucket's start, so texts cross the network once and are not written anywhere.
+    ``max_sources`` only bounds what the driver holds; beyond it the call is refused.
     """
+    number = F.xxhash64(F.lit(seed), F.col(source).isNull(), F.coalesce(F.col(source), F.lit("")))
     size = F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
     at = F.md5(F.concat(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(f":{seed}")))
-    texts = [F.col(text).alias("text"), F.xxhash64(text).alias("tie")] if with_text else []
-    sized = stage(
-        docs.select(F.col(key).alias("key"), F.col(source).alias("source"), size.alias("size"), at.alias("at"), *texts), "sizes"
-    )
-    totals = sized.groupBy("source").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("rows"))
+    measured = docs.select(
+        F.col(key).alias("key"), F.col(source).alias("source"), number.alias("number"), size.alias("size"), at.alias("at"),
+        F.xxhash64(text).alias("tie"), *([F.col(text).alias("text")] if with_text else []),
+    )
+    sized = stage(measured.drop("text"), "sizes")
+    totals = sized.groupBy("source", "number").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("rows"))
     found = totals.limit(max_sources + 1).collect()
     if len(found) > max_sources:
         raise ValueError(f"more than {max_sources} sources")
+    if len({r["number"] for r in found}) < len(found):
+        raise ValueError("two sources have one number; choose another seed")
     found.sort(key=lambda r: (r["source"] is None, r["source"] or ""))
     sizes = [r["size"] for r in found]
     wanted = targets(sizes, [weights[i % len(weights)] for i in range(len(found))], share, passes)
     quotas = [int(np.floor(t + 0.5)) for t in wanted]
+    if shards is None:
+        shards = max(16, min(-(-sum(quotas) // words_per_shard), _CELLS // max(1, len(found))))
     bounds = split_among_shards(quotas, shards, seed) if found else []
     plan = [
-        {"source": r["source"], "source_size": r["size"], "target": t, "bounds": b}
+        {"number": r["number"], "source_size": r["size"], "target": t, "bounds": b}
         for r, t, b in zip(found, wanted, bounds, strict=True)
     ]
     rows = F.from_json(
-        F.lit(json.dumps(plan)), "array<struct<source: string, source_size: bigint, target: double, bounds: array<bigint>>>"
+        F.lit(json.dumps(plan)), "array<struct<number: bigint, source_size: bigint, target: double, bounds: array<bigint>>>"
     )
     sources = stage(docs.sparkSession.range(1).select(F.inline(rows)), "mix-plan")
 
     buckets = max(1, min(1 << 20, -(-max((r["rows"] for r in found), default=1) // rows_per_bucket)))
-    bucket = F.floor(F.conv(F.substring("at", 1, 8), 16, 10).cast("long") * buckets / (1 << 32))
-    sized = sized.withColumn("bucket", bucket)
-    earlier = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        sized.groupBy("source", "bucket")
-        .agg(F.sum("size").alias("words"))
-        .select("source", "bucket", F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("bucket_start"))
+    part = _part_of_bucket(sized.withColumn("bucket", _bucket(buckets)), rows_per_bucket)
+    place = ["number", "bucket", "part"]
+
+    def dealt(df: DataFrame) -> DataFrame:
+        return df.withColumn("bucket", _bucket(buckets)).withColumn("part", part)
+
+    earlier = Window.partitionBy("number").orderBy("bucket", "part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = dealt(sized).groupBy(*place).agg(F.sum("size").alias("words"))
+    starts = starts.withColumn("bucket_start", F.coalesce(F.sum("words").over(earlier), F.lit(0)))
+    starts = starts.join(sources, "number").select(
+        *place, "bucket_start", "source_size", "target", _blocks_met(passes, shards).alias("blocks")
     )
-    inside = Window.partitionBy("source", "bucket").orderBy("at", "size", *(["tie"] if with_text else [])).rowsBetween(Window.unboundedPreceding, 0)
-    placed = sized.withColumn("upto", F.sum("size").over(inside)).alias("d")
-    placed = placed.join(starts.alias("b"), F.expr("d.source <=> b.source and d.bucket = b.bucket"))
-    carried = ["d.text"] if with_text else []
-    placed = placed.select("d.key", "d.source", "d.size", "d.at", *carried, (F.col("upto") - F.col("size") + F.col("bucket_start")).alias("start"))
-    placed = placed.alias("d").join(sources.alias("s"), F.expr("d.source <=> s.source"))
+    inside = Window.partitionBy(*place).orderBy("at", "size", "tie").rowsBetween(Window.unboundedPreceding, 0)
+    placed = dealt(measured if with_text else sized).withColumn("upto", F.sum("size").over(inside))
+    placed = placed.join(starts, place).withColumn("start", F.col("upto") - F.col("size") + F.col("bucket_start"))
     drawn = placed.select(
-        F.col("d.key").alias(key), F.col("d.source").alias(source), "d.size", "source_size", "target", "at",
-        _draws(passes, shards).alias("draws"), *carried,
+        F.col("key").alias(key), F.col("source").alias(source), "size", "source_size", "target", "at",
+        _draws().alias("draws"), *(["text"] if with_text else []),
     )
     if with_text:
         drawn = drawn.withColumn("draws", F.transform("draws", lambda d: d.withField("text", _piece("text", "size", d)))).drop("text")
@@ -168,29 +182,58 @@ def mix(
     return drawn.withColumn("taken", taken)
 
 
-def _draws(passes: int, shards: int) -> Column:
-    """Where the document's words on its source's line meet the blocks of the shards."""
-    return F.concat(*[_draws_of_pass(n, shards) for n in range(passes)])
+def _bucket(buckets: int) -> Column:
+    return F.floor(F.conv(F.substring("at", 1, 8), 16, 10).cast("long") * buckets / (1 << 32))
+
+
+def _part_of_bucket(sized: DataFrame, rows_per_bucket: int) -> Column:
+    """Which part of its bucket a row belongs to: 0, but for buckets that one repeated key has made large.
+
+    The driver holds a bounded list of such buckets; were there more, all buckets would be parted.
+    """
+    counts = sized.groupBy("number", "bucket").agg(F.count(F.lit(1)).alias("rows"))
+    crowded = counts.where(F.col("rows") > 8 * rows_per_bucket).limit(_CROWDED + 1).collect()
+    if not crowded:
+        return F.lit(0).cast("long")
+    parts = -(-max(r["rows"] for r in crowded) // rows_per_bucket)
+    part = F.pmod(F.xxhash64("tie"), F.lit(parts))
+    if len(crowded) > _CROWDED:
+        return part
+    listed = [f"{r['number']}:{r['bucket']}" for r in crowded]
+    return F.when(F.concat_ws(":", "number", "bucket").isin(listed), part).otherwise(F.lit(0))
+
 
+def _blocks_met(passes: int, shards: int) -> Column:
+    """The shards' blocks that the words of a bucket can meet, for each pass along its source's line."""
 
-def _draws_of_pass(n: int, shards: int) -> Column:
-    begin = F.col("start") + F.lit(n) * F.col("source_size")
-    end = begin + F.col("size")
+    def of_pass(n: int) -> Column:
+        begin = F.col("bucket_start") + F.lit(n) * F.col("source_size")
 
-    def met(shard: Column) -> Column:
-        first, last = F.get("bounds", shard), F.get("bounds", shard + 1)
+        def block(shard: Column) -> Column:
+            return F.struct(
+                shard.alias("shard"), F.lit(n).alias("pass"),
+                F.get("bounds", shard).alias("first"), F.get("bounds", shard + 1).alias("last"),
+            )
+
+        all_blocks = F.transform(F.sequence(F.lit(0), F.lit(shards - 1)), block)
+        return F.filter(all_blocks, lambda b: (b["first"] < begin + F.col("words")) & (b["last"] > begin))
+
+    return F.concat(*[of_pass(n) for n in range(passes)])
+
+
+def _draws() -> Column:
+    """Where the document's words on its source's line meet the blocks of the shards."""
+
+    def met(block: Column) -> Column:
+        begin = F.col("start") + block["pass"] * F.col("source_size")
         return F.struct(
-            shard.alias("shard"),
-            F.lit(n).alias("pass"),
-            (F.greatest(first, begin) - begin).alias("from_word"),
-            (F.least(last, end) - begin).alias("to_word"),
+            block["shard"].alias("shard"),
+            block["pass"].alias("pass"),
+            (F.greatest(block["first"], begin) - begin).alias("from_word"),
+            (F.least(block["last"], begin + F.col("size")) - begin).alias("to_word"),
         )
 
-    nothing = F.array().cast("array<struct<shard: int, pass: int, from_word: bigint, to_word: bigint>>")
-    all_shards = F.transform(F.sequence(F.lit(0), F.lit(shards - 1)), met)
-    return F.when(begin >= F.get("bounds", F.lit(shards)), nothing).otherwise(
-        F.filter(all_shards, lambda d: d["to_word"] > d["from_word"])
-    )
+    return F.filter(F.transform("blocks", met), lambda d: d["to_word"] > d["from_word"])
 
 
 def _piece(text: str, size: str, draw: Column) -> Column:
@@ -203,7 +246,10 @@ def _piece(text: str, size: str, draw: Column) -> Column:
 
 
 def shard_rows(mixed: DataFrame, seed: int = 8) -> DataFrame:
-    """The mix itself: one row per drawn piece, gathered by shard and shuffled within it."""
+    """The mix itself: one row per drawn piece, shards after one another and shuffled within.
+
+    Tasks take ranges of (shard, place in the shuffle), so a large shard is sorted by several.
+    """
     pieces = mixed.select(*[c for c in mixed.columns if c not in ("draws", "taken")], F.inline("draws"))
     order = F.xxhash64(F.lit(seed), "at", "pass", "from_word")
-    return pieces.repartition("shard").sortWithinPartitions("shard", order)
+    return pieces.repartitionByRange("shard", order).sortWithinPartitions("shard", order)

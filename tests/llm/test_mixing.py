@@ -73,6 +73,40 @@ def test_reruns_and_other_partitionings_agree(spark, rows):
     assert rows(mix(docs, rows_per_bucket=50)) == rows(mix(docs.repartition(7, "text"), rows_per_bucket=9))
 
 
+def test_a_key_that_repeats_is_dealt_to_several_tasks(spark, rows):
+    data = [(None if i % 3 else i, f"text {i} " + "w " * (i % 7), "ab"[i % 2]) for i in range(900)]
+    docs = spark.createDataFrame(data, "doc_id bigint, text string, source string")
+    mixed = mix(docs, shards=5, rows_per_bucket=20, with_text=True)
+    found = mixed.collect()
+    assert len(found) == 900 and sum(r["size"] for r in found) == sum(len(t.split()) for _, t, _ in data)
+    for source in "ab":
+        own = [r for r in found if r["source"] == source]
+        assert abs(sum(r["taken"] for r in own) - own[0]["target"]) <= 0.5
+    assert all(len(d["text"].split()) == d["to_word"] - d["from_word"] for r in found for d in r["draws"])
+    assert rows(mixed) == rows(mix(docs.repartition(7, "text"), shards=5, rows_per_bucket=20, with_text=True))
+
+
+def test_texts_are_shuffled_once_and_never_staged(spark, plan):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        mixed = mix(corpus(spark), with_text=True)
+        text = plan(mixed)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    lines = text.splitlines()
+    exchanges = [i for i, line in enumerate(lines) if "Exchange hashpartitioning" in line]
+    with_text = [i for i in exchanges if "AS text#" in "".join(lines[i : i + 4]) or "text#" in "".join(lines[i : i + 4])]
+    assert len(exchanges) >= 3 and len(with_text) == 1
+
+
+def test_shards_follow_the_words(spark):
+    mixed = mix(corpus(spark), words_per_shard=500)
+    shards = {d["shard"] for r in mixed.collect() for d in r["draws"]}
+    assert len(shards) > 30
+    assert {r["shard"] for r in shard_rows(mixed).collect()} == shards
+
+
 def test_awkward_rows_and_empty_tables(spark, awkward):
     found = mix(awkward)
     assert found.count() == awkward.count()
