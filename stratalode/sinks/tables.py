@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from stratalode.functions.names import column
+from stratalode.functions.names import DATE_PARTITIONS, column, lookup
 from stratalode.functions.values import relational
 from stratalode.operators.clean import filter_soft_deleted
 from stratalode.operators.columns import drop_cdc_columns, drop_ingestion_columns
 from stratalode.operators.sizing import TARGET_FILE_BYTES
 from stratalode.operators.upsert import merge_dedup
 from stratalode.sinks.stage import stage
-from stratalode.sources.dated import ExecutionDate, date_folder
+from stratalode.sources.dated import ExecutionDate, as_date, date_folder
 from stratalode.sources.tables import is_location, scan_jdbc, table_exists
 
 
@@ -49,7 +51,9 @@ def write_table(
     table existed before.
 
     With an ``execution_date``, appending to a location of files replaces that
-    day's folder below it and nothing else, so a rerun adds no row twice.
+    day's folder below it and nothing else, so a rerun adds no row twice. So does
+    appending to a table of files by name: it is created with the partitions year,
+    month and day, and a day's rows replace that day's partition.
     """
     if mode not in ("append", "overwrite"):
         raise ValueError(f"mode must be 'append' or 'overwrite', not {mode!r}")
@@ -67,11 +71,43 @@ def write_table(
         writer.mode("overwrite").save(f"{target.rstrip('/')}/{date_folder(execution_date)}")
     elif is_location(target):
         writer.save(target)
+    elif execution_date is not None and mode == "append" and fmt in FILE_FORMATS:
+        _replace_day_of_table(rows, target, fmt, execution_date, existed, options or {})
     else:
         writer.saveAsTable(target)
     return existed
 
 
+def _replace_day_of_table(
+    rows: DataFrame, target: str, fmt: str, execution_date: ExecutionDate, existed: bool, options: Mapping[str, str]
+) -> None:
+    """Write a day's partition of a named table, creating the table where there is none."""
+    clashing = [c for c in rows.columns if c.lower() in DATE_PARTITIONS]
+    if clashing:
+        raise ValueError(f"columns {clashing} would be replaced by the parts of the execution date; rename them")
+    day = as_date(execution_date)
+    if not existed:
+        dated = rows.withColumns({name: F.lit(getattr(day, name)) for name in DATE_PARTITIONS})
+        dated.write.format(fmt).options(**options).partitionBy(*DATE_PARTITIONS).saveAsTable(target)
+        return
+    table = rows.sparkSession.table(target)
+    partitions = [c.name for c in rows.sparkSession.catalog.listColumns(target) if c.isPartition]
+    if partitions != list(DATE_PARTITIONS):
+        raise ValueError(f"{target} is not partitioned by {DATE_PARTITIONS}; append to it without an execution date")
+    unknown = [c for c in rows.columns if lookup(table.columns, c) is None]
+    if unknown:
+        raise ValueError(f"{target} lacks the columns {unknown}")
+    found = {c: lookup(rows.columns, c) for c in table.columns if c not in partitions}
+    aligned = rows.select(*[(column(s) if s else F.lit(None)).cast(table.schema[c].dataType).alias(c) for c, s in found.items()])
+    view = f"day_{uuid.uuid4().hex}"
+    aligned.createTempView(view)
+    try:  # a partition named in full replaces itself and no other
+        parts = ", ".join(f"{name} = {getattr(day, name)}" for name in DATE_PARTITIONS)
+        rows.sparkSession.sql(f"INSERT OVERWRITE TABLE {target} PARTITION ({parts}) SELECT * FROM {view}")
+    finally:
+        rows.sparkSession.catalog.dropTempView(view)
+
+
 def relational_projection(df: DataFrame) -> DataFrame:
     """Reduce every column to text, integer or double.
 

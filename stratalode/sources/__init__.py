@@ -13,11 +13,15 @@ from stratalode.sources.files import (
     scan_parquet,
     source_sort_limit,
 )
+from stratalode.sources.marks import Mark, pending_days, read_mark, since_mark, write_mark
 from stratalode.sources.tables import scan_jdbc, scan_table, table_exists
 
 __all__ = [
+    "Mark",
     "date_range_predicate",
     "latest_partition",
+    "pending_days",
+    "read_mark",
     "scan_date_range",
     "scan_execution_date",
     "scan_jdbc",
@@ -26,6 +30,8 @@ __all__ = [
     "scan_parquet",
     "scan_partitioned_root",
     "scan_table",
+    "since_mark",
     "source_sort_limit",
     "table_exists",
+    "write_mark",
 ]

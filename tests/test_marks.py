@@ -1,0 +1,99 @@
+"""High-water marks over days that fail, come late or are half written; appends by day to named tables."""
+
+import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from stratalode import sinks, sources
+
+
+@pytest.fixture
+def lake(spark, tmp_path):
+    root, mark = str(tmp_path / "lake"), str(tmp_path / "mark.json")
+
+    def land(day):
+        number = datetime.date.fromisoformat(day).day
+        sinks.write_silver_parquet(spark.range(number, number + 1), root, "t", day)
+
+    def run(current=None, fails=False, **options):
+        with sources.since_mark(spark, f"{root}/t", mark, current, **options) as todo:
+            ids = sorted(r[0] for r in todo.rows.select("id").collect()) if todo.rows is not None else []
+            if fails:
+                raise RuntimeError("fails")
+        return ids
+
+    return land, run, mark, tmp_path
+
+
+def test_every_day_is_taken_once(spark, lake):
+    land, run, mark, tmp_path = lake
+    assert run() == [] and sources.read_mark(spark, mark) is None
+    land("2024-05-01")
+    land("2024-05-03")
+    assert run("2024-05-02") == [1]
+    assert run("2024-05-02") == []
+    with pytest.raises(RuntimeError):
+        run("2024-05-09", fails=True)
+    land("2024-05-02")
+    assert run("2024-05-09") == [2, 3]
+    land("2024-05-07")
+    assert run("2024-05-09") == [7]
+    assert sources.read_mark(spark, mark).missing == tuple(datetime.date(2024, 5, d) for d in (4, 5, 6))
+    land("2024-05-05")
+    land("2024-05-08")
+    assert run("2024-05-09") == [5, 8]
+    assert run("2024-05-09") == []
+    assert [p.name for p in tmp_path.glob("mark*")] == ["mark.json"]
+
+
+def test_a_half_written_day_waits(spark, lake):
+    land, run, _, tmp_path = lake
+    for day in ("2024-05-01", "2024-05-02", "2024-05-03"):
+        land(day)
+    mark_of_day = tmp_path / "lake/t/year=2024/month=05/day=02/_SUCCESS"
+    mark_of_day.unlink()
+    assert run("2024-05-09") == [1, 3]
+    mark_of_day.touch()
+    assert run("2024-05-09") == [2]
+
+
+def test_days_before_the_first_are_left(spark, lake):
+    land, run, mark, _ = lake
+    for day in ("2024-04-30", "2024-05-02"):
+        land(day)
+    assert run("2024-05-09", first="2024-05-01") == [2]
+    assert sources.read_mark(spark, mark) == sources.Mark(*(datetime.date(2024, 5, d) for d in (1, 2)), (datetime.date(2024, 5, 1),))
+    assert run("2024-05-09") == []
+
+
+def test_a_mark_is_replaced_in_one_step(spark, tmp_path):
+    path = str(tmp_path / "m/mark.json")
+    days = [datetime.date(2024, 5, d) for d in (1, 2, 3)]
+    for mark in (sources.Mark(days[0], days[1]), sources.Mark(days[0], days[2], (days[1],))):
+        sources.write_mark(spark, path, mark)
+        assert sources.read_mark(spark, path) == mark
+    assert len([p for p in (tmp_path / "m").iterdir() if not p.name.startswith(".")]) == 1
+
+
+def test_appends_by_name_replace_their_day(spark, rows):
+    spark.sql("DROP TABLE IF EXISTS daily_rows")
+    try:
+        first = spark.createDataFrame([(1, "a"), (2, "b")], "id bigint, v string")
+        assert not sinks.write_table(first, "daily_rows", execution_date="2024-05-01")
+        assert sinks.write_table(first.withColumn("v", F.lit("x")), "daily_rows", execution_date="2024-05-02")
+        sinks.write_table(first.select("v", F.col("id").cast("int")).where("id = 1"), "daily_rows", execution_date="2024-05-01")
+        sinks.write_table(first.select("id"), "daily_rows", execution_date="2024-05-03")
+        found = spark.table("daily_rows")
+        assert rows(found.select("id", "v", "day")) == [(1, "a", 1), (1, "x", 2), (1, None, 3), (2, "x", 2), (2, None, 3)]
+        with pytest.raises(ValueError, match="lacks the columns"):
+            sinks.write_table(first.withColumn("more", F.lit(1)), "daily_rows", execution_date="2024-05-01")
+        with pytest.raises(ValueError, match="rename"):
+            sinks.write_table(first.withColumn("Day", F.lit(1)), "daily_rows", execution_date="2024-05-01")
+        spark.sql("DROP TABLE IF EXISTS plain_rows")
+        sinks.write_table(first, "plain_rows")
+        with pytest.raises(ValueError, match="not partitioned"):
+            sinks.write_table(first, "plain_rows", execution_date="2024-05-01")
+    finally:
+        spark.sql("DROP TABLE IF EXISTS daily_rows")
+        spark.sql("DROP TABLE IF EXISTS plain_rows")

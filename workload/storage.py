@@ -244,3 +244,45 @@ def constraint_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_returnflag") != "R", F.col("l_shipdate")).alias("shipped"),
     )
     return plans.constraint_violations(lines, ["l_orderkey", "l_linenumber"], "shipped")
+
+
+@query("SELECT event_id, user_id, event_type, value, epoch_us(ts) AS ts_micros FROM events")
+def scan_since_mark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All days by four runs since a mark: one to the middle, one that fails, one to the end, one for a day that came late."""
+    root, out = sinks.new_folder(spark, "silver"), sinks.new_folder(spark, "marked")
+    rows = flat_events(spark, sf_dir)
+    days = sorted(r[0] for r in rows.select(F.to_date("ts")).distinct().collect())
+    late, middle = days[len(days) // 3], days[len(days) // 2]
+    is_late = F.to_date("ts") == F.lit(late)
+    sinks.write_silver_parquet(rows.where(~is_late), root, "events", date_column="ts")
+
+    def run(number: int, current, fails: bool = False) -> None:
+        with sources.since_mark(spark, f"{root}/events", f"{out}/mark.json", current) as todo:
+            sinks.write_silver_parquet(todo.rows.drop("year", "month", "day"), out, f"run{number}")
+            if fails:
+                raise RuntimeError("after it has written")
+
+    run(1, middle)
+    try:
+        run(2, days[-1], fails=True)
+    except RuntimeError:
+        run(2, days[-1])
+    sinks.write_silver_parquet(rows.where(is_late), root, "events", date_column="ts")
+    run(3, days[-1])
+    runs = [spark.read.parquet(f"{out}/run{n}").drop("ts", "year", "month", "day") for n in (1, 2, 3)]
+    return runs[0].unionByName(runs[1]).unionByName(runs[2])
+
+
+@query("SELECT event_id, user_id, event_type, value, epoch_us(ts) AS ts_micros FROM events")
+def write_table_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A named table to which two days are appended, the second one twice."""
+    name = "events_by_day"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    rows = flat_events(spark, sf_dir).drop("ts")
+    days = {"2024-05-31": rows.where("event_id % 3 = 0"), "2024-06-01": rows.where("event_id % 3 <> 0")}
+    for day, part in (*days.items(), ("2024-06-01", days["2024-06-01"])):
+        sinks.write_table(part, name, execution_date=day)
+    found = sources.scan_table(spark, name).drop("year", "month", "day")
+    written = sinks.stage(found, "events-by-day")
+    spark.sql(f"DROP TABLE {name}")
+    return written
