@@ -23,8 +23,10 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stratalode.llm.columns import rows_per_batch
 from stratalode.sinks import stage
 
+ROWS = 500
 RECORD = "page_id bigint, url string, record_type string, payload_digest string, payload_bytes bigint, refers_to bigint"
 INDEX = f"file string, offset bigint, length bigint, {RECORD}"
 _index_schema = pa.schema([
@@ -141,7 +143,8 @@ def write_archives(pages: DataFrame, folder: str, min_revisit_bytes: int = 1000,
         "page_id", "url", "html", "digest", F.when(revisit, F.col("newest")).alias("refers_to"), revisit.alias("revisit")
     )
     path = f"{folder.rstrip('/')}/index"
-    joined.mapInArrow(_writer(folder, max_file_bytes), INDEX).write.parquet(path)
+    with rows_per_batch(spark, ROWS):  # pages are turned into Python objects a batch at a time
+        joined.mapInArrow(_writer(folder, max_file_bytes), INDEX).write.parquet(path)
     return spark.read.schema(INDEX).parquet(path)
 
 
@@ -180,13 +183,24 @@ def _reader(folder: str, gap: int, most: int):
     return read
 
 
-def read_records(index: DataFrame, folder: str, gap: int = 1 << 16, most: int = 8 << 20) -> DataFrame:
+def reading_tasks(index: DataFrame, bytes_per_task: int) -> int:
+    """Tasks for the archive bytes that an index names: the index itself says nothing of their size."""
+    total = index.agg(F.sum("length")).first()[0] or 0
+    cores = index.sparkSession.sparkContext.defaultParallelism
+    return max(1, -(-total // bytes_per_task), min(2 * cores, total >> 20))
+
+
+def read_records(
+    index: DataFrame, folder: str, gap: int = 1 << 16, most: int = 8 << 20, bytes_per_task: int = 128 << 20
+) -> DataFrame:
     """The records that ``index`` rows name, with their payloads (NULL for revisits).
 
     Rows are dealt out by file and offset, so a task reads whole stretches; ranges
-    no more than ``gap`` bytes apart are joined, up to ``most`` bytes at a time. A
+    no more than ``gap`` bytes apart are joined, up to ``most`` bytes at a time.
+    Tasks take about ``bytes_per_task`` of the archives, less where cores are free. A
     response whose payload does not have the digest of its header is an error.
     """
-    wanted = index.select("file", "offset", "length").repartitionByRange("file", "offset").sortWithinPartitions("file", "offset")
+    tasks = reading_tasks(index, bytes_per_task)
+    wanted = index.select("file", "offset", "length").repartitionByRange(tasks, "file", "offset").sortWithinPartitions("file", "offset")
     return wanted.mapInArrow(_reader(folder, gap, most), f"{RECORD}, payload binary")
 

@@ -3,8 +3,9 @@ import hashlib
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
-from stratalode.llm.warc import ranges, read_records, write_archives
+from stratalode.llm.warc import ranges, read_records, reading_tasks, write_archives
 
 BIG, SMALL = "é" * 600, "x" * 999
 PAGES = [
@@ -24,6 +25,21 @@ def expected():
     return sorted(out, key=repr)
 
 
+def test_tasks_grow_with_the_bytes_of_the_archives(spark, tmp_path):
+    def index(rows, length):
+        return spark.range(rows).selectExpr("'f' AS file", f"id * {length} AS offset", f"CAST({length} AS BIGINT) AS length")
+
+    assert reading_tasks(index(0, 1), 1 << 27) == 1
+    assert reading_tasks(index(1000, 100), 1 << 27) == 1
+    assert reading_tasks(index(1000, 1 << 20), 1 << 27) == 8  # twice the cores of the session
+    assert reading_tasks(index(1000, 1 << 24), 1 << 27) == 125
+    pages = spark.createDataFrame([(i, "u", f"{i} " * 3000) for i in range(300)], "page_id bigint, url string, html string")
+    archives = write_archives(pages, f"file:{tmp_path}/many")
+    found = read_records(archives, f"file:{tmp_path}/many", bytes_per_task=5000)
+    tasks = found.withColumn("task", F.spark_partition_id()).select("task").distinct().count()
+    assert tasks >= 5 and found.count() == 300
+
+
 @pytest.mark.parametrize("most", [1, 8 << 20])
 def test_round_trip(spark, tmp_path, rows, most):
     pages = spark.createDataFrame([(*p, "mine", 1) for p in PAGES], "page_id bigint, url string, html string, digest string, offset int")
