@@ -152,7 +152,8 @@ def scan_execution_date(
     """Read one day of a table. Only that day's folder is listed.
 
     Without ``table``, ``root`` may also be a single ``.json`` or ``.parquet`` file
-    or a day's own folder. ``<root><table>.<fmt>`` is read if the table has no folder.
+    or a day's own folder. ``<root><table>.<fmt>`` is read if the table has no folder,
+    and of a day's own folder, with or without a closing slash, ``<table>.<fmt>`` in it.
     """
     base = table_root(root, table)
     path = f"{base}/{date_folder(execution_date)}"
@@ -161,6 +162,8 @@ def scan_execution_date(
         return _scan(spark, root, root.rpartition(".")[2], schema)
     if not table and day is not None:
         base, path = root[: day.start()], root.rstrip("/")
+    elif table and day is not None and _exists(spark, f"{root.rstrip('/')}/{table}.{fmt}"):
+        return _scan(spark, f"{root.rstrip('/')}/{table}.{fmt}", fmt, schema)
     elif table and not _exists(spark, base) and _exists(spark, f"{root}{table}.{fmt}"):
         return _scan(spark, f"{root}{table}.{fmt}", fmt, schema)
     if fmt == "json":

@@ -237,3 +237,11 @@ def test_columns_without_json_objects_need_a_schema(spark, text):
     df = spark.createDataFrame([(text,)], "j string")
     with pytest.raises(ValueError, match="schema"):
         parse_json_column(df, "j")
+
+
+def test_parse_json_infers_from_a_share_of_the_texts(spark):
+    df = spark.range(2000).selectExpr("concat('{\"k\": ', id, '}') AS j").unionByName(spark.sql("SELECT 'no json' AS j"))
+    parsed = parse_json_column(df, "j", sampling_ratio=0.05)
+    assert parsed.where("j.k >= 0").count() == 2000
+    with pytest.raises(ValueError, match="sampling_ratio"):
+        parse_json_column(df, "j", sampling_ratio=0.0)

@@ -341,3 +341,11 @@ def test_single_files_and_day_folders_as_sources(spark, tmp_path, rows):
     assert read(spark, f"{root}/shop_carts.json").count() == 2
     assert read(spark, f"{root}/carts.parquet").count() == 3
     assert rows(read(spark, f"{root}/t/year=2024/month=01/day=05").select("id", "day")) == [(0, 5)]
+
+
+def test_a_named_table_in_a_days_own_folder(spark, tmp_path):
+    folder = tmp_path / "year=2024/month=05/day=01"
+    folder.mkdir(parents=True)
+    (folder / "orders.json").write_text('{"id": 7}')
+    for root in (str(folder), f"{folder}/"):
+        assert [r["id"] for r in sources.scan_execution_date(spark, root, "orders", "2024-05-01").collect()] == [7]

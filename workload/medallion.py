@@ -148,7 +148,8 @@ def process_tables_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     f"""
 WITH {CARTS}, {PRODUCTS}
-SELECT 'carts' AS silver_table, id, "userId", __v, strftime(date, '%Y-%m-%dT%H:%M:%SZ') AS date, coalesce(n, -1) AS n_products
+SELECT 'carts' AS silver_table, id, "userId", __v, strftime(date, '%Y-%m-%dT%H:%M:%SZ') AS date, coalesce(n, -1) AS n_products,
+       CASE WHEN n IS NOT NULL THEN concat_ws(';', p1 || 'x' || q1, p2 || 'x' || q2) END AS products
 FROM carts
 UNION ALL BY NAME SELECT 'products' AS silver_table, * FROM ({SILVER_PRODUCTS})"""
 )
@@ -159,7 +160,9 @@ def process_tables_el(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark, bronze, silver, ["products", "carts"], RUN_DATE, mode="EL", schemas=RAW_SCHEMAS
     )
     carts = sources.scan_parquet(spark, written["carts"])
-    carts = carts.withColumn("n_products", F.coalesce(F.array_size("products"), F.lit(-1))).drop("products")
+    entries = F.transform("products", lambda p: F.concat_ws("x", p["productId"], p["quantity"]))
+    carts = carts.withColumn("n_products", F.coalesce(F.array_size("products"), F.lit(-1)))
+    carts = carts.withColumn("products", F.when(F.col("products").isNotNull(), F.array_join(entries, ";")))
     products = sources.scan_parquet(spark, written["products"])
     products = products.withColumns(
         {"rating_count": F.col("rating.count"), "rating_rate": F.col("rating.rate")}
