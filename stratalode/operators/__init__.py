@@ -22,6 +22,7 @@ from stratalode.operators.columns import (
 from stratalode.operators.dedup import dedup_latest, distinct_rows, resolve_keys
 from stratalode.operators.nested import (
     array_elements,
+    array_lengths,
     arrays_cartesian,
     arrays_to_columns,
     explode_array,
@@ -45,6 +46,7 @@ from stratalode.operators.upsert import (
 __all__ = [
     "align_columns",
     "array_elements",
+    "array_lengths",
     "arrays_cartesian",
     "arrays_to_columns",
     "cast_timestamp_columns",

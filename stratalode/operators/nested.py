@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import reduce
 from operator import and_
 
@@ -178,6 +179,104 @@ def _join_null_safe(left: DataFrame, right: DataFrame, on: list[str]) -> DataFra
     return left.join(right, same).drop(*renamed.values())
 
 
+def _holds_array(dtype: T.DataType) -> bool:
+    if isinstance(dtype, T.StructType):
+        return any(_holds_array(f.dataType) for f in dtype.fields)
+    return isinstance(dtype, T.ArrayType)
+
+
+def _lengths(value: Column, dtype: T.DataType, path: Column) -> Iterator[Column]:
+    """Arrays of (path, length) for every array within a value, those inside of elements included.
+
+    A path is made of the places of fields and elements, from the top.
+    """
+    if isinstance(dtype, T.StructType):
+        for i, child in enumerate(dtype.fields):
+            if _holds_array(child.dataType):
+                yield from _lengths(value.getField(child.name), child.dataType, F.array_append(path, F.lit(i)))
+    elif isinstance(dtype, T.ArrayType):
+        yield F.array(F.struct(path.alias("path"), F.array_size(value).alias("length")))
+        if _holds_array(dtype.elementType):
+
+            def of_element(element: Column, i: Column) -> Column:
+                return F.concat(*_lengths(element, dtype.elementType, F.array_append(path, i)))
+
+            yield F.coalesce(F.flatten(F.transform(value, of_element)), F.array().cast(_LENGTHS))
+
+
+_LENGTHS = "array<struct<path: array<int>, length: int>>"
+
+
+def array_lengths(df: DataFrame) -> dict[tuple[int, ...], int]:
+    """The longest length of every array of a frame, however deep, by its path.
+
+    One aggregation over the rows answers all levels: each row lists the lengths of
+    its arrays, and tasks keep the longest per path before anything is shuffled. An
+    array inside of an array has a length for each element it can stand in, so there
+    are as many results as :func:`flatten_all` has arrays to turn into columns.
+    Arrays that no row holds have length 0 or, inside of elements, no entry.
+    """
+    start = F.array().cast("array<int>")
+    found = [
+        each
+        for i, f in enumerate(df.schema.fields)
+        if _holds_array(f.dataType)
+        for each in _lengths(column(f.name), f.dataType, F.array_append(start, F.lit(i)))
+    ]
+    if not found:
+        return {}
+    listed = df.select(F.inline(F.concat(*found))).where("length is not null")
+    return {tuple(r["path"]): r["length"] for r in listed.groupBy("path").agg(F.max("length").alias("length")).collect()}
+
+
+@dataclass(frozen=True)
+class _Part:
+    """A column of a frame that is being flattened, and where its value comes from."""
+
+    name: str
+    value: Column
+    dtype: T.DataType
+    path: tuple[int, ...]
+
+
+def _without_structs(parts: list[_Part]) -> Iterator[_Part]:
+    """The order of :func:`flatten_structs`."""
+    for part in parts:
+        if not isinstance(part.dtype, T.StructType):
+            yield part
+    for part in reversed(parts):
+        if isinstance(part.dtype, T.StructType):
+            yield from _without_structs([
+                _Part(f"{part.name}_{c.name}", part.value.getField(c.name), c.dataType, (*part.path, i))
+                for i, c in enumerate(part.dtype.fields)
+            ])
+
+
+def _arrays_side_by_side(df: DataFrame, max_columns: int | None, keyed: bool) -> DataFrame:
+    """All rounds of :func:`flatten_structs` and :func:`arrays_to_columns` as one projection."""
+    longest = array_lengths(df)
+    parts = [_Part(f.name, column(f.name), f.dataType, (i,)) for i, f in enumerate(df.schema.fields)]
+    distinct = False
+    while any(isinstance(p.dtype, (T.ArrayType, T.StructType)) for p in parts):
+        parts = list(_without_structs(parts))
+        require_unique([p.name for p in parts], "flatten_structs")
+        arrays = [p for p in parts if isinstance(p.dtype, T.ArrayType)]
+        distinct = not arrays and not keyed
+        kept = [p for p in parts if not isinstance(p.dtype, T.ArrayType)]
+        wide = [
+            _Part(f"{a.name}_{i}", F.get(a.value, F.lit(i)), a.dtype.elementType, (*a.path, i))
+            for a in arrays
+            for i in range(longest.get(a.path, 0))
+        ]
+        parts = kept + wide
+        if max_columns is not None and arrays and len(parts) > max_columns:
+            lengths = {a.name: longest.get(a.path, 0) for a in arrays}
+            raise ValueError(f"{len(parts)} columns needed, {max_columns} allowed; array lengths: {lengths}")
+        require_unique([p.name for p in parts], "arrays_to_columns")
+    flat = df.select(*[p.value.alias(p.name) for p in parts])
+    return distinct_rows(flat) if distinct else flat
+
+
 def flatten_all(
     df: DataFrame,
     cartesian: bool = False,
@@ -189,17 +288,17 @@ def flatten_all(
     """Repeat struct expansion and array removal until only plain columns are left.
 
     Arrays become columns, or combinations of rows with ``cartesian=True``.
-    The number of rounds is the nesting depth of the schema. ``keyed`` says that
-    the columns without arrays hold a key, which saves shuffles.
+    Columns for arrays of all levels come from one aggregation, see
+    :func:`array_lengths`, and one projection. Combinations take as many rounds as
+    the schema is deep. ``keyed`` says that the columns without arrays hold a key,
+    which saves shuffles.
     """
+    if not cartesian:
+        return _arrays_side_by_side(df, max_columns, keyed)
     nested = (T.ArrayType, T.StructType)
     while any(isinstance(f.dataType, nested) for f in df.schema.fields):
-        df = flatten_structs(df)
-        if cartesian:
-            df = arrays_cartesian(df, match=match, null_safe=null_safe, keyed=keyed)
-            keyed = False  # the key's rows have multiplied
-        else:
-            df = arrays_to_columns(df, max_columns=max_columns, keyed=keyed)
+        df = arrays_cartesian(flatten_structs(df), match=match, null_safe=null_safe, keyed=keyed)
+        keyed = False  # the key's rows have multiplied
     return df
 
 

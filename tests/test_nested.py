@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from stratalode.operators import (
     array_elements,
+    array_lengths,
     arrays_cartesian,
     arrays_to_columns,
     explode_array,
@@ -245,3 +246,63 @@ def test_parse_json_infers_from_a_share_of_the_texts(spark):
     assert parsed.where("j.k >= 0").count() == 2000
     with pytest.raises(ValueError, match="sampling_ratio"):
         parse_json_column(df, "j", sampling_ratio=0.0)
+
+
+DEEP = "k int, a array<struct<x: int, b: array<struct<y: int, c: array<int>>>, s: struct<d: array<string>>>>, m array<array<int>>, o struct<e: array<int>>"
+
+
+def deep(spark):
+    return spark.createDataFrame(
+        [
+            (1, [(1, [(2, [3, 4]), (5, None)], (["p"],)), (6, [], None)], [[1], [2, 3, 4], None], ([9],)),
+            (2, [None, (7, [(8, []), None, (9, [10, 11, 12])], ([],))], [], None),
+            (3, None, None, (None,)), (3, None, None, (None,)), (4, [], [[]], ([],)),
+        ],
+        DEEP,
+    )
+
+
+def in_rounds(df, keyed=False):
+    """The same, one level of arrays after another."""
+    while any(f.dataType.typeName() in ("array", "struct") for f in df.schema.fields):
+        df = arrays_to_columns(flatten_structs(df), keyed=keyed)
+    return df
+
+
+@pytest.mark.parametrize("keyed", [False, True])
+def test_flattening_at_once_equals_flattening_in_rounds(spark, rows, keyed):
+    for df in (deep(spark), deep(spark).limit(0), nested(spark), deep(spark).select("k", "m"), deep(spark).select("o")):
+        at_once, want = flatten_all(df, keyed=keyed), in_rounds(df, keyed)
+        assert at_once.columns == want.columns
+        assert at_once.dtypes == want.dtypes
+        assert rows(at_once) == rows(want)
+
+
+def test_lengths_of_all_levels(spark):
+    longest = array_lengths(deep(spark))
+    assert longest[1,] == 2 and longest[2,] == 3 and longest[3, 0] == 1
+    assert (longest[1, 0, 1], longest[1, 1, 1]) == (2, 3)
+    assert (longest[1, 0, 1, 0, 1], longest[1, 1, 1, 2, 1], longest[1, 0, 2, 0]) == (2, 3, 1)
+    assert (longest[2, 0], longest[2, 1]) == (1, 3)
+    assert array_lengths(spark.range(1)) == {}
+
+
+def test_any_depth_takes_one_aggregation(spark):
+    df = deep(spark)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        store = spark._jsparkSession.sharedState().statusStore()
+        before = store.executionsCount()
+        flat = flatten_all(df)
+        assert store.executionsCount() - before == 1
+        assert len(flat.columns) > 10
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_names_that_meet_and_too_many_columns_are_errors(spark):
+    df = spark.createDataFrame([([(1,), (2,)], 3)], "a array<struct<b: int>>, a_1_b int")
+    with pytest.raises(ValueError, match="a_1_b"):
+        flatten_all(df)
+    with pytest.raises(ValueError, match="columns needed"):
+        flatten_all(df.drop("a_1_b"), max_columns=1)
