@@ -28,6 +28,7 @@ from stratalode.plans.silver import (
     silver_carts,
     silver_products,
 )
+from stratalode.plans.uniqueness import constraint_violations_incremental, stored_violations
 
 __all__ = [
     "GOLD_TABLES",
@@ -37,6 +38,7 @@ __all__ = [
     "compact_gold_states",
     "conform_to_schema",
     "constraint_violations",
+    "constraint_violations_incremental",
     "gold_from_states",
     "process_and_flatten",
     "process_table",
@@ -48,6 +50,7 @@ __all__ = [
     "silver_carts",
     "silver_products",
     "top10_products_revenue",
+    "stored_violations",
     "update_gold_states",
     "user_ltv",
     "write_gold_tables",

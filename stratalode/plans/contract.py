@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from functools import reduce
 from operator import or_
@@ -96,8 +96,17 @@ def constraint_violations(
         F.count("*").alias(rows),
         *[F.count_if(column(c).isNull()).alias(name) for c, name in nulls.items()],
     )
+    return broken_rules(counted, {k: k for k in keys}, rows, nulls)
+
+
+def broken_rules(counted: DataFrame, keys: Mapping[str, str], rows: str, nulls: Mapping[str, str]) -> DataFrame:
+    """The findings among counted keys.
+
+    ``keys`` and ``nulls`` give the column of ``counted`` that holds a key column or
+    the number of NULLs of a checked one, ``rows`` the one with the number of rows.
+    """
     key_is_whole = ~F.exists(
-        F.array(*[column(k).isNull() for k in keys]), lambda is_null: is_null
+        F.array(*[column(k).isNull() for k in keys.values()]), lambda is_null: is_null
     )
 
     def finding(rule: str, name: str, broken: Column, count: str):
@@ -111,7 +120,7 @@ def constraint_violations(
         finding("primary_key", ",".join(keys), key_is_whole & (column(rows) > 1), rows),
         *[finding("not_null", c, column(name) > 0, name) for c, name in nulls.items()],
     ]
-    key_text = F.concat_ws(",", *[F.coalesce(column(k).cast("string"), F.lit("NULL")) for k in keys])
+    key_text = F.concat_ws(",", *[F.coalesce(column(k).cast("string"), F.lit("NULL")) for k in keys.values()])
     broken = reduce(or_, [column(name) > 0 for name in nulls.values()], column(rows) > 1)
     return counted.filter(broken).select(
         key_text.alias("key"),

@@ -1,0 +1,67 @@
+import random
+
+import pytest
+
+from stratalode import plans
+from stratalode.plans import uniqueness
+
+SCHEMA = "k int, l string, v int, rows string"
+
+
+def check(part, root, day, **options):
+    return plans.constraint_violations_incremental(part, root, "t", f"2024-06-{day:02d}", ["k", "l"], ["v"], **options)
+
+
+def days(spark, seed):
+    """Random rows of four days with keys that repeat within and across days, NULLs, and one hot key."""
+    rng = random.Random(seed)
+    for day in (2, 1, 4, 3):
+        made = [
+            (rng.choice([None, *range(40)]), rng.choice([None, "a", "b", "a,b"]), rng.choice([None, 1, 2, 3]), "x") for _ in range(60)
+        ]
+        yield day, spark.createDataFrame([*made, *[(7, "hot", 1, "x")] * (100 if day != 4 else 0)], SCHEMA)
+
+
+@pytest.mark.parametrize("options", [{}, {"buckets": 1, "bits_per_key": 1}])
+def test_days_in_any_order_equal_the_full_check(spark, rows, tmp_path, options):
+    whole = None
+    for day, part in days(spark, 5):
+        whole = part if whole is None else whole.unionByName(part)
+        found = check(part, str(tmp_path), day, **options)
+        assert rows(found) == rows(plans.constraint_violations(whole, ["k", "l"], ["v"]))
+    assert rows(check(part, str(tmp_path), day, **options)) == rows(found)
+    assert rows(plans.stored_violations(spark, str(tmp_path), "t", ["k", "l"], ["v"])) == rows(found)
+
+
+def test_empty_days_and_days_without_whole_keys(spark, rows, tmp_path):
+    some = spark.createDataFrame([(1, "a", 1, "x"), (None, "a", None, "x")], SCHEMA)
+    assert check(some.limit(0), str(tmp_path), 1).count() == 0
+    check(some.where("k is null"), str(tmp_path), 2)
+    check(some.limit(0), str(tmp_path), 3)
+    assert rows(check(some, str(tmp_path), 4)) == [("not_null", "k", "NULL,a", 2), ("not_null", "v", "NULL,a", 2)]
+
+
+def test_unfinished_days_do_not_count(spark, rows, tmp_path):
+    some = spark.createDataFrame([(1, "a", 1, "x")], SCHEMA)
+    check(some, str(tmp_path), 1)
+    (tmp_path / "t_filters/year=2024/month=06/day=01/_SUCCESS").unlink()
+    assert rows(check(some, str(tmp_path), 2)) == []
+    assert rows(check(some, str(tmp_path), 1)) == [("primary_key", "k,l", "1,a", 2)]
+
+
+def test_only_buckets_with_candidates_are_read(spark, rows, tmp_path, monkeypatch):
+    root, opened = str(tmp_path), []
+    spark.range(5_000).selectExpr("id as k", "'a' as l", "1 as v").createOrReplaceTempView("first_day")
+    looked_up = uniqueness._looked_up
+
+    def watched(session, maybe, home, counted, ks):
+        places = {(p["on_day"], p["bucket"]) for p in maybe.select("on_day", "bucket").distinct().collect()}
+        opened.append((maybe.count(), len(places)))
+        return looked_up(session, maybe, home, counted, ks)
+
+    monkeypatch.setattr(uniqueness, "_looked_up", watched)
+    check(spark.table("first_day"), root, 1)
+    fresh = spark.range(10_000, 12_000).selectExpr("id as k", "'a' as l", "1 as v")
+    assert check(fresh.union(spark.table("first_day").limit(1)), root, 2).collect()[0]["row_count"] == 2
+    candidates, places = opened[0]
+    assert 1 <= candidates <= 20 and places <= candidates

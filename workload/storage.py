@@ -221,8 +221,7 @@ def conform_to_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stamped(cents(conformed))
 
 
-@query(
-    """
+BROKEN_LINES = """
 WITH lines AS (
     SELECT l_orderkey, l_linenumber, CASE WHEN l_returnflag <> 'R' THEN l_shipdate END AS shipped
     FROM lineitem
@@ -235,15 +234,29 @@ SELECT 'primary_key' AS rule, 'l_orderkey,l_linenumber' AS column_name, key, row
 FROM by_key WHERE rows > 1
 UNION ALL
 SELECT 'not_null', 'shipped', key, unshipped FROM by_key WHERE unshipped > 0"""
-)
+
+
+@query(BROKEN_LINES)
 def constraint_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items whose key repeats, and returned ones as rows without a ship date."""
-    lines = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey",
-        "l_linenumber",
-        F.when(F.col("l_returnflag") != "R", F.col("l_shipdate")).alias("shipped"),
-    )
-    return plans.constraint_violations(lines, ["l_orderkey", "l_linenumber"], "shipped")
+    return plans.constraint_violations(shipped_lines(spark, sf_dir), ["l_orderkey", "l_linenumber"], "shipped")
+
+
+def shipped_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shipped = F.when(F.col("l_returnflag") != "R", F.col("l_shipdate")).alias("shipped")
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", shipped, "l_partkey")
+
+
+@query(BROKEN_LINES)
+def constraint_violations_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by four days that come out of order, the last of them twice."""
+    root = sinks.new_folder(spark, "checked")
+    lines = shipped_lines(spark, sf_dir).withColumn("part", F.pmod(F.coalesce("l_partkey", F.lit(0)), F.lit(4)))
+    for day, part in ((1, 0), (3, 1), (2, 2), (4, 3), (4, 3)):
+        found = plans.constraint_violations_incremental(
+            lines.where(F.col("part") == part), root, "lineitem", f"2024-06-0{day}", ["l_orderkey", "l_linenumber"], "shipped"
+        )
+    return found
 
 
 @query("SELECT event_id, user_id, event_type, value, epoch_us(ts) AS ts_micros FROM events")
