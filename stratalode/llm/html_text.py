@@ -9,7 +9,8 @@ h1) belongs to the article too: short headings and list items have poor ratios o
 their own. Menus, forms, notices and the like are left out by their elements and
 labels wherever they stand, but not a form, dialog or object around the article,
 nor parts of an <article> whose labels can name parts of a text and whose paths
-are those of content.
+are those of content. A label counts by the word it names, its last one but for
+words of the layout; of words in passing, as in comments-open, paths decide.
 """
 
 from __future__ import annotations
@@ -32,8 +33,8 @@ _TOKEN = re.compile(
     re.S,
 )
 _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
-_LABEL = re.compile(r"\b(class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+_NOT_SHOWN = re.compile(r"display\s*:\s*none", re.I)
 _PART = re.compile(r"[a-z]+|[A-Z]+(?![a-z])|[A-Z][a-z]*")
 
 # Element names of HTML by what they do to text.
@@ -58,11 +59,20 @@ PARTS = frozenset(
     "alert banner complementary copyright discussion header menu notice notices privacy promoted related replies reply respond"
     " responses search share sharing social sponsor sponsored teaser".split()
 )
+# Words that name a place in a layout, as in related-posts or comments-area. What a label names besides
+# is its last word: comments-open and login-guide are no comments and no login, and paths decide.
+PLACES = frozenset(
+    "area bar block body box btn button buttons card cards col column container content cta entry entries feed field form group"
+    " holder icon icons inner item items label left link links list main message outer overlay pane panel post posts region"
+    " right row section slot story stories text thread title top unit wrap wrapper zone".split()
+)
+# First words of labels that tell what an element has, as in has-sidebar.
+STATES = frozenset("has have hide is no not show with without".split())
 # Elements of NOT_CONTENT that may also be wrapped around the article.
 WRAPPERS = frozenset("form dialog object".split())
 # Elements that hold several blocks of one text; a block of other elements is part of what is around it.
 CONTAINERS = frozenset(["", *"html body article main div td th".split()])
-#: As in browsers, elements nested deeper are not told apart; their text is kept.
+#: As in browsers, elements nested deeper do not make paths of their own. Whether they are content is told at any depth.
 MAX_DEPTH = 512
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _CLOSES = {
@@ -76,7 +86,7 @@ _CLOSES = {
 class Element:
     tag: str
     label: str
-    parent: Element | None
+    parent: Element | None  #: the next one of its path
     out: bool
     by_label: bool = False
     holds_article: bool = False
@@ -84,6 +94,9 @@ class Element:
     by_part: bool = False
     holds_main: bool = False
     wraps: bool = False
+    around: Element | None = None  #: the element it stands in, at any depth
+    in_article: bool = False
+    silent: bool = False  #: whether text right inside, in no block of its own, is no content
 
     def up(self):
         e = self
@@ -102,30 +115,62 @@ class Block:
         return " ".join("".join(self.text).split())
 
 
-def _marked(tag: str, attributes: str) -> tuple[str, bool, bool]:
-    """The label that tells elements of a path apart, and whether it marks no content: surely, or by words of `PARTS` only."""
-    label, bad, part_of = "", bool(_HIDDEN.search(attributes)), False
-    for name, *values in _LABEL.findall(attributes):
-        value = next((v for v in values if v), "")
-        if name.lower() == "class":
+def _label_words(value: str) -> tuple[set[str], set[str]]:
+    """The words of `LABELS` that a class, id or role names, and those that are in it besides."""
+    named, other = set(), set()
+    for token in value.split():
+        words = [part.lower() for part in _PART.findall(token)]
+        held = {w for w in words if w in LABELS}
+        if not held:
+            continue
+        head = list(words)
+        while len(head) > 1 and head[-1] in PLACES:
+            head.pop()
+        names = head[-1] in LABELS and head[0] not in STATES
+        (named if names else other).update(held)
+    return named, other
+
+
+def _marked(tag: str, attributes: str) -> tuple[str, bool, bool, bool]:
+    """The label that tells elements of a path apart, and whether it marks no content: surely, by words of `PARTS` only, or by others in passing."""
+    label, bad, part_of, passing = "", False, False, False
+    for name, *values in _ATTRIBUTE.findall(attributes):
+        name, value = name.lower(), next((v for v in values if v), "")
+        if name == "class":
             label = value.split()[0] if value.split() else ""
-        if name.lower() != "aria-label" and not bad:
-            words = {part.lower() for part in _PART.findall(value)} & LABELS
-            bad, part_of = bool(words - PARTS), part_of or bool(words)
-    return label, bad, part_of and not bad
+        if name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "style" and _NOT_SHOWN.search(value):
+            bad = True
+        elif name in ("class", "id", "role"):
+            named, other = _label_words(value)
+            bad, part_of, passing = bad or bool(named - PARTS), part_of or bool(named), passing or bool(other)
+    return label, bad, part_of and not bad, passing and not bad
 
 
 def read_blocks(page: str) -> list[Block]:
     """The blocks of a page in order, with text outside of scripts, styles and comments."""
     root = Element("", "", None, False)
     here, blocks, at, links = root, [Block(root)], 0, 0
+    opened: Counter = Counter()
 
-    def close(to: Element | None) -> None:
+    def close(last: Element) -> None:
+        """Close all up to and with ``last``."""
         nonlocal here
-        here = to if to is not None else root
+        while True:
+            gone, here = here, here.around
+            opened[gone.tag] -= 1
+            if gone is last:
+                return
+
+    def nearest(tag: str) -> Element | None:
+        if opened[tag] <= 0:
+            return None
+        e = here
+        while e.tag != tag:
+            e = e.around
+        return e
 
     def text(piece: str) -> None:
-        if piece:
+        if piece and not here.silent:
             block = blocks[-1]
             piece = html.unescape(piece) if "&" in piece else piece
             block.text.append(piece)
@@ -150,14 +195,13 @@ def read_blocks(page: str) -> list[Block]:
         if not tag:
             continue
         if ends:
-            if tag == "p" or tag in BLOCKS or any(e.tag == tag for e in here.up()):
-                match = next((e for e in here.up() if e.tag == tag), None)
-                if match is not None:
-                    close(match.parent)
+            match = nearest(tag)
+            if match is not None:
+                close(match)
                 links -= tag == "a" and links > 0
-                if tag in BLOCKS:
-                    links = links if match is None else 0
-                    edge()
+            if tag in BLOCKS:
+                links = links if match is None else 0
+                edge()
             continue
         if tag in VOID:
             if tag == "hr":
@@ -171,35 +215,45 @@ def read_blocks(page: str) -> list[Block]:
             at = end.end() if end else len(page)
             continue
         if tag in BLOCKS:
-            open_p = next((e for e in here.up() if e.tag == "p"), None)
+            open_p = nearest("p")
             if open_p is not None:
-                close(open_p.parent)
+                close(open_p)
             if tag in _CLOSES:
                 closes, stop = _CLOSES[tag]
-                last = None
-                for e in here.up():
-                    if e.tag in stop:
-                        break
+                last, e = None, here if any(opened[c] > 0 for c in closes.split()) else root
+                while e is not root and e.tag not in stop:
                     if e.tag in closes.split():
                         last = e
+                    e = e.around
                 if last is not None:
-                    close(last.parent)
+                    close(last)
             links = 0
-        label, bad, part_of = _marked(tag, attributes) if attributes.strip() else ("", False, False)
+        label, bad, part_of, passing = _marked(tag, attributes) if attributes.strip() else ("", False, False, False)
         plain = tag not in HEADINGS and tag not in ("html", "body", "main", "article")
-        in_article = (bad or part_of or tag == "header") and any(e.tag in ("article", "main") for e in here.up())
+        inside = here.in_article or here.tag in ("article", "main")
         wraps = tag in WRAPPERS
-        out = here.out or tag in NOT_CONTENT and not wraps or tag == "header" and not in_article
-        if here.depth < MAX_DEPTH:
-            by_label, by_part = plain and (bad or part_of and not in_article), plain and part_of and in_article
-            here = Element(tag, label, here, out, by_label, depth=here.depth + 1, by_part=by_part, wraps=wraps)
+        own_out = tag in NOT_CONTENT and not wraps or tag == "header" and not inside
+        by_label = plain and (bad or part_of and not inside)
+        by_part = plain and not by_label and (part_of or passing)
+        deep = here.depth >= MAX_DEPTH
+        here = Element(
+            tag, label, here.parent if deep else here, here.out or own_out, by_label, depth=here.depth + (not deep),
+            by_part=by_part, wraps=wraps, around=here, in_article=inside,
+            silent=tag not in BLOCKS and (here.silent or own_out or by_label),
+        )
+        if deep:  # elements in between are on no path
+            here.by_label = by_label or here.around.by_label and not here.around.holds_article
+            here.by_part, here.wraps = by_part or here.around.by_part, wraps or here.around.wraps
+        opened[tag] += 1
         if tag in ("article", "main", "h1"):
-            for e in here.up():
+            e = here
+            while e is not None and not (e.holds_article and (e.holds_main or tag == "h1")):
                 e.holds_article = True
                 e.holds_main = e.holds_main or tag != "h1"
+                e = e.around
         links += tag == "a" and not attributes.rstrip().endswith("/")
         if attributes.rstrip().endswith("/") and tag == "svg":
-            close(here.parent)
+            close(here)
         if tag in BLOCKS:
             edge()
     return blocks
@@ -250,6 +304,19 @@ def _without_parts(rows: list[tuple[Block, str]]) -> list[tuple[Block, str]]:
     return [(b, text) for b, text in rows if not any(id(e) in bad for e in b.element.up())]
 
 
+def _without_other_articles(rows: list[tuple[Block, str]]) -> list[tuple[Block, str]]:
+    """``rows`` without those of shorter <article> elements beside the one that holds the page's only h1."""
+    outermost = [next((e for e in reversed(list(b.element.up())) if e.tag == "article"), None) for b, _ in rows]
+    titled = {id(e) for (b, _), e in zip(rows, outermost, strict=True) if any(up.tag == "h1" for up in b.element.up())}
+    if len(titled) != 1 or titled == {id(None)}:
+        return rows
+    chars: Counter = Counter()
+    for (_, text), e in zip(rows, outermost, strict=True):
+        chars[id(e)] += len(text)
+    longest = chars[next(iter(titled))]
+    return [r for r, e in zip(rows, outermost, strict=True) if e is None or id(e) in titled or chars[id(e)] >= longest]
+
+
 def _container(element: Element) -> Element:
     return next(e for e in element.up() if e.tag in CONTAINERS and (e.tag not in ("td", "th") or e is not element))
 
@@ -289,7 +356,7 @@ def extract(page: str | None, coverage: float = 0.9) -> str:
     smallest element that holds ``coverage`` of their text, or that and the h1.
     """
     rows = [(b, text) for b in read_blocks(page or "") if (text := b.joined()) and not _is_out(b.element)]
-    rows = _without_parts(_without_wrapped(rows))
+    rows = _without_other_articles(_without_parts(_without_wrapped(rows)))
     if not rows:
         return ""
     paths = content_paths([(_path(b.element), text, b.linked) for b, text in rows])

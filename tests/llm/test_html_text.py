@@ -1,6 +1,10 @@
+import math
+import random
+import time
+
 import pytest
 
-from stratalode.llm.html_text import extract, extract_text
+from stratalode.llm.html_text import content_paths, extract, extract_text
 
 PARAGRAPH = "A sentence of some length, with commas, and a stop. Another one follows, as is usual."
 PAGE = f"""<!DOCTYPE html><html><head><title>t</title><style>p{{x}}</style><script>var a="</p><p>no";</script></head>
@@ -92,3 +96,96 @@ def test_labels_of_links_and_of_others_are_left_out(label):
     inner = links if label in ("related-posts", "share") else f"<p>{PARAGRAPH}</p>"
     page = f"<article><h1>T</h1><p>{LONG}</p><div class={label}>{inner}</div></article>"
     assert extract(page) == f"T\n\n{LONG}"
+
+
+@pytest.mark.parametrize("label", ["post comments-open", "comment-off", "login-guide", "social-history", "no-sidebar", "search-engines"])
+@pytest.mark.parametrize("title", ["<h1>T</h1>", ""])
+def test_words_in_passing_do_not_make_a_label(label, title):
+    page = f"<body><nav>menu</nav><div class='{label}'>{title}<p>{LONG}</p><p>{PARAGRAPH}</p></div><footer>&copy; 2024</footer></body>"
+    assert extract(page) == "\n\n".join((["T"] if title else []) + [LONG, PARAGRAPH])
+
+
+def test_part_of_an_article_with_words_in_passing():
+    page = f"<article><h1>T</h1><p>{PARAGRAPH}</p><div class=social-history><p>{LONG}</p></div></article>"
+    assert extract(page) == f"T\n\n{PARAGRAPH}\n\n{LONG}"
+
+
+@pytest.mark.parametrize("label", ["comments-area", "sidebar-right", "ad-slot", "siteFooter", "newsletter-box", "main-nav", "comment-list"])
+def test_words_of_the_layout_do_not_hide_a_label(label):
+    page = f"<body><div class=content><h2>T</h2><p>{LONG}</p></div><div class='{label}'><p>{PARAGRAPH}</p></div></body>"
+    assert extract(page) == f"T\n\n{LONG}"
+
+
+@pytest.mark.parametrize("attributes", ['data-state="is hidden now"', "title=hidden", "class=hidden-gems", "data-hidden=1", "style='display:block'", 'aria-hidden="false"'])
+def test_values_do_not_hide(attributes):
+    assert extract(f"<article><p>{PARAGRAPH}</p><p {attributes}>Seen. {PARAGRAPH}</p></article>").endswith(f"Seen. {PARAGRAPH}")
+
+
+@pytest.mark.parametrize("attributes", ["hidden", "HIDDEN=''", "aria-hidden=true", "style='color:red; display : none'"])
+@pytest.mark.parametrize("tag", ["p", "div", "span"])
+def test_hidden_elements(tag, attributes):
+    assert extract(f"<article><p>{LONG}</p><{tag} {attributes}>Not seen. {PARAGRAPH}</{tag}></article>") == LONG
+
+
+@pytest.mark.parametrize(
+    "inline",
+    ["<video src=a>no video</video>", "<svg viewBox=1><path d=1 /><text>words</text></svg>", "<span class=advert>Buy <b>now</b></span>",
+     "<span hidden>secret</span>", "<a class=share href=/x>Share</a>", "<audio>none</audio>", "<canvas>none</canvas>"],
+)
+def test_inline_elements_that_are_no_content(inline):
+    label = "article" if "share" not in inline else "div"
+    assert extract(f"<{label}><p>Before {inline}after. {LONG}</p><p>{PARAGRAPH}</p></{label}>") == f"Before after. {LONG}\n\n{PARAGRAPH}"
+
+
+def test_related_story_in_an_article_of_its_own():
+    story = f"<article><h2>Another story</h2><p>{PARAGRAPH}</p></article>"
+    assert extract(f"<body><article><h1>T</h1><p>{LONG}</p></article>{story}</body>") == f"T\n\n{LONG}"
+    both = extract(f"<body><article><h2>A</h2><p>{LONG}</p></article><article><h2>B</h2><p>{LONG}</p></article></body>")
+    assert both == f"A\n\n{LONG}\n\nB\n\n{LONG}"
+
+
+@pytest.mark.parametrize("depth", [100, 511, 512, 513, 600, 3000])
+def test_marks_hold_at_any_depth(depth):
+    inner = f"<nav>menu</nav><p>{PARAGRAPH}</p><div class=sidebar><div><p>{PARAGRAPH}</p></div></div><p>End, here.</p><footer>foot</footer>"
+    assert extract("<div>" * depth + inner + "</div>" * depth + "<nav>menu</nav>") == f"{PARAGRAPH}\n\nEnd, here."
+
+
+def test_deep_pages_take_linear_time():
+    start = time.perf_counter()
+    extract("<div>" * 200_000 + "deep" + "</div>" * 200_000)
+    extract("<span>" * 100_000 + "<h1>deep</h1>" * 1_000)
+    assert time.perf_counter() - start < 20
+
+
+def plain_ratios(blocks, share):
+    """Tag-path ratios as in the docstring, without any tables shared between paths."""
+    ratio = []
+    for path, _, _ in blocks:
+        of = [(text, linked) for p, text, linked in blocks if p == path]
+        chars, marks = sum(len(t) for t, _ in of), sum(len([c for c in t if c in ".,;:!?"]) for t, _ in of)
+        linked = sum(min(x, len(t)) for t, x in of)
+        ratio.append((chars / len(of)) ** 0.5 * (1 + math.log(1 + marks / len(of))) * (1 - linked / max(chars, 1)))
+    smooth = []
+    for i in range(len(blocks)):
+        near = {k: w for k, w in zip(range(i - 2, i + 3), (0.25, 0.5, 1, 0.5, 0.25), strict=True) if 0 <= k < len(blocks)}
+        smooth.append(sum(w * ratio[k] for k, w in near.items()) / sum(near.values()))
+    fused = []
+    for i, (path, _, _) in enumerate(blocks):
+        own = [smooth[j] for j, b in enumerate(blocks) if b[0] == path]
+        fused.append(0.7 * ratio[i] + 0.3 * sum(own) / len(own))
+    typical = sum(f * len(t) for f, (_, t, _) in zip(fused, blocks, strict=True)) / max(sum(len(t) for _, t, _ in blocks), 1)
+    kept = set()
+    for f, (path, _, _) in zip(fused, blocks, strict=True):
+        of = [(len(t), min(x, len(t))) for p, t, x in blocks if p == path]
+        if f >= share * typical * (1 - 1e-12) and sum(x for _, x in of) <= 0.5 * sum(n for n, _ in of):
+            kept.add(path)
+    return kept
+
+
+def test_content_paths_equal_a_plain_version():
+    rng = random.Random(3)
+    for _ in range(200):
+        blocks = [
+            (rng.choice("abcde"), "x" * rng.randint(0, 60) + ".," * rng.randint(0, 3), rng.choice([0, 0, 5, 50])) for _ in range(rng.randint(0, 25))
+        ]
+        assert content_paths(blocks) == plain_ratios(blocks, 0.3)
