@@ -254,7 +254,7 @@ def constraint_violations_incremental(spark: SparkSession, sf_dir: str) -> DataF
     lines = shipped_lines(spark, sf_dir).withColumn("part", F.pmod(F.coalesce("l_partkey", F.lit(0)), F.lit(4)))
     for day, part in ((1, 0), (3, 1), (2, 2), (4, 3), (4, 3)):
         found = plans.constraint_violations_incremental(
-            lines.where(F.col("part") == part), root, "lineitem", f"2024-06-0{day}", ["l_orderkey", "l_linenumber"], "shipped"
+            lines.where(F.col("part") == part), root, "lineitem", f"2024-06-0{day}", ["l_orderkey", "l_linenumber"], "shipped", buckets=4
         )
     return found
 
