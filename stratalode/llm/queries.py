@@ -181,25 +181,26 @@ URL_RULES = (
     url_filters.Rule("com", "/fr/", "allow"),
     url_filters.Rule("com", "/de/", "block"),
 )
-# Hosts with one of these words between dots or hyphens are on the block list.
-LISTED_HOSTS = r"(^|[.-])(ads|adult|bets|casino|pills|spam)([.-]|$)"
 
 
 def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    judged = url_filters.judge_urls(pages, URL_RULES, F.col("key").rlike(LISTED_HOSTS))
+    pages = table(spark, sf_dir, "pages")
+    judged = url_filters.judge_urls(pages.select("page_id", "url"), URL_RULES, url_filters.hosts_of_links(pages))
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
-OP6_SQL = f"""
+OP6_SQL = """
 WITH parts AS (
-  SELECT page_id,
+  SELECT page_id, coalesce(html, '') AS page,
          CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
   FROM pages
 ), urls AS (
-  SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+  SELECT page_id, length(page) AS chars, (length(page) - length(replace(page, '<a ', ''))) // 3 AS links, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
          regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
   FROM parts
+), listed AS (
+  SELECT host FROM urls WHERE host <> '' GROUP BY host
+  HAVING sum(links) * 100 * (SELECT sum(chars) FROM urls) > sum(chars) * 110 * (SELECT sum(links) FROM urls)
 ), rules(host, path, verdict) AS (
   VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'allow'),
          ('com', '/fr/', 'allow'), ('com', '/de/', 'block')
@@ -211,7 +212,7 @@ WITH parts AS (
   GROUP BY u.page_id, u.host, u.path
 )
 SELECT page_id, host, path, rule,
-       coalesce(verdict, CASE WHEN regexp_matches(host, '{LISTED_HOSTS}') THEN 'block' ELSE 'allow' END) AS verdict
+       coalesce(verdict, CASE WHEN host IN (SELECT host FROM listed) THEN 'block' ELSE 'allow' END) AS verdict
 FROM best
 """
 

@@ -10,6 +10,7 @@ and nothing is joined.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable
 from dataclasses import dataclass
 
@@ -85,8 +86,18 @@ def _positions(key: Column, bits: int, hashes: int, seed: int) -> list[Column]:
     return [F.pmod(F.xxhash64(F.lit(seed * 64 + i), key), F.lit(bits)) for i in range(hashes)]
 
 
-def _encode(keys: DataFrame, count: int, bits_per_key: int, hashes: int, seed: int) -> Level:
-    bits = max(64, count * bits_per_key)
+def level_size(count: int, others: int) -> tuple[int, int]:
+    """Bits and hashes of a level of ``count`` keys that is asked for ``others`` as well.
+
+    It takes fewer of them by mistake than it has keys, about seven tenths, so that
+    the next level is smaller than this one however many the others are.
+    """
+    wrong = min(0.5, 0.7 * max(count, 1) / max(others, 1))
+    hashes = max(1, math.ceil(-math.log2(wrong)))
+    return max(64, math.ceil(count * hashes / math.log(2))), hashes
+
+
+def _encode(keys: DataFrame, bits: int, hashes: int, seed: int) -> Level:
     at = keys.select(F.explode(F.array(*_positions(F.col("key"), bits, hashes, seed))).alias("at"))
     words = at.groupBy(F.floor(F.col("at") / 64).alias("word")).agg(
         F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod("at", F.lit(64)).cast("int"))).alias("bits")
@@ -110,41 +121,51 @@ class Cascade:
         return F.coalesce(key.isNotNull() & answer, F.lit(False))
 
 
-def build_cascade(keys: DataFrame, bits_per_key: int = 10, hashes: int = 4, seed: int = 1) -> Cascade:
-    """The cascade for distinct ``keys`` (key, listed), which are the whole universe."""
+def build_cascade(keys: DataFrame, bits_per_key: int | None = None, hashes: int = 4, seed: int = 1) -> Cascade:
+    """The cascade for distinct ``keys`` (key, listed), which are the whole universe.
+
+    Levels are sized by :func:`level_size`, or with ``bits_per_key`` and ``hashes`` where given.
+    """
     inside, outside = keys.where("listed"), keys.where("not listed")
     levels: list[Level] = []
-    count = inside.count()
+    count, others = inside.count(), outside.count()
     while count:
-        levels.append(_encode(inside, count, bits_per_key, hashes, seed + len(levels)))
+        bits, used = level_size(count, others) if bits_per_key is None else (max(64, count * bits_per_key), hashes)
+        levels.append(_encode(inside, bits, used, seed + len(levels)))
         inside, outside = outside.where(levels[-1].holds(F.col("key"))), inside
-        count = inside.count()
+        count, others = inside.count(), count
     return Cascade(tuple(levels))
 
 
 def with_membership(
     rows: DataFrame,
     key: Column,
-    listed: Column,
+    listed: Column | DataFrame,
     name: str = "listed",
-    bits_per_key: int = 10,
+    bits_per_key: int | None = None,
     hashes: int = 4,
     max_bits: int = 1 << 23,
 ) -> DataFrame:
     """Rows with a boolean column ``name``: whether ``key`` is listed.
 
-    ``listed`` is a condition on the column ``key`` that tells which keys of the
-    universe, the distinct keys of ``rows``, stand on the list. The filters are
-    constants of the plan; where the first level would exceed ``max_bits``, keys
-    are split by hash into as many shards as needed, each with a cascade of its
-    own, and the rows of one shard after another are judged by theirs. NULL keys
-    are never listed; an empty table gives an empty result. A column called
-    ``name`` is replaced.
+    ``listed`` is a table of keys (key, listed), or a condition on the column ``key``
+    that tells which keys of the universe stand on the list. The universe are the
+    distinct keys of ``rows``. The filters are constants of the plan; where the first
+    level, the largest, would exceed ``max_bits``, keys are split by hash into as many
+    shards as needed, each with a cascade of its own, and the rows of one shard after
+    another are judged by theirs. NULL keys are never listed; an empty table gives an
+    empty result. A column called ``name`` is replaced.
     """
-    keys = rows.select(key.alias("key")).where("key is not null").distinct().withColumn("listed", F.coalesce(listed, F.lit(False)))
+    keys = rows.select(key.alias("key")).where("key is not null").distinct()
+    if isinstance(listed, DataFrame):
+        marked = listed.where("key is not null").select("key", F.coalesce("listed", F.lit(False)).alias("listed"))
+        keys = keys.withColumn("listed", F.lit(False)).unionByName(marked).groupBy("key").agg(F.bool_or("listed").alias("listed"))
+    else:
+        keys = keys.withColumn("listed", F.coalesce(listed, F.lit(False)))
     keys = stage(keys, "url-keys")
-    count = keys.where("listed").count()
-    shards = max(1, -(-count * bits_per_key // max_bits))
+    count, others = keys.select(F.count_if("listed"), F.count_if(~F.col("listed"))).first()
+    largest = level_size(count, others)[0] if bits_per_key is None else count * bits_per_key
+    shards = max(1, -(-largest // max_bits))
     if shards == 1:
         cascade = build_cascade(keys, bits_per_key, hashes)
         return rows.withColumn(name, cascade.contains(key))
@@ -156,6 +177,27 @@ def with_membership(
     return parts
 
 
+def hosts_of_links(pages: DataFrame, percent: int = 110, url: str = "url", html: str = "html") -> DataFrame:
+    """The hosts of ``pages`` (key) and whether their pages hold unusually many links (listed).
+
+    A host is listed if its links per character of html exceed ``percent`` of those
+    of all pages together. This takes all pages of a host and of the table, so no
+    expression on a row tells it. Numbers are compared as whole ones. NULL and empty
+    html have no links and no characters; the empty host is never listed; an empty
+    table gives an empty result.
+    """
+    page = F.coalesce(F.col(html), F.lit(""))
+    links = (F.length(page) - F.length(F.replace(page, F.lit("<a "), F.lit("")))) / 3
+    each = pages.select(url_host(F.col(url)).alias("key"), links.cast("bigint").alias("links"), F.length(page).alias("chars"))
+    hosts = stage(each.groupBy("key").agg(F.sum("links").alias("links"), F.sum("chars").alias("chars")), "hosts")
+    links, chars = (F.lit(n or 0).cast("decimal(18,0)") for n in hosts.agg(F.sum("links"), F.sum("chars")).first())
+
+    def times(number: str, total: Column, by: int) -> Column:
+        return F.col(number).cast("decimal(15,0)") * total * F.lit(by).cast("decimal(4,0)")
+
+    return hosts.select("key", ((F.col("key") != "") & (times("links", chars, 100) > times("chars", links, percent))).alias("listed"))
+
+
 def _shard(key: Column, shards: int) -> Column:
     return F.pmod(F.xxhash64(F.lit(-1), F.coalesce(key, F.lit(""))), F.lit(shards))
 
@@ -163,15 +205,15 @@ def _shard(key: Column, shards: int) -> Column:
 def judge_urls(
     pages: DataFrame,
     rules: Iterable[Rule],
-    listed: Column,
+    listed: Column | DataFrame,
     url: str = "url",
     max_bits: int = 1 << 23,
 ) -> DataFrame:
     """``pages`` with host, path, rule, verdict and ``host_listed``.
 
     The longest fitting rule gives the verdict; where none fits, listed hosts are
-    blocked and all others allowed. ``listed`` is a condition on a column ``key``,
-    the host. NULL urls and urls without ``://`` have an empty host and path.
+    blocked and all others allowed. ``listed`` is a table of hosts (key, listed), such
+    as :func:`hosts_of_links` gives, or a condition on a column ``key``, the host. NULL urls and urls without ``://`` have an empty host and path.
     Columns of the same names are replaced, all others kept; repeated rows stay.
     """
     rows = pages.withColumns({"host": url_host(F.col(url)), "path": url_path(F.col(url))})

@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from stratalode.llm.queries import URL_RULES
-from stratalode.llm.url_filters import build_cascade, judge_urls, with_membership
+from stratalode.llm.url_filters import build_cascade, hosts_of_links, judge_urls, level_size, with_membership
 
 URLS = {
     1: ("https://WWW.Example.org/en/123?x=/es/", "www.example.org", "/en/123", "example.org/en/1", "allow"),
@@ -45,3 +45,32 @@ def test_nothing_listed_and_plan_without_joins(spark, plan):
     judged = judge_urls(pages, (), F.lit(False))
     assert [r["verdict"] for r in judged.collect()] == ["allow", "allow"]
     assert "Join" not in plan(judged) and "Python" not in plan(judged)
+
+
+def test_levels_stay_as_small_as_the_list(spark):
+    """100 listed of 200,000 keys: no level grows with those that are not listed."""
+    keys = spark.range(200_000).select(F.concat(F.lit("k"), "id").alias("key"), (F.col("id") % 2_000 == 0).alias("listed")).cache()
+    levels = build_cascade(keys).levels
+    assert [level.bits for level in levels][0] == level_size(100, 199_900)[0] <= 100 * 20
+    assert all(level.bits <= levels[0].bits for level in levels)
+    assert len(levels) < 30
+    assert keys.where(build_cascade(keys).contains(F.col("key")) != F.col("listed")).count() == 0
+
+
+def test_list_as_a_table(spark):
+    rows = spark.createDataFrame([("a", 1), ("b", 2), (None, 3), ("a", 4)], "host string, listed int")
+    listed = spark.createDataFrame([("a", True), ("a", None), ("b", None), ("elsewhere", True), (None, True)], "key string, listed boolean")
+    for bits in (1 << 20, 16):
+        found = with_membership(rows, F.col("host"), listed, "found", max_bits=bits)
+        assert {(r["listed"], r["found"]) for r in found.collect()} == {(1, True), (2, False), (3, False), (4, True)}
+
+
+def test_hosts_of_links(spark):
+    rows = [
+        ("http://A.net/1", "<a href=x>one</a>" * 9, "x"), ("http://a.net/2", None, "x"), ("http://b.net", "<p>no links at all, but text</p>" * 9, "x"),
+        ("no host", "<a >" * 99, "x"), (None, "<a >", None), ("http://c.net", "", "x"), ("http://d.net", None, "x"),
+    ]
+    pages = spark.createDataFrame(rows, "url string, html string, key string")
+    found = {r["key"]: r["listed"] for r in hosts_of_links(pages.where("html is null or length(html) <> 396")).collect()}
+    assert found == {"a.net": True, "b.net": False, "": False, "c.net": False, "d.net": False}
+    assert hosts_of_links(pages.limit(0)).count() == 0
