@@ -33,7 +33,7 @@ from stratalode.operators.nested import (
     unnest_structs,
     unwrap_document,
 )
-from stratalode.operators.sizing import estimate_size, partitions_for, size_partitions
+from stratalode.operators.sizing import cluster_rows, estimate_size, estimate_stored_size, partitions_for, planned_bytes, size_partitions
 from stratalode.operators.upsert import (
     align_columns,
     live_changes,
@@ -50,12 +50,14 @@ __all__ = [
     "arrays_cartesian",
     "arrays_to_columns",
     "cast_timestamp_columns",
+    "cluster_rows",
     "dedup_latest",
     "distinct_rows",
     "drop_cdc_columns",
     "drop_columns",
     "drop_ingestion_columns",
     "estimate_size",
+    "estimate_stored_size",
     "explode_array",
     "explode_unnest",
     "fill_null_nested",
@@ -72,6 +74,7 @@ __all__ = [
     "nullify_sentinel_dates",
     "parse_json_column",
     "partitions_for",
+    "planned_bytes",
     "rename_redundant_tokens",
     "resolve_keys",
     "select_columns",

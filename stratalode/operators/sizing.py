@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratalode.functions.names import column
-from stratalode.functions.values import relational
+from stratalode.functions.names import as_list, column, spare_name
+from stratalode.functions.values import is_orderable, relational
 
 # The size one output file aims at, and the share of the row text
 # that is left once the rows are stored as compressed Parquet.
@@ -33,6 +35,62 @@ def partitions_for(df: DataFrame) -> int:
     return estimate_size(df).first()["partitions"]
 
 
+def estimate_stored_size(df: DataFrame) -> DataFrame:
+    """One row on a stored table: its rows, files and bytes, and the files it should fill.
+
+    ``df`` is a scan of files, filtered by partition columns at most. Rows and sizes
+    come from the files' footers and listings; no column is read, where
+    :func:`estimate_size` turns every row into text.
+    """
+    files = df.groupBy("_metadata.file_path").agg(
+        F.max("_metadata.file_size").alias("size"), F.count("*").alias("held")
+    )
+    size = F.coalesce(F.sum("size"), F.lit(0))
+    return files.agg(
+        F.coalesce(F.sum("held"), F.lit(0)).alias("row_count"),
+        F.count("*").alias("files"),
+        size.alias("stored_bytes"),
+        (F.floor(size / TARGET_FILE_BYTES) + 1).cast("int").alias("partitions"),
+    )
+
+
+def planned_bytes(df: DataFrame) -> int | None:
+    """Spark's own estimate of a frame's bytes, without any job; None where it has none.
+
+    Spark multiplies the sides of a join, so no more is taken than what is read in all.
+    """
+    planned = df._jdf.queryExecution().optimizedPlan()
+    leaves = planned.collectLeaves()
+    read = sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
+    size = min(read, int(planned.stats().sizeInBytes()))
+    return size if size < 1 << 60 else None
+
+
+def cluster_rows(
+    df: DataFrame, by: str | Iterable[str], within: Iterable[str] = (), partitions: int = 0
+) -> DataFrame:
+    """Rows in ranges of ``by``, sorted inside each, so that readers can skip by its values.
+
+    ``within`` are columns that come before, such as those a writer partitions by. The
+    ranges also run over a hash of the row, so rows of one hot value, NULL included,
+    spread over as many tasks as they fill.
+
+    Spark samples the rows for the ranges' bounds in a job of its own, which runs what
+    ``df`` needs a first time: stage costly frames before. The number of ranges is
+    ``partitions``, or follows from the bytes Spark expects (:func:`planned_bytes`), or is
+    the session's number of shuffle partitions where it expects none.
+    """
+    keys = [*within, *as_list(by)]
+    salt = spare_name(df.columns, "salt")
+    hashed = [column(f.name) for f in df.schema.fields if is_orderable(f.dataType)]
+    if not partitions:
+        size = planned_bytes(df)
+        partitions = 0 if size is None else size // TARGET_FILE_BYTES + 1
+    ranges = ([partitions] if partitions else []) + [column(k) for k in keys] + [column(salt)]
+    ranged = df.withColumn(salt, F.xxhash64(*hashed)).repartitionByRange(*ranges)
+    return ranged.sortWithinPartitions(*map(column, keys)).drop(salt)
+
+
 def size_partitions(df: DataFrame, partitions: int = 0, estimate: bool = False) -> DataFrame:
     """Bring a frame to a sensible number of output files.
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from stratalode.functions.names import DATE_PARTITIONS, DELETED_AT, as_list, column
 from stratalode.operators.dedup import dedup_latest, resolve_keys
+from stratalode.operators.sizing import cluster_rows
 from stratalode.operators.upsert import DELETED_ON, live_changes, merge_buckets, merge_dedup, merge_upsert, next_tombstones
 from stratalode.sinks.bucketed import scan_bucketed, write_bucketed
 from stratalode.sinks.stage import staging
@@ -23,6 +24,7 @@ from stratalode.sources.dated import (
     latest_partition,
     table_root,
 )
+from stratalode.sources.evolution import forget_schemas, note_schema
 
 
 def _write_dated(
@@ -32,15 +34,17 @@ def _write_dated(
     execution_date: ExecutionDate,
     date_column: str | None,
     options: Mapping[str, str],
+    cluster_by: str | Iterable[str] | None = None,
 ) -> None:
     """Write to one day's folder, or spread rows over days by a date column.
 
     Spreading first gathers each day in a few tasks, so that not every task
     opens a file in every folder. The rebalance hint cuts days that are too
-    large for one task.
+    large for one task; so do the ranges of ``cluster_by``.
     """
     writer_options = dict(options)
     if date_column is None:
+        df = cluster_rows(df, cluster_by) if cluster_by else df
         df.write.mode("overwrite").options(**writer_options).format(fmt).save(
             f"{root}/{date_folder(execution_date)}"
         )
@@ -51,9 +55,12 @@ def _write_dated(
     day = column(date_column)
     parts = {"year": "yyyy", "month": "MM", "day": "dd"}
     dated = df.withColumns({name: F.date_format(day, parts[name]) for name in DATE_PARTITIONS})
+    if cluster_by:
+        dated = cluster_rows(dated, cluster_by, within=DATE_PARTITIONS)
+    else:
+        dated = dated.hint("rebalance", *DATE_PARTITIONS)
     (
-        dated.hint("rebalance", *DATE_PARTITIONS)
-        .write.mode("overwrite")
+        dated.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .options(**writer_options)
         .partitionBy(*DATE_PARTITIONS)
@@ -89,29 +96,47 @@ def write_silver_parquet(
     execution_date: ExecutionDate = None,
     date_column: str | None = None,
     skip_empty: bool = True,
+    cluster_by: str | Iterable[str] | None = None,
+    declare: bool = False,
 ) -> bool:
     """Write a cleaned table as snappy Parquet. Returns whether anything was written.
 
+    ``cluster_by`` writes ranges of these columns, sorted, so that filters on them skip
+    files and row groups, see :func:`cluster_rows`. ``declare`` leaves a note of the
+    day's columns for :func:`scan_evolving`; it needs an execution date's write, as rows
+    spread by ``date_column`` may go to any day. That forgets all notes of the table.
+
     An empty frame leaves the target alone. That test runs the plan up to its
     first row, which after a shuffle is most of the work: callers that tested
     the input already pass ``skip_empty=False``.
     """
     if skip_empty and df.isEmpty():
         return False
-    _write_dated(
-        df, table_root(root, table), "parquet", execution_date, date_column, {"compression": "snappy"}
-    )
+    if declare and date_column is not None:
+        raise ValueError("columns are declared for one execution date, not for a date column")
+    spark, path = df.sparkSession, table_root(root, table)
+    day = as_date(execution_date) if date_column is None else None
+    forget_schemas(spark, path, day)
+    _write_dated(df, path, "parquet", day, date_column, {"compression": "snappy"}, cluster_by)
+    if declare:
+        note_schema(spark, path, day, df.schema)
     return True
 
 
 def write_gold_parquet(
-    df: DataFrame, path: str, partition_cols: str | Iterable[str] | None = None
+    df: DataFrame,
+    path: str,
+    partition_cols: str | Iterable[str] | None = None,
+    cluster_by: str | Iterable[str] | None = None,
 ) -> None:
-    """Replace a gold table, optionally partitioned."""
+    """Replace a gold table, optionally partitioned, and in sorted ranges of ``cluster_by``."""
     partition_cols = as_list(partition_cols)
+    if cluster_by:
+        df = cluster_rows(df, cluster_by, within=partition_cols)
+    elif partition_cols:
+        df = df.hint("rebalance", *partition_cols)
     writer = df.write.mode("overwrite")
     if partition_cols:
-        writer = df.hint("rebalance", *partition_cols).write.mode("overwrite")
         writer = writer.partitionBy(*partition_cols)
     writer.parquet(path)
 

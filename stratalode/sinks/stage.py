@@ -9,6 +9,8 @@ from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
+from stratalode.functions.folders import remove_folder
+
 _removed_at_exit: set[str] = set()
 
 
@@ -25,13 +27,6 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def remove_folder(spark: SparkSession, path: str) -> None:
-    """Delete a folder of any file system Spark reaches; nothing happens if it is not there."""
-    jvm = spark._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-
-
 def new_folder(spark: SparkSession, purpose: str) -> str:
     """A path in the shared folder that no one else uses.
 

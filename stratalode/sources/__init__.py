@@ -7,6 +7,7 @@ from stratalode.sources.dated import (
     scan_execution_date,
     scan_partitioned_root,
 )
+from stratalode.sources.evolution import noted_schemas, scan_evolving, widest_schema
 from stratalode.sources.files import (
     scan_json,
     scan_json_string_list,
@@ -20,9 +21,11 @@ __all__ = [
     "Mark",
     "date_range_predicate",
     "latest_partition",
+    "noted_schemas",
     "pending_days",
     "read_mark",
     "scan_date_range",
+    "scan_evolving",
     "scan_execution_date",
     "scan_jdbc",
     "scan_json",
@@ -33,5 +36,6 @@ __all__ = [
     "since_mark",
     "source_sort_limit",
     "table_exists",
+    "widest_schema",
     "write_mark",
 ]

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratalode import operators as ops
 from stratalode import plans, sinks, sources
 from workload.fixtures import CREATED_AT, cart_lines, events, flat_products, table
 from workload.indicators import PERFORMANCE, cents, stamped
@@ -299,3 +300,50 @@ def write_table_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     written = sinks.stage(found, "events-by-day")
     spark.sql(f"DROP TABLE {name}")
     return written
+
+
+CUSTOMER_ORDERS = """
+WITH parts AS (SELECT *, coalesce(o_orderkey, 0) % 3 AS part FROM orders)
+SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS customer,
+       CASE WHEN part = 0 THEN floor(o_totalprice) ELSE o_totalprice END AS amount,
+       CASE WHEN part <> 0 THEN o_orderstatus END AS status,
+       CASE WHEN part = 2 THEN o_orderpriority END AS priority, 2024 AS year, 6 AS month,
+       CAST(part + 1 AS INTEGER) AS day
+FROM parts"""
+
+
+@query(CUSTOMER_ORDERS)
+def scan_evolving(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three days with three schemas: columns widen to long, double and text, a struct comes and gains a field."""
+    root = sinks.new_folder(spark, "evolving")
+    orders = table(spark, sf_dir, "orders").withColumn("part", F.pmod(F.coalesce("o_orderkey", F.lit(0)), F.lit(3)))
+    status, priority = F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("priority")
+    days = (
+        (F.col("o_orderkey").cast("int"), F.col("o_custkey").cast("int"), F.floor("o_totalprice").cast("int")),
+        (F.col("o_orderkey"), F.col("o_custkey"), F.col("o_totalprice"), F.struct(status).alias("state")),
+        (F.col("o_orderkey"), F.col("o_custkey").cast("string"), F.col("o_totalprice"), F.struct(status, priority).alias("state")),
+    )
+    for part, (key, customer, amount, *state) in enumerate(days):
+        rows = orders.where(F.col("part") == part).select(
+            key.alias("o_orderkey"), customer.alias("customer"), amount.alias("amount"), *state
+        )
+        sinks.write_silver_parquet(rows, root, "orders", f"2024-06-0{part + 1}", declare=part != 1)
+    found = sources.scan_evolving(spark, f"{root}/orders")
+    return found.select("*", "state.status", "state.priority").drop("state")
+
+
+@query("SELECT o_orderkey, o_custkey, o_totalprice, 2024 AS year, 6 AS month, 1 AS day FROM orders")
+def write_silver_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders in sorted ranges of their customers."""
+    root = sinks.new_folder(spark, "clustered")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    sinks.write_silver_parquet(orders, root, "orders", "2024-06-01", cluster_by="o_custkey")
+    return sources.scan_partitioned_root(spark, f"{root}/orders")
+
+
+@query("SELECT COUNT(*) AS row_count, TRUE AS has_files FROM lineitem")
+def estimate_stored_size(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and size of a stored table from listings and footers; the bytes vary with the writer."""
+    sized = ops.estimate_stored_size(table(spark, sf_dir, "lineitem"))
+    filled = (F.col("files") > 0) & (F.col("stored_bytes") > 0) & (F.col("partitions") > 0)
+    return sized.select("row_count", filled.alias("has_files"))
