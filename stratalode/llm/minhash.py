@@ -17,6 +17,7 @@ joined to connected components on Spark.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,17 +30,47 @@ from stratalode.llm.components import components
 from stratalode.llm.words import UNSPACED, Words, combined, find_words, mixed, pieces, window_starts
 from stratalode.sinks import stage
 
-#: With 48 bands of 6 coordinates a pair of similarity 0.8 misses all bands with
-#: a chance of 5e-7. Of 128 one-bit coordinates it has more than 36 different
-#: ones with a chance below 1e-8.
-BANDS, ROWS, SKETCH_BITS, MOST_DIFFERENT = 48, 6, 128, 36
-#: Before full sets are compared in the second round: of 2048 one-bit coordinates
-#: such a pair has more than 275 different ones with a chance of 3e-7.
-LONG_BITS, MOST_DIFFERENT_LONG = 2048, 275
+#: One-bit coordinates compared before full sets are fetched, and in the second round.
+SKETCH_BITS, LONG_BITS = 128, 2048
+#: Chances that a pair exactly at the limit shares no band, differs in more bits of
+#: the short sketch than allowed, or of the long one. Pairs above it miss less often.
+MISSED, CUT_SHORT, CUT_LONG = 5e-7, 3e-9, 3.2e-7
+#: A band holds so many coordinates that a pair at the limit agrees in one band in four.
+SHARED, MOST_ROWS = 0.25, 16
 #: Rows with one or two whole texts in an Arrow batch.
 BATCH_ROWS = 500
 
 
+def banding(percent: int) -> tuple[int, int]:
+    """Bands and coordinates in each for pairs of ``percent`` similarity and more.
+
+    Coordinates agree with the chance of the similarity, so a band of r does with its
+    r-th power. At 80 these are 48 bands of 6.
+    """
+    similarity = percent / 100
+    rows = MOST_ROWS if percent == 100 else max(1, min(MOST_ROWS, int(math.log(SHARED) / math.log(similarity))))
+    agree = similarity**rows
+    return (1 if agree == 1 else math.ceil(math.log(MISSED) / math.log1p(-agree))), rows
+
+
+def most_different(bits: int, percent: int, chance: float) -> int:
+    """Of ``bits`` one-bit coordinates, how many may differ: more do with less than ``chance``.
+
+    Coordinates that differ have different bits half of the time. At 80 these are 36 of
+    128 and 275 of 2,048.
+    """
+    differs = (1 - percent / 100) / 2
+    if differs == 0:
+        return 0
+    tail = 0.0
+    for k in range(bits, -1, -1):
+        ways = math.lgamma(bits + 1) - math.lgamma(k + 1) - math.lgamma(bits - k + 1)
+        tail += math.exp(ways + k * math.log(differs) + (bits - k) * math.log1p(-differs))
+        if tail > chance:
+            return k
+    return 0
+
+
 def shingles(words: Words, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes of all ``n``-word shingles, how many each row has, and the words' hashes.
 
@@ -159,15 +190,15 @@ def _alike(percent: int) -> Column:
     """Whether two members, x and y, can be similar by their sizes and sketches."""
     sizes = (F.least("x.n", "y.n") * 100) >= (F.greatest("x.n", "y.n") * percent)
     different = sum(F.bit_count(F.col(f"x.{s}").bitwiseXOR(F.col(f"y.{s}"))) for s in ("s1", "s2"))
-    return sizes & (different <= MOST_DIFFERENT)
+    return sizes & (different <= most_different(SKETCH_BITS, percent, CUT_SHORT))
 
 
 def near_duplicates(
     docs: DataFrame,
     shingle_words: int = 5,
     percent: int = 80,
-    bands: int = BANDS,
-    rows: int = ROWS,
+    bands: int | None = None,
+    rows: int | None = None,
     key: str = "doc_id",
     text: str = "text",
 ) -> DataFrame:
@@ -175,7 +206,10 @@ def near_duplicates(
 
     Words are runs of anything but white space, A-Z as a-z. Two documents are
     linked where the intersection of their shingle sets is ``percent`` of their
-    union or more; component_id is the smallest key reachable by links.
+    union or more, a number from 1 to 100; component_id is the smallest key reachable
+    by links. ``bands`` and ``rows`` follow from ``percent`` (:func:`banding`), as do
+    the limits on sketches; the lower it is, the more bands there are and the more
+    candidates have to be compared.
 
     Texts that are NULL or without words have no shingles and are their own
     component; rows with equal keys are one node; a row with a NULL key is linked
@@ -183,6 +217,12 @@ def near_duplicates(
     result; other columns do not matter and are not returned. Sets are compared as
     sets of 64-bit hashes of whole shingles.
     """
+    if not 1 <= percent <= 100:
+        raise ValueError(f"percent must be from 1 to 100, not {percent}")
+    if (bands is None) != (rows is None):
+        raise ValueError("bands and rows are given together")
+    if bands is None:
+        bands, rows = banding(percent)
     spark = docs.sparkSession
     texts = docs.select(F.col(key).cast("bigint").alias("id"), F.col(text).alias("text"))
     schema = "id bigint, n_shingles bigint, same binary, s1 bigint, s2 bigint, bands array<bigint>"
@@ -244,7 +284,7 @@ def near_duplicates(
             & (F.col("x.label") != F.col("y.label"))
             & ((F.col("y.label") == F.col("y.largest")) | (F.col("x.node") < F.col("y.node")))
             & _alike(percent)
-            & (different <= MOST_DIFFERENT_LONG)
+            & (different <= most_different(LONG_BITS, percent, CUT_LONG))
             & (F.get("x.bands", first.cast("int")) == F.col("x.band")),
         )
         .select(F.greatest("x.node", "y.node").alias("a"), F.least("x.node", "y.node").alias("b"))

@@ -1,9 +1,11 @@
 import random
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from stratalode.llm.components import components
-from stratalode.llm.minhash import keep_one, near_duplicates
+from stratalode.llm.minhash import CUT_LONG, CUT_SHORT, banding, keep_one, most_different, near_duplicates
 
 
 def sets(text, n):
@@ -60,6 +62,45 @@ def test_agrees_with_brute_force_on_copies_chains_and_large_groups(spark, rows):
         assert rows(near_duplicates(docs, n)) == sorted(brute_force(data, n), key=repr)
 
 
+def test_bounds_follow_from_the_similarity():
+    assert banding(80) == (48, 6)
+    assert most_different(128, 80, CUT_SHORT) == 36 and most_different(2048, 80, CUT_LONG) == 275
+    for percent in range(1, 100):
+        bands, length = banding(percent)
+        assert (1 - (percent / 100) ** length) ** bands <= 5e-7
+    assert banding(100)[0] == 1 and most_different(128, 100, CUT_SHORT) == 0
+    limits = [most_different(2048, p, CUT_LONG) for p in range(1, 101)]
+    assert limits == sorted(limits, reverse=True)
+
+
+@pytest.mark.parametrize(("percent", "changed"), [(30, 53), (50, 33), (70, 17), (95, 2), (100, 0)])
+def test_pairs_just_above_other_limits_are_all_linked(spark, rows, percent, changed):
+    """Pairs that differ in one stretch at their ends, each slightly more alike than the limit."""
+    rng, data = random.Random(percent), []
+    for k in range(60):
+        words = [f"w{rng.randrange(10**9)}" for _ in range(104)]
+        data.append((2 * k, " ".join(words)))
+        new = [f"n{rng.randrange(10**9)}" for _ in range(changed)]
+        data.append((2 * k + 1, " ".join(words[: 104 - changed] + new)))
+    expected = brute_force(data, 5, percent)
+    assert sum(kept for *_, kept in expected) == 60
+    docs = spark.createDataFrame(data, "doc_id bigint, text string")
+    assert rows(near_duplicates(docs, 5, percent=percent)) == sorted(expected, key=repr)
+
+
+def test_chains_at_a_low_limit_agree_with_brute_force(spark, rows):
+    rng, data, k = random.Random(9), [], 0
+    vocabulary = [f"w{i}" for i in range(300)]
+    for _ in range(4):
+        base = [rng.choice(vocabulary) for _ in range(80)]
+        for _ in range(30):
+            data.append((k := k + 1, " ".join(edited(rng, base, rng.randrange(20)))))
+    docs = spark.createDataFrame(data, "doc_id bigint, text string")
+    assert rows(near_duplicates(docs, 4, percent=50)) == sorted(brute_force(data, 4, 50), key=repr)
+    with pytest.raises(ValueError):
+        near_duplicates(docs, percent=0)
+
+
 def test_awkward_rows(spark, awkward):
     found = {}
     for r in near_duplicates(awkward, 4).collect():
