@@ -1,9 +1,13 @@
 import itertools
+import math
 import random
+from collections import Counter
+from decimal import Decimal, localcontext
 
+import numpy as np
 import pytest
 
-from stratalode.llm.mixing import mix, shard_rows, split_among_shards, targets
+from stratalode.llm.mixing import _draw, _hypergeometric, _log_factorial, mix, shard_rows, split_among_shards, targets
 
 
 def filled(sizes, weights):
@@ -49,6 +53,33 @@ def corpus(spark):
     return spark.createDataFrame(rows, "doc_id bigint, text string, source string")
 
 
+def test_large_draws_follow_the_exact_distribution():
+    """The sampler for large numbers, held against exact chances on small ones."""
+    rng = np.random.default_rng(3)
+    for good, bad, n in ((7, 5, 6), (40, 3, 20), (30, 90, 50), (1, 1, 1)):
+        drawn = Counter(_hypergeometric(rng, good, bad, n) for _ in range(4000))
+        chances = {k: math.comb(good, k) * math.comb(bad, n - k) / math.comb(good + bad, n) for k in range(n + 1)}
+        assert all(chances[k] > 0 for k in drawn)
+        likely = [k for k, p in chances.items() if 4000 * p >= 5]
+        assert sum((drawn[k] - 4000 * chances[k]) ** 2 / (4000 * chances[k]) for k in likely) < 3 * len(likely) + 12
+    assert _hypergeometric(rng, 0, 10**12, 5) == 0 and _hypergeometric(rng, 10**12, 3, 10**12 + 3) == 10**12
+    k = 10**13
+    with localcontext(prec=45):
+        assert abs(_log_factorial(k) - _log_factorial(k - 1) - Decimal(k).ln()) < Decimal("1e-17")
+
+
+def test_draws_of_ten_thousand_million_words_are_exact_in_units():
+    good, bad, n = 4 * 10**9, 6 * 10**9, 5 * 10**9
+    rng = np.random.default_rng(5)
+    drawn = [int(_draw(rng, np.array([good, bad]), n)[0]) for _ in range(400)]
+    mean, deviation = n * good / (good + bad), (n * good / (good + bad) * bad / (good + bad) / 2) ** 0.5
+    assert abs(sum(drawn) / 400 - mean) < 4 * deviation / 20
+    assert 0.8 < (sum((d - mean) ** 2 for d in drawn) / 400) ** 0.5 / deviation < 1.2
+    assert len({d % 100 for d in drawn}) > 90
+    parts = _draw(rng, np.array([10**10, 0, 7, 3 * 10**13]), 10**13)
+    assert parts.sum() == 10**13 and parts[1] == 0 and 0 <= parts[2] <= 7
+
+
 def test_draws_meet_targets_and_are_disjoint_blocks(spark):
     mixed = mix(corpus(spark), shards=5, rows_per_bucket=20)
     rows = mixed.collect()
