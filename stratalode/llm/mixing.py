@@ -64,7 +64,7 @@ def _hypergeometric(rng: np.random.Generator, good: int, bad: int, n: int) -> in
     """How many of ``n`` items drawn from ``good`` and ``bad`` ones are good, at any size.
 
     Rejection from the hat that every log-concave distribution has around its mode: flat,
-    with exponential tails. Chances are ratios of factorials of 45 digits, some 0.3 ms a
+    with exponential tails. Chances are ratios of factorials of 45 digits, some 3 ms a
     draw, as doubles cannot tell neighbours apart there.
     """
     low, high = max(0, n - bad), min(n, good)
