@@ -77,15 +77,17 @@ def cluster_rows(
 
     Spark samples the rows for the ranges' bounds in a job of its own, which runs what
     ``df`` needs a first time: stage costly frames before. The number of ranges is
-    ``partitions``, or follows from the bytes Spark expects (:func:`planned_bytes`), or is
-    the session's number of shuffle partitions where it expects none.
+    ``partitions``, or else the session's number of shuffle partitions, of which adaptive
+    execution puts small ones together by the bytes it shuffled. Where the bytes that Spark
+    expects (:func:`planned_bytes`) ask for more ranges, it is theirs: these bytes are
+    compressed ones, and what a task sorts are whole rows.
     """
     keys = [*within, *as_list(by)]
     salt = spare_name(df.columns, "salt")
     hashed = [column(f.name) for f in df.schema.fields if is_orderable(f.dataType)]
     if not partitions:
-        size = planned_bytes(df)
-        partitions = 0 if size is None else size // TARGET_FILE_BYTES + 1
+        needed = int((planned_bytes(df) or 0) / PARQUET_SHARE) // TARGET_FILE_BYTES + 1
+        partitions = needed if needed > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else 0
     ranges = ([partitions] if partitions else []) + [column(k) for k in keys] + [column(salt)]
     ranged = df.withColumn(salt, F.xxhash64(*hashed)).repartitionByRange(*ranges)
     return ranged.sortWithinPartitions(*map(column, keys)).drop(salt)

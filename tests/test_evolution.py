@@ -133,6 +133,18 @@ def test_a_hot_value_fills_several_ranges(spark):
     assert len(parts) == 9 and max(r["count"] for r in parts) < 2000
 
 
+def test_ranges_follow_the_rows_and_not_the_stored_bytes(spark, tmp_path):
+    """A million rows in few stored bytes are not sorted by one task."""
+    path = str(tmp_path / "small")
+    spark.range(1_000_000).select("id", F.lit(1.0).alias("k")).write.parquet(path)
+    df = spark.read.parquet(path)
+    assert ops.planned_bytes(df) < 10_000_000
+    sinks.write_silver_parquet(df, str(tmp_path), "clustered", "2024-06-01", cluster_by="k")
+    back = spark.read.parquet(f"{tmp_path}/clustered/year=2024/month=06/day=01")
+    sizes = [r["count"] for r in back.groupBy("_metadata.file_path").count().collect()]
+    assert sum(sizes) == 1_000_000 and max(sizes) < 500_000
+
+
 def test_sizes_without_reading_columns(spark, tmp_path, plan):
     path = str(tmp_path / "t")
     spark.range(1000).withColumn("text", F.repeat(F.lit("x"), 50)).repartition(3).write.parquet(path)
