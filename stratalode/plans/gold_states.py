@@ -47,7 +47,7 @@ from stratalode.sources.dated import (
 )
 
 LOG, BY_DATE, BY_USER = "cart_log", "by_date", "by_user"
-STATES = (BY_DATE, BY_USER, LOG)  # in the order they are written: a day is there once its log is
+STATES = (BY_DATE, BY_USER, LOG)  # the log is written last: a day is there once its log is
 LINE = ("cart_id", "user_id", "date", "product_id", "quantity")
 SUMS = ("quantity", "filled", "lines", "carts")
 
@@ -68,18 +68,37 @@ def _net(signed: DataFrame) -> DataFrame:
     return signed.groupBy(*LINE).agg(F.sum("copies").alias("copies")).where("copies <> 0")
 
 
-def _partial(signed: DataFrame, key: str) -> DataFrame:
+def _changes(new: DataFrame, old: DataFrame | None) -> DataFrame:
+    """Equal lines counted once, with their number of copies among the stored lines and the new ones.
+
+    One aggregation serves the states and the log: lines that stay as they are are kept, as
+    their carts are counted before and after.
+    """
+    none = F.lit(0).cast("bigint")
+    both = new.withColumns({"before": none, "after": F.col("copies")})
+    if old is not None:
+        both = both.unionByName(old.withColumns({"before": F.col("copies"), "after": none}))
+    counted = both.groupBy(*LINE).agg(F.sum("before").alias("before"), F.sum("after").alias("after"))
+    return counted.where("before <> 0 or after <> 0").withColumn("copies", F.col("after") - F.col("before"))
+
+
+def _partial(changes: DataFrame, key: str) -> DataFrame:
     """Signed sums per ``key`` and product; the carts are counted on the row without a product."""
-    copies = F.col("copies")
-    sums = signed.groupBy(key, "product_id").agg(
-        F.sum(copies * F.col("quantity")).alias("quantity"),
-        F.sum(F.when(F.col("quantity").isNotNull(), copies)).alias("filled"),
-        F.sum(copies).alias("lines"),
-        F.lit(0).cast("bigint").alias("carts"),
+    copies, none = F.col("copies"), F.lit(0).cast("bigint")
+    sums = changes.where("copies <> 0").select(
+        key,
+        "product_id",
+        (copies * F.col("quantity")).alias("quantity"),
+        F.when(F.col("quantity").isNotNull(), copies).alias("filled"),
+        copies.alias("lines"),
+        none.alias("carts"),
     )
-    whole = signed.where("cart_id is not null").select("cart_id", key, F.signum("copies").cast("bigint").alias("carts")).distinct()
-    counted = whole.groupBy(key).agg(F.sum("carts").alias("carts")).where("carts <> 0")
-    counted = counted.select(key, F.lit(None).cast("bigint").alias("product_id"), *[F.lit(0).cast("bigint").alias(c) for c in SUMS[:3]], "carts")
+
+    def held(copies: str) -> Column:
+        return F.max(F.when(F.col(copies) > 0, 1).otherwise(0).cast("bigint"))
+
+    counted = changes.where("cart_id is not null").groupBy("cart_id", key).agg((held("after") - held("before")).alias("carts"))
+    counted = counted.where("carts <> 0").select(key, F.lit(None).cast("bigint").alias("product_id"), *[none.alias(c) for c in SUMS[:3]], "carts")
     return _added_up(sums.unionByName(counted), [key, "product_id"])
 
 
@@ -134,12 +153,15 @@ def update_gold_states(
         if deleted is not None:
             ids = ids.unionByName(deleted.select(F.col("id").alias("cart_id")))
         stored = _folders_until(spark, root, LOG, day - datetime.timedelta(days=1))
-        log = spark.read.schema(new.schema).parquet(*stored) if stored else new.limit(0)
-        old = _net(log.join(ids.distinct(), "cart_id", "left_semi"))
-        signed = keep(_net(new).unionByName(old.withColumn("copies", -F.col("copies"))), "signed-lines")
-        for key, name in (("date", BY_DATE), ("user_id", BY_USER)):
-            write_silver_parquet(_partial(signed, key), root, name, day, skip_empty=False)
-        write_silver_parquet(_net(signed), root, LOG, day, skip_empty=False)
+        old = spark.read.schema(new.schema).parquet(*stored).join(ids.distinct(), "cart_id", "left_semi") if stored else None
+        changes = keep(_changes(new, old), "changed-lines")
+
+        def write(item: tuple[str, str]) -> None:
+            write_silver_parquet(_partial(changes, item[0]), root, item[1], day, skip_empty=False)
+
+        side_by_side(spark, write, [("date", BY_DATE), ("user_id", BY_USER)])
+        logged = changes.where("copies <> 0").select(*LINE, "copies")
+        write_silver_parquet(logged, root, LOG, day, skip_empty=False)
 
 
 def compact_gold_states(spark: SparkSession, root: str, execution_date: ExecutionDate = None) -> None:

@@ -151,3 +151,33 @@ class TestHalfWrittenDays:
         sinks.write_silver_parquet(df, str(tmp_path), "t", date_column="at")
         day, path = sources.latest_partition(spark, str(tmp_path / "t"))
         assert str(day) == "2024-05-31" and path.endswith("day=31")
+
+
+def written_plans(monkeypatch):
+    """The number of shuffles in the plan of each state that is written, by its name."""
+    import stratalode.plans.gold_states as gold_states
+
+    found, write = {}, gold_states.write_silver_parquet
+
+    def noted(df, root, table, *args, **options):
+        found[table] = df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+        return write(df, root, table, *args, **options)
+
+    monkeypatch.setattr(gold_states, "write_silver_parquet", noted)
+    return found
+
+
+def test_lines_are_netted_once_for_states_and_log(spark, tmp_path, monkeypatch):
+    days = [
+        [(1, 1, "2024-01-01", 1, 1), (1, 1, "2024-01-01", 2, 1), (2, 1, "2024-01-01", 1, 1), (2, 1, "2024-01-01", 1, 1)],
+        [(1, 1, "2024-01-01", 1, 1), (1, 1, "2024-01-01", 3, 1), (2, 1, "2024-01-02", 1, 1)],
+    ]
+    shuffles = written_plans(monkeypatch)
+    for day, lines in zip(DAYS, days, strict=False):
+        carts = spark.createDataFrame(lines, LINES.replace("timestamp", "string")).withColumn("date", F.col("date").cast("timestamp"))
+        plans.update_gold_states(spark, carts, str(tmp_path), day)
+        assert shuffles == {"cart_log": 0, "by_date": 2, "by_user": 2}
+    second = spark.read.parquet(f"{tmp_path}/cart_log/year=2024/month=05/day=29").groupBy("cart_id").agg(F.sort_array(F.collect_list("copies")).alias("c"))
+    assert {r["cart_id"]: r["c"] for r in second.collect()} == {1: [-1, 1], 2: [-2, 1]}
+    carts = spark.read.parquet(f"{tmp_path}/by_user/year=2024/month=05/day=29").agg(F.sum("carts")).first()[0]
+    assert carts == 0

@@ -241,9 +241,10 @@ def bronze_to_gold_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
 def changed_in_two_days(spark: SparkSession, sf_dir: str):
     """The carts of two days: on the first some are missing, some wrong and some made up; the second puts it right.
 
-    Yields the lines of new and changed carts and the ids of carts that are gone.
+    Yields the lines of new and changed carts and the ids of carts that are gone. All come
+    from one copy of the lines, as each would join them again.
     """
-    lines = cart_lines(spark, sf_dir)
+    lines = sinks.stage(cart_lines(spark, sf_dir), "cart-lines")
     wrong = lines.where("id % 3 <> 0").withColumns({
         "products_quantity": F.when(F.col("id") % 5 == 0, F.col("products_quantity") + 3).otherwise(F.col("products_quantity")),
         "date": F.when(F.col("id") % 10 == 0, F.lit("1999-12-31").cast("timestamp_ntz")).otherwise(F.col("date")),
