@@ -180,11 +180,14 @@ def compact_gold_states(spark: SparkSession, root: str, execution_date: Executio
         LOG: _net,
     }
     parts = {name: _folders_until(spark, root, name, day) for name in STATES}
-    own = {name: f"{table_root(root, _base(name))}/{date_folder(day)}" for name in STATES}
-    if parts[LOG] == [own[LOG]]:
+    if len(parts[LOG]) == 1:
         return
-    for name in STATES:
+
+    def write(name: str) -> None:
         write_silver_parquet(merge[name](spark.read.parquet(*parts[name])), root, _base(name), day, skip_empty=False)
+
+    side_by_side(spark, write, (BY_DATE, BY_USER))
+    write(LOG)
     for name in STATES:
         for path in parts[name]:
             remove_folder(spark, path)
@@ -229,7 +232,9 @@ def gold_from_states(
 
     def merged(item: tuple[str, str]) -> DataFrame:
         name, key = item
-        return stage(_added_up(spark.read.parquet(*_folders_until(spark, root, name, day)), [key, "product_id"]), name)
+        folders = _folders_until(spark, root, name, day)
+        rows = spark.read.parquet(*folders)  # one folder's are added up already
+        return stage(_added_up(rows, [key, "product_id"]) if len(folders) > 1 else rows, name)
 
     dates, users = side_by_side(spark, merged, [(BY_DATE, "date"), (BY_USER, "user_id")])
     units = dates.groupBy(F.col("product_id").alias("products_productId")).agg(

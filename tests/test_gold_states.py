@@ -181,3 +181,20 @@ def test_lines_are_netted_once_for_states_and_log(spark, tmp_path, monkeypatch):
     assert {r["cart_id"]: r["c"] for r in second.collect()} == {1: [-1, 1], 2: [-2, 1]}
     carts = spark.read.parquet(f"{tmp_path}/by_user/year=2024/month=05/day=29").agg(F.sum("carts")).first()[0]
     assert carts == 0
+
+
+def test_one_folder_is_neither_merged_nor_copied(spark, tmp_path, products, monkeypatch):
+    lines, _, _ = next(iter(days_of(spark, 3)))
+    plans.update_gold_states(spark, lines, str(tmp_path), DAYS[0])
+    shuffles = written_plans(monkeypatch)
+    plans.compact_gold_states(spark, str(tmp_path), DAYS[0])
+    assert shuffles == {}
+    staged = {}
+
+    def noted(df, purpose):
+        staged[purpose] = "Exchange" in df._jdf.queryExecution().executedPlan().toString()
+        return sinks.stage(df, purpose)
+
+    gold = plans.gold_from_states(spark, str(tmp_path), products, DAYS[0], stage=noted)
+    assert staged == {"by_date": False, "by_user": False}
+    assert comparable(gold)["user_ltv"]
