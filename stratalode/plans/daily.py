@@ -30,8 +30,8 @@ def run_pipeline(
 ) -> dict[str, str]:
     """Land raw tables, clean ``products`` and ``carts``, and write the indicators.
 
-    Layers run one after another and hand over through storage below ``root``;
-    an error stops the run before the next layer. Gold reads the silver rows just
+    Layers run one after another and hand over through storage below ``root``, raw tables
+    as gzipped JSON; an error stops the run before the next layer. Gold reads the silver rows just
     written, as each day holds the full tables, or of a table without rows that
     day the newest ones before; ``snapshot="all"`` reads every day up to this one.
     Running a day again replaces its files. Returns the gold paths.
@@ -44,7 +44,7 @@ def run_pipeline(
     execution_date = as_date(execution_date)  # once, so that a run over midnight stays with its day
     bronze, silver, gold = (f"{root.rstrip('/')}/{zone}" for zone in ("bronze", "silver", "gold"))
     side_by_side(
-        spark, lambda table: land_bronze_json(raw[table], bronze, table, execution_date), raw
+        spark, lambda table: land_bronze_json(raw[table], bronze, table, execution_date, compression="gzip"), raw
     )
     written = process_tables(
         spark,

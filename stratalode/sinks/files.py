@@ -26,6 +26,9 @@ from stratalode.sources.dated import (
 )
 from stratalode.sources.evolution import forget_schemas, note_schema
 
+# Fixed value: the records of one compressed JSON file, some 150 MB of text in the shop's tables.
+RECORDS_PER_COMPRESSED_FILE = 1_000_000
+
 
 def _write_dated(
     df: DataFrame,
@@ -78,15 +81,18 @@ def land_bronze_json(
     table: str,
     execution_date: ExecutionDate = None,
     date_column: str | None = None,
+    compression: str | None = None,
 ) -> None:
     """Land raw records as JSON, under the execution date or each record's own day.
 
     Fields that are NULL are written out, so files without any value in a column
-    still carry it.
+    still carry it. ``compression`` is Spark's name of a codec, such as ``gzip``. As most
+    compressed files are read by one task each, they are then cut after a number of records.
     """
-    _write_dated(
-        df, table_root(root, table), "json", execution_date, date_column, {"ignoreNullFields": "false"}
-    )
+    options = {"ignoreNullFields": "false"}
+    if compression is not None:
+        options |= {"compression": compression, "maxRecordsPerFile": str(RECORDS_PER_COMPRESSED_FILE)}
+    _write_dated(df, table_root(root, table), "json", execution_date, date_column, options)
 
 
 def write_silver_parquet(

@@ -228,3 +228,13 @@ def test_findings_of_written_gold_tables_are_logged(spark, tmp_path, caplog):
     with caplog.at_level("WARNING"):
         plans.write_gold_tables(plans.build_gold(carts, products, "2024-01-01 00:00:00"), str(tmp_path))
     assert any("product_performance" in m and "not_null" in m and "product_id" in m for m in caplog.messages)
+
+
+def test_whole_run_lands_compressed_json(spark, bronze, tmp_path, rows):
+    raw = {t: spark.read.schema(s).json(f"{bronze}/{t}/*/*/*") for t, s in RAW_SCHEMAS.items()}
+    plans.run_pipeline(spark, raw, str(tmp_path / "lake"), "2024-01-05")
+    for table, schema in RAW_SCHEMAS.items():
+        day = tmp_path / "lake" / "bronze" / table / "year=2024" / "month=01" / "day=05"
+        landed = [f.name for f in day.iterdir() if f.name.startswith("part-")]
+        assert landed and all(name.endswith(".json.gz") for name in landed)
+        assert rows(spark.read.schema(schema).json(str(day))) == rows(raw[table])

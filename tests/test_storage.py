@@ -349,3 +349,14 @@ def test_a_named_table_in_a_days_own_folder(spark, tmp_path):
     (folder / "orders.json").write_text('{"id": 7}')
     for root in (str(folder), f"{folder}/"):
         assert [r["id"] for r in sources.scan_execution_date(spark, root, "orders", "2024-05-01").collect()] == [7]
+
+
+def test_compressed_json_is_cut_by_records(spark, tmp_path, rows, monkeypatch):
+    monkeypatch.setattr("stratalode.sinks.files.RECORDS_PER_COMPRESSED_FILE", 400)
+    df = spark.range(1000).withColumn("none", F.lit(None).cast("string")).coalesce(1)
+    for name, codec in (("plain", None), ("zipped", "gzip")):
+        sinks.land_bronze_json(df, str(tmp_path), name, "2024-06-01", compression=codec)
+        landed = sources.scan_execution_date(spark, str(tmp_path), name, "2024-06-01", schema="id bigint, none string")
+        assert rows(landed.select("id", "none")) == rows(df)
+    assert len(glob.glob(f"{tmp_path}/plain/*/*/*/*.json")) == 1
+    assert len(glob.glob(f"{tmp_path}/zipped/*/*/*/*.json.gz")) == 3
