@@ -73,9 +73,10 @@ def run_pipeline(
         states = f"{root.rstrip('/')}/gold_states"
         carts = read("carts") if written["carts"] is not None else read("carts").limit(0)
         deleted = scan_execution_date(spark, bronze, "deleted_carts", execution_date, schema="id bigint") if "deleted_carts" in raw else None
-        update_gold_states(spark, carts, states, execution_date, deleted)
+        update_gold_states(spark, carts, states, execution_date, deleted, staged=False)
         with staging(spark) as stage:
-            return write_gold_tables(gold_from_states(spark, states, products, execution_date, created_at, stage=stage), gold)
+            frames = gold_from_states(spark, states, products, execution_date, created_at, stage=stage, for_writing=True)
+            return write_gold_tables(frames, gold)
     carts = read("carts")
     with staging(spark) as stage:
         return write_gold_tables(build_gold(carts, products, created_at, stage=stage), gold)

@@ -131,6 +131,7 @@ def update_gold_states(
     root: str,
     execution_date: ExecutionDate = None,
     deleted: DataFrame | None = None,
+    staged: bool = True,
 ) -> None:
     """Put a day's changed carts into the states below ``root``.
 
@@ -138,6 +139,9 @@ def update_gold_states(
     all its lines; ``deleted`` the ``id`` of carts that are gone. A cart in both is
     changed, not gone. Ids that are not stored are added, or ignored when deleted.
 
+    The lines are needed twice and are copied to the session's shared folder first;
+    ``staged=False`` is for carts that are read from storage as they are.
+
     Running the newest day again replaces it. Earlier days cannot be run again, as
     later ones took back what they had put in; remove the later days first. Nor can
     days that `compact_gold_states` has merged.
@@ -148,7 +152,8 @@ def update_gold_states(
     if later is not None:
         raise ValueError(f"the states of {later[0]} build on {day}; {day} cannot be run again on its own")
     with staging(spark) as keep:
-        new = keep(_lines(carts).withColumn("copies", F.lit(1).cast("bigint")), "new-lines")
+        new = _lines(carts).withColumn("copies", F.lit(1).cast("bigint"))
+        new = keep(new, "new-lines") if staged else new
         ids = new.select("cart_id")
         if deleted is not None:
             ids = ids.unionByName(deleted.select(F.col("id").alias("cart_id")))
@@ -224,8 +229,14 @@ def gold_from_states(
     created_at: CreatedAt = None,
     top: int = 10,
     stage: Callable[[DataFrame, str], DataFrame] = stage,
+    for_writing: bool = False,
 ) -> dict[str, DataFrame]:
-    """The gold tables as `build_gold` makes them from all cart lines, from the states up to a day."""
+    """The gold tables as `build_gold` makes them from all cart lines, from the states up to a day.
+
+    They are read from copies, so that they outlast a rerun or a merge of the states. With
+    ``for_writing=True``, for tables that are written at once, states of one folder are read
+    where they are, and the units per product, which three tables need, are added up once.
+    """
     day = as_date(execution_date)
     if not _folders_until(spark, root, LOG, day):
         raise ValueError(f"there are no states up to {day} below {root}")
@@ -233,13 +244,16 @@ def gold_from_states(
     def merged(item: tuple[str, str]) -> DataFrame:
         name, key = item
         folders = _folders_until(spark, root, name, day)
-        rows = spark.read.parquet(*folders)  # one folder's are added up already
-        return stage(_added_up(rows, [key, "product_id"]) if len(folders) > 1 else rows, name)
+        rows = spark.read.parquet(*folders)
+        if len(folders) > 1:
+            return stage(_added_up(rows, [key, "product_id"]), name)
+        return rows if for_writing else stage(rows, name)  # added up already
 
     dates, users = side_by_side(spark, merged, [(BY_DATE, "date"), (BY_USER, "user_id")])
     units = dates.groupBy(F.col("product_id").alias("products_productId")).agg(
         F.sum(F.when(F.col("filled") > 0, F.col("quantity"))).alias("quantity"), F.sum("lines").alias("lines")
     ).where("lines > 0")
+    units = stage(units, "units_by_product") if for_writing else units
     daily = _totals(dates, products, "date").withColumns({"avg_ticket": _ticket(), "created_at": run_timestamp(created_at)})
     lifetime = _totals(users, products, "user_id").withColumns(
         {"avg_ticket": _ticket(), "customer_type": customer_type(F.col("total_orders")), "created_at": run_timestamp(created_at)}

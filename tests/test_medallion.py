@@ -1,3 +1,4 @@
+import importlib
 import json
 import os
 
@@ -7,6 +8,8 @@ from pyspark.sql import functions as F
 from stratalode import plans, sinks, sources
 from stratalode.plans.silver import RAW_SCHEMAS
 
+stage_module = importlib.import_module("stratalode.sinks.stage")
+
 PRODUCTS = [
     {"id": 1, "title": "shirt", "price": 10.0, "description": "d", "category": "men", "image": "i",
      "rating": {"rate": 3.9, "count": 120}},
@@ -238,3 +241,24 @@ def test_whole_run_lands_compressed_json(spark, bronze, tmp_path, rows):
         landed = [f.name for f in day.iterdir() if f.name.startswith("part-")]
         assert landed and all(name.endswith(".json.gz") for name in landed)
         assert rows(spark.read.schema(schema).json(str(day))) == rows(raw[table])
+
+
+def test_incremental_run_copies_no_stored_lines_or_states(spark, bronze, tmp_path, rows, monkeypatch):
+    raw = {t: spark.read.schema(s).json(f"{bronze}/{t}/*/*/*") for t, s in RAW_SCHEMAS.items()}
+    written, copies = stage_module._written, []
+
+    def noted(df, path):
+        copies.append(path.rsplit("/", 1)[1].rsplit("-", 1)[0])
+        return written(df, path)
+
+    monkeypatch.setattr(stage_module, "_written", noted)
+    lake = str(tmp_path / "lake")
+    created = "2024-01-05 00:00:00"
+    found = plans.run_pipeline(spark, raw, lake, "2024-01-05", created, incremental=True)
+    assert sorted(copies) == ["changed-lines", "units_by_product"]
+    copies.clear()
+    found = plans.run_pipeline(spark, raw | {"carts": raw["carts"].where("id = 1")}, lake, "2024-01-06", created, incremental=True)
+    assert sorted(copies) == ["by_date", "by_user", "changed-lines", "units_by_product"]
+    whole = plans.run_pipeline(spark, raw, str(tmp_path / "whole"), "2024-01-05", created)
+    for name, path in found.items():
+        assert rows(spark.read.parquet(path)) == rows(spark.read.parquet(whole[name])), name

@@ -1,5 +1,6 @@
 import datetime as dt
 import glob
+import gzip
 import os
 from pathlib import Path
 
@@ -360,3 +361,13 @@ def test_compressed_json_is_cut_by_records(spark, tmp_path, rows, monkeypatch):
         assert rows(landed.select("id", "none")) == rows(df)
     assert len(glob.glob(f"{tmp_path}/plain/*/*/*/*.json")) == 1
     assert len(glob.glob(f"{tmp_path}/zipped/*/*/*/*.json.gz")) == 3
+
+
+def test_landed_json_is_compressed_at_the_quickest_level(spark, tmp_path):
+    df = spark.range(20_000).withColumn("text", F.sha1(F.col("id").cast("string"))).coalesce(1)
+    sinks.land_bronze_json(df, str(tmp_path), "t", "2024-06-01", compression="gzip")
+    (landed,) = Path(tmp_path).glob("t/*/*/*/*.json.gz")
+    text = gzip.decompress(landed.read_bytes())
+    assert text.count(b"\n") == 20_000
+    sizes = {level: len(gzip.compress(text, level)) for level in (1, 6)}
+    assert abs(landed.stat().st_size - sizes[1]) < abs(landed.stat().st_size - sizes[6])
