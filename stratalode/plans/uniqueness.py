@@ -1,7 +1,8 @@
 """Keys and required columns of a table that grows by days, checked without reading it anew.
 
 A day leaves three folders beside each other: its keys with their counts, dealt
-into buckets; a Bloom filter of its keys; and the keys that break a rule. A new day
+into buckets; a Bloom filter of its keys; and the keys that break a rule, those that
+other days hold and those with NULLs or repeated on the day itself. A new day
 meets the filters of all other days first. Only what they may hold is looked up
 among the stored keys, in the buckets concerned, and decided there exactly.
 
@@ -14,7 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,21 +50,26 @@ def _read_days(spark: SparkSession, root: str, days: Iterable[str]) -> DataFrame
     return found.withColumn("on_day", F.make_date("year", "month", "day").cast("string"))
 
 
+def _hashed(counted: DataFrame, ks: list[str]) -> DataFrame:
+    """Keys with their hash, which is not stored: it does not compress and is longer than many keys."""
+    return counted.withColumn("hash", F.xxhash64(*ks))
+
+
 def _count_keys(rows: DataFrame, keys: list[str], checked: list[str], buckets: int) -> DataFrame:
-    """One row per key: k0, k1, …, how many rows hold it, NULLs of the checked columns, hash and bucket."""
+    """One row per key: k0, k1, …, how many rows hold it, NULLs of the checked columns, and bucket."""
     named = [column(k).alias(f"k{i}") for i, k in enumerate(keys)]
     counted = rows.groupBy(*named).agg(
         F.count("*").alias("rows"), *[F.count_if(column(c).isNull()).alias(f"n{i}") for i, c in enumerate(checked)]
     )
     ks = [f"k{i}" for i in range(len(keys))]
     whole = reduce(and_, [F.col(k).isNotNull() for k in ks])
-    counted = counted.withColumn("hash", F.xxhash64(*ks))
     # Bits that choose neither the block of a filter nor a place in it.
-    return counted.withColumn("bucket", F.when(whole, F.pmod(F.xxhash64(F.lit(-1), "hash"), F.lit(buckets))).otherwise(_NO_KEY).cast("int"))
+    bucket = F.when(whole, F.pmod(F.xxhash64(F.lit(-1), F.xxhash64(*ks)), F.lit(buckets))).otherwise(_NO_KEY)
+    return counted.withColumn("bucket", bucket.cast("int"))
 
 
-def _write_filter(stored: DataFrame, path: str, bits_per_key: int) -> None:
-    keys = stored.where(F.col("bucket") != _NO_KEY).select("hash")
+def _write_filter(stored: DataFrame, path: str, bits_per_key: int, ks: list[str]) -> None:
+    keys = _hashed(stored.where(F.col("bucket") != _NO_KEY), ks).select("hash")
     needed = max(1, -(-keys.count() * bits_per_key // 512))
     blocks = 1 << (needed - 1).bit_length()
     held = keys.groupBy(_block(F.lit(blocks)).alias("block")).agg(*[F.bit_or(_bit(i)).alias(w) for i, w in enumerate(_WORDS)])
@@ -71,21 +77,18 @@ def _write_filter(stored: DataFrame, path: str, bits_per_key: int) -> None:
 
 
 def _candidates(stored: DataFrame, filters: DataFrame, ks: list[str]) -> DataFrame:
-    """Keys of a day with each other day whose filter may hold them, as ``on_day``.
+    """Keys of a day and their ``own`` rows with each other day whose filter may hold them, as ``on_day``.
 
-    A key meets one row per size of filters, which is a power of two: the blocks of
-    all days of that size with the same number, a list no longer than the days.
+    A key is sent once per size of filters, which is a power of two, and meets the
+    blocks of all days of that size with the same number.
     """
-    keys = stored.where(F.col("bucket") != _NO_KEY)
-    by_block = filters.groupBy("blocks", "block").agg(F.collect_list(F.struct("on_day", *_WORDS)).alias("days"))
+    keys = _hashed(stored.where(F.col("bucket") != _NO_KEY), ks).withColumnRenamed("rows", "own")
     sizes = F.array(*[F.lit(r[0]) for r in filters.select("blocks").distinct().collect()])
     asked = keys.withColumn("blocks", F.explode(sizes)).withColumn("block", _block(F.col("blocks")))
 
-    def may_hold(day: Column) -> Column:
-        return reduce(and_, [day[w].bitwiseAND(_bit(i)) != 0 for i, w in enumerate(_WORDS)])
-
-    met = asked.join(by_block, ["blocks", "block"])
-    return met.select(*ks, "bucket", F.explode(F.filter("days", may_hold)["on_day"]).alias("on_day"))
+    asked = asked.select(*ks, "own", "bucket", "hash", "blocks", "block")
+    may_hold = reduce(and_, [F.col(w).bitwiseAND(_bit(i)) != 0 for i, w in enumerate(_WORDS)])
+    return asked.join(filters, ["blocks", "block"]).where(may_hold).select(*ks, "own", "bucket", "on_day")
 
 
 def constraint_violations_incremental(
@@ -119,29 +122,28 @@ def constraint_violations_incremental(
     own = {part: f"{home}/{date_folder(day)}" for part, home in homes.items()}
 
     counted = _count_keys(rows, keys, checked, buckets)
-    dealt = counted.hint("rebalance", "bucket").sortWithinPartitions("bucket", "hash").write.mode("overwrite")
+    dealt = counted.hint("rebalance", "bucket").sortWithinPartitions("bucket").write.mode("overwrite")
     dealt.option("partitionOverwriteMode", "static").partitionBy("bucket").parquet(own["keys"])
     # Declared types, so that a day without keys, which has no files, can be read as well.
     stored = spark.read.schema(counted.schema).parquet(own["keys"])
-    _write_filter(stored, own["filters"], bits_per_key)
+    _write_filter(stored, own["filters"], bits_per_key, ks)
 
     others = [d for d in _finished(spark, homes["filters"]) if d != day]
     with staging(spark) as keep:
-        before = None
+        nulls = reduce(or_, [F.col(n) > 0 for n in ns])
+        broken = stored.where((F.col("rows") > 1) | nulls).select(*ks, F.col("rows").alias("total"), *ns)
+        held = None
         if others:
             maybe = keep(_candidates(stored, _read_days(spark, homes["filters"], others), ks), "candidates")
-            before = _looked_up(spark, maybe, homes["keys"], counted, ks)
-        if before is None:
-            total = stored.withColumn("total", F.col("rows"))
-        else:
-            total = stored.join(before, ks, "left").withColumn("total", F.col("rows") + F.coalesce("rows_before", F.lit(0)))
-        nulls = reduce(lambda a, b: a | b, [F.col(n) > 0 for n in ns])
-        total.where((F.col("total") > 1) | nulls).select(*ks, "total", *ns).write.mode("overwrite").parquet(own["broken"])
+            held = _looked_up(spark, maybe, homes["keys"], counted, ks)
+        if held is not None:  # a row of its own without the key's NULLs, which `broken` counts
+            broken = broken.unionByName(held.select(*ks, "total", *[F.lit(0).cast("bigint").alias(n) for n in ns]))
+        broken.write.mode("overwrite").parquet(own["broken"])
     return stored_violations(spark, root, table, keys, required)
 
 
 def _looked_up(spark: SparkSession, maybe: DataFrame, home: str, counted: DataFrame, ks: list[str]) -> DataFrame | None:
-    """How often other days hold the candidates; only their days' and buckets' folders are read."""
+    """The candidates that other days hold, with the rows of all days; only their days' and buckets' folders are read."""
     places = maybe.select("on_day", "bucket").distinct().collect()  # at most days times buckets
     if not places:
         return None
@@ -150,7 +152,8 @@ def _looked_up(spark: SparkSession, maybe: DataFrame, home: str, counted: DataFr
     schema = f"{fields}, bucket int, year int, month int, day int"
     held = spark.read.schema(schema).option("basePath", home).parquet(*paths)
     held = held.withColumn("on_day", F.make_date("year", "month", "day").cast("string"))
-    return held.join(maybe.drop("bucket"), [*ks, "on_day"], "left_semi").groupBy(*ks).agg(F.sum("rows").alias("rows_before"))
+    found = held.drop("bucket").join(maybe.drop("bucket"), [*ks, "on_day"])  # a day holds a key once, and asks for it once
+    return found.groupBy(*ks).agg((F.sum("rows") + F.max("own")).alias("total"))
 
 
 def stored_violations(
@@ -159,7 +162,7 @@ def stored_violations(
     """The findings of all days checked so far, from the stored broken keys alone.
 
     Each day has stored how many rows hold a key in all days known then, so the
-    largest number is the one of all days; NULLs are counted per day and added up.
+    largest number is the one of all days; NULLs are counted once per day and added up.
     """
     keys = as_list(keys)
     checked = list(dict.fromkeys([*keys, *as_list(required)]))
