@@ -34,6 +34,7 @@ def build_gold(
     top: int = 10,
     staged: bool = True,
     stage: Callable[[DataFrame, str], DataFrame] = stage,
+    whole_carts: bool = False,
 ) -> dict[str, DataFrame]:
     """All gold tables in their declared schema.
 
@@ -43,6 +44,10 @@ def build_gold(
     instead of five times. ``staged=False`` leaves everything lazy. The copies go
     when the process ends; a job that writes the result can pass the ``stage`` of
     a ``sinks.staging`` block to remove them at its end.
+
+    ``whole_carts=True`` says that all lines of a cart have one user and one date, as
+    where each cart comes from one document. The aggregate per cart then has one row
+    for each, so that carts need not be shuffled again to be counted per day and user.
     """
     units = units_by_product(carts)
     sales = sales_by_cart(carts, products)
@@ -54,10 +59,10 @@ def build_gold(
         )
     frames = {
         "top10_products_revenue": rank_products(units, products, top),
-        "sales_daily": daily_totals(sales, created_at),
+        "sales_daily": daily_totals(sales, created_at, one_row_per_cart=whole_carts),
         "product_performance": performance_of_products(units, products, created_at),
         "category_performance": performance_of_categories(units, products, created_at),
-        "user_ltv": lifetime_value(sales, created_at),
+        "user_ltv": lifetime_value(sales, created_at, one_row_per_cart=whole_carts),
     }
     return {name: conform_to_schema(df, GOLD_TABLES[name].schema) for name, df in frames.items()}
 

@@ -99,8 +99,12 @@ def rank_products(units: DataFrame, products: DataFrame, n: int = 10) -> DataFra
     )
 
 
-def _average_ticket() -> Column:
-    return rounded_ratio(F.sum("revenue"), F.count_distinct("cart_id"), 2).alias("avg_ticket")
+def _carts(one_row_per_cart: bool) -> Column:
+    return F.count("cart_id") if one_row_per_cart else F.count_distinct("cart_id")
+
+
+def _average_ticket(carts: Column) -> Column:
+    return rounded_ratio(F.sum("revenue"), carts, 2).alias("avg_ticket")
 
 
 def sales_daily(
@@ -113,15 +117,19 @@ def sales_daily(
     return daily_totals(sales_view(carts, products), created_at, by_day)
 
 
-def daily_totals(sales: DataFrame, created_at: CreatedAt = None, by_day: bool = False) -> DataFrame:
+def daily_totals(
+    sales: DataFrame, created_at: CreatedAt = None, by_day: bool = False, one_row_per_cart: bool = False
+) -> DataFrame:
+    """Totals per date. With ``one_row_per_cart`` carts are counted without telling them apart first."""
+    carts = _carts(one_row_per_cart)
     date = F.date_trunc("day", "date").alias("date") if by_day else F.col("date")
     return (
         sales.groupBy(date)
         .agg(
             F.sum("revenue").alias("total_revenue"),
-            F.count_distinct("cart_id").alias("total_orders"),
+            carts.alias("total_orders"),
             F.sum("quantity").alias("total_items"),
-            _average_ticket(),
+            _average_ticket(carts),
         )
         .withColumn("created_at", run_timestamp(created_at))
     )
@@ -202,15 +210,18 @@ def user_ltv(carts: DataFrame, products: DataFrame, created_at: CreatedAt = None
     return lifetime_value(sales_view(carts, products), created_at)
 
 
-def lifetime_value(sales: DataFrame, created_at: CreatedAt = None) -> DataFrame:
+def lifetime_value(
+    sales: DataFrame, created_at: CreatedAt = None, one_row_per_cart: bool = False
+) -> DataFrame:
+    carts = _carts(one_row_per_cart)
     kind = customer_type(F.col("total_orders"))
     return (
         sales.groupBy("user_id")
         .agg(
-            F.count_distinct("cart_id").alias("total_orders"),
+            carts.alias("total_orders"),
             F.sum("quantity").alias("total_items"),
             F.sum("revenue").alias("total_revenue"),
-            _average_ticket(),
+            _average_ticket(carts),
         )
         .withColumns({"customer_type": kind, "created_at": run_timestamp(created_at)})
     )

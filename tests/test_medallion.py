@@ -262,3 +262,25 @@ def test_incremental_run_copies_no_stored_lines_or_states(spark, bronze, tmp_pat
     whole = plans.run_pipeline(spark, raw, str(tmp_path / "whole"), "2024-01-05", created)
     for name, path in found.items():
         assert rows(spark.read.parquet(path)) == rows(spark.read.parquet(whole[name])), name
+
+
+def test_whole_carts_are_counted_without_another_shuffle(spark, bronze, tmp_path, rows, plan):
+    written = plans.process_tables(spark, bronze, str(tmp_path / "silver"), ["products", "carts"], "2024-01-05")
+    carts, products = (spark.read.parquet(written[t]) for t in ("carts", "products"))
+    created = "2024-01-05 00:00:00"
+    apart, whole = (plans.build_gold(carts, products, created, whole_carts=w) for w in (False, True))
+    for name in ("sales_daily", "user_ltv"):
+        assert plan(apart[name]).count("Exchange hash") == 2
+        assert plan(whole[name]).count("Exchange hash") == 1
+    for name in apart:
+        assert rows(whole[name]) == rows(apart[name]), name
+
+
+def test_a_cart_of_two_days_is_one_order_of_its_user(spark, bronze, tmp_path):
+    raw = {t: spark.read.schema(s).json(f"{bronze}/{t}/*/*/*") for t, s in RAW_SCHEMAS.items()}
+    moved = raw | {"carts": raw["carts"].withColumn("date", F.lit("2021-01-01T00:00:00.000Z"))}
+    lake = str(tmp_path / "lake")
+    for day, tables in (("2024-01-05", raw), ("2024-01-06", moved)):
+        paths = plans.run_pipeline(spark, tables, lake, day, snapshot="all")
+    orders = {r["user_id"]: r["total_orders"] for r in spark.read.parquet(paths["user_ltv"]).collect()}
+    assert orders == {1: 2, 2: 2}
