@@ -13,18 +13,23 @@ The score to reach rises while blocks are looked through: first an anchor's best
 rows of its own label are found, its positives; then, for each of them, the best
 rows of other labels within a band below the positive's score.
 
-Anchors meet the blocks in chunks. Both are rows of binary arrays that Spark
-joins by shelf, a share of the blocks, so tasks hold a chunk and a block at a time.
+Anchors meet the blocks in chunks. Both are rows of binary arrays. A task holds a
+group of chunks of bounded size and streams a share of the blocks past them, as a
+cartesian product does: nothing is broadcast or copied for it. It reports once, so
+what the shares have found for an anchor grows with their number only.
 """
 
 from __future__ import annotations
 
+import contextlib
+import functools
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stratalode.functions.names import column
@@ -33,15 +38,29 @@ from stratalode.sinks import stage
 
 SCALE = 256
 FOCUS = 4
-BATCH = 8  # pairs of a chunk and a block in an Arrow batch
+BATCH = 8  # pairs of a chunk and a block in an Arrow batch, and blocks that are read at once
+HELD = 1 << 20  # components of the anchors that a task holds
+SHARES = 32  # of the blocks, unless anchors are so few that more of them report no more rows than there are
 _EXACT = 2.0**53
 _TOO_LONG = 2.0**62
 _SLACK = 1e-9
 
-BLOCK = "dims int, shelf int, labels_of int, longest double, ids binary, labels binary, vectors binary, orders binary"
+BLOCK = "dims int, labels_of int, longest double, ids binary, labels binary, vectors binary, orders binary"
 CHUNK = "dims int, labels_of int, chunk bigint, ids binary, labels binary, vectors binary, places binary, scores binary"
 
 
+def packed(numbers: np.ndarray) -> bytes:
+    """Whole numbers in the narrowest type that holds them all."""
+    kinds = (np.int8, np.int16, np.int32) if numbers.size else ()
+    kind = next((k for k in kinds if np.iinfo(k).min <= numbers.min() and numbers.max() <= np.iinfo(k).max), np.int64)
+    return np.ascontiguousarray(numbers, kind).tobytes()
+
+
+def unpacked(data: bytes, *shape: int) -> np.ndarray:
+    kind = {1: np.int8, 2: np.int16, 4: np.int32}.get(len(data) // max(1, math.prod(shape)), np.int64)
+    return np.frombuffer(data, kind).astype(np.int64).reshape(shape)
+
+
 @dataclass
 class Vectors:
     """Integer vectors of a block or chunk with their ids, labels, lengths and directions."""
@@ -59,7 +78,7 @@ class Vectors:
     @classmethod
     def unpack(cls, row: dict, dims: int) -> Vectors:
         ids, labels = (np.frombuffer(row[c], np.int64) for c in ("ids", "labels"))
-        return cls(ids, labels, np.frombuffer(row["vectors"], np.int64).reshape(len(ids), dims))
+        return cls(ids, labels, unpacked(row["vectors"], len(ids), dims))
 
     def products(self, rows: np.ndarray | slice, other: Vectors, others: np.ndarray) -> np.ndarray:
         """Exact inner products: in doubles if these hold all sums that can occur, else in integers."""
@@ -80,33 +99,44 @@ class Block:
     rows: Vectors
     orders: np.ndarray  # for each coordinate, the rows in the order of it
 
+    @functools.cached_property
+    def ordered(self) -> np.ndarray:
+        """For each coordinate, its values in the order of it."""
+        return np.take_along_axis(self.rows.directions.T, self.orders, axis=1)
+
+    def ranges(self, focus: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where in the orders of the ``focus`` coordinates the values from ``low`` to ``high`` begin and end."""
+        starts, ends = np.zeros(focus.shape, np.int64), np.zeros(focus.shape, np.int64)
+        for f in np.unique(focus).tolist():
+            at = focus == f
+            starts[at] = self.ordered[f].searchsorted(low[at])
+            ends[at] = self.ordered[f].searchsorted(high[at], side="right")
+        return starts, ends
+
     def candidates(self, anchors: Vectors, least: np.ndarray) -> Iterator[tuple[int, np.ndarray | None]]:
         """For each anchor the rows that can have a score of at least ``least``; None stands for all rows."""
         longest = self.rows.lengths.max(initial=0.0)
         reach = anchors.lengths * longest
         cosine = np.divide(least, reach, out=np.where(least > 0, 2.0, -1.0), where=reach > 0)
         focus = np.argsort(-np.abs(anchors.directions), axis=1, kind="stable")[:, :FOCUS]
-        n = len(self.rows.ids)
-        for i in np.flatnonzero(cosine <= 1 + _SLACK).tolist():
-            if cosine[i] <= 0 or focus.shape[1] == 0:
-                yield i, None
-                continue
-            low, high = feasible(anchors.directions[i, focus[i]], cosine[i])
-            ranges = []
-            for f, a, b in zip(focus[i].tolist(), low, high, strict=True):
-                order = self.orders[f]
-                values = self.rows.directions[order, f]
-                ranges.append((int(np.searchsorted(values, a)), int(np.searchsorted(values, b, side="right"))))
-            first = min(range(len(ranges)), key=lambda k: ranges[k][1] - ranges[k][0])
-            a, b = ranges[first]
-            if b - a > n // 2:  # most rows are in every range: scoring them costs less than sorting them out
+        able = cosine <= 1 + _SLACK
+        limited = able & (cosine > 0) & (focus.shape[1] > 0)
+        yield from ((i, None) for i in np.flatnonzero(able & ~limited).tolist())
+        some = np.flatnonzero(limited)
+        if not len(some):
+            return
+        low, high = feasible(anchors.directions[some[:, None], focus[some]], cosine[some, None])
+        starts, ends = self.ranges(focus[some], low, high)
+        for j, (i, first) in enumerate(zip(some.tolist(), np.argmin(ends - starts, axis=1).tolist(), strict=True)):
+            a, b = starts[j, first], ends[j, first]
+            if b - a > len(self.rows.ids) // 2:  # most rows are in every range: scoring them costs less than sorting them out
                 yield i, None
                 continue
             found = self.orders[focus[i, first]][a:b]
             for k, f in enumerate(focus[i].tolist()):
                 if k != first and len(found):
                     own = self.rows.directions[found, f]
-                    found = found[(own >= low[k]) & (own <= high[k])]
+                    found = found[(own >= low[j, k]) & (own <= high[j, k])]
             if len(found):
                 yield i, np.sort(found)
 
@@ -119,13 +149,15 @@ class Block:
                 continue
             scores = self.rows.products(found, anchors, np.array([i]))[:, 0]
             kept = scores >= least[i]
-            yield i, found[kept], scores[kept]
+            if kept.any():
+                yield i, found[kept], scores[kept]
         for at in range(0, len(everything), 64):
             some = np.array(everything[at : at + 64])
             scores = self.rows.products(slice(None), anchors, some)
-            for k, i in enumerate(some.tolist()):
-                kept = np.flatnonzero(scores[:, k] >= least[i])
-                yield i, kept, scores[kept, k]
+            reached = scores >= least[some]
+            for k in np.flatnonzero(reached.any(axis=0)).tolist():
+                kept = np.flatnonzero(reached[:, k])
+                yield int(some[k]), kept, scores[kept, k]
 
 
 def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
@@ -183,6 +215,8 @@ class Negatives:
     def look(self, block: Block) -> None:
         for i, rows, scores in block.scored(self.anchors, self.least.min(axis=1)):
             fit = np.flatnonzero((block.rows.labels[rows] != self.anchors.labels[i]) & (scores <= self.high[i].max()))
+            if not len(fit):
+                continue
             scores, ids = scores[fit], block.rows.ids[rows[fit]]
             for p in range(self.scores.shape[1]):
                 inside = (scores >= self.least[i, p]) & (scores <= self.high[i, p])
@@ -230,16 +264,15 @@ def _label_groups(rows: int, block_rows: int):
     return F.pmod(F.xxhash64("label"), F.lit(max(1, min(1 << 20, rows // block_rows)))).cast("int").alias("labels_of")
 
 
-def build_blocks(rows: DataFrame, shelves: int) -> DataFrame:
+def build_blocks(rows: DataFrame) -> DataFrame:
     """One row per block; ``rows`` carry dims, labels_of, bucket and part."""
 
     def block(keys: tuple, table: pa.Table) -> pa.Table:
         vectors = Vectors(table.column("id").to_numpy(), table.column("label").to_numpy(), _matrix(table))
-        orders = np.argsort(vectors.directions, axis=0, kind="stable").T.astype(np.int32)
-        dims, labels_of, bucket, part = (k.as_py() for k in keys)
-        shelf = hash((labels_of, bucket, part)) % shelves
-        out = [[dims], [shelf], [labels_of], [float(vectors.lengths.max())], *([np.ascontiguousarray(a).tobytes()] for a in (vectors.ids, vectors.labels, vectors.whole, orders))]
-        types = [pa.int32(), pa.int32(), pa.int32(), pa.float64(), *[pa.binary()] * 4]
+        orders = np.argsort(vectors.directions, axis=0, kind="stable").T
+        dims, labels_of = (k.as_py() for k in keys[:2])
+        out = [[dims], [labels_of], [float(vectors.lengths.max())], *([np.ascontiguousarray(a).tobytes()] for a in (vectors.ids, vectors.labels)), [packed(vectors.whole)], [packed(orders)]]
+        types = [pa.int32(), pa.int32(), pa.float64(), *[pa.binary()] * 4]
         return pa.table([pa.array(v, t) for v, t in zip(out, types, strict=True)], [f.split()[0] for f in BLOCK.split(", ")])
 
     return rows.groupBy("dims", "labels_of", "bucket", "part").applyInArrow(block, BLOCK)
@@ -258,19 +291,49 @@ def _chunks(anchors: DataFrame) -> DataFrame:
             scores = np.full((n, max(map(len, lists), default=0)), -1, np.int64)
             for i, own in enumerate(lists):
                 scores[i, : len(own)] = own
-        arrays = (table.column("id").to_numpy(), table.column("label").to_numpy(), _matrix(table), table.column("slot").to_numpy(), scores)
-        values = [[k.as_py()] for k in keys] + [[np.ascontiguousarray(a.astype(np.int64)).tobytes()] for a in arrays]
+        ids, labels, places, scores = (np.ascontiguousarray(a, np.int64).tobytes() for a in (*(table.column(c).to_numpy() for c in ("id", "label", "slot")), scores))
+        values = [[k.as_py()] for k in keys] + [[a] for a in (ids, labels, packed(_matrix(table)), places, scores)]
         types = [pa.int32(), pa.int32(), pa.int64(), *[pa.binary()] * 5]
         return pa.table([pa.array(v, t) for v, t in zip(values, types, strict=True)], [f.split()[0] for f in CHUNK.split(", ")])
 
     return anchors.groupBy("dims", "labels_of", "chunk").applyInArrow(chunk, CHUNK)
 
 
-def _search(chunks: DataFrame, blocks: DataFrame, shelves: int, on: list[str], start) -> DataFrame:
+@contextlib.contextmanager
+def _few_at_once(spark: SparkSession) -> Iterator[None]:
+    """Small batches from Parquet and to Python: a block takes megabytes, and Parquet's usual batch is a whole file of them."""
+    name = "spark.sql.parquet.columnarReaderBatchSize"
+    before = spark.conf.get(name)
+    spark.conf.set(name, BATCH)
+    try:
+        with rows_per_batch(spark, BATCH):
+            yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def _pairs(chunks: DataFrame, blocks: DataFrame, groups: int, shares: int, on: list[str]) -> DataFrame:
+    """Each group of chunks with each share of the blocks, in one task: for each block in turn, the chunks.
+
+    Arrays come once: a chunk's with the first block of the task, a block's with the
+    first chunk. Pairs that do not ``meet`` are there only if they bring arrays.
+    """
+    first = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1) == 0  # of its partition
+    right = chunks.select(*[F.col(c).alias(f"a_{c}") for c in chunks.columns]).repartition(groups).withColumn("first_chunk", first)
+    left = blocks.coalesce(shares).select("*", F.monotonically_increasing_id().alias("block"), first.alias("first_block"))
+    meet = F.lit(True)
+    for c in on:
+        meet = meet & (F.col(c) == F.col(f"a_{c}"))
+    pairs = left.join(right.hint("shuffle_replicate_nl"), meet | F.col("first_block") | F.col("first_chunk"))
+    return pairs.select(
+        "block", "first_block", "first_chunk", meet.alias("meet"), "dims", "a_dims", "a_labels_of", "a_chunk",
+        *[F.when(F.col("first_chunk"), F.col(c)).alias(c) for c in ("ids", "labels", "vectors", "orders")],
+        *[F.when(F.col("first_block"), F.col(c)).alias(c) for c in ("a_ids", "a_labels", "a_vectors", "a_places", "a_scores")],
+    )
+
+
+def _search(chunks: DataFrame, blocks: DataFrame, groups: int, shares: int, on: list[str], start) -> DataFrame:
     """What ``start(chunk)`` finds in the blocks: slot of the anchor, place of the positive, id and score."""
-    spread = chunks.withColumn("shelf", F.explode(F.sequence(F.lit(0), F.lit(shelves - 1))))
-    left = spread.select(*on, "chunk", *[F.col(c).alias(f"a_{c}") for c in ("ids", "labels", "vectors", "places", "scores")])
-    pairs = left.join(blocks.drop(*[c for c in ("labels_of",) if c not in on]), on)
     names = ["slot", "place", "id", "score"]
 
     def report(search, places: np.ndarray) -> pa.RecordBatch:
@@ -280,25 +343,36 @@ def _search(chunks: DataFrame, blocks: DataFrame, shelves: int, on: list[str], s
             [pa.array(places[np.array(columns[0], dtype=np.int64)]), *(pa.array(c, pa.int64()) for c in columns[1:])], names
         )
 
+    def opened(row: dict) -> tuple:
+        own = {c: row[f"a_{c}"] for c in ("ids", "labels", "vectors")}
+        places = np.frombuffer(row["a_places"], np.int64)
+        scores = np.frombuffer(row["a_scores"], np.int64).reshape(len(places), -1)
+        return start(Vectors.unpack(own, row["a_dims"]), scores), places
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current = search = places = None
+        held: dict[tuple, tuple] = {}
+        current, block = {}, None
         for batch in batches:
             for row in batch.to_pylist():
-                if row["chunk"] != current:
-                    if search is not None:
-                        yield report(search, places)
-                    own = {c: row[f"a_{c}"] for c in ("ids", "labels", "vectors", "scores")}
-                    anchors = Vectors.unpack(own, row["dims"])
-                    places = np.frombuffer(row["a_places"], np.int64)
-                    scores = np.frombuffer(own["scores"], np.int64).reshape(len(places), -1)
-                    current, search = row["chunk"], start(anchors, scores)
-                rows = Vectors.unpack(row, row["dims"])
-                search.look(Block(rows, np.frombuffer(row["orders"], np.int32).reshape(row["dims"], len(rows.ids))))
-        if search is not None:
+                chunk = row["a_dims"], row["a_labels_of"], row["a_chunk"]
+                if row["first_block"]:
+                    held[chunk] = opened(row)
+                if row["first_chunk"]:
+                    current, block = row, None
+                if not row["meet"]:
+                    continue
+                if row["block"] != current["block"]:
+                    raise RuntimeError("pairs of a block do not follow each other")
+                if block is None:
+                    rows = Vectors.unpack(current, row["dims"])
+                    block = Block(rows, unpacked(current["orders"], row["dims"], len(rows.ids)))
+                held[chunk][0].look(block)
+        for search, places in held.values():
             yield report(search, places)
+        held.clear()
         give_back()
 
-    return pairs.mapInArrow(run, "slot bigint, place bigint, id bigint, score bigint")
+    return _pairs(chunks, blocks, groups, shares, on).mapInArrow(run, "slot bigint, place bigint, id bigint, score bigint")
 
 
 def mine_hard_negatives(
@@ -335,33 +409,35 @@ def mine_hard_negatives(
     groups = _label_groups(n, block_rows)
     bucket = F.when(F.col("length") > 0, F.floor(F.log2("length") * 4)).otherwise(-1).cast("int")
     dealt = _parted(rows.select("*", groups, bucket.alias("bucket")), ["dims", "labels_of", "bucket"], block_rows, ["row"])
-    shelves = max(1, min(1024, n // block_rows))
     spark = vectors.sparkSession
     asked = integer_rows(anchors, key, vector, label).distinct().select("*", groups)
     asked = _parted(asked, ["dims", "labels_of"], chunk_rows, ["id", "whole"])
     asked = stage(asked.select("*", F.xxhash64("dims", "labels_of", "part").alias("chunk"), F.monotonically_increasing_id().alias("slot")), "anchors")
+    n_asked, components = asked.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.greatest("dims", F.lit(1))), F.lit(0))).first()
+    groups_of_chunks = max(1, -(-components // HELD))
+    shares = max(SHARES, n // max(1, n_asked * positives * negatives))
     with rows_per_batch(spark, block_rows * 2):
-        blocks = stage(build_blocks(dealt, shelves), "blocks")
+        blocks = stage(build_blocks(dealt), "blocks")
         first = stage(_chunks(asked), "chunks")
-    with rows_per_batch(spark, BATCH):
-        found = _search(first, blocks, shelves, ["dims", "labels_of", "shelf"], lambda own, _: Positives(own, positives))
+    with _few_at_once(spark):
+        found = _search(first, blocks, groups_of_chunks, shares, ["dims", "labels_of"], lambda own, _: Positives(own, positives))
         found = stage(found, "near-positives")
     order = [F.desc("score"), F.asc("id")]
     by_anchor = Window.partitionBy("slot").orderBy(*order)
     paired = found.withColumn("place", F.row_number().over(by_anchor).cast("bigint") - 1).where(F.col("place") < positives)
     paired = stage(paired, "positives")
     lists = paired.groupBy("slot").agg(F.sort_array(F.collect_list(F.struct("place", "score"))).alias("scores"))
-    known = asked.join(lists, "slot").withColumn("scores", F.transform("scores", lambda s: s["score"]))
+    known = asked.join(lists.hint("merge"), "slot").withColumn("scores", F.transform("scores", lambda s: s["score"]))
     with rows_per_batch(spark, block_rows * 2):
         second = stage(_chunks(known), "chunks")
-    with rows_per_batch(spark, BATCH):
-        near = _search(second, blocks, shelves, ["dims", "shelf"], lambda own, scores: Negatives(own, scores, negatives, band))
+    with _few_at_once(spark):
+        near = _search(second, blocks, groups_of_chunks, shares, ["dims"], lambda own, scores: Negatives(own, scores, negatives, band))
         near = stage(near, "near-negatives")
     by_positive = Window.partitionBy("slot", "place").orderBy(*order)
     near = near.withColumn("rank", F.row_number().over(by_positive)).where(F.col("rank") <= negatives)
     return (
         near.select("slot", "place", "rank", F.col("id").alias("negative_id"), F.col("score").alias("negative_score"))
-        .join(paired.select("slot", "place", F.col("id").alias("positive_id"), F.col("score").alias("positive_score")), ["slot", "place"])
-        .join(asked.select("slot", F.col("id").alias("anchor_id")), "slot")
+        .join(paired.select("slot", "place", F.col("id").alias("positive_id"), F.col("score").alias("positive_score")).hint("merge"), ["slot", "place"])
+        .join(asked.select("slot", F.col("id").alias("anchor_id")).hint("merge"), "slot")
         .select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
     )

@@ -109,3 +109,41 @@ def test_empty_tables_and_clashing_columns(spark):
     assert sorted(tuple(r) for r in found.collect()) == brute_force(rows, lambda k: k % 50 == 0)
     assert hn.mine_hard_negatives(df.limit(0), df.limit(0)).count() == 0
     assert hn.mine_hard_negatives(df, df.limit(0)).count() == 0
+
+
+def test_anchors_and_blocks_meet_without_a_broadcast_that_grows_with_either(spark):
+    rows = clustered(600, 100)
+    spark.conf.set("spark.sql.maxBroadcastTableSize", "100m")  # a page takes up to 64 MB; every anchor once for each of 300 blocks: 151 MB
+    try:
+        found = mined(spark, rows, 1, block_rows=2, chunk_rows=300)
+    finally:
+        spark.conf.unset("spark.sql.maxBroadcastTableSize")
+    assert found == brute_force(rows, lambda k: True)
+
+
+@pytest.mark.parametrize("shares", [1, 3])
+def test_groups_of_chunks_and_shares_of_blocks_agree_with_brute_force(spark, monkeypatch, shares):
+    monkeypatch.setattr(hn, "HELD", 100)
+    monkeypatch.setattr(hn, "SHARES", shares)
+    rows = clustered(400) + [(1000 + i, [float(i), 1.0], i % 2) for i in range(40)]
+    assert mined(spark, rows, 10, block_rows=20, chunk_rows=4) == brute_force(rows, lambda k: k % 10 == 0)
+
+
+def test_a_task_reports_once_for_all_blocks_it_has_seen(spark):
+    df = spark.createDataFrame(clustered(400), SCHEMA)
+    dealt = hn.integer_rows(df).select("*", F.lit(0).alias("labels_of"), F.lit(0).alias("bucket"), (F.col("id") % 20).alias("part"))
+    asked = hn.integer_rows(df).where("id < 30").select("*", F.lit(0).alias("labels_of"), F.col("id").alias("slot"), (F.col("id") % 3).alias("chunk"))
+    blocks = spark.createDataFrame(hn.build_blocks(dealt).collect(), hn.BLOCK)
+    assert blocks.count() == 20
+    for groups, shares in ((1, 1), (1, 2), (3, 2)):
+        found = hn._search(hn._chunks(asked), blocks, groups, shares, ["dims"], lambda own, _: hn.Positives(own, 5))
+        assert "CartesianProduct" in found._jdf.queryExecution().executedPlan().toString()
+        assert found.count() <= 30 * 5 * shares
+
+
+def test_whole_numbers_are_packed_by_their_range():
+    for top, size in ((127, 1), (128, 2), (-32768, 2), (-32769, 4), (1 << 31, 8)):
+        numbers = np.array([[0, 1, -1], [top, 2, 3]])
+        data = hn.packed(numbers)
+        assert len(data) == 6 * size and (hn.unpacked(data, 2, 3) == numbers).all()
+    assert hn.unpacked(hn.packed(np.zeros((3, 0), np.int64)), 3, 0).shape == (3, 0)
